@@ -84,3 +84,162 @@ METRIC_COLS = """match_id, player_id, player_nombre, player_equipo, player_posic
 SQL: dict[str, str] = {}
 
 SQL["player_metrics"] = with_metrics(f"SELECT {METRIC_COLS} FROM m")
+
+
+def avg_t(c: str) -> str:
+    return (f"CASE WHEN count({c}) > 0 THEN sum(round({c} * 10)::BIGINT) "
+            f"/ (10.0::DOUBLE * count({c})) END")
+
+
+def pct_sql(n: str, d: str) -> str:
+    return f"round(CASE WHEN ({d}) > 0 THEN ({n})::DOUBLE / ({d}) * 100 ELSE 0.0 END, 1)"
+
+
+KPIS = f"""SELECT match_id, count(*) AS jugadores_activos, sum(tiros)::BIGINT AS total_tiros,
+  sum(pases_acertados)::BIGINT AS pases_acertados, sum(perdidas)::BIGINT AS perdidas,
+  sum(goles)::BIGINT AS goles, sum(recuperaciones)::BIGINT AS recuperaciones,
+  {avg_t('estamina_actual')} AS estamina_media
+FROM m {{where}} GROUP BY match_id"""
+
+SQL["match_kpis"] = with_metrics(KPIS.format(where=""))
+SQL["filtered_kpis"] = with_metrics(
+    KPIS.format(where="WHERE player_equipo = 'A' AND player_posicion = 'CM'"))
+
+SQL["kpi_cube"] = with_metrics("""SELECT match_id, player_equipo, player_posicion,
+  GROUPING(match_id, player_equipo, player_posicion)::BIGINT AS nivel,
+  count(*) AS jugadores, sum(tiros)::BIGINT AS tiros, sum(goles)::BIGINT AS goles,
+  sum(pases_acertados)::BIGINT AS pases_acertados, sum(perdidas)::BIGINT AS perdidas,
+  sum(recuperaciones)::BIGINT AS recuperaciones
+FROM m GROUP BY GROUPING SETS ((match_id, player_equipo, player_posicion),
+  (match_id, player_equipo), (match_id, player_posicion), (match_id))""")
+
+SQL["team_stamina"] = with_metrics(f"""SELECT match_id, player_equipo,
+  count(estamina_actual) AS jugadores, {avg_t('estamina_actual')} AS estamina_media,
+  ({avg_t('estamina_actual')}) < 60.0 AS alerta_fatiga
+FROM m GROUP BY match_id, player_equipo""")
+
+SQL["most_tired"] = with_metrics("""SELECT match_id, player_id, player_nombre, player_equipo,
+  player_posicion, estamina_actual
+FROM (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY estamina_actual,
+        player_id, player_equipo, player_nombre, player_posicion) AS rn
+      FROM m WHERE estamina_actual IS NOT NULL) WHERE rn = 1""")
+
+ZS = """, zs AS (SELECT match_id, player_equipo, sum(eventos_zona_defensa)::BIGINT AS defensa,
+  sum(eventos_zona_medio)::BIGINT AS medio, sum(eventos_zona_ataque)::BIGINT AS ataque
+  FROM m GROUP BY match_id, player_equipo)"""
+
+SQL["zone_share"] = with_metrics(ZS + f"""
+SELECT match_id, player_equipo, defensa AS eventos_defensa, medio AS eventos_medio,
+  ataque AS eventos_ataque, defensa + medio + ataque AS total,
+  {pct_sql('defensa', 'defensa + medio + ataque')} AS pct_defensa,
+  {pct_sql('medio', 'defensa + medio + ataque')} AS pct_medio,
+  {pct_sql('ataque', 'defensa + medio + ataque')} AS pct_ataque
+FROM zs""")
+
+SQL["zone_heatmap"] = with_metrics(ZS + """
+SELECT match_id, player_equipo, 'defensa' AS zona, defensa AS eventos FROM zs
+UNION ALL SELECT match_id, player_equipo, 'medio', medio FROM zs
+UNION ALL SELECT match_id, player_equipo, 'ataque', ataque FROM zs""")
+
+SQL["goals_by_player"] = with_metrics("""SELECT player_id, player_nombre, count(*) AS partidos,
+  sum(goles)::BIGINT AS goles, sum(tiros)::BIGINT AS tiros
+FROM m GROUP BY player_id, player_nombre""")
+
+SQL["pass_efficiency"] = with_metrics(f"""SELECT *,
+  {pct_sql('pases_acertados', 'pases_intentados')} AS eficiencia_pase,
+  {pct_sql('pases_acertados', 'pases_intentados + perdidas')} AS eficiencia_pase_real
+FROM (SELECT player_id, player_nombre, sum(pases_intentados)::BIGINT AS pases_intentados,
+        sum(pases_acertados)::BIGINT AS pases_acertados, sum(perdidas)::BIGINT AS perdidas
+      FROM m GROUP BY player_id, player_nombre)""")
+
+SQL["pass_loss_ratio"] = with_metrics(f"""SELECT *,
+  CASE WHEN perdidas > 0 THEN pases_acertados::DOUBLE / perdidas END AS ratio_pases_perdidas,
+  {pct_sql('pases_acertados', 'pases_acertados + perdidas')} AS pct_posesion_conservada
+FROM (SELECT match_id, player_equipo, sum(pases_acertados)::BIGINT AS pases_acertados,
+        sum(perdidas)::BIGINT AS perdidas FROM m GROUP BY match_id, player_equipo)""")
+
+SQL["fatigue_efficiency"] = with_metrics(f""", t AS (SELECT match_id, player_equipo,
+    {avg_t('distancia_m')} AS distancia_media_equipo,
+    {avg_t('estamina_actual')} AS estamina_media_equipo
+  FROM m GROUP BY match_id, player_equipo)
+SELECT m.match_id, m.player_id, m.player_nombre, m.player_equipo, m.player_posicion,
+  distancia_m, estamina_actual,
+  CASE WHEN 100.0::DOUBLE - estamina_actual > 0
+       THEN distancia_m / (100.0::DOUBLE - estamina_actual) END AS metros_por_punto,
+  distancia_media_equipo, estamina_media_equipo,
+  distancia_m > distancia_media_equipo AND estamina_actual > estamina_media_equipo AS mejor_fisico
+FROM m JOIN t ON m.match_id = t.match_id AND m.player_equipo = t.player_equipo""")
+
+SQL["stamina_rank"] = with_metrics("""SELECT match_id, player_id, player_nombre, player_equipo,
+  player_posicion, estamina_actual,
+  rank() OVER (PARTITION BY match_id ORDER BY estamina_actual ASC NULLS LAST) AS ranking_estamina
+FROM m""")
+
+SQL["goals_ranking"] = with_metrics("""SELECT match_id, player_id, player_nombre, player_equipo,
+  goles, rank() OVER (PARTITION BY match_id ORDER BY goles DESC NULLS LAST) AS ranking_goles
+FROM m""")
+
+SQL["top_scorers"] = with_metrics("""SELECT player_nombre, player_equipo, goles, tiros,
+  eficiencia_tiro, estamina_actual
+FROM m ORDER BY goles DESC, match_id, player_id, player_equipo, player_nombre, player_posicion
+LIMIT 5""")
+
+SQL["tired_players"] = with_metrics("""SELECT match_id, player_id, player_nombre, player_equipo,
+  estamina_actual FROM m ORDER BY estamina_actual ASC NULLS LAST, match_id, player_id, player_equipo""")
+
+SQL["scorers"] = with_metrics("""SELECT match_id, player_id, player_nombre, player_equipo, goles,
+  tiros FROM m WHERE goles > 0 ORDER BY goles DESC, match_id, player_id, player_equipo""")
+
+SQL["stamina_top5_other"] = with_metrics(""", k AS (SELECT *, row_number() OVER (
+    PARTITION BY match_id ORDER BY estamina_actual, player_id, player_equipo, player_nombre,
+    player_posicion) AS puesto FROM m WHERE estamina_actual IS NOT NULL)
+SELECT match_id, puesto, player_nombre AS jugador, estamina_actual AS estamina
+FROM k WHERE puesto <= 5
+UNION ALL
+SELECT match_id, 6::BIGINT AS puesto, 'Other' AS jugador,
+  sum(round(estamina_actual * 10)::BIGINT) / (10.0::DOUBLE * count(*)) AS estamina
+FROM k WHERE puesto > 5 GROUP BY match_id""")
+
+SQL["top_distance"] = with_metrics(f"""SELECT player_id, player_nombre,
+  {avg_t('distancia_m')} AS distancia_media
+FROM m GROUP BY player_id, player_nombre
+ORDER BY distancia_media DESC NULLS LAST, player_id, player_nombre LIMIT 5""")
+
+SQL["event_zones"] = with_events(
+    "SELECT match_id, event_id, player_id, player_equipo, x, zona FROM zev")
+
+SQL["losses_by_zone"] = with_events("""SELECT match_id, player_equipo, zona, count(*) AS perdidas
+FROM zev WHERE action = 'perdida' GROUP BY match_id, player_equipo, zona""")
+
+SQL["nearest_to_ball"] = with_events(""", p AS (SELECT match_id,
+    floor(timestamp / 3600.0::DOUBLE)::BIGINT AS ciclo, player_equipo, player_id, player_nombre,
+    (x - ball_x) * (x - ball_x) + (y - ball_y) * (y - ball_y) AS distancia2
+  FROM ev WHERE tipo = 'posicion')
+SELECT match_id, ciclo, player_equipo, player_id, player_nombre, distancia2
+FROM (SELECT *, row_number() OVER (PARTITION BY match_id, ciclo, player_equipo
+        ORDER BY distancia2, player_id, player_nombre) AS rn
+      FROM p WHERE distancia2 IS NOT NULL) WHERE rn = 1""")
+
+SQL["event_bounds"] = with_events("""SELECT match_id, count(*) AS eventos,
+  count(*) FILTER (WHERE tipo = 'posicion' AND x IS NOT NULL AND NOT (x BETWEEN 0.5 AND 104.5)) AS fuera_x,
+  count(*) FILTER (WHERE tipo = 'posicion' AND y IS NOT NULL AND NOT (y BETWEEN 0.5 AND 67.5)) AS fuera_y,
+  count(*) FILTER (WHERE estamina IS NOT NULL AND NOT (estamina BETWEEN 0.0 AND 100.0)) AS estamina_fuera,
+  max(CASE WHEN tipo = 'posicion' THEN abs(x - least(greatest(x, 0.5::DOUBLE), 104.5::DOUBLE)) END) AS exceso_max_x
+FROM ev GROUP BY match_id""")
+
+SQL["event_pairing"] = with_events(""", pp AS (SELECT match_id, timestamp AS ciclo, player_id,
+    count(*) FILTER (WHERE action = 'gol') AS g, count(*) FILTER (WHERE action = 'tiro') AS t,
+    count(*) FILTER (WHERE action = 'perdida') AS p,
+    count(*) FILTER (WHERE action = 'recuperacion') AS r
+  FROM ev GROUP BY match_id, timestamp, player_id),
+pc AS (SELECT match_id, ciclo, count(*) FILTER (WHERE g > t) AS goles_sin_tiro,
+    sum(p)::BIGINT AS perdidas, sum(r)::BIGINT AS recuperaciones
+  FROM pp GROUP BY match_id, ciclo)
+SELECT * FROM pc WHERE goles_sin_tiro > 0 OR perdidas <> recuperaciones""")
+
+SQL["stamina_monotone"] = with_events(""", s AS (SELECT match_id, player_id, player_equipo,
+    timestamp, event_id, estamina,
+    lag(estamina) OVER (PARTITION BY match_id, player_id, player_equipo
+                        ORDER BY timestamp, event_id) AS estamina_previa
+  FROM ev WHERE estamina IS NOT NULL)
+SELECT * FROM s WHERE estamina > estamina_previa""")

@@ -1,4 +1,8 @@
-"""Registered queries: name -> (spark, sf_dir) -> DataFrame."""
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame.
+
+Every query reads the driver tables under ``sf_dir`` (through the adapters
+in ``touchline.sources``) and runs over all rows.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from touchline.operators import quality
 from touchline.operators.metrics import player_metrics
+from touchline.plans import dashboards as D
 from touchline.sources.events import events_from_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +26,45 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return player_metrics(match_events(spark, sf_dir))
 
 
+def _on_metrics(fn, **kw) -> Query:
+    return lambda spark, sf_dir: fn(metrics(spark, sf_dir), **kw)
+
+
+def _on_events(fn, **kw) -> Query:
+    return lambda spark, sf_dir: fn(match_events(spark, sf_dir), **kw)
+
+
+# On the adapter an hour of match time stands in for one simulation cycle
+# (FIXTURES.md §5), otherwise almost every cycle would hold one event.
+ADAPTER_CYCLE_SECONDS = 3600.0
+
 QUERIES: dict[str, Query] = {
+    # flagship: per-player match metrics (also the full metrics table panel)
     "player_metrics": metrics,
+    # dashboards over the metrics
+    "match_kpis": _on_metrics(D.match_kpis),
+    "filtered_kpis": _on_metrics(D.filtered_kpis, team="A", position="CM"),
+    "kpi_cube": _on_metrics(D.kpi_cube),
+    "team_stamina": _on_metrics(D.team_stamina),
+    "most_tired": _on_metrics(D.most_tired),
+    "zone_share": _on_metrics(D.zone_share),
+    "zone_heatmap": _on_metrics(D.zone_heatmap),
+    "goals_by_player": _on_metrics(D.goals_by_player),
+    "pass_efficiency": _on_metrics(D.pass_efficiency),
+    "pass_loss_ratio": _on_metrics(D.pass_loss_ratio),
+    "fatigue_efficiency": _on_metrics(D.fatigue_efficiency),
+    "stamina_rank": _on_metrics(D.stamina_rank),
+    "goals_ranking": _on_metrics(D.goals_ranking),
+    "top_scorers": _on_metrics(D.top_scorers),
+    "tired_players": _on_metrics(D.tired_players),
+    "scorers": _on_metrics(D.scorers),
+    "stamina_top5_other": _on_metrics(D.stamina_top5_other),
+    "top_distance": _on_metrics(D.top_distance),
+    # event-level operators and quality checks
+    "event_zones": _on_events(quality.event_zones),
+    "losses_by_zone": _on_events(quality.losses_by_zone),
+    "nearest_to_ball": _on_events(quality.nearest_to_ball, cycle_seconds=ADAPTER_CYCLE_SECONDS),
+    "event_bounds": _on_events(quality.event_bounds),
+    "event_pairing": _on_events(quality.event_pairing),
+    "stamina_monotone": _on_events(quality.stamina_monotone),
 }
