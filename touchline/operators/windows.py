@@ -85,7 +85,7 @@ def running_sum_in_chunks(df: DataFrame, keys: list[str], ts: str, tiebreak: str
               .rowsBetween(Window.unboundedPreceding, -1))
     p = "_c_"
     offsets = totals.select(*[F.col(c).alias(p + c) for c in keys + ["_chunk"]],
-                            F.coalesce(F.sum("_tot").over(before), F.lit(0.0)).alias("_off"))
+                            F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
     j = d.join(offsets, _eq_null_safe(d, offsets, keys + ["_chunk"], p), "inner")
     return (j.withColumn(out, F.col("_off") + F.col("_run"))
              .drop("_run", "_off", "_chunk", *[p + c for c in keys + ["_chunk"]]))

@@ -243,3 +243,113 @@ SQL["stamina_monotone"] = with_events(""", s AS (SELECT match_id, player_id, pla
                         ORDER BY timestamp, event_id) AS estamina_previa
   FROM ev WHERE estamina IS NOT NULL)
 SELECT * FROM s WHERE estamina > estamina_previa""")
+
+# --- roster adapter --------------------------------------------------------
+
+POS_LIST = "['GK', 'CB', 'RB', 'LB', 'RWB', 'LWB', 'CDM', 'CM', 'CAM', 'RM', 'LM', 'ST', 'CF', 'LW', 'RW', 'SS', 'XX']"
+
+
+def _raw_side(k: str) -> str:
+    return f"""(CASE WHEN {k} % 50 = 3 THEN NULL ELSE 40 + {k} * 7 % 60 END)::INTEGER AS "PAC",
+    (40 + {k} * 11 % 60)::INTEGER AS "PAS", (40 + {k} * 13 % 60)::INTEGER AS "SHO",
+    (CASE WHEN {k} % 70 = 5 THEN NULL ELSE 40 + {k} * 17 % 60 END)::INTEGER AS "PHY",
+    (40 + {k} * 19 % 60)::INTEGER AS "DEF", {POS_LIST}[{k} % 17 + 1] AS "Position",
+    (50 + {k} * 3 % 45)::INTEGER AS "OVR\""""
+
+
+RAW = f"""raw AS (
+  SELECT c_custkey::INTEGER AS "ID", c_name AS "Name", 'M' AS "GENDER", {_raw_side('c_custkey')},
+    c_mktsegment AS "Team", 'u/' || CAST(c_custkey AS VARCHAR) AS "url"
+  FROM customer
+  UNION ALL
+  SELECT (1000000 + s_suppkey)::INTEGER, s_name, 'F', {_raw_side('s_suppkey')},
+    NULL::VARCHAR, NULL::VARCHAR
+  FROM supplier)"""
+
+GROUP_SQL = """CASE WHEN trim(posicion) IN ('GK') THEN 'GK'
+    WHEN trim(posicion) IN ('CB', 'RB', 'LB', 'RWB', 'LWB') THEN 'DEF'
+    WHEN trim(posicion) IN ('CDM', 'CM', 'CAM', 'RM', 'LM') THEN 'MID'
+    WHEN trim(posicion) IN ('ST', 'CF', 'LW', 'RW', 'SS') THEN 'FWD' END"""
+
+CLEAN = f"""clean AS (
+  SELECT "ID"::BIGINT AS id, "Name" AS nombre, "GENDER" AS genero, "PAC" AS velocidad,
+    "PAS" AS pase, "SHO" AS tiro, "PHY" AS resistencia, "DEF" AS defensa,
+    "Position" AS posicion, "OVR" AS media, "Team" AS equipo, 100.0::DOUBLE AS estamina
+  FROM raw
+  WHERE "ID" IS NOT NULL AND "Name" IS NOT NULL AND "PAC" IS NOT NULL AND "PAS" IS NOT NULL
+    AND "SHO" IS NOT NULL AND "PHY" IS NOT NULL AND "DEF" IS NOT NULL),
+grouped AS (SELECT *, {GROUP_SQL} AS grupo FROM clean),
+eligible AS (SELECT * FROM grouped WHERE coalesce(media, 50) >= 65 AND grupo IS NOT NULL)"""
+
+NEED_SQL = "CASE grupo WHEN 'GK' THEN 1 WHEN 'DEF' THEN 4 WHEN 'MID' THEN 4 WHEN 'FWD' THEN 2 END"
+
+
+def draft_key_sql(team: str) -> str:
+    code = f"CASE WHEN {team} = 'A' THEN 1 ELSE 2 END"
+    return f"((id % 2147483647) * 2654435761 + {42 * 40503} + {code} * 97) % 2147483647"
+
+
+DRAFT = f""", t AS (SELECT id, nombre, posicion, grupo, 'A' AS equipo FROM eligible
+  UNION ALL SELECT id, nombre, posicion, grupo, 'B' AS equipo FROM eligible),
+r AS (SELECT equipo, grupo, row_number() OVER (PARTITION BY equipo, grupo
+        ORDER BY {draft_key_sql('equipo')}, id) AS orden, id, nombre, posicion FROM t),
+draft AS (SELECT * FROM r WHERE orden <= {NEED_SQL})"""
+
+
+def with_roster(body: str) -> str:
+    return f"WITH {RAW},\n{CLEAN}\n{body}"
+
+
+RAW_COLS = '"ID", "Name", "GENDER", "PAC", "PAS", "SHO", "PHY", "DEF", "Position", "OVR", "Team", "url"'
+CLEAN_COLS = ("id, nombre, genero, velocidad, pase, tiro, resistencia, defensa, posicion, "
+              "media, equipo, estamina")
+
+SQL["roster_union"] = f"WITH {RAW}\nSELECT {RAW_COLS} FROM raw"
+SQL["roster_clean"] = with_roster(f"SELECT {CLEAN_COLS} FROM clean")
+SQL["roster_roundtrip"] = SQL["roster_clean"]
+SQL["position_groups"] = with_roster(
+    "SELECT genero, grupo, count(*) AS jugadores FROM grouped GROUP BY genero, grupo")
+SQL["eligible_players"] = with_roster(f"SELECT {CLEAN_COLS}, grupo FROM eligible")
+SQL["safe_int_stats"] = f"""WITH {RAW}
+SELECT "GENDER" AS genero, count(*) AS jugadores,
+  count(*) FILTER (WHERE "PAC" IS NULL) AS velocidad_por_defecto,
+  sum(coalesce("PAC", 50))::DOUBLE / count(*) AS velocidad_media,
+  count(*) FILTER (WHERE "PHY" IS NULL) AS resistencia_por_defecto,
+  sum(coalesce("PHY", 50))::DOUBLE / count(*) AS resistencia_media,
+  count(*) FILTER (WHERE "OVR" IS NULL) AS media_por_defecto,
+  sum(coalesce("OVR", 50))::DOUBLE / count(*) AS media_media
+FROM raw GROUP BY "GENDER\""""
+SQL["squad_draft"] = with_roster(DRAFT + "\nSELECT equipo, grupo, orden, id, nombre, posicion FROM draft")
+SQL["squad_draft_disjoint"] = with_roster(f""", r AS (SELECT grupo, {NEED_SQL} AS need,
+    row_number() OVER (PARTITION BY grupo ORDER BY {draft_key_sql("'A'")}, id) AS rn,
+    id, nombre, posicion FROM eligible)
+SELECT CASE WHEN (rn - 1) // need = 0 THEN 'A' ELSE 'B' END AS equipo, grupo,
+  (rn - ((rn - 1) // need) * need)::BIGINT AS orden, id, nombre, posicion
+FROM r WHERE rn <= 2 * need""")
+SQL["formation_check"] = with_roster(""", n AS (SELECT * FROM (VALUES ('GK', 1), ('DEF', 4), ('MID', 4), ('FWD', 2)) v(grupo, necesarios)),
+h AS (SELECT grupo, count(*) AS disponibles FROM eligible GROUP BY grupo)
+SELECT n.grupo, n.necesarios, coalesce(h.disponibles, 0)::BIGINT AS disponibles,
+  coalesce(h.disponibles, 0) >= n.necesarios AS suficiente,
+  coalesce(h.disponibles, 0) >= 2 * n.necesarios AS suficiente_disjuntos
+FROM n LEFT JOIN h ON n.grupo = h.grupo""")
+SQL["squad_counts"] = with_roster(DRAFT + """
+SELECT equipo, count(*) AS jugadores, count(*) FILTER (WHERE trim(posicion) = 'GK') AS porteros
+FROM draft GROUP BY equipo""")
+
+SQL["metrics_with_roster"] = f"""WITH {EV},\n{ZEV},\n{M},\n{RAW},\n{CLEAN}
+SELECT m.match_id, m.player_id, m.player_nombre, m.player_equipo, m.player_posicion,
+  m.distancia_m, m.estamina_actual, m.goles, r.genero, r.velocidad, r.resistencia, r.media
+FROM m LEFT JOIN clean r ON m.player_id = CAST(r.id AS VARCHAR)"""
+
+SQL["stamina_audit"] = f"""WITH {EV},\n{RAW},\n{CLEAN},
+a AS (SELECT ev.match_id, ev.player_id, ev.player_equipo, ev.timestamp, ev.event_id, ev.estamina,
+    round((ev.speed_jugador / greatest(r.velocidad / 10.0::DOUBLE, 0.01::DOUBLE))
+      * (1.0::DOUBLE - r.resistencia / 200.0::DOUBLE) * 2.0::DOUBLE * 0.5::DOUBLE * 1e6::DOUBLE)::BIGINT AS perdida_u
+  FROM ev JOIN clean r ON ev.player_id = CAST(r.id AS VARCHAR) WHERE ev.tipo = 'posicion'),
+s AS (SELECT *, greatest(0, 100000000 - sum(perdida_u) OVER (
+    PARTITION BY match_id, player_id, player_equipo ORDER BY timestamp, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT / 1e6::DOUBLE AS modelo FROM a)
+SELECT match_id, player_id, player_equipo, count(*) AS eventos,
+  arg_max(modelo, (timestamp, event_id)) AS estamina_modelo_final,
+  max(abs(modelo - estamina)) AS max_desvio
+FROM s GROUP BY match_id, player_id, player_equipo"""

@@ -68,3 +68,7 @@ QUERIES: dict[str, Query] = {
     "event_pairing": _on_events(quality.event_pairing),
     "stamina_monotone": _on_events(quality.stamina_monotone),
 }
+
+from touchline.plans.registry_roster import ROSTER_QUERIES  # noqa: E402
+
+QUERIES.update(ROSTER_QUERIES)
