@@ -353,3 +353,31 @@ SELECT match_id, player_id, player_equipo, count(*) AS eventos,
   arg_max(modelo, (timestamp, event_id)) AS estamina_modelo_final,
   max(abs(modelo - estamina)) AS max_desvio
 FROM s GROUP BY match_id, player_id, player_equipo"""
+
+# --- publication, sinks, stream ---------------------------------------------
+
+EVENT_JSON = """to_json(struct_pack(match_id := match_id, timestamp := timestamp, tipo := tipo,
+  player_id := player_id, player_nombre := player_nombre, player_equipo := player_equipo,
+  player_posicion := player_posicion, x := x, y := y, speed_jugador := speed_jugador,
+  estamina := estamina, ball_x := ball_x, ball_y := ball_y, ball_speed := ball_speed,
+  action := action, is_successful := is_successful, event_id := event_id))"""
+
+SQL["encode_events"] = f"WITH {EV}\nSELECT match_id AS key, {EVENT_JSON} AS value FROM ev"
+
+SQL["events_roundtrip"] = f"""WITH {EV}
+SELECT match_id, timestamp, tipo, player_id, player_nombre, player_equipo, player_posicion,
+  x, y, speed_jugador, estamina, ball_x, ball_y, ball_speed, action, is_successful, event_id
+FROM ev"""
+
+_BODY = ", ".join(f"{c} := {c}" for c in
+                  [c.strip() for c in METRIC_COLS.replace("\n", " ").split(",")])
+
+SQL["bulk_ndjson"] = with_metrics(f"""SELECT
+  coalesce(match_id, 'None') || '_' || coalesce(player_id, 'None') || '_' || coalesce(player_equipo, 'None') AS doc_id,
+  to_json({{'index': {{'_index': 'football_metrics',
+    '_id': coalesce(match_id, 'None') || '_' || coalesce(player_id, 'None') || '_' || coalesce(player_equipo, 'None')}}}})
+  || chr(10) || to_json(struct_pack({_BODY}, timestamp := '2024-02-01T00:00:00Z')) AS bulk
+FROM m""")
+
+SQL["stream_metrics"] = SQL["player_metrics"]
+SQL["latest_count"] = with_metrics("SELECT count(*) AS documentos FROM m")

@@ -72,3 +72,7 @@ QUERIES: dict[str, Query] = {
 from touchline.plans.registry_roster import ROSTER_QUERIES  # noqa: E402
 
 QUERIES.update(ROSTER_QUERIES)
+
+from touchline.plans.registry_stream import STREAM_QUERIES  # noqa: E402
+
+QUERIES.update(STREAM_QUERIES)
