@@ -41,14 +41,29 @@ def pct(num, den, scale: int = 1) -> Column:
     return F.round(F.when(den > 0, num / den * 100).otherwise(F.lit(0.0)), scale)
 
 
-def latest(value, *order) -> Column:
-    """Value of the latest row, by the given ordering columns, among rows
+def time_order_key(ts="timestamp", tiebreak=None) -> Column:
+    """(event time, tiebreak) packed into one ``decimal(38,0)``:
+    floor(ts * 1000) * 10^20 + (tiebreak + 2^63). Ordering by it equals
+    ordering by (ts at millisecond resolution, tiebreak); a null tiebreak
+    sorts first. A single decimal (unlike a struct) is a valid buffer type
+    for hash aggregation, so ``max_by`` over it stays a HashAggregate
+    instead of sorting every map partition."""
+    dec = "decimal(38,0)"
+    ms = F.floor(_c(ts) * F.lit(1000.0)).cast(dec)
+    if tiebreak is None:
+        off = F.lit(0).cast(dec)
+    else:
+        off = F.coalesce(_c(tiebreak).cast(dec) + F.lit(str(2 ** 63)).cast(dec), F.lit(0).cast(dec))
+    return (ms * F.lit(str(10 ** 20)).cast(dec) + off).cast(dec)
+
+
+def latest(value, ts="timestamp", tiebreak=None) -> Column:
+    """Value of the latest row (by event time, then tiebreak) among rows
     where the value is not null. Order-independent (unlike ``last``), so the
-    answer does not depend on partitioning or arrival order, and it is a
-    partial aggregate that works in streaming state."""
+    answer does not depend on partitioning or arrival order; a partial
+    hash aggregate that also works in streaming state."""
     value = _c(value)
-    key = F.struct(*[_c(o) for o in order])
-    return F.max_by(value, F.when(value.isNotNull(), key))
+    return F.max_by(value, F.when(value.isNotNull(), time_order_key(ts, tiebreak)))
 
 
 def count_where(cond: Column) -> Column:

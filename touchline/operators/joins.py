@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.functions.columns import time_order_key
 from touchline.operators.windows import running_sum_in_chunks
 from touchline.schemas import CYCLE_SECONDS, METRIC_KEYS, TIEBREAK_FIELD
 
@@ -57,6 +58,6 @@ def stamina_audit(events: DataFrame, roster: DataFrame, cycle_seconds: float = C
     run = run.withColumn("modelo", modelo)
     return run.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("eventos"),
-        F.max_by("modelo", F.struct(*order)).alias("estamina_modelo_final"),
+        F.max_by("modelo", time_order_key("timestamp", tb)).alias("estamina_modelo_final"),
         F.max(F.abs(F.col("modelo") - F.col("estamina"))).alias("max_desvio"),
     )

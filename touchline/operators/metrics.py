@@ -33,12 +33,11 @@ def with_zone(events: DataFrame, cuts=ZONE_CUTS, relative: bool = False) -> Data
 def metric_aggregates(cycle_seconds: float = CYCLE_SECONDS,
                       tiebreak: str | None = TIEBREAK_FIELD) -> list:
     action = F.col("action")
-    order = ["timestamp"] + ([tiebreak] if tiebreak else [])
     return [
         F.round(F.sum("speed_jugador") * F.lit(float(cycle_seconds)), 1).alias("distancia_m"),
-        F.round(latest("estamina", *order), 1).alias("estamina_actual"),
-        F.round(latest("x", *order), 2).alias("ultima_x"),
-        F.round(latest("y", *order), 2).alias("ultima_y"),
+        F.round(latest("estamina", "timestamp", tiebreak), 1).alias("estamina_actual"),
+        F.round(latest("x", "timestamp", tiebreak), 2).alias("ultima_x"),
+        F.round(latest("y", "timestamp", tiebreak), 2).alias("ultima_y"),
         count_where(action == "pase").alias("pases_intentados"),
         count_where((action == "pase") & (F.col("is_successful") == F.lit(True))).alias("pases_acertados"),
         count_where(action == "tiro").alias("tiros"),

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.functions.columns import time_order_key
+
 
 def _eq_null_safe(left: DataFrame, right: DataFrame, cols: list[str], prefix: str) -> Column:
     cond = None
@@ -54,14 +56,15 @@ def _chunked(df: DataFrame, ts: str, chunk_seconds: float) -> DataFrame:
 
 def lag_in_chunks(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None,
                   value: str, out: str, chunk_seconds: float = 3600.0) -> DataFrame:
-    """``lag(value) OVER (PARTITION BY keys ORDER BY ts, tiebreak)``."""
+    """``lag(value) OVER (PARTITION BY keys ORDER BY ts, tiebreak)``, with
+    event time at millisecond resolution for the order across chunks."""
     order = [ts] + ([tiebreak] if tiebreak else [])
     base = _chunked(df, ts, chunk_seconds)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     d = (base.withColumn("_prev", F.lag(value).over(w))
              .withColumn("_first", F.row_number().over(w) == 1))
     last = base.groupBy(*keys, "_chunk").agg(
-        F.max_by(F.col(value), F.struct(*order)).alias("_last"))
+        F.max_by(F.col(value), time_order_key(ts, tiebreak)).alias("_last"))
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
     carry = last.select(*keys, "_chunk", F.lag("_last").over(over_chunks).alias("_carry"))
     p = "_c_"
