@@ -27,10 +27,11 @@ def event_files(spark: SparkSession, sf_dir: str) -> str:
     if key not in _EVENTS_CACHE:
         path = shared_dir(spark, "events-json")
         msgs = encode_events(events_from_table(spark, sf_dir)).select("value")
-        # Several files so the replay spans several epochs; rows are spread
-        # by hash of the whole message, so one player's events are split
-        # across files and arrive out of order.
-        msgs.repartition(EVENT_FILES, "value").write.mode("overwrite").text(path)
+        # At least EVENT_FILES files so the replay spans several epochs (more
+        # when the input has more partitions). Round-robin spreads one
+        # player's events over all files, so they arrive out of order.
+        n = max(EVENT_FILES, msgs.rdd.getNumPartitions())
+        msgs.repartition(n).write.mode("overwrite").text(path)
         _EVENTS_CACHE[key] = path
     return _EVENTS_CACHE[key]
 
