@@ -18,12 +18,24 @@ from touchline.sources.events import events_from_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Built plans (not data) are reused within one Spark application: a
+# DataFrame is an immutable plan, and every action still reads the files.
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _plan(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_from_table(spark, sf_dir)
+    return _plan(spark, sf_dir, "events", lambda: events_from_table(spark, sf_dir))
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return player_metrics(match_events(spark, sf_dir))
+    return _plan(spark, sf_dir, "metrics", lambda: player_metrics(match_events(spark, sf_dir)))
 
 
 def _on_metrics(fn, **kw) -> Query:
