@@ -79,3 +79,19 @@ def test_bulk_lines_keep_nulls(spark):
     faithful = bulk_ndjson(m.withColumn("player_id", F.lit(None).cast("string")),
                            now="x", faithful_id=True).collect()[0]
     assert faithful.doc_id == "m_None"
+
+
+def test_processing_time_trigger(spark, tmp_out):
+    from touchline.streaming.job import file_source, start_metrics_query
+    from touchline.streaming.sinks import history_sink
+    ev = events_from_table(spark, SF_SMALL)
+    encode_events(ev).select("value").repartition(2).write.text(f"{tmp_out}/in")
+    q = start_metrics_query(file_source(spark, f"{tmp_out}/in"), f"{tmp_out}/ckpt",
+                            [history_sink(f"{tmp_out}/h", "p")], output_mode="complete",
+                            processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    latest = latest_from_history(read_history(spark, f"{tmp_out}/h", "p"))
+    assert _rows(latest) == _rows(player_metrics(ev))
