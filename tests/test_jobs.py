@@ -51,3 +51,23 @@ def test_foreign_history_layout(spark, tmp_out):
     assert sorted(r.batch_id for r in h.select("batch_id").distinct().collect()) == [0, 3]
     write_history(df, f"{tmp_out}/new", "r", 1)
     assert read_history(spark, f"{tmp_out}/new").select("run_id").distinct().collect()[0].run_id == "r"
+
+
+def test_stream_job_writes_rejects(spark, tmp_out):
+    good = encode_events(events_from_table(spark, SF_SMALL).limit(50)).select("value")
+    bad = spark.createDataFrame([("not json",), ('{"match_id":"m"}',), ("{}",)], "value string")
+    good.union(bad).repartition(2).write.text(f"{tmp_out}/in")
+    stream_job(spark, f"{tmp_out}/out", files=f"{tmp_out}/in", run_id="rj",
+               available_now=True, rocksdb=False)
+    rej = spark.read.json(f"{tmp_out}/out/rejects/run_id=rj")
+    got = sorted((r.mensaje, r.motivo) for r in rej.collect())
+    assert got == [('not json', 'sin_datos'), ('{"match_id":"m"}', 'sin_player_id'),
+                   ('{}', 'sin_datos')]
+    h = read_history(spark, f"{tmp_out}/out/history", "rj")
+    assert h.filter(F.col("match_id").isNull()).count() == 0
+
+
+def test_replay_as_new_match(spark):
+    from touchline.sources.events import replay_as
+    ev = replay_as(events_from_table(spark, SF_SMALL), "M-new")
+    assert [r.match_id for r in player_metrics(ev).select("match_id").distinct().collect()] == ["M-new"]

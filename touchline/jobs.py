@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators.roster import clean_roster, union_rosters
 from touchline.sources.roster import read_roster_csv, write_roster_parquet
-from touchline.streaming.job import file_source, kafka_source, new_run_id, start_metrics_query
+from touchline.streaming.job import (file_source, kafka_source, new_run_id, start_metrics_query,
+                                     start_rejects_query)
 from touchline.streaming.sinks import Sink, bulk_sink, history_sink
 
 
@@ -70,8 +71,16 @@ def stream_job(spark: SparkSession, out: str, kafka: str | None = None, topic: s
     q = start_metrics_query(raw, f"{out}/checkpoints/{run_id}", sinks, output_mode=mode,
                             processing_time=trigger, available_now=available_now,
                             faithful=faithful)
+    queries = [q]
+    if not faithful:
+        queries.append(start_rejects_query(raw, f"{out}/rejects/run_id={run_id}",
+                                           f"{out}/checkpoints/{run_id}-rejects",
+                                           processing_time=trigger, available_now=available_now))
     print(f"run_id={run_id}")
-    q.awaitTermination()
+    for one in queries:
+        one.awaitTermination()
+        if one.exception() is not None:
+            raise RuntimeError(str(one.exception()))
 
 
 def main(argv: list[str] | None = None) -> int:

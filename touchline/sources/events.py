@@ -38,6 +38,25 @@ def split_rejects(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events.filter(ok), events.filter(~ok)
 
 
+def rejected_messages(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Raw messages that cannot be attributed to a match and player, kept as
+    text with the reason, for a rejects output."""
+    txt = F.col(value_col).cast("string")
+    parsed = F.from_json(txt, EVENT_SCHEMA)
+    return (raw.select(txt.alias("mensaje"), parsed.alias("d"))
+               .filter(F.col("d.match_id").isNull() | F.col("d.player_id").isNull())
+               .select("mensaje",
+                       F.when(F.col("d").isNull() | F.col("d.match_id").isNull()
+                              & F.col("d.player_id").isNull(), "sin_datos")
+                        .when(F.col("d.match_id").isNull(), "sin_match_id")
+                        .otherwise("sin_player_id").alias("motivo")))
+
+
+def replay_as(events: DataFrame, match_id: str) -> DataFrame:
+    """Replay a recorded event table as a new match (new identifier)."""
+    return events.withColumn("match_id", F.lit(match_id))
+
+
 def encode_events(events: DataFrame, include_tiebreak: bool = True) -> DataFrame:
     """One JSON message per event in column ``value``; null fields are kept
     as JSON nulls like the producer's ``json.dumps``. A ``key`` column

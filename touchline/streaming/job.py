@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from touchline.operators.metrics import player_metrics
 from touchline.schemas import CYCLE_SECONDS
 from touchline.session import shared_dir
-from touchline.sources.events import parse_events, split_rejects
+from touchline.sources.events import parse_events, rejected_messages, split_rejects
 from touchline.streaming.sinks import MetricsBatchWriter, Sink, bulk_sink, history_sink
 
 
@@ -88,6 +88,20 @@ def start_metrics_query(raw: DataFrame, checkpoint: str, sinks: Sequence[Sink],
     return w.start()
 
 
+def start_rejects_query(raw: DataFrame, path: str, checkpoint: str,
+                        processing_time: str | None = "10 seconds",
+                        available_now: bool = False) -> StreamingQuery:
+    """Append malformed / unattributable messages to JSON files (stateless,
+    append mode, exactly-once through the file sink's own log)."""
+    w = (rejected_messages(raw).writeStream.outputMode("append").format("json")
+         .option("path", path).option("checkpointLocation", checkpoint))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
 def run_replay(spark: SparkSession, events_path: str, out_base: str | None = None,
                run_id: str | None = None, output_mode: str = "update",
                max_files_per_trigger: int | None = 2, with_bulk: bool = True) -> tuple[str, str]:
