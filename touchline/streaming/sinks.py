@@ -4,9 +4,9 @@
   ``<base>/run_id=<R>/batch_id=<N>``. Re-running an epoch after a failure
   rewrites the same folder, so the effect is exactly-once. The layout is
   ``key=value``, so readers prune by run and batch.
-* Latest state: merge-on-read over the history, i.e. per document key the
-  row of the highest batch (``max_by``, a partial aggregate). Nothing is
-  rewritten per epoch; ``compact_latest`` materialises it when wanted.
+* Latest state: merge-on-read over the history, i.e. per metrics key the
+  values of the highest batch (``max_by``, a partial hash aggregate).
+  Nothing is rewritten per epoch; ``compact_latest`` materialises it.
 * Bulk NDJSON: the search-engine bulk encoding (an action line and a
   document line per row), written as text files per epoch; nulls are kept.
 
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import doc_id, iso_utc
+from touchline.schemas import METRIC_KEYS
 
 # Fixed value: the search index the documents are addressed to.
 INDEX_NAME = "football_metrics"
@@ -86,19 +87,18 @@ def read_foreign_history(spark: SparkSession, base: str) -> DataFrame:
     return h.withColumn("batch_id", n)
 
 
-def latest_from_history(history: DataFrame, key: Sequence[str] = DOC_KEY) -> DataFrame:
-    """Latest row per document key: the row of the highest (run, batch)."""
-    value_cols = [c for c in history.columns if c not in ("run_id", "batch_id")]
-    row = F.struct(*[F.col(c) for c in value_cols])
-    order = F.struct(F.col("run_id"), F.col("batch_id")) if "run_id" in history.columns \
-        else F.struct(F.col("batch_id"))
-    keyed = [F.col(c).alias(f"_k_{c}") for c in key]
-    return (history.groupBy(*keyed).agg(F.max_by(row, order).alias("_r"))
-                   .select("_r.*"))
+def latest_from_history(history: DataFrame, key: Sequence[str] = METRIC_KEYS) -> DataFrame:
+    """Latest row per metrics key (and run): every value column is taken
+    from the row of the highest ``batch_id`` with ``max_by``. All value
+    columns are numbers, so this is a partial hash aggregate over the
+    history, not a sort."""
+    group = (["run_id"] if "run_id" in history.columns else []) + list(key)
+    values = [c for c in history.columns if c not in group and c != "batch_id"]
+    return history.groupBy(*group).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
 
 
 def compact_latest(spark: SparkSession, history_base: str, out: str, run_id: str | None = None,
-                   key: Sequence[str] = DOC_KEY) -> DataFrame:
+                   key: Sequence[str] = METRIC_KEYS) -> DataFrame:
     """Materialise the latest state to ``out`` (overwrite) and return it."""
     latest_from_history(read_history(spark, history_base, run_id), key).write.mode(
         "overwrite").parquet(out)
