@@ -10,12 +10,13 @@ becomes the job. The helpers below only ever window over *bounded* inputs:
   one-decimal stamina in [0, 100]) and the rank is joined back.
 * ``lag_in_chunks`` / ``running_sum_in_chunks`` — the ordered axis is event
   time, so a group is cut into fixed time chunks. Each chunk is windowed
-  on its own (bounded by event rate × chunk width); the carry between chunks
-  comes from a per-chunk aggregate, windowed over chunks only, and joined
-  back. The result equals the un-chunked window.
+  on its own (bounded by event rate × chunk width). The carry between chunks
+  comes from a per-chunk partial aggregate, windowed over chunks only, and
+  enters each chunk as one sentinel row sorted first — no join back, so the
+  large side is shuffled once. The result equals the un-chunked window.
 
-Joins back use ordinary equi-joins on the group keys; the per-key side has
-one row per key, so AQE either broadcasts it after measuring it at run time
+The rank join back is an ordinary equi-join; the rank side has one row per
+(group, value), so AQE either broadcasts it after measuring it at run time
 or splits skewed partitions of the large side.
 """
 
@@ -54,24 +55,30 @@ def _chunked(df: DataFrame, ts: str, chunk_seconds: float) -> DataFrame:
     return df.withColumn("_chunk", F.floor(F.col(ts) / F.lit(float(chunk_seconds))))
 
 
+def _with_sentinels(base: DataFrame, sentinels: DataFrame) -> DataFrame:
+    """Real rows (``_real`` = 1) plus one sentinel row (``_real`` = 0) per
+    chunk that carries a value in from the chunks before it. The union is
+    windowed per (keys, chunk) with the sentinel first, so the carry needs
+    no join back onto the large side."""
+    return (base.withColumn("_real", F.lit(1))
+                .unionByName(sentinels.withColumn("_real", F.lit(0)), allowMissingColumns=True))
+
+
 def lag_in_chunks(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None,
                   value: str, out: str, chunk_seconds: float = 3600.0) -> DataFrame:
     """``lag(value) OVER (PARTITION BY keys ORDER BY ts, tiebreak)``, with
     event time at millisecond resolution for the order across chunks."""
     order = [ts] + ([tiebreak] if tiebreak else [])
     base = _chunked(df, ts, chunk_seconds)
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    d = (base.withColumn("_prev", F.lag(value).over(w))
-             .withColumn("_first", F.row_number().over(w) == 1))
     last = base.groupBy(*keys, "_chunk").agg(
         F.max_by(F.col(value), time_order_key(ts, tiebreak)).alias("_last"))
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
-    carry = last.select(*keys, "_chunk", F.lag("_last").over(over_chunks).alias("_carry"))
-    p = "_c_"
-    carry = carry.select(*[F.col(c).alias(p + c) for c in keys + ["_chunk"]], "_carry")
-    j = d.join(carry, _eq_null_safe(d, carry, keys + ["_chunk"], p), "inner")
-    return (j.withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev")))
-             .drop("_prev", "_first", "_carry", "_chunk", *[p + c for c in keys + ["_chunk"]]))
+    sentinels = (last.select(*keys, "_chunk", F.lag("_last").over(over_chunks).alias(value),
+                             F.row_number().over(over_chunks).alias("_n"))
+                     .filter(F.col("_n") > 1).drop("_n"))
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_real", *order)
+    u = _with_sentinels(base, sentinels).withColumn(out, F.lag(value).over(w))
+    return u.filter(F.col("_real") == 1).drop("_real", "_chunk")
 
 
 def running_sum_in_chunks(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None,
@@ -80,15 +87,12 @@ def running_sum_in_chunks(df: DataFrame, keys: list[str], ts: str, tiebreak: str
     BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)``."""
     order = [ts] + ([tiebreak] if tiebreak else [])
     base = _chunked(df, ts, chunk_seconds)
-    w = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = base.withColumn("_run", F.sum(value).over(w))
     totals = base.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_tot"))
     before = (Window.partitionBy(*keys).orderBy("_chunk")
               .rowsBetween(Window.unboundedPreceding, -1))
-    p = "_c_"
-    offsets = totals.select(*[F.col(c).alias(p + c) for c in keys + ["_chunk"]],
-                            F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    j = d.join(offsets, _eq_null_safe(d, offsets, keys + ["_chunk"], p), "inner")
-    return (j.withColumn(out, F.col("_off") + F.col("_run"))
-             .drop("_run", "_off", "_chunk", *[p + c for c in keys + ["_chunk"]]))
+    sentinels = (totals.select(*keys, "_chunk", F.sum("_tot").over(before).alias(value))
+                       .filter(F.col(value).isNotNull()))
+    w = (Window.partitionBy(*keys, "_chunk").orderBy("_real", *order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    u = _with_sentinels(base, sentinels).withColumn(out, F.sum(value).over(w))
+    return u.filter(F.col("_real") == 1).drop("_real", "_chunk")

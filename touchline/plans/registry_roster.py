@@ -26,8 +26,17 @@ def raw_union(spark: SparkSession, sf_dir: str, infer_schema: bool = True) -> Da
                            read_roster_csv(spark, women, infer_schema))
 
 
+_CLEAN: dict[tuple[str, str], DataFrame] = {}
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.clean_roster(raw_union(spark, sf_dir))
+    """The clean roster, read in one pass as text and parsed by
+    ``clean_roster`` (no inference pass; same rows and types as the inferred
+    read — see tests/test_jobs.py). ``roster_union`` keeps inference."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CLEAN:
+        _CLEAN[key] = R.clean_roster(raw_union(spark, sf_dir, infer_schema=False))
+    return _CLEAN[key]
 
 
 def roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
