@@ -1,4 +1,4 @@
-"""Reference SQL (DuckDB dialect) for each registered query.
+"""Oracle SQL (DuckDB dialect) for each registered query.
 
 These strings are the correctness oracle: the same question asked of the
 same parquet tables by a different engine. Column names match the Spark

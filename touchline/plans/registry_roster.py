@@ -57,11 +57,14 @@ def draft_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.squad_draft(eligible(spark, sf_dir), disjoint=True)
 
 
-def _with_metrics(fn):
-    from touchline.plans.registry import match_events, metrics
-    if fn is metrics_with_roster:
-        return lambda spark, sf_dir: fn(metrics(spark, sf_dir), clean(spark, sf_dir))
-    return lambda spark, sf_dir: fn(match_events(spark, sf_dir), clean(spark, sf_dir))
+def with_roster_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.plans.registry import metrics
+    return metrics_with_roster(metrics(spark, sf_dir), clean(spark, sf_dir))
+
+
+def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from touchline.plans.registry import match_events
+    return stamina_audit(match_events(spark, sf_dir), clean(spark, sf_dir))
 
 
 ROSTER_QUERIES = {
@@ -75,6 +78,6 @@ ROSTER_QUERIES = {
     "squad_draft_disjoint": draft_disjoint,
     "formation_check": lambda spark, sf_dir: R.formation_check(spark, eligible(spark, sf_dir)),
     "squad_counts": lambda spark, sf_dir: R.squad_counts(draft(spark, sf_dir)),
-    "metrics_with_roster": _with_metrics(metrics_with_roster),
-    "stamina_audit": _with_metrics(stamina_audit),
+    "metrics_with_roster": with_roster_metrics,
+    "stamina_audit": audit,
 }

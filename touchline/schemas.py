@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-# Fixed values that must equal the reference for right results:
+# Fixed values that must equal the original job's for right results:
 # event fields and types, pitch size, zone cuts, cycle length, formation,
 # position groups, eligibility threshold, default for unparsable ints.
 EVENT_FIELDS = [
