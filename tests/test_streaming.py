@@ -95,3 +95,26 @@ def test_processing_time_trigger(spark, tmp_out):
         q.stop()
     latest = latest_from_history(read_history(spark, f"{tmp_out}/h", "p"))
     assert _rows(latest) == _rows(player_metrics(ev))
+
+
+def test_incremental_snapshot_equals_full_merge(spark, tmp_out):
+    from touchline.streaming.sinks import compact_latest, read_latest
+    ev = events_from_table(spark, SF_SMALL)
+    msgs = encode_events(ev).select("value")
+    a, b = msgs.randomSplit([0.5, 0.5], seed=11)
+    a.repartition(3).write.text(f"{tmp_out}/in/p=1")
+    out = f"{tmp_out}/out"
+    history, run = run_replay(spark, f"{tmp_out}/in", out_base=out, run_id="s",
+                              max_files_per_trigger=1, with_bulk=False)
+    n1 = compact_latest(spark, history, f"{out}/snap", run)
+    assert n1 is not None
+    assert compact_latest(spark, history, f"{out}/snap", run) == n1  # idempotent
+    b.repartition(2).write.text(f"{tmp_out}/in/p=2")
+    run_replay(spark, f"{tmp_out}/in", out_base=out, run_id="s", max_files_per_trigger=1,
+               with_bulk=False)
+    want = _rows(player_metrics(ev))
+    assert _rows(read_latest(spark, history, f"{out}/snap", run)) == want
+    assert _rows(latest_from_history(read_history(spark, history, run))) == want
+    n2 = compact_latest(spark, history, f"{out}/snap", run)
+    assert n2 > n1
+    assert _rows(read_latest(spark, history, f"{out}/snap", run)) == want

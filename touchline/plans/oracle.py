@@ -380,4 +380,5 @@ SQL["bulk_ndjson"] = with_metrics(f"""SELECT
 FROM m""")
 
 SQL["stream_metrics"] = SQL["player_metrics"]
+SQL["latest_snapshot"] = SQL["player_metrics"]
 SQL["latest_count"] = with_metrics("SELECT count(*) AS documentos FROM m")

@@ -10,7 +10,8 @@ from touchline.schemas import METRIC_KEYS
 from touchline.session import shared_dir
 from touchline.sources.events import encode_events, events_from_table, read_event_files
 from touchline.streaming.job import run_replay
-from touchline.streaming.sinks import bulk_ndjson, latest_from_history, read_history
+from touchline.streaming.sinks import (bulk_ndjson, compact_latest, latest_from_history,
+                                       read_history, read_latest)
 
 # Injected clock for the registered bulk query, so its output is
 # reproducible; the sink itself stamps processing time.
@@ -62,6 +63,16 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select(*METRIC_KEYS, *METRIC_COLUMNS)
 
 
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compacted latest state: a snapshot of the replayed run, read back
+    merged with any later epochs (the upsert table of the original sink)."""
+    history, run_id = stream_run(spark, sf_dir)
+    snapshots = history.rsplit("/", 1)[0] + "/latest_snapshots"
+    compact_latest(spark, history, snapshots, run_id)
+    latest = read_latest(spark, history, snapshots, run_id)
+    return latest.select(*METRIC_KEYS, *METRIC_COLUMNS)
+
+
 def latest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_latest(spark, sf_dir).agg(F.count(F.lit(1)).alias("documentos"))
 
@@ -86,6 +97,7 @@ STREAM_QUERIES = {
     "events_roundtrip": events_roundtrip,
     "bulk_ndjson": bulk,
     "stream_metrics": stream_latest,
+    "latest_snapshot": latest_snapshot,
     "latest_count": latest_count,
     "metric_evolution": metric_evolution,
 }

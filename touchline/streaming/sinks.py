@@ -6,7 +6,8 @@
   ``key=value``, so readers prune by run and batch.
 * Latest state: merge-on-read over the history, i.e. per metrics key the
   values of the highest batch (``max_by``, a partial hash aggregate).
-  Nothing is rewritten per epoch; ``compact_latest`` materialises it.
+  Nothing is rewritten per epoch; ``compact_latest`` writes a snapshot and
+  ``read_latest`` merges the newest snapshot with later epochs only.
 * Bulk NDJSON: the search-engine bulk encoding (an action line and a
   document line per row), written as text files per epoch; nulls are kept.
 
@@ -97,12 +98,68 @@ def latest_from_history(history: DataFrame, key: Sequence[str] = METRIC_KEYS) ->
     return history.groupBy(*group).agg(*[F.max_by(c, "batch_id").alias(c) for c in values])
 
 
-def compact_latest(spark: SparkSession, history_base: str, out: str, run_id: str | None = None,
-                   key: Sequence[str] = METRIC_KEYS) -> DataFrame:
-    """Materialise the latest state to ``out`` (overwrite) and return it."""
-    latest_from_history(read_history(spark, history_base, run_id), key).write.mode(
-        "overwrite").parquet(out)
-    return spark.read.parquet(out)
+def _snapshot_batches(spark: SparkSession, snapshot_base: str, run_id: str) -> list[int]:
+    """Batch ids of the complete snapshots of a run (folders ``upto=N`` with
+    a ``_SUCCESS`` marker), from a file listing on the driver."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{snapshot_base}/run_id={run_id}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("upto=") and fs.exists(
+                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[len("upto="):]))
+    return sorted(out)
+
+
+def _with_snapshot(spark: SparkSession, history: DataFrame, snapshot_base: str,
+                   run_id: str) -> DataFrame:
+    done = _snapshot_batches(spark, snapshot_base, run_id)
+    if not done:
+        return history
+    n = done[-1]
+    snap = (spark.read.parquet(f"{snapshot_base}/run_id={run_id}/upto={n}")
+            .withColumn("run_id", F.lit(run_id)))
+    return snap.unionByName(history.filter(F.col("batch_id") > n))
+
+
+def read_latest(spark: SparkSession, history_base: str, snapshot_base: str, run_id: str,
+                key: Sequence[str] = METRIC_KEYS) -> DataFrame:
+    """Latest state of a run = newest snapshot (up to batch N) merged with
+    the epochs after N only; the ``batch_id > N`` filter prunes the older
+    epoch folders, so the read does not grow with the whole history."""
+    history = read_history(spark, history_base, run_id)
+    return latest_from_history(_with_snapshot(spark, history, snapshot_base, run_id), key)
+
+
+def compact_latest(spark: SparkSession, history_base: str, snapshot_base: str, run_id: str,
+                   key: Sequence[str] = METRIC_KEYS) -> int | None:
+    """Write a new snapshot of a run's latest state to
+    ``<snapshot_base>/run_id=<R>/upto=<N>`` (N = last batch folded in) and
+    return N. Each row keeps the ``batch_id`` it came from, so a later merge
+    with newer epochs stays correct. A new snapshot is written only to a new
+    folder (N above the newest complete snapshot), so a job never overwrites
+    what it reads; with nothing new it returns the existing N. Epochs
+    committed while it runs are left for the next snapshot."""
+    history = read_history(spark, history_base, run_id)
+    n = history.agg(F.max("batch_id")).first()[0]
+    if n is None:
+        return None
+    done = _snapshot_batches(spark, snapshot_base, run_id)
+    if done and done[-1] >= n:
+        # Nothing new. Never rewrite a snapshot folder: the merge reads it.
+        return int(done[-1])
+    base = _with_snapshot(spark, history.filter(F.col("batch_id") <= n), snapshot_base, run_id)
+    group = ["run_id"] + list(key)
+    values = [c for c in base.columns if c not in group and c != "batch_id"]
+    snap = base.groupBy(*group).agg(*[F.max_by(c, "batch_id").alias(c) for c in values],
+                                    F.max("batch_id").alias("batch_id"))
+    snap.drop("run_id").write.mode("overwrite").parquet(
+        f"{snapshot_base}/run_id={run_id}/upto={n}")
+    return int(n)
 
 
 Sink = Callable[[DataFrame, int], None]
