@@ -118,3 +118,11 @@ def test_incremental_snapshot_equals_full_merge(spark, tmp_out):
     n2 = compact_latest(spark, history, f"{out}/snap", run)
     assert n2 > n1
     assert _rows(read_latest(spark, history, f"{out}/snap", run)) == want
+
+
+def test_write_event_files_roundtrip(spark, tmp_out):
+    from touchline.sources.events import read_event_files, write_event_files
+    ev = events_from_table(spark, SF_SMALL)
+    write_event_files(ev, f"{tmp_out}/ev")
+    back = read_event_files(spark, f"{tmp_out}/ev")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, ev.collect()))

@@ -68,6 +68,24 @@ def encode_events(events: DataFrame, include_tiebreak: bool = True) -> DataFrame
     )
 
 
+def write_event_files(events: DataFrame, path: str) -> None:
+    """Publish events as JSON-lines text files (one message per line), the
+    input of a file-source replay. Partitioning is kept as is: every task
+    writes its own file."""
+    encode_events(events).select("value").write.mode("overwrite").text(path)
+
+
+def publish_to_kafka(events: DataFrame, servers: str, topic: str, **options: str) -> None:
+    """Publish events to a Kafka topic, keyed by match so one match stays in
+    one partition. Needs the spark-sql-kafka package (not available in this
+    environment, so untested here)."""
+    w = (encode_events(events).write.format("kafka")
+         .option("kafka.bootstrap.servers", servers).option("topic", topic))
+    for k, v in options.items():
+        w = w.option(k, v)
+    w.save()
+
+
 def read_event_files(spark: SparkSession, path: str) -> DataFrame:
     """Batch read of JSON-lines event files through the same parser as the
     stream."""
