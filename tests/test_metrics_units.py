@@ -94,3 +94,12 @@ def test_unknown_and_missing_keys(spark):
     msg = json.dumps({"match_id": "m", "player_id": "1", "extra": 5, "x": 40})
     r = parse_events(spark.createDataFrame([(msg,)], TEXT)).collect()[0]
     assert r.x == 40.0 and r.y is None and "extra" not in r.asDict()
+
+
+def test_extreme_timestamps_do_not_fail(spark):
+    rows = [{"timestamp": 1e300, "estamina": 10.0, "event_id": 1},
+            {"timestamp": -1e300, "estamina": 20.0, "event_id": 2},
+            {"timestamp": float("nan"), "estamina": 30.0, "event_id": 3},
+            {"timestamp": 5.0, "estamina": 40.0, "event_id": 4}]
+    r = player_metrics(events_df(spark, rows)).collect()[0]
+    assert r.estamina_actual == 10.0

@@ -49,7 +49,10 @@ def time_order_key(ts="timestamp", tiebreak=None) -> Column:
     for hash aggregation, so ``max_by`` over it stays a HashAggregate
     instead of sorting every map partition."""
     dec = "decimal(38,0)"
-    ms = F.floor(_c(ts) * F.lit(1000.0)).cast(dec)
+    # clamp to +-10^17 ms (about 3 million years) so no input can overflow
+    # the decimal under ANSI mode and fail the job
+    bound = 10 ** 17
+    ms = F.least(F.greatest(F.floor(_c(ts) * F.lit(1000.0)), F.lit(-bound)), F.lit(bound)).cast(dec)
     if tiebreak is None:
         off = F.lit(0).cast(dec)
     else:
