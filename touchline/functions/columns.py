@@ -44,8 +44,9 @@ def pct(num, den, scale: int = 1) -> Column:
 def time_order_key(ts="timestamp", tiebreak=None) -> Column:
     """(event time, tiebreak) packed into one ``decimal(38,0)``:
     floor(ts * 1000) * 10^20 + (tiebreak + 2^63). Ordering by it equals
-    ordering by (ts at millisecond resolution, tiebreak); a null tiebreak
-    sorts first. A single decimal (unlike a struct) is a valid buffer type
+    ordering by (ts at millisecond resolution, tiebreak); a null time or
+    tiebreak counts as the earliest, so an event of unknown time never
+    overrides a known later one. A single decimal (unlike a struct) is a valid buffer type
     for hash aggregation, so ``max_by`` over it stays a HashAggregate
     instead of sorting every map partition."""
     dec = "decimal(38,0)"
