@@ -71,12 +71,20 @@ def team_stamina(m: DataFrame, alert_below: float = 60.0) -> DataFrame:
 
 
 def most_tired(m: DataFrame) -> DataFrame:
-    """Lowest current stamina per match (arg-min, ties by player keys)."""
+    """Lowest current stamina per match (arg-min, ties by player keys).
+
+    The minimum per match is a hash aggregate (one row per match); only the
+    rows that reach it are joined back (AQE broadcasts the per-match side
+    after measuring it) and the string-valued arg-min, which Spark can only
+    sort-aggregate, runs over those few tied rows instead of every row."""
+    known = m.filter(F.col("estamina_actual").isNotNull())
+    lows = known.groupBy("match_id").agg(F.min("estamina_actual").alias("_low"))
+    tied = known.join(lows, (known["match_id"] == lows["match_id"])
+                      & (known["estamina_actual"] == lows["_low"]), "left_semi")
     pick = F.struct("player_id", "player_nombre", "player_equipo", "player_posicion", "estamina_actual")
-    order = F.struct("estamina_actual", "player_id", "player_equipo", "player_nombre", "player_posicion")
-    return (m.filter(F.col("estamina_actual").isNotNull())
-             .groupBy("match_id").agg(F.min_by(pick, order).alias("t"))
-             .select("match_id", "t.*"))
+    order = F.struct("player_id", "player_equipo", "player_nombre", "player_posicion")
+    return (tied.groupBy("match_id").agg(F.min_by(pick, order).alias("t"))
+                .select("match_id", "t.*"))
 
 
 def _zone_sums(m: DataFrame) -> DataFrame:
