@@ -103,3 +103,18 @@ def test_extreme_timestamps_do_not_fail(spark):
             {"timestamp": 5.0, "estamina": 40.0, "event_id": 4}]
     r = player_metrics(events_df(spark, rows)).collect()[0]
     assert r.estamina_actual == 10.0
+
+
+def test_relative_zones_mirror_team_b(spark):
+    rows = [{"player_equipo": "A", "x": 10.0}, {"player_equipo": "B", "x": 10.0, "player_id": "8"}]
+    m = by_key(player_metrics(events_df(spark, rows), relative_zones=True), "player_equipo")
+    assert m[("A",)]["eventos_zona_defensa"] == 1 and m[("B",)]["eventos_zona_ataque"] == 1
+    faithful = by_key(player_metrics(events_df(spark, rows)), "player_equipo")
+    assert faithful[("B",)]["eventos_zona_defensa"] == 1
+
+
+def test_real_pass_efficiency_counts_losses(spark):
+    rows = [{"tipo": "accion", "action": "pase", "is_successful": True, "timestamp": 2.0},
+            {"tipo": "accion", "action": "perdida", "is_successful": False, "timestamp": 4.0}]
+    r = player_metrics(events_df(spark, rows), real_pass=True).collect()[0]
+    assert (r.eficiencia_pase, r.eficiencia_pase_real) == (100.0, 50.0)
