@@ -20,10 +20,19 @@ def roster_csv_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return _CSV_CACHE[key]
 
 
+_RAW: dict[tuple[str, str, bool], DataFrame] = {}
+
+
 def raw_union(spark: SparkSession, sf_dir: str, infer_schema: bool = True) -> DataFrame:
-    men, women = roster_csv_paths(spark, sf_dir)
-    return R.union_rosters(read_roster_csv(spark, men, infer_schema),
-                           read_roster_csv(spark, women, infer_schema))
+    """Men ∪ women raw rosters. Opening a header CSV already runs a small
+    job (and inference a full pass), so the built plan is kept per
+    application; every action still reads the files."""
+    key = (spark.sparkContext.applicationId, sf_dir, infer_schema)
+    if key not in _RAW:
+        men, women = roster_csv_paths(spark, sf_dir)
+        _RAW[key] = R.union_rosters(read_roster_csv(spark, men, infer_schema),
+                                    read_roster_csv(spark, women, infer_schema))
+    return _RAW[key]
 
 
 _CLEAN: dict[tuple[str, str], DataFrame] = {}
