@@ -2,7 +2,6 @@
 driver's smoke entry. Values must be identical (no tolerance)."""
 
 import math
-import os
 
 import duckdb
 import pytest
