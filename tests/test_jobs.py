@@ -33,6 +33,7 @@ def test_stream_job_files_rocksdb_and_roster(spark, tmp_out):
                    available_now=True, roster=f"{tmp_out}/roster")
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        spark.conf.unset("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled")
     latest = latest_from_history(read_history(spark, f"{tmp_out}/out/history", "r9"))
     cols = METRIC_KEYS + METRIC_COLUMNS
     assert (sorted(map(tuple, latest.select(*cols).collect()))
