@@ -118,3 +118,20 @@ def test_real_pass_efficiency_counts_losses(spark):
             {"tipo": "accion", "action": "perdida", "is_successful": False, "timestamp": 4.0}]
     r = player_metrics(events_df(spark, rows), real_pass=True).collect()[0]
     assert (r.eficiencia_pase, r.eficiencia_pase_real) == (100.0, 50.0)
+
+
+def test_time_order_key_orders_like_the_pair(spark):
+    import math
+    import random
+
+    from touchline.functions.columns import time_order_key
+    rnd = random.Random(5)
+    rows = [(rnd.choice([rnd.uniform(-1e6, 1e6), float(rnd.randint(0, 100)), 0.0]),
+             rnd.choice([None, rnd.randint(-2 ** 63, 2 ** 63 - 1), rnd.randint(-5, 5)]))
+            for _ in range(300)]
+    df = spark.createDataFrame(rows, "ts double, tb long")
+    got = [(r.ts, r.tb) for r in df.orderBy(time_order_key("ts", "tb"), "ts", "tb").collect()]
+
+    def pair(r):
+        return (math.floor(r[0] * 1000), -1 if r[1] is None else 0, r[1] or 0)
+    assert [pair(r) for r in got] == sorted(pair(r) for r in got)
