@@ -381,4 +381,5 @@ FROM m""")
 
 SQL["stream_metrics"] = SQL["player_metrics"]
 SQL["latest_snapshot"] = SQL["player_metrics"]
+SQL["stream_metrics_complete"] = SQL["player_metrics"]
 SQL["latest_count"] = with_metrics("SELECT count(*) AS documentos FROM m")
