@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from touchline.operators import quality
 from touchline.operators.metrics import player_metrics
 from touchline.plans import dashboards as D
+from touchline.session import shared_dir
 from touchline.sources.events import events_from_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,8 +39,26 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plan(spark, sf_dir, "metrics", lambda: player_metrics(match_events(spark, sf_dir)))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics table the dashboards read, as in the original system,
+    where panels query the stored metrics (search index / Parquet history),
+    not the raw events. Spark derives it from the events once per
+    application and writes it under the shared folder; each dashboard then
+    reads that Parquet, so a dashboard that uses the metrics twice reads a
+    small table twice instead of aggregating every event twice."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = shared_dir(spark, "metrics")
+        metrics(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def _on_metrics(fn, **kw) -> Query:
-    return lambda spark, sf_dir: fn(metrics(spark, sf_dir), **kw)
+    return lambda spark, sf_dir: fn(stored_metrics(spark, sf_dir), **kw)
 
 
 def _on_events(fn, **kw) -> Query:
