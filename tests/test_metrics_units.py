@@ -135,3 +135,20 @@ def test_time_order_key_orders_like_the_pair(spark):
     def pair(r):
         return (math.floor(r[0] * 1000), -1 if r[1] is None else 0, r[1] or 0)
     assert [pair(r) for r in got] == sorted(pair(r) for r in got)
+
+
+def test_messages_as_the_original_producer_writes_them(spark):
+    # json.dumps(ev, ensure_ascii=False): spaced separators, int timestamp,
+    # non-ASCII names, null action fields, no event_id
+    base = {"match_id": "9f1c", "timestamp": 2, "tipo": "posicion", "player_id": "231747",
+            "player_nombre": "Thomas Müller", "player_equipo": "A", "player_posicion": "CAM",
+            "x": 48.21, "y": 30.5, "speed_jugador": 3.41, "estamina": 99.12, "ball_x": 52.5,
+            "ball_y": 34.0, "ball_speed": 0.0, "action": None, "is_successful": None}
+    later = {**base, "timestamp": 4, "x": 71.0, "estamina": 98.4}
+    act = {**later, "tipo": "accion", "speed_jugador": 0.0, "action": "pase", "is_successful": True}
+    msgs = [json.dumps(m, ensure_ascii=False) for m in (later, act, base)]  # out of order
+    r = player_metrics(parse_events(spark.createDataFrame([(m,) for m in msgs], TEXT))).collect()[0]
+    assert r.player_nombre == "Thomas Müller"
+    assert (r.distancia_m, r.estamina_actual, r.ultima_x) == (13.6, 98.4, 71.0)
+    assert (r.pases_intentados, r.pases_acertados, r.eficiencia_pase) == (1, 1, 100.0)
+    assert (r.eventos_zona_medio, r.eventos_zona_ataque) == (1, 2)
