@@ -362,7 +362,7 @@ EVENT_JSON = """to_json(struct_pack(match_id := match_id, timestamp := timestamp
   estamina := estamina, ball_x := ball_x, ball_y := ball_y, ball_speed := ball_speed,
   action := action, is_successful := is_successful, event_id := event_id))"""
 
-SQL["encode_events"] = f"WITH {EV}\nSELECT match_id AS key, {EVENT_JSON} AS value FROM ev"
+SQL["encode_events"] = f"WITH {EV}\nSELECT match_id AS key, CAST({EVENT_JSON} AS VARCHAR) AS value FROM ev"
 
 SQL["events_roundtrip"] = f"""WITH {EV}
 SELECT match_id, timestamp, tipo, player_id, player_nombre, player_equipo, player_posicion,
