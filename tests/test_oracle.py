@@ -10,6 +10,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 TABLES = ["customer", "supplier", "events"]
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -45,6 +47,9 @@ def test_query_matches_oracle(spark, con, name):
     if sql is None:
         assert len(srows) >= 0
         return
+    rel = con.sql(sql)
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == dtypes
     cur = con.execute(sql)
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
