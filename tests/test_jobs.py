@@ -72,3 +72,24 @@ def test_replay_as_new_match(spark):
     from touchline.sources.events import replay_as
     ev = replay_as(events_from_table(spark, SF_SMALL), "M-new")
     assert [r.match_id for r in player_metrics(ev).select("match_id").distinct().collect()] == ["M-new"]
+
+
+def test_stream_faithful_mode_keeps_null_group(spark, tmp_out):
+    bad = spark.createDataFrame([("not json",), ("{}",)], "value string")
+    good = encode_events(events_from_table(spark, SF_SMALL).limit(20)).select("value")
+    good.union(bad).repartition(1).write.text(f"{tmp_out}/in")
+    stream_job(spark, f"{tmp_out}/out", files=f"{tmp_out}/in", run_id="f",
+               available_now=True, rocksdb=False, faithful=True)
+    h = latest_from_history(read_history(spark, f"{tmp_out}/out/history", "f"))
+    nulls = h.filter(F.col("match_id").isNull()).collect()
+    assert len(nulls) == 1 and nulls[0].eventos_zona_ataque == 2
+
+
+def test_jobs_script_entry_point(tmp_out):
+    import subprocess
+    import sys
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run([sys.executable, os.path.join(root, "touchline", "jobs.py"), "--help"],
+                       capture_output=True, text=True, timeout=60)
+    assert r.returncode == 0 and "roster" in r.stdout and "stream" in r.stdout

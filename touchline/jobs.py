@@ -1,19 +1,27 @@
 """Command-line jobs: the two programs a user submits.
 
-    spark-submit -m touchline.jobs roster  --men M.csv --women W.csv --out players_parquet
-    spark-submit -m touchline.jobs stream  --kafka host:9092 --topic football_events \
-                                           --out /shared/metrics [--run-id R] [--mode update]
-    spark-submit -m touchline.jobs stream  --files /shared/events_json --available-now ...
-
-(or ``python -m touchline.jobs ...``). Both read the cluster's session
+    zip -r touchline.zip touchline          # ship the package to executors
+    spark-submit --py-files touchline.zip touchline/jobs.py roster \
+        --men M.csv --women W.csv --out /shared/players_parquet
+    spark-submit --py-files touchline.zip touchline/jobs.py stream \
+        --kafka host:9092 --topic football_events --out /shared/metrics [--run-id R]
+    spark-submit --py-files touchline.zip touchline/jobs.py stream \
+        --files /shared/events_json --available-now --out /shared/metrics
+
+Locally, ``python -m touchline.jobs ...`` or the ``touchline`` command after
+``pip install .`` does the same. Both read the cluster's session
 configuration; nothing here sets executor sizes or partition counts.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
+if __package__ in (None, ""):  # run as a script: put the package's parent on the path
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators.roster import clean_roster, union_rosters
