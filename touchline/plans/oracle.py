@@ -383,3 +383,27 @@ SQL["stream_metrics"] = SQL["player_metrics"]
 SQL["latest_snapshot"] = SQL["player_metrics"]
 SQL["stream_metrics_complete"] = SQL["player_metrics"]
 SQL["latest_count"] = with_metrics("SELECT count(*) AS documentos FROM m")
+
+# Deterministic-epoch replay: slice i = event_id % 8 is epoch i; a key
+# appears in epoch i when slice i has one of its events, with the metrics
+# of all slices <= i.
+_AGGS = M[M.index("    round(sum(speed_jugador)"):M.index("  FROM zev")]
+SQL["metric_evolution"] = with_events(f""", b AS (SELECT *, event_id % 8 AS bucket FROM zev),
+ep AS (SELECT range AS batch_id FROM range(8)),
+cum AS (SELECT ep.batch_id, b.* FROM ep JOIN b ON b.bucket <= ep.batch_id),
+touched AS (SELECT DISTINCT bucket AS batch_id, match_id, player_id, player_nombre,
+    player_equipo, player_posicion FROM b),
+hist AS (SELECT batch_id, match_id, player_id, player_nombre, player_equipo, player_posicion,
+{_AGGS}  FROM cum
+  GROUP BY batch_id, match_id, player_id, player_nombre, player_equipo, player_posicion),
+h AS (SELECT hist.* FROM hist JOIN touched USING (batch_id, match_id, player_id, player_nombre,
+    player_equipo, player_posicion))
+SELECT match_id, player_id, player_nombre, player_equipo, player_posicion, batch_id, goles,
+  distancia_m, estamina_actual,
+  goles - coalesce(lag(goles) OVER w, 0) AS delta_goles,
+  distancia_m - lag(distancia_m) OVER w AS delta_distancia,
+  estamina_actual - lag(estamina_actual) OVER w AS delta_estamina
+FROM h
+WINDOW w AS (PARTITION BY match_id, player_id, player_nombre, player_equipo, player_posicion
+             ORDER BY batch_id)""")
+
