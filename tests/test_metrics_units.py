@@ -152,3 +152,11 @@ def test_messages_as_the_original_producer_writes_them(spark):
     assert (r.distancia_m, r.estamina_actual, r.ultima_x) == (13.6, 98.4, 71.0)
     assert (r.pases_intentados, r.pases_acertados, r.eficiencia_pase) == (1, 1, 100.0)
     assert (r.eventos_zona_medio, r.eventos_zona_ataque) == (1, 2)
+
+
+def test_published_values_can_be_rounded(spark):
+    from touchline.sources.events import encode_events
+    ev = events_df(spark, [{"x": 48.2149, "estamina": 99.999, "speed_jugador": 1.005}])
+    r = parse_events(encode_events(ev, round_digits=2)).collect()[0]
+    assert (r.x, r.estamina, r.speed_jugador) == (48.21, 100.0, 1.0)
+    assert parse_events(encode_events(ev)).collect()[0].x == 48.2149
