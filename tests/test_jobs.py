@@ -93,3 +93,11 @@ def test_jobs_script_entry_point(tmp_out):
     r = subprocess.run([sys.executable, os.path.join(root, "touchline", "jobs.py"), "--help"],
                        capture_output=True, text=True, timeout=60)
     assert r.returncode == 0 and "roster" in r.stdout and "stream" in r.stdout
+
+
+def test_stream_job_replays_as_new_match(spark, tmp_out):
+    encode_events(events_from_table(spark, SF_SMALL)).select("value").write.text(f"{tmp_out}/in")
+    stream_job(spark, f"{tmp_out}/out", files=f"{tmp_out}/in", run_id="m", available_now=True,
+               rocksdb=False, match_id="replay-1")
+    h = read_history(spark, f"{tmp_out}/out/history", "m")
+    assert [r.match_id for r in h.select("match_id").distinct().collect()] == ["replay-1"]

@@ -64,7 +64,8 @@ def stream_job(spark: SparkSession, out: str, kafka: str | None = None, topic: s
                available_now: bool = False, trigger: str = "10 seconds",
                starting_offsets: str = "latest", rocksdb: bool = True,
                roster: str | None = None, faithful: bool = False,
-               max_offsets_per_trigger: int | None = None) -> None:
+               max_offsets_per_trigger: int | None = None,
+               match_id: str | None = None) -> None:
     if rocksdb:
         use_rocksdb_state(spark)
     run_id = run_id or new_run_id()
@@ -83,7 +84,7 @@ def stream_job(spark: SparkSession, out: str, kafka: str | None = None, topic: s
                                             spark.read.parquet(roster)))
     q = start_metrics_query(raw, f"{out}/checkpoints/{run_id}", sinks, output_mode=mode,
                             processing_time=trigger, available_now=available_now,
-                            faithful=faithful)
+                            faithful=faithful, match_id=match_id)
     queries = [q]
     if not faithful:
         queries.append(start_rejects_query(raw, f"{out}/rejects/run_id={run_id}",
@@ -117,6 +118,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--roster")
     s.add_argument("--faithful", action="store_true")
     s.add_argument("--no-rocksdb", action="store_true")
+    s.add_argument("--match-id", help="replay the messages as this match")
     s.add_argument("--max-offsets-per-trigger", type=int,
                    help="cap records per epoch (Kafka) so a backlog is drained in bounded epochs")
     a = p.parse_args(argv)
@@ -127,7 +129,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         stream_job(spark, a.out, a.kafka, a.topic, a.files, a.run_id, a.mode, a.available_now,
                    a.trigger, a.starting_offsets, not a.no_rocksdb, a.roster, a.faithful,
-                   a.max_offsets_per_trigger)
+                   a.max_offsets_per_trigger, a.match_id)
     return 0
 
 

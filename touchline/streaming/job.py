@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from touchline.operators.metrics import player_metrics
 from touchline.schemas import CYCLE_SECONDS
 from touchline.session import shared_dir
-from touchline.sources.events import parse_events, rejected_messages, split_rejects
+from touchline.sources.events import parse_events, rejected_messages, replay_as, split_rejects
 from touchline.streaming.sinks import MetricsBatchWriter, Sink, bulk_sink, history_sink
 
 
@@ -50,13 +50,17 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
 
 
 def metrics_from_messages(raw: DataFrame, faithful: bool = False,
-                          cycle_seconds: float = CYCLE_SECONDS) -> DataFrame:
+                          cycle_seconds: float = CYCLE_SECONDS,
+                          match_id: str | None = None) -> DataFrame:
     """Raw messages -> player metrics. Default mode leaves out rows with no
     match or player (malformed messages); faithful mode keeps them as the
-    original job does (they form one all-null group)."""
+    original job does (they form one all-null group). ``match_id`` replays
+    recorded messages as a new match."""
     events = parse_events(raw)
     if not faithful:
         events, _ = split_rejects(events)
+    if match_id is not None:
+        events = replay_as(events, match_id)
     return player_metrics(events, cycle_seconds=cycle_seconds)
 
 
@@ -69,13 +73,14 @@ def new_run_id() -> str:
 def start_metrics_query(raw: DataFrame, checkpoint: str, sinks: Sequence[Sink],
                         output_mode: str = "update", processing_time: str | None = "10 seconds",
                         available_now: bool = False, faithful: bool = False,
-                        query_name: str | None = None) -> StreamingQuery:
+                        query_name: str | None = None,
+                        match_id: str | None = None) -> StreamingQuery:
     """Start the stateful metrics query with a ``foreachBatch`` writer.
 
     ``complete`` re-emits every group each epoch (the original); ``update``
     emits only groups changed in the epoch, which the merge-on-read latest
     view turns into the same final state."""
-    metrics = metrics_from_messages(raw, faithful=faithful)
+    metrics = metrics_from_messages(raw, faithful=faithful, match_id=match_id)
     w = (metrics.writeStream.outputMode(output_mode)
          .foreachBatch(MetricsBatchWriter(sinks))
          .option("checkpointLocation", checkpoint))
