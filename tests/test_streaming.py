@@ -137,3 +137,14 @@ def test_replayed_epoch_leaves_bulk_sink_unchanged(spark, tmp_out):
     sink(df, 3)
     again = sorted(r.value for r in spark.read.text(f"{tmp_out}/bulk").collect())
     assert first == again and len(first) == 2 * df.count()
+
+
+def test_kafka_source_without_connector_says_what_to_add(spark):
+    from touchline.streaming.job import kafka_package, kafka_source
+    assert kafka_package(spark).startswith("org.apache.spark:spark-sql-kafka-0-10_2.")
+    try:
+        kafka_source(spark, "localhost:9092", "football_events")
+    except RuntimeError as ex:
+        assert kafka_package(spark) in str(ex)
+    else:  # the connector is present: the source was created
+        pass

@@ -15,6 +15,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,7 +47,20 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
          .option("startingOffsets", starting_offsets))
     for k, v in options.items():
         r = r.option(k, v)
-    return r.load()
+    try:
+        return r.load()
+    except AnalysisException as ex:
+        if "kafka" not in str(ex).lower():
+            raise
+        raise RuntimeError(
+            "the Kafka connector is not on the classpath; submit with --packages "
+            f"{kafka_package(spark)}") from ex
+
+
+def kafka_package(spark: SparkSession) -> str:
+    """Maven coordinate of the Kafka connector matching this Spark build."""
+    scala = spark.sparkContext._jvm.scala.util.Properties.versionNumberString()
+    return f"org.apache.spark:spark-sql-kafka-0-10_{'.'.join(scala.split('.')[:2])}:{spark.version}"
 
 
 def metrics_from_messages(raw: DataFrame, faithful: bool = False,
