@@ -65,9 +65,13 @@ def stream_job(spark: SparkSession, out: str, kafka: str | None = None, topic: s
                starting_offsets: str = "latest", rocksdb: bool = True,
                roster: str | None = None, faithful: bool = False,
                max_offsets_per_trigger: int | None = None,
-               match_id: str | None = None) -> None:
+               match_id: str | None = None, state_partitions: int | None = None) -> None:
     if rocksdb:
         use_rocksdb_state(spark)
+    if state_partitions:
+        # The number of state partitions is the shuffle partition count at the
+        # query's first start; the checkpoint keeps it for every restart.
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     run_id = run_id or new_run_id()
     if kafka:
         opts = ({"maxOffsetsPerTrigger": str(max_offsets_per_trigger)}
@@ -119,6 +123,9 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--faithful", action="store_true")
     s.add_argument("--no-rocksdb", action="store_true")
     s.add_argument("--match-id", help="replay the messages as this match")
+    s.add_argument("--state-partitions", type=int,
+                   help="state store partitions, fixed at the first start of a checkpoint "
+                        "(size so one partition's state fits an executor comfortably)")
     s.add_argument("--max-offsets-per-trigger", type=int,
                    help="cap records per epoch (Kafka) so a backlog is drained in bounded epochs")
     a = p.parse_args(argv)
@@ -129,7 +136,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         stream_job(spark, a.out, a.kafka, a.topic, a.files, a.run_id, a.mode, a.available_now,
                    a.trigger, a.starting_offsets, not a.no_rocksdb, a.roster, a.faithful,
-                   a.max_offsets_per_trigger, a.match_id)
+                   a.max_offsets_per_trigger, a.match_id, a.state_partitions)
     return 0
 
 
