@@ -21,11 +21,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Built plans (not data) are reused within one Spark application: a
 # DataFrame is an immutable plan, and every action still reads the files.
-_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Cache key of a session: DataFrames belong to one session, while files
+    written under the shared folder serve the whole application."""
+    return (spark.sparkContext.applicationId, id(spark))
 
 
 def _plan(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (*session_key(spark), sf_dir, name)
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]

@@ -20,14 +20,14 @@ def roster_csv_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return _CSV_CACHE[key]
 
 
-_RAW: dict[tuple[str, str, bool], DataFrame] = {}
+_RAW: dict[tuple, DataFrame] = {}
 
 
 def raw_union(spark: SparkSession, sf_dir: str, infer_schema: bool = True) -> DataFrame:
     """Men ∪ women raw rosters. Opening a header CSV already runs a small
     job (and inference a full pass), so the built plan is kept per
     application; every action still reads the files."""
-    key = (spark.sparkContext.applicationId, sf_dir, infer_schema)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, infer_schema)
     if key not in _RAW:
         men, women = roster_csv_paths(spark, sf_dir)
         _RAW[key] = R.union_rosters(read_roster_csv(spark, men, infer_schema),
@@ -35,14 +35,14 @@ def raw_union(spark: SparkSession, sf_dir: str, infer_schema: bool = True) -> Da
     return _RAW[key]
 
 
-_CLEAN: dict[tuple[str, str], DataFrame] = {}
+_CLEAN: dict[tuple, DataFrame] = {}
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean roster, read in one pass as text and parsed by
     ``clean_roster`` (no inference pass; same rows and types as the inferred
     read — see tests/test_jobs.py). ``roster_union`` keeps inference."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _CLEAN:
         _CLEAN[key] = R.clean_roster(raw_union(spark, sf_dir, infer_schema=False))
     return _CLEAN[key]
