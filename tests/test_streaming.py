@@ -148,3 +148,12 @@ def test_kafka_source_without_connector_says_what_to_add(spark):
         assert kafka_package(spark) in str(ex)
     else:  # the connector is present: the source was created
         pass
+
+
+def test_replay_state_partitions_do_not_touch_the_caller(spark, tmp_out):
+    from touchline.streaming.job import isolated_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    s = isolated_session(spark, **{"spark.sql.shuffle.partitions": "3"})
+    assert s.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert s.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -121,12 +121,30 @@ def start_rejects_query(raw: DataFrame, path: str, checkpoint: str,
     return w.start()
 
 
+def isolated_session(spark: SparkSession, **conf: str) -> SparkSession:
+    """A new session on the same SparkContext with the caller's runtime SQL
+    settings plus ``conf`` overrides, so a replay can pick its own state
+    partitioning without changing the caller's session."""
+    s = spark.newSession()
+    for k, v in {**spark.conf.getAll, **conf}.items():
+        try:
+            s.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static settings are shared anyway
+            pass
+    return s
+
+
 def run_replay(spark: SparkSession, events_path: str, out_base: str | None = None,
                run_id: str | None = None, output_mode: str = "update",
-               max_files_per_trigger: int | None = 2, with_bulk: bool = True) -> tuple[str, str]:
+               max_files_per_trigger: int | None = 2, with_bulk: bool = True,
+               state_partitions: int | None = None) -> tuple[str, str]:
     """Process every file under ``events_path`` with ``availableNow`` and
     return (history_base, run_id). Calling it again with the same
-    ``out_base`` and ``run_id`` resumes from the checkpoint."""
+    ``out_base`` and ``run_id`` resumes from the checkpoint (which keeps the
+    state partitioning of its first run). ``state_partitions`` runs the
+    query in an isolated session with that many state/shuffle partitions."""
+    if state_partitions:
+        spark = isolated_session(spark, **{"spark.sql.shuffle.partitions": str(state_partitions)})
     out_base = out_base or shared_dir(spark, "stream")
     run_id = run_id or new_run_id()
     history = f"{out_base}/history"
