@@ -157,8 +157,8 @@ def compact_latest(spark: SparkSession, history_base: str, snapshot_base: str, r
     values = [c for c in base.columns if c not in group and c != "batch_id"]
     snap = base.groupBy(*group).agg(*[F.max_by(c, "batch_id").alias(c) for c in values],
                                     F.max("batch_id").alias("batch_id"))
-    snap.drop("run_id").write.mode("overwrite").parquet(
-        f"{snapshot_base}/run_id={run_id}/upto={n}")
+    (snap.drop("run_id").sortWithinPartitions("match_id", "player_equipo")
+         .write.mode("overwrite").parquet(f"{snapshot_base}/run_id={run_id}/upto={n}"))
     return int(n)
 
 
