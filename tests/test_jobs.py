@@ -101,3 +101,18 @@ def test_stream_job_replays_as_new_match(spark, tmp_out):
                rocksdb=False, match_id="replay-1")
     h = read_history(spark, f"{tmp_out}/out/history", "m")
     assert [r.match_id for r in h.select("match_id").distinct().collect()] == ["replay-1"]
+
+
+def test_supervise_stops_siblings_when_one_query_fails(spark, tmp_out):
+    import pytest
+    from touchline.jobs import supervise
+    ok = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+    good = ok.writeStream.format("noop").start()
+
+    def boom(df, epoch_id):
+        raise ValueError("sink down")
+    bad = ok.writeStream.foreachBatch(boom).option(
+        "checkpointLocation", f"{tmp_out}/ckpt").start()
+    with pytest.raises(RuntimeError, match="sink down"):
+        supervise([good, bad], wait_for_all=False)
+    assert not good.isActive and not bad.isActive

@@ -95,10 +95,32 @@ def stream_job(spark: SparkSession, out: str, kafka: str | None = None, topic: s
                                            f"{out}/checkpoints/{run_id}-rejects",
                                            processing_time=trigger, available_now=available_now))
     print(f"run_id={run_id}")
-    for one in queries:
-        one.awaitTermination()
-        if one.exception() is not None:
-            raise RuntimeError(str(one.exception()))
+    supervise(queries, wait_for_all=available_now)
+
+
+def supervise(queries: list, wait_for_all: bool) -> None:
+    """Block until the job ends. ``availableNow`` runs end on their own, so
+    wait for all of them; a continuous job ends only on failure or stop, so
+    the first query to terminate stops the others and its error is raised."""
+    try:
+        if wait_for_all:
+            for q in queries:
+                q.awaitTermination()
+        else:
+            # Poll our own queries: the session-wide awaitAnyTermination also
+            # returns for queries that ended earlier in the same session.
+            while all(q.isActive for q in queries):
+                try:
+                    queries[0].awaitTermination(5)
+                except Exception:  # noqa: BLE001 - reported below with the query's own error
+                    break
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+    failed = [q for q in queries if q.exception() is not None]
+    if failed:
+        raise RuntimeError(str(failed[0].exception()))
 
 
 def main(argv: list[str] | None = None) -> int:
