@@ -166,23 +166,38 @@ Sink = Callable[[DataFrame, int], None]
 
 
 class MetricsBatchWriter:
-    """``foreachBatch`` target running several sinks per epoch."""
+    """``foreachBatch`` target running several sinks per epoch.
 
-    def __init__(self, sinks: Sequence[Sink], storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    The epoch is persisted once and every sink writes from it. The sinks
+    are independent Spark jobs, so they are submitted concurrently (Spark
+    schedules jobs from several threads); every sink runs to the end and
+    the epoch fails afterwards if any of them failed."""
+
+    def __init__(self, sinks: Sequence[Sink], storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+                 concurrent: bool = True):
         self.sinks = list(sinks)
         self.storage_level = storage_level
+        self.concurrent = concurrent
+
+    def _run(self, sink: Sink, df: DataFrame, epoch_id: int) -> Exception | None:
+        try:
+            sink(df, epoch_id)
+            return None
+        except Exception as ex:  # noqa: BLE001 - re-raised by the caller
+            return ex
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
         df = df.persist(self.storage_level)
         try:
             if df.isEmpty():
                 return
-            errors = []
-            for sink in self.sinks:
-                try:
-                    sink(df, epoch_id)
-                except Exception as ex:  # noqa: BLE001 - re-raised below
-                    errors.append(ex)
+            if self.concurrent and len(self.sinks) > 1:
+                from concurrent.futures import ThreadPoolExecutor
+                with ThreadPoolExecutor(max_workers=len(self.sinks)) as pool:
+                    results = list(pool.map(lambda s: self._run(s, df, epoch_id), self.sinks))
+            else:
+                results = [self._run(s, df, epoch_id) for s in self.sinks]
+            errors = [e for e in results if e is not None]
             if errors:
                 raise RuntimeError(f"{len(errors)} sink(s) failed in epoch {epoch_id}") from errors[0]
         finally:
