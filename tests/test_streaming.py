@@ -157,3 +157,14 @@ def test_replay_state_partitions_do_not_touch_the_caller(spark, tmp_out):
     assert s.conf.get("spark.sql.shuffle.partitions") == "3"
     assert s.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_snapshot_edge_cases(spark, tmp_out):
+    from touchline.streaming.sinks import compact_latest, read_latest
+    df = player_metrics(events_from_table(spark, SF_SMALL))
+    # empty history: nothing to compact
+    df.limit(0).write.parquet(f"{tmp_out}/empty/run_id=e/batch_id=0")
+    assert compact_latest(spark, f"{tmp_out}/empty", f"{tmp_out}/snap", "e") is None
+    # no snapshot yet: read_latest is the full merge of the history
+    write_history(df, f"{tmp_out}/h", "r", 0)
+    assert _rows(read_latest(spark, f"{tmp_out}/h", f"{tmp_out}/snap", "r")) == _rows(df)
