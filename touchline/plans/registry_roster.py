@@ -48,8 +48,14 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _CLEAN[key]
 
 
+_ROUNDTRIP: dict[tuple[str, str], str] = {}
+
+
 def roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_dir(spark, "players_parquet")
+    """The batch job's sink: write the clean roster as Parquet (overwrite;
+    the write reads the CSVs, never its own target) and read it back."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _ROUNDTRIP.setdefault(key, shared_dir(spark, "players_parquet"))
     write_roster_parquet(clean(spark, sf_dir), path)
     return spark.read.parquet(path)
 
