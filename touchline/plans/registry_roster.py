@@ -49,6 +49,9 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job's sink: write the clean roster as Parquet and read it
+    back. Each call writes its own folder, so a DataFrame returned earlier
+    never reads files that a later call replaced."""
     path = shared_dir(spark, "players_parquet")
     write_roster_parquet(clean(spark, sf_dir), path)
     return spark.read.parquet(path)
