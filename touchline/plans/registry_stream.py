@@ -97,19 +97,35 @@ EVOLUTION_SLICES = 8
 _EVOLUTION_CACHE: dict[tuple[str, str], tuple[str, str]] = {}
 
 
+def _rename(spark: SparkSession, src: str, dst: str) -> bool:
+    """Atomic directory rename on the shared file system (driver metadata
+    operation); False when ``src`` does not exist."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(a):
+        return False
+    fs.mkdirs(b.getParent())
+    return bool(fs.rename(a, b))
+
+
 def evolution_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """A replay with deterministic epochs: the events are split into
-    EVOLUTION_SLICES slices by event_id (every row is processed); each slice
-    is published as its own files and then taken up by one ``availableNow``
-    run of the same query and checkpoint, so epoch i holds exactly slice i."""
+    """A replay with deterministic epochs. All events are published once,
+    split into EVOLUTION_SLICES folders by event_id (one write, every row
+    kept); then slice i is moved into the watched folder and taken up by one
+    ``availableNow`` run of the same query and checkpoint, so epoch i holds
+    exactly slice i."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _EVOLUTION_CACHE:
+        stage = shared_dir(spark, "evolution-stage")
         src, out = shared_dir(spark, "evolution-in"), shared_dir(spark, "evolution")
-        ev = events_from_table(spark, sf_dir)
+        ev = events_from_table(spark, sf_dir).withColumn(
+            "slice", F.pmod(F.col("event_id"), F.lit(EVOLUTION_SLICES)))
+        (encode_events(ev, keep=("slice",)).select("value", "slice")
+         .write.partitionBy("slice").mode("overwrite").text(stage))
         history, run_id = None, "evolution"
         for i in range(EVOLUTION_SLICES):
-            part = ev.filter(F.pmod(F.col("event_id"), F.lit(EVOLUTION_SLICES)) == i)
-            encode_events(part).select("value").write.mode("overwrite").text(f"{src}/slice{i}")
+            _rename(spark, f"{stage}/slice={i}", f"{src}/slice{i}")
             history, run_id = run_replay(spark, f"{src}/*", out_base=out, run_id=run_id,
                                          max_files_per_trigger=None, with_bulk=False,
                                          state_partitions=state_partitions(spark))

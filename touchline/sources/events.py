@@ -61,20 +61,22 @@ ROUNDED_FIELDS = ["x", "y", "speed_jugador", "estamina", "ball_x", "ball_y", "ba
 
 
 def encode_events(events: DataFrame, include_tiebreak: bool = True,
-                  round_digits: int | None = None) -> DataFrame:
+                  round_digits: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One JSON message per event in column ``value``; null fields are kept
     as JSON nulls like the producer's ``json.dumps``. A ``key`` column
     (match_id) is added so a Kafka sink keeps one match in one partition.
     ``round_digits=2`` rounds the published positions, speeds and stamina
     as the original producer does; ``bround`` is half-even like Python's
     ``round``, but on the decimal value rather than the binary one, so
-    values such as 2.675 can round differently."""
+    values such as 2.675 can round differently. ``keep`` carries extra
+    columns next to the message (e.g. an output partition column)."""
     cols = [F.bround(F.col(c), round_digits).alias(c)
             if round_digits is not None and c in ROUNDED_FIELDS else F.col(c)
             for c in event_columns(include_tiebreak)]
     return events.select(
         F.col("match_id").alias("key"),
         F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"),
+        *keep,
     )
 
 
