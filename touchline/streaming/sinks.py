@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
+from pyspark import InheritableThread, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -192,9 +192,18 @@ class MetricsBatchWriter:
             if df.isEmpty():
                 return
             if self.concurrent and len(self.sinks) > 1:
-                from concurrent.futures import ThreadPoolExecutor
-                with ThreadPoolExecutor(max_workers=len(self.sinks)) as pool:
-                    results = list(pool.map(lambda s: self._run(s, df, epoch_id), self.sinks))
+                # InheritableThread carries the query's Spark job properties
+                # (job group etc.), so stopping the query also cancels these jobs.
+                results: list = [None] * len(self.sinks)
+
+                def work(i: int, sink: Sink) -> None:
+                    results[i] = self._run(sink, df, epoch_id)
+                threads = [InheritableThread(target=work, args=(i, sink))
+                           for i, sink in enumerate(self.sinks)]
+                for t in threads:
+                    t.start()
+                for t in threads:
+                    t.join()
             else:
                 results = [self._run(s, df, epoch_id) for s in self.sinks]
             errors = [e for e in results if e is not None]
