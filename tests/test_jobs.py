@@ -116,3 +116,15 @@ def test_supervise_stops_siblings_when_one_query_fails(spark, tmp_out):
     with pytest.raises(RuntimeError, match="sink down"):
         supervise([good, bad], wait_for_all=False)
     assert not good.isActive and not bad.isActive
+
+
+def test_batch_metrics_job_equals_stream_transformation(spark, tmp_out):
+    from touchline.jobs import metrics_job
+    ev = events_from_table(spark, SF_SMALL)
+    bad = spark.createDataFrame([("not json",)], "value string")
+    encode_events(ev).select("value").union(bad).write.text(f"{tmp_out}/in")
+    metrics_job(spark, f"{tmp_out}/in", f"{tmp_out}/m", rejects=f"{tmp_out}/rej")
+    cols = METRIC_KEYS + METRIC_COLUMNS
+    got = spark.read.parquet(f"{tmp_out}/m").select(*cols)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, player_metrics(ev).select(*cols).collect()))
+    assert spark.read.json(f"{tmp_out}/rej").count() == 1

@@ -8,6 +8,9 @@
     spark-submit --py-files touchline.zip touchline/jobs.py stream \
         --files /shared/events_json --available-now --out /shared/metrics
 
+    spark-submit --py-files touchline.zip touchline/jobs.py metrics \
+        --events /shared/events_json --out /shared/metrics_batch
+
 Locally, ``python -m touchline.jobs ...`` or the ``touchline`` command after
 ``pip install .`` does the same. Both read the cluster's session
 configuration; nothing here sets executor sizes or partition counts.
@@ -39,6 +42,25 @@ def roster_job(spark: SparkSession, men: str, women: str, out: str,
     return write_roster_parquet(clean_roster(raw), out)
 
 
+def metrics_job(spark: SparkSession, events: str, out: str, faithful: bool = False,
+                rejects: str | None = None) -> None:
+    """Batch recomputation of the player metrics from archived JSON-lines
+    event files, with the same transformation as the stream. Output is
+    Parquet clustered by match inside each file; unattributable messages go
+    to ``rejects`` when given."""
+    from touchline.operators.metrics import player_metrics
+    from touchline.sources.events import parse_events, rejected_messages, split_rejects
+
+    raw = spark.read.text(events)
+    parsed = parse_events(raw)
+    if not faithful:
+        parsed, _ = split_rejects(parsed)
+        if rejects:
+            rejected_messages(raw).write.mode("overwrite").json(rejects)
+    (player_metrics(parsed).sortWithinPartitions("match_id", "player_equipo")
+     .write.mode("overwrite").parquet(out))
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep streaming aggregation state off the JVM heap, and commit only a
     changelog per epoch instead of uploading a full snapshot (set before the
@@ -131,6 +153,11 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--women", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--infer-schema", action="store_true")
+    b = sub.add_parser("metrics", help="batch metrics from archived JSON-lines events")
+    b.add_argument("--events", required=True)
+    b.add_argument("--out", required=True)
+    b.add_argument("--rejects")
+    b.add_argument("--faithful", action="store_true")
     s = sub.add_parser("stream")
     s.add_argument("--out", required=True)
     s.add_argument("--kafka")
@@ -155,6 +182,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "roster":
         n = roster_job(spark, a.men, a.women, a.out, a.infer_schema)
         print(f"wrote {n} players to {a.out}")
+    elif a.cmd == "metrics":
+        metrics_job(spark, a.events, a.out, a.faithful, a.rejects)
     else:
         stream_job(spark, a.out, a.kafka, a.topic, a.files, a.run_id, a.mode, a.available_now,
                    a.trigger, a.starting_offsets, not a.no_rocksdb, a.roster, a.faithful,
