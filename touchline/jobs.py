@@ -1,4 +1,5 @@
-"""Command-line jobs: the two programs a user submits.
+"""Command-line jobs: the programs a user submits (roster ETL, streaming
+metrics, batch metrics recompute).
 
     zip -r touchline.zip touchline          # ship the package to executors
     spark-submit --py-files touchline.zip touchline/jobs.py roster \
@@ -7,12 +8,11 @@
         --kafka host:9092 --topic football_events --out /shared/metrics [--run-id R]
     spark-submit --py-files touchline.zip touchline/jobs.py stream \
         --files /shared/events_json --available-now --out /shared/metrics
-
     spark-submit --py-files touchline.zip touchline/jobs.py metrics \
         --events /shared/events_json --out /shared/metrics_batch
 
 Locally, ``python -m touchline.jobs ...`` or the ``touchline`` command after
-``pip install .`` does the same. Both read the cluster's session
+``pip install .`` does the same. All read the cluster's session
 configuration; nothing here sets executor sizes or partition counts.
 """
 
