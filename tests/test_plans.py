@@ -43,3 +43,11 @@ def test_history_reads_prune_and_push_down(spark, tmp_out):
     p = df._jdf.queryExecution().sparkPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in p and "EqualTo(player_equipo,A)" in p
     assert "SortAggregate" not in _plan(latest)
+
+
+def test_no_python_execution_in_any_plan(spark):
+    python_ops = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                  "PythonMapInArrow", "FlatMapCoGroupsInPandas", "AggregateInPandas")
+    for name, fn in E.queries().items():
+        p = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert not any(op in p for op in python_ops), name
