@@ -115,3 +115,14 @@ def test_iso_utc_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == "2024-02-01T00:00:00Z"
+
+
+def test_filtered_kpis_match_and_player_filters(spark):
+    rows = [{"match_id": "m1", "player_id": "1", "player_nombre": "A1", "tipo": "accion",
+             "action": "gol"},
+            {"match_id": "m2", "player_id": "2", "player_nombre": "B2", "tipo": "accion",
+             "action": "tiro"}]
+    m = player_metrics(events_df(spark, rows))
+    one = D.filtered_kpis(m, match="m1").collect()
+    assert [(r.match_id, r.goles, r.total_tiros) for r in one] == [("m1", 1, 0)]
+    assert D.filtered_kpis(m, player="B2").first().total_tiros == 1

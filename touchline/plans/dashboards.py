@@ -36,10 +36,11 @@ def match_kpis(m: DataFrame) -> DataFrame:
 
 
 def filtered_kpis(m: DataFrame, team: str | None = None, position: str | None = None,
-                  player: str | None = None) -> DataFrame:
-    """Dashboard filters; ``None`` is the "All" choice and adds no filter."""
+                  player: str | None = None, match: str | None = None) -> DataFrame:
+    """Dashboard filters; ``None`` is the "All" choice and adds no filter.
+    On a stored table every filter reaches the Parquet scan."""
     for col, v in (("player_equipo", team), ("player_posicion", position),
-                   ("player_nombre", player)):
+                   ("player_nombre", player), ("match_id", match)):
         if v is not None:
             m = m.filter(F.col(col) == v)
     return match_kpis(m)
