@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, decontaminate, langid
+from touchline.llm import bpe, decontaminate, langid, similarity_join
 from touchline.llm.common import table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +33,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", held.alias("held_out")), model).drop("text")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), BPE_FILE)
 
@@ -40,6 +44,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_language_id": op4_language_id,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_bpe": op7_bpe,
 }
 
