@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, decontaminate, langid, similarity_join
-from touchline.llm.common import table
+from touchline.llm import bpe, decontaminate, langid, line_templates, main_text, similarity_join, warc
+from touchline.llm.common import shared_path, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,6 +18,17 @@ def hex_digest(col) -> F.Column:
     return F.sha2(col, 256)
 
 
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", hex_digest(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
@@ -33,6 +44,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", held.alias("held_out")), model).drop("text")
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,8 +57,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_templates": op1_line_templates,
+    "op2_warc": op2_warc,
     "op3_decontaminate": op3_decontaminate,
     "op4_language_id": op4_language_id,
+    "op5_main_text": op5_main_text,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_bpe": op7_bpe,
 }
@@ -51,6 +69,14 @@ QUERIES = {
 _WORDS = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 SQL = {
+    "op1_line_templates": f"""WITH {line_templates.sql()}
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, sha256(coalesce(new_text, '')) AS kept_sha256 FROM kept""",
+    "op2_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY h HAVING count(*) > 1)
+SELECT page_id, CAST(strlen(p.h) AS BIGINT) AS payload_bytes, sha256(p.h) AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.h = f.h""",
     "op3_decontaminate": f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
 b AS (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark WHERE text IS NOT NULL),
