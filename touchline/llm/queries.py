@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, decontaminate, langid, line_templates, main_text, similarity_join, warc
+from touchline.llm import bpe, decontaminate, langid, line_templates, main_text, phrases, repeated_substrings, similarity_join, warc
 from touchline.llm.common import shared_path, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,16 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), BPE_FILE)
 
 
+def op8_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.pairs_with_next(table(spark, sf_dir, "documents"))
+
+
+def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeated_substrings.dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), hex_digest("kept").alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_line_templates": op1_line_templates,
     "op2_warc": op2_warc,
@@ -64,6 +74,8 @@ QUERIES = {
     "op5_main_text": op5_main_text,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_bpe": op7_bpe,
+    "op8_phrase_fingerprints": op8_phrase_fingerprints,
+    "op10_repeated_substrings": op10_repeated_substrings,
 }
 
 _WORDS = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
