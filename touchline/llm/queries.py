@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, decontaminate, langid, line_templates, main_text, phrases, repeated_substrings, similarity_join, warc
+from touchline.llm import bloom_lm, bpe, decontaminate, langid, line_templates, main_text, phrases, repeated_substrings, similarity_join, warc
 from touchline.llm.common import shared_path, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,10 @@ def op8_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.pairs_with_next(table(spark, sf_dir, "documents"))
 
 
+def op9_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeated_substrings.dedup(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["start"])
@@ -75,6 +79,7 @@ QUERIES = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_bpe": op7_bpe,
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
+    "op9_bloom_lm": op9_bloom_lm,
     "op10_repeated_substrings": op10_repeated_substrings,
 }
 
