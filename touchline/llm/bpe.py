@@ -377,3 +377,21 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     out = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return out.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+
+
+def tokenized(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``df`` with token_ids and decodes_back (whether decoding the ids gives
+    the text again); columns of these names are replaced."""
+    shared = _Shared(df.sparkSession, path)
+    out = df.withColumns({"token_ids": F.array().cast("array<int>"), "decodes_back": F.lit(None).cast("boolean")})
+
+    def run(it):
+        codec = _codec(shared)
+        for b in it:
+            texts = b.column(text_col).to_pylist()
+            ids = list(codec.encode(texts))
+            back = [codec.decode(i) == (t or "").encode("utf-8", "surrogatepass") for i, t in zip(ids, texts)]
+            new = {"token_ids": ids, "decodes_back": back}
+            yield pa.RecordBatch.from_arrays([pa.array(new[f.name], f.type) if f.name in new else b.column(f.name) for f in b.schema], schema=b.schema)
+
+    return out.mapInArrow(run, out.schema)

@@ -37,10 +37,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor sees.
 
-    Where that setting is unset (single-machine tests) the session's warehouse
-    folder, the other folder a cluster shares, takes its place.
+    Where that setting is unset, a checkpoint folder that the session was given
+    otherwise takes its place, or else the warehouse, which a cluster shares too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_corpus"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
