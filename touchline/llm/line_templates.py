@@ -25,19 +25,27 @@ from pyspark.sql import functions as F
 from touchline.llm.common import stored
 
 
+def tokens(line) -> F.Column:
+    return F.array_remove(F.split(line, " "), "")
+
+
 def lines_of(docs: DataFrame, lead: int) -> DataFrame:
-    """(id, version, pos, leaf, tokens) of every line with ``lead`` tokens or more."""
-    line = docs.select("id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    masked = F.transform(F.filter(F.split("line", "[ \t\r]+"), lambda x: x != ""), lambda x: F.when(x.rlike("[0-9]"), "<*>").otherwise(x))
-    out = line.where("id is not null").select("id", "version", "pos", masked.alias("tokens")).where(F.size("tokens") >= lead)
-    return out.withColumn("leaf", F.xxhash64(F.size("tokens"), *[F.get("tokens", F.lit(k)) for k in range(lead)]))
+    """(id, version, pos, leaf, line) of every line with ``lead`` tokens or
+    more; blanks are single spaces and variable tokens are masked."""
+    text = F.translate("text", "\t\r", "  ")
+    # a token's part before its first digit is taken whole, so no token is tried twice
+    masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*", "<*>")).otherwise(text)
+    line = docs.where("id is not null").select("id", F.xxhash64("text").alias("version"), F.posexplode(F.split(masked, "\n", -1)).alias("pos", "line"))
+    # generated columns are worked out once, whatever reads them
+    line = line.select("*", F.explode(F.array(tokens("line"))).alias("t")).where(F.size("t") >= lead)
+    return line.select("id", "version", "pos", "line", F.xxhash64(F.size("t"), *[F.get("t", F.lit(k)) for k in range(lead)]).alias("leaf"))
 
 
 def recurring_lines(docs: DataFrame, *, lead: int = 3, similar: float = 0.8, min_docs: int = 3) -> DataFrame:
     """(id, version, drop): the places of the lines that go."""
     lines = lines_of(docs, lead)
     often = lines.groupBy("leaf", "id").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    lines = stored(lines.join(often, "leaf", "left_semi"), "lines")
+    lines = stored(lines.join(often, "leaf", "left_semi"), "lines").withColumn("tokens", tokens("line"))
     total = lines.groupBy("leaf").agg(F.count("*").alias("total"))
     places = lines.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.count("*").alias("k"))
     constant = places.join(total, "leaf").where("2 * k > total").groupBy("leaf").agg(F.collect_list(F.struct("place", "token")).alias("constants"))
