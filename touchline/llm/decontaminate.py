@@ -116,7 +116,7 @@ class Searcher:
         return n_words, np.flatnonzero(first), np.flatnonzero(final), items, s, e, edge
 
 
-def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, shard_bytes: int = 8 << 20, block_bytes: int = 16 << 20, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, shard_bytes: int = 4 << 20, block_bytes: int = 16 << 20, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """``docs`` with n_words, items (sorted ids found) and spans (first byte,
     end byte, first word, end word of each merged hit)."""
     spark = docs.sparkSession

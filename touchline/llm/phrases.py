@@ -37,7 +37,7 @@ from touchline.llm.arrays import U64, mix
 LEVELS = (2, 3)
 TOP = 3
 KEEP = 64
-SLICE = 1 << 20  # bytes parsed at once
+SLICE = 1 << 19  # bytes parsed at once
 _WEIGHT = mix(np.arange(1, 4097, dtype=U64)) | U64(1)
 
 

@@ -40,8 +40,8 @@ from touchline.llm.common import stored
 LENGTH = 100
 GRAM = 32
 WIDTH = LENGTH - GRAM + 1  # places of a string's anchor
-CHUNK = 2 << 20
-FLUSH = 1 << 20
+CHUNK = 1 << 19  # bytes of text worked on at once
+FLUSH = 1 << 18  # runs that a task gathers before it sends them
 _PLACE = U64((1 << 28) - 1)
 NONE = (1 << 63) - 1  # the id that stands for null
 
