@@ -1,6 +1,7 @@
 """Plan properties that matter at scale, checked on the physical plan."""
 
 import __spark_entry__ as E
+from touchline.plans.registry import QUERIES
 from conftest import SF_SMALL
 from touchline.plans import dashboards as D
 from touchline.streaming.sinks import latest_from_history, read_history, write_history
@@ -48,6 +49,6 @@ def test_history_reads_prune_and_push_down(spark, tmp_out):
 def test_no_python_execution_in_any_plan(spark):
     python_ops = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                   "PythonMapInArrow", "FlatMapCoGroupsInPandas", "AggregateInPandas")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         p = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert not any(op in p for op in python_ops), name

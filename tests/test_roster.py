@@ -70,3 +70,15 @@ def test_formation_check(spark):
     got = {r.grupo: (r.disponibles, r.suficiente) for r in
            R.formation_check(spark, R.eligible_players(df)).collect()}
     assert got == {"GK": (1, True), "DEF": (1, False), "MID": (0, False), "FWD": (0, False)}
+
+
+def test_draft_teams_and_seeds_differ(spark):
+    from touchline.operators.roster import squad_draft
+
+    pool = spark.createDataFrame([(f"P{i:03d}", f"n{i}", "CM", g) for g in ("GK", "DEF", "MID", "FWD") for i in range(200)], "id string, nombre string, posicion string, grupo string")
+    draw = lambda **kw: {(r["equipo"], r["grupo"], r["id"]) for r in squad_draft(pool, **kw).collect()}
+    team = lambda s, t: {x[1:] for x in s if x[0] == t}
+    one = draw(seed=42)
+    assert team(one, "A") != team(one, "B") and one != draw(seed=43) and one == draw(seed=42)
+    apart = draw(disjoint=True)
+    assert not team(apart, "A") & team(apart, "B") and len(apart) == 22

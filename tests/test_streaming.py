@@ -168,3 +168,21 @@ def test_snapshot_edge_cases(spark, tmp_out):
     # no snapshot yet: read_latest is the full merge of the history
     write_history(df, f"{tmp_out}/h", "r", 0)
     assert _rows(read_latest(spark, f"{tmp_out}/h", f"{tmp_out}/snap", "r")) == _rows(df)
+
+
+def test_snapshot_waits_for_unfinished_epochs(spark, tmp_out):
+    import os
+
+    from touchline.streaming import sinks
+
+    cols = "match_id string, player_id string, player_nombre string, player_equipo string, player_posicion string, goles long"
+    row = lambda p, g: ("m", p, "n", "A", "CM", g)
+    base, snaps = tmp_out.removeprefix("file://") + "/h", tmp_out.removeprefix("file://") + "/s"
+    sinks.write_history(spark.createDataFrame([row("1", 0), row("2", 0)], cols), base, "r", 0)
+    sinks.write_history(spark.createDataFrame([row("1", 5)], cols), base, "r", 1)
+    marker = f"{sinks.history_path(base, 'r', 1).removeprefix('file:')}/_SUCCESS"
+    os.rename(marker, marker + ".away")
+    assert sinks.compact_latest(spark, base, snaps, "r") == 0
+    sinks.write_history(spark.createDataFrame([row("1", 5), row("2", 7)], cols), base, "r", 1)
+    got = {r["player_id"]: r["goles"] for r in sinks.read_latest(spark, base, snaps, "r").collect()}
+    assert got == {"1": 5, "2": 7} and sinks.compact_latest(spark, base, snaps, "r") == 1

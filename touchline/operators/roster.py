@@ -78,13 +78,9 @@ def _needed(grp: Column) -> Column:
 
 
 def draft_key(seed: int, team: Column, player_id: Column) -> Column:
-    """Seeded pseudo-random order, pure integer arithmetic (reproducible on
-    any engine, no overflow for any bigint id):
-    ((id mod p) * 2654435761 + seed * 40503 + team_code * 97) mod p, p = 2^31 - 1."""
-    p = F.lit(2147483647)
-    team_code = F.when(team == "A", 1).otherwise(2)
-    return F.pmod(F.pmod(player_id, p) * F.lit(2654435761) + F.lit(seed * 40503)
-                  + team_code * 97, p)
+    """Seeded pseudo-random order: md5 of seed, team and id as text, so every
+    team and seed gets an order of its own and any kind of id will do."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), team, player_id.cast("string")))
 
 
 def squad_draft(eligible: DataFrame, seed: int = 42, teams=("A", "B"),

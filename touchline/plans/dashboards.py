@@ -80,7 +80,7 @@ def most_tired(m: DataFrame) -> DataFrame:
     sort-aggregate, runs over those few tied rows instead of every row."""
     known = m.filter(F.col("estamina_actual").isNotNull())
     lows = known.groupBy("match_id").agg(F.min("estamina_actual").alias("_low"))
-    tied = known.join(lows, (known["match_id"] == lows["match_id"])
+    tied = known.join(lows, known["match_id"].eqNullSafe(lows["match_id"])
                       & (known["estamina_actual"] == lows["_low"]), "left_semi")
     pick = F.struct("player_id", "player_nombre", "player_equipo", "player_posicion", "estamina_actual")
     order = F.struct("player_id", "player_equipo", "player_nombre", "player_posicion")
@@ -149,7 +149,8 @@ def fatigue_efficiency(m: DataFrame) -> DataFrame:
         avg_tenths("estamina_actual").alias("estamina_media_equipo"),
     )
     spent = F.lit(100.0) - F.col("estamina_actual")
-    j = m.join(team, ["match_id", "player_equipo"], "inner")
+    team = team.withColumnsRenamed({"match_id": "_match", "player_equipo": "_team"})
+    j = m.join(team, m["match_id"].eqNullSafe(team["_match"]) & m["player_equipo"].eqNullSafe(team["_team"]))
     return j.select(
         *METRIC_KEYS, "distancia_m", "estamina_actual",
         F.when(spent > 0, F.col("distancia_m") / spent).alias("metros_por_punto"),
@@ -203,7 +204,8 @@ def stamina_top5_other(m: DataFrame, k: int = 5) -> DataFrame:
     top_tot = top.groupBy("match_id").agg(
         F.sum(tenths("estamina_actual")).alias("s_top"), F.count(F.lit(1)).alias("n_top"))
     rest_n = F.col("n") - F.col("n_top")
-    other = (totals.join(top_tot, "match_id").filter(rest_n > 0)
+    top_tot = top_tot.withColumnRenamed("match_id", "_match")
+    other = (totals.join(top_tot, totals["match_id"].eqNullSafe(top_tot["_match"])).filter(rest_n > 0)
              .select("match_id", F.lit(k + 1).cast("bigint").alias("puesto"),
                      F.lit("Other").alias("jugador"),
                      ((F.col("s") - F.col("s_top")) / (F.lit(10.0) * rest_n)).alias("estamina")))
@@ -218,8 +220,3 @@ def top_distance(m: DataFrame, k: int = 5) -> DataFrame:
     s = m.groupBy("player_id", "player_nombre").agg(
         avg_tenths("distancia_m").alias("distancia_media"))
     return s.orderBy(F.col("distancia_media").desc_nulls_last(), "player_id", "player_nombre").limit(k)
-
-
-def metrics_table(m: DataFrame) -> DataFrame:
-    """Full metrics table panel (``select *``)."""
-    return m.select("*")

@@ -168,7 +168,7 @@ SELECT m.match_id, m.player_id, m.player_nombre, m.player_equipo, m.player_posic
        THEN distancia_m / (100.0::DOUBLE - estamina_actual) END AS metros_por_punto,
   distancia_media_equipo, estamina_media_equipo,
   distancia_m > distancia_media_equipo AND estamina_actual > estamina_media_equipo AS mejor_fisico
-FROM m JOIN t ON m.match_id = t.match_id AND m.player_equipo = t.player_equipo""")
+FROM m JOIN t ON m.match_id IS NOT DISTINCT FROM t.match_id AND m.player_equipo IS NOT DISTINCT FROM t.player_equipo""")
 
 SQL["stamina_rank"] = with_metrics("""SELECT match_id, player_id, player_nombre, player_equipo,
   player_posicion, estamina_actual,
@@ -285,8 +285,7 @@ NEED_SQL = "CASE grupo WHEN 'GK' THEN 1 WHEN 'DEF' THEN 4 WHEN 'MID' THEN 4 WHEN
 
 
 def draft_key_sql(team: str) -> str:
-    code = f"CASE WHEN {team} = 'A' THEN 1 ELSE 2 END"
-    return f"((id % 2147483647) * 2654435761 + {42 * 40503} + {code} * 97) % 2147483647"
+    return f"md5('42|' || {team} || '|' || CAST(id AS VARCHAR))"
 
 
 DRAFT = f""", t AS (SELECT id, nombre, posicion, grupo, 'A' AS equipo FROM eligible

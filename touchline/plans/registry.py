@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from touchline.operators import quality
 from touchline.operators.metrics import player_metrics
 from touchline.plans import dashboards as D
-from touchline.session import shared_dir
+from touchline.session import input_version, shared_dir
 from touchline.sources.events import events_from_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,7 +31,7 @@ def session_key(spark: SparkSession) -> tuple:
 
 
 def _plan(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    key = (*session_key(spark), sf_dir, name)
+    key = (*session_key(spark), input_version(spark, sf_dir), name)
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]
@@ -55,7 +55,7 @@ def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     application and writes it under the shared folder; each dashboard then
     reads that Parquet, so a dashboard that uses the metrics twice reads a
     small table twice instead of aggregating every event twice."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, input_version(spark, sf_dir))
     if key not in _STORED:
         path = shared_dir(spark, "metrics")
         # clustered by match inside each file: Parquet min/max statistics let

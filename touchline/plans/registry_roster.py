@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators import roster as R
 from touchline.operators.joins import metrics_with_roster, stamina_audit
-from touchline.session import shared_dir
+from touchline.session import input_version, shared_dir
 from touchline.sources.roster import read_roster_csv, write_roster_csvs, write_roster_parquet
 
 _CSV_CACHE: dict[tuple[str, str], tuple[str, str]] = {}
@@ -14,7 +14,7 @@ _CSV_CACHE: dict[tuple[str, str], tuple[str, str]] = {}
 
 def roster_csv_paths(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """The adapter CSVs for ``sf_dir``, written once per Spark application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, input_version(spark, sf_dir))
     if key not in _CSV_CACHE:
         _CSV_CACHE[key] = write_roster_csvs(spark, sf_dir)
     return _CSV_CACHE[key]
@@ -27,7 +27,7 @@ def raw_union(spark: SparkSession, sf_dir: str, infer_schema: bool = True) -> Da
     """Men ∪ women raw rosters. Opening a header CSV already runs a small
     job (and inference a full pass), so the built plan is kept per
     application; every action still reads the files."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, infer_schema)
+    key = (spark.sparkContext.applicationId, id(spark), input_version(spark, sf_dir), infer_schema)
     if key not in _RAW:
         men, women = roster_csv_paths(spark, sf_dir)
         _RAW[key] = R.union_rosters(read_roster_csv(spark, men, infer_schema),
@@ -42,7 +42,7 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean roster, read in one pass as text and parsed by
     ``clean_roster`` (no inference pass; same rows and types as the inferred
     read — see tests/test_jobs.py). ``roster_union`` keeps inference."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), input_version(spark, sf_dir))
     if key not in _CLEAN:
         _CLEAN[key] = R.clean_roster(raw_union(spark, sf_dir, infer_schema=False))
     return _CLEAN[key]

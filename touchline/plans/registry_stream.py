@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.metrics import METRIC_COLUMNS
 from touchline.schemas import METRIC_KEYS
-from touchline.session import shared_dir
+from touchline.session import input_version, shared_dir
 from touchline.sources.events import encode_events, events_from_table, read_event_files
 from touchline.streaming.job import run_replay
 from touchline.streaming.sinks import (bulk_ndjson, compact_latest, latest_from_history,
@@ -24,7 +24,7 @@ _STREAM_CACHE: dict[tuple[str, str, str], tuple[str, str]] = {}
 
 def event_files(spark: SparkSession, sf_dir: str) -> str:
     """Publish the adapter events as JSON-lines files (the replay input)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, input_version(spark, sf_dir))
     if key not in _EVENTS_CACHE:
         path = shared_dir(spark, "events-json")
         msgs = encode_events(events_from_table(spark, sf_dir)).select("value")
@@ -45,7 +45,7 @@ def state_partitions(spark: SparkSession) -> int:
 
 
 def stream_run(spark: SparkSession, sf_dir: str, output_mode: str = "update") -> tuple[str, str]:
-    key = (spark.sparkContext.applicationId, sf_dir, output_mode)
+    key = (spark.sparkContext.applicationId, input_version(spark, sf_dir), output_mode)
     if key not in _STREAM_CACHE:
         _STREAM_CACHE[key] = run_replay(spark, event_files(spark, sf_dir), output_mode=output_mode,
                                         with_bulk=output_mode == "update",
@@ -115,7 +115,7 @@ def evolution_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     kept); then slice i is moved into the watched folder and taken up by one
     ``availableNow`` run of the same query and checkpoint, so epoch i holds
     exactly slice i."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, input_version(spark, sf_dir))
     if key not in _EVOLUTION_CACHE:
         stage = shared_dir(spark, "evolution-stage")
         src, out = shared_dir(spark, "evolution-in"), shared_dir(spark, "evolution")

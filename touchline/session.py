@@ -49,3 +49,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         sc.setCheckpointDir(base)
     base = base.rstrip("/")
     return f"{base}/touchline/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_version(spark: SparkSession, sf_dir: str) -> str:
+    """``sf_dir`` with the names, sizes and modification times of the files
+    in it: what was derived from other files is not used again."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for st in fs.listStatus(root):
+        for f in fs.listStatus(st.getPath()) if st.isDirectory() else [st]:
+            found.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return sf_dir + "|" + ",".join(sorted(found))

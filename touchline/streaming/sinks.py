@@ -72,12 +72,34 @@ def write_history(df: DataFrame, base: str, run_id: str, batch_id: int) -> None:
 
 
 def read_history(spark: SparkSession, base: str, run_id: str | None = None) -> DataFrame:
-    """All epochs (``run_id``/``batch_id`` become columns); one run if given
-    (partition pruning: only that run's folders are listed)."""
-    h = spark.read.option("basePath", base).parquet(base)
-    if run_id is not None:
-        h = h.filter(F.col("run_id") == run_id)
-    return h
+    """All epochs (``run_id``/``batch_id`` become columns); of one run if given,
+    whose folder alone is listed then."""
+    own = f"{base}/run_id={run_id}"
+    listed = own if run_id is not None and _names(spark, own) else base
+    h = spark.read.option("basePath", base).parquet(listed)
+    return h if run_id is None else h.filter(F.col("run_id") == run_id)
+
+
+def _names(spark: SparkSession, folder: str, prefix: str = "", finished: bool = False) -> list[str]:
+    """Names of a folder's subfolders, those with a ``_SUCCESS`` marker if asked."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(path)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)
+            and (not finished or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")))]
+
+
+def _finished_epoch(spark: SparkSession, history_base: str, run_id: str) -> int | None:
+    """The last epoch before any unfinished one: an epoch folder without its
+    marker is still being written, and what comes after it is not final."""
+    folder, prefix = f"{history_base}/run_id={run_id}", "batch_id="
+    every = {int(x[len(prefix):]) for x in _names(spark, folder, prefix)}
+    done = {int(x[len(prefix):]) for x in _names(spark, folder, prefix, finished=True)}
+    below = [n for n in done if n < min(every - done, default=n + 1)]
+    return max(below, default=None)
 
 
 def read_foreign_history(spark: SparkSession, base: str) -> DataFrame:
@@ -101,18 +123,8 @@ def latest_from_history(history: DataFrame, key: Sequence[str] = METRIC_KEYS) ->
 def _snapshot_batches(spark: SparkSession, snapshot_base: str, run_id: str) -> list[int]:
     """Batch ids of the complete snapshots of a run (folders ``upto=N`` with
     a ``_SUCCESS`` marker), from a file listing on the driver."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{snapshot_base}/run_id={run_id}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("upto=") and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[len("upto="):]))
-    return sorted(out)
+    names = _names(spark, f"{snapshot_base}/run_id={run_id}", "upto=", finished=True)
+    return sorted(int(x[len("upto="):]) for x in names)
 
 
 def _with_snapshot(spark: SparkSession, history: DataFrame, snapshot_base: str,
@@ -130,7 +142,7 @@ def read_latest(spark: SparkSession, history_base: str, snapshot_base: str, run_
                 key: Sequence[str] = METRIC_KEYS) -> DataFrame:
     """Latest state of a run = newest snapshot (up to batch N) merged with
     the epochs after N only; the ``batch_id > N`` filter prunes the older
-    epoch folders, so the read does not grow with the whole history."""
+    epoch folders of the run, which are listed but not read."""
     history = read_history(spark, history_base, run_id)
     return latest_from_history(_with_snapshot(spark, history, snapshot_base, run_id), key)
 
@@ -143,9 +155,13 @@ def compact_latest(spark: SparkSession, history_base: str, snapshot_base: str, r
     with newer epochs stays correct. A new snapshot is written only to a new
     folder (N above the newest complete snapshot), so a job never overwrites
     what it reads; with nothing new it returns the existing N. Epochs
-    committed while it runs are left for the next snapshot."""
+    committed while it runs are left for the next snapshot, and so is every
+    epoch from the first unfinished one on."""
+    n = _finished_epoch(spark, history_base, run_id)
+    if n is None:
+        return None
     history = read_history(spark, history_base, run_id)
-    n = history.agg(F.max("batch_id")).first()[0]
+    n = history.filter(F.col("batch_id") <= n).agg(F.max("batch_id")).first()[0]
     if n is None:
         return None
     done = _snapshot_batches(spark, snapshot_base, run_id)
