@@ -30,22 +30,35 @@ def tokens(line) -> F.Column:
 
 
 def lines_of(docs: DataFrame, lead: int) -> DataFrame:
-    """(id, version, pos, leaf, line) of every line with ``lead`` tokens or
-    more; blanks are single spaces and variable tokens are masked."""
-    text = F.translate("text", "\t\r", "  ")
-    # a token's part before its first digit is taken whole, so no token is tried twice
-    masked = F.when(text.rlike("[0-9]"), F.regexp_replace(text, r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*", "<*>")).otherwise(text)
-    line = docs.where("id is not null").select("id", F.xxhash64("text").alias("version"), F.posexplode(F.split(masked, "\n", -1)).alias("pos", "line"))
+    """(id, version, pos, line, leaf) of every line with ``lead`` tokens or
+    more; blanks are single spaces. Only what names the leaf is looked at: the
+    number of blanks and the first tokens, masked."""
+    has = lambda c, x: F.contains(F.col(c), F.lit(x))
+    text = F.when(has("text", "\t") | has("text", "\r"), F.translate("text", "\t\r", "  ")).otherwise(F.col("text"))
+    uneven = has("raw", "  ") | F.startswith("raw", F.lit(" ")) | F.endswith("raw", F.lit(" "))
+    even = F.when(uneven, F.trim(F.regexp_replace("raw", " +", " "))).otherwise(F.col("raw"))
+    line = docs.where("id is not null").select("id", F.xxhash64("text").alias("version"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "raw"))
     # generated columns are worked out once, whatever reads them
-    line = line.select("*", F.explode(F.array(tokens("line"))).alias("t")).where(F.size("t") >= lead)
-    return line.select("id", "version", "pos", "line", F.xxhash64(F.size("t"), *[F.get("t", F.lit(k)) for k in range(lead)]).alias("leaf"))
+    line = line.select("id", "version", "pos", F.explode(F.array(even)).alias("line")).where("line <> ''")
+    line = line.select("*", F.explode(F.array(F.split("line", " ", lead + 1))).alias("head")).where(F.size("head") >= lead)
+    rest = F.get("head", F.lit(lead))
+    more = F.octet_length(rest) - F.octet_length(F.replace(rest, F.lit(" "), F.lit(""))) + 1
+    first = [F.get("head", F.lit(k)) for k in range(lead)]
+    leaf = F.xxhash64(lead + F.coalesce(more, F.lit(0)), *[F.when(t.rlike("[0-9]"), "<*>").otherwise(t) for t in first])
+    return line.select("id", "version", "pos", "line", leaf.alias("leaf"))
+
+
+def masked(line: str) -> F.Column:
+    # a token's part before its first digit is taken whole, so no token is tried twice
+    return F.when(F.col(line).rlike("[0-9]"), F.regexp_replace(line, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", "<*>")).otherwise(F.col(line))
 
 
 def recurring_lines(docs: DataFrame, *, lead: int = 3, similar: float = 0.8, min_docs: int = 3) -> DataFrame:
     """(id, version, drop): the places of the lines that go."""
     lines = lines_of(docs, lead)
     often = lines.groupBy("leaf", "id").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    lines = stored(lines.join(often, "leaf", "left_semi"), "lines").withColumn("tokens", tokens("line"))
+    lines = lines.join(often, "leaf", "left_semi").withColumn("line", masked("line"))
+    lines = stored(lines, "lines").withColumn("tokens", tokens("line"))
     total = lines.groupBy("leaf").agg(F.count("*").alias("total"))
     places = lines.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.count("*").alias("k"))
     constant = places.join(total, "leaf").where("2 * k > total").groupBy("leaf").agg(F.collect_list(F.struct("place", "token")).alias("constants"))
