@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 # fixed value: the split pattern of the published vocabulary
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_FRAGMENTS = 500_000  # parts that a worker's table holds before it is emptied
-SLICE_CHARS = 1 << 21  # characters whose new parts are encoded together
+SLICE_CHARS = 1 << 20  # characters whose new parts are encoded together
 
 
 def byte_letters() -> dict[str, int]:
@@ -163,8 +163,9 @@ class Codec:
                 self.ids = np.concatenate([self.ids[:at], [k], self.ids[self.starts[self.table[k] + 1] :]])
                 self.starts[self.table[k] + 1 :] += 1 - (self.starts[self.table[k] + 1] - at)
 
-    def encode(self, texts: list) -> Iterator[list[int]]:
-        """The ids of each text, worked out in slices of bounded size."""
+    def slices(self, texts: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, edges) of consecutive texts, in slices of bounded size: the
+        ids of a slice's text i are ``ids[edges[i]:edges[i + 1]]``."""
         at = 0
         while at < len(texts):
             size, parts = 0, []
@@ -178,8 +179,13 @@ class Codec:
             place = np.array([find(k) for p in parts for k in p], np.int64)
             lens = starts[place + 1] - starts[place]
             ends = np.concatenate([[0], np.cumsum(lens)])
-            got = ids[np.arange(ends[-1]) + np.repeat(starts[place] - ends[:-1], lens)].tolist()
-            edges = ends[np.cumsum([0, *map(len, parts)])].tolist()
+            got = ids[np.arange(ends[-1]) + np.repeat(starts[place] - ends[:-1], lens)]
+            yield got, ends[np.cumsum([0, *map(len, parts)])]
+
+    def encode(self, texts: list) -> Iterator[list[int]]:
+        """The ids of each text."""
+        for ids, edges in self.slices(texts):
+            got, edges = ids.tolist(), edges.tolist()
             for a, b in zip(edges, edges[1:]):
                 yield got[a:b]
 
@@ -388,10 +394,13 @@ def tokenized(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     def run(it):
         codec = _codec(shared)
         for b in it:
-            texts = b.column(text_col).to_pylist()
-            ids = list(codec.encode(texts))
-            back = [codec.decode(i) == (t or "").encode("utf-8", "surrogatepass") for i, t in zip(ids, texts)]
-            new = {"token_ids": ids, "decodes_back": back}
-            yield pa.RecordBatch.from_arrays([pa.array(new[f.name], f.type) if f.name in new else b.column(f.name) for f in b.schema], schema=b.schema)
+            at = 0
+            for ids, edges in codec.slices(texts := b.column(text_col).to_pylist()):
+                own = texts[at : at + len(edges) - 1]
+                back = [codec.decode(ids[x:y].tolist()) == (t or "").encode("utf-8", "surrogatepass") for x, y, t in zip(edges, edges[1:], own)]
+                new = {"token_ids": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids, pa.int32())), "decodes_back": pa.array(back)}
+                part = b.slice(at, len(own))
+                yield pa.RecordBatch.from_arrays([new[f.name].cast(f.type) if f.name in new else part.column(f.name) for f in b.schema], schema=b.schema)
+                at += len(own)
 
     return out.mapInArrow(run, out.schema)
