@@ -106,6 +106,8 @@ def rolling(values: np.ndarray, k: int) -> np.ndarray:
 
 
 def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with rows; after the last the worker gives free memory back."""
     for b in it:
         if b.num_rows:
             yield b
+    pa.default_memory_pool().release_unused()

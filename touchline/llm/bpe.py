@@ -329,6 +329,14 @@ def _codec(model) -> Codec:
     return _codecs[model.id]
 
 
+def _task(codec: Codec, it) -> Iterator[pa.RecordBatch]:
+    """A task's batches. The table goes with the last one: it holds a task's
+    own parts for the most part, and an idle worker need not keep it."""
+    yield from it
+    codec.forget()
+    pa.default_memory_pool().release_unused()
+
+
 class _Shared:
     """A broadcast with its number, which names the worker's codec."""
 
@@ -347,7 +355,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     def run(it):
         codec = _codec(shared)
-        for b in it:
+        for b in _task(codec, it):
             ids = list(codec.encode(b.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"])
 
@@ -361,7 +369,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
     def run(it):
         codec = _codec(shared)
-        for b in it:
+        for b in _task(codec, it):
             texts = [codec.decode(x or []).decode() for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
@@ -376,7 +384,7 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(it):
         codec = _codec(shared)
-        for b in it:
+        for b in _task(codec, it):
             rows = list(codec.digests(b.column(1).to_pylist()))
             n, ids, dec = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(dec, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -393,7 +401,7 @@ def tokenized(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
 
     def run(it):
         codec = _codec(shared)
-        for b in it:
+        for b in _task(codec, it):
             at = 0
             for ids, edges in codec.slices(texts := b.column(text_col).to_pylist()):
                 own = texts[at : at + len(edges) - 1]
