@@ -29,9 +29,9 @@ def test_union_by_name_and_conflicting_types(spark, tmp_out):
     assert u.filter(F.col("ID") == 3).collect()[0]["Team"] is None
     clean = {r.id: r for r in R.clean_roster(u).collect()}
     # 'fast' is unparsable -> null -> dropped; missing PHY -> dropped
-    assert set(clean) == {1, 2}
-    assert clean[2].velocidad == 81 and clean[1].estamina == 100.0
-    assert clean[1].equipo == "X"
+    assert set(clean) == {"1", "2"}
+    assert clean["2"].velocidad == 81.0 and clean["1"].velocidad == 80.5 and clean["1"].estamina == 100.0
+    assert clean["1"].equipo == "X"
 
 
 def test_eligibility_and_groups(spark):
@@ -82,3 +82,39 @@ def test_draft_teams_and_seeds_differ(spark):
     assert team(one, "A") != team(one, "B") and one != draw(seed=43) and one == draw(seed=42)
     apart = draw(disjoint=True)
     assert not team(apart, "A") & team(apart, "B") and len(apart) == 22
+
+
+def test_cells_are_kept_as_read_and_rejects_say_why(spark):
+    rows = [("P01", "a", "80.7", "75", "85"), ("007", "b", "70", "75", "85.0"),
+            ("3", "c", "fast", "75", "90"), ("4", "d", "70", None, "90"), (None, "e", "NaN", "1", "90"),
+            ("5", "f", "5000000000", "75", " 85 ")]
+    raw = (spark.createDataFrame(rows, "ID string, Name string, PAC string, PHY string, OVR string")
+           .withColumns({"PAS": F.lit("1"), "SHO": F.lit("1"), "DEF": F.lit("1"), "Position": F.lit("GK")}))
+    clean = {r.id: r for r in R.clean_roster(raw).collect()}
+    assert set(clean) == {"P01", "007", "5"}
+    assert clean["P01"].velocidad == 80.7 and clean["5"].velocidad == 5e9
+    why = {r.nombre: r.motivos for r in R.roster_rejects(raw).collect()}
+    assert why == {"c": "no_numerico_velocidad", "d": "falta_resistencia",
+                   "e": "falta_id,no_numerico_velocidad"}
+    # the text is parsed as it stands: '85.0' is no integer and counts as 50
+    assert {r.id for r in R.eligible_players(R.clean_roster(raw)).collect()} == {"P01", "5"}
+    play = {r.id: (r.velocidad, r.resistencia) for r in R.play_attributes(raw).collect()}
+    assert play == {"P01": (50, 75), "007": (70, 75), "3": (50, 75), "4": (70, 50), "5": (5000000000, 75)}
+
+
+def test_repeated_ids_do_not_multiply_and_missing_players_are_audited(spark):
+    from touchline.operators.joins import metrics_with_roster, repeated_ids, stamina_audit
+    roster = spark.createDataFrame([("1", "M", 80.0, 70.0, "85"), ("1", "M", 90.0, 70.0, "85")],
+                                   "id string, genero string, velocidad double, resistencia double, media string")
+    keys = "match_id string, player_id string, player_nombre string, player_equipo string, player_posicion string"
+    m = spark.createDataFrame([("m", "1", "n", "A", "GK", 1.0, 1.0, 0), ("m", "2", "n", "A", "GK", 1.0, 1.0, 0)],
+                              keys + ", distancia_m double, estamina_actual double, goles long")
+    got = {r.player_id: r.velocidad for r in metrics_with_roster(m, roster).collect()}
+    assert got == {"1": 80.0, "2": None}
+    assert [tuple(r) for r in repeated_ids(roster).collect()] == [("1", 2)]
+    ev = spark.createDataFrame([("m", p, "A", "posicion", 1.0, 1, 5.0, 99.0) for p in ("1", "2")],
+                               "match_id string, player_id string, player_equipo string, tipo string,"
+                               " timestamp double, event_id long, speed_jugador double, estamina double")
+    audit = {r.player_id: r for r in stamina_audit(ev, roster).collect()}
+    assert audit["1"].en_plantilla and audit["1"].eventos == 1
+    assert not audit["2"].en_plantilla and audit["2"].estamina_modelo_final == 99.25

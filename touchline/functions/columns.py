@@ -77,7 +77,8 @@ def count_where(cond: Column) -> Column:
 
 def safe_int(c, default: int = SAFE_INT_DEFAULT) -> Column:
     """Integer parse with a default: ' 85 ' -> 85, '85.0'/''/'x' -> default."""
-    return F.coalesce(F.trim(_c(c).cast("string")).try_cast("int"), F.lit(default))
+    return F.coalesce(F.trim(_c(c).cast("string")).try_cast("bigint"),
+                      F.lit(default).cast("bigint"))
 
 
 def position_group(pos="posicion") -> Column:

@@ -14,14 +14,23 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import time_order_key
 from touchline.operators.windows import running_sum_in_chunks
-from touchline.schemas import CYCLE_SECONDS, METRIC_KEYS, TIEBREAK_FIELD
+from touchline.schemas import CYCLE_SECONDS, METRIC_KEYS, SAFE_INT_DEFAULT, TIEBREAK_FIELD
 
 ROSTER_ATTRS = ["genero", "velocidad", "resistencia", "media"]
 
 
 def _roster_side(roster: DataFrame, attrs: list[str]) -> DataFrame:
-    # Event ids are text, roster ids numbers: compare as text.
-    return roster.select(F.col("id").cast("string").alias("_rid"), *attrs)
+    """One row per player id, so a join never multiplies rows: of several, the
+    one with the smallest attributes (``repeated_ids`` tells which those are)."""
+    one = (roster.filter(F.col("id").isNotNull()).groupBy(F.col("id").cast("string").alias("_rid"))
+           .agg(F.min(F.struct(*attrs)).alias("_a")))
+    return one.select("_rid", "_a.*")
+
+
+def repeated_ids(roster: DataFrame) -> DataFrame:
+    """Player ids that several roster rows carry, and how many do."""
+    return (roster.filter(F.col("id").isNotNull()).groupBy("id")
+            .agg(F.count(F.lit(1)).alias("filas")).filter(F.col("filas") > 1))
 
 
 def metrics_with_roster(metrics: DataFrame, roster: DataFrame,
@@ -39,14 +48,19 @@ def stamina_audit(events: DataFrame, roster: DataFrame, cycle_seconds: float = C
     loss = speed / max(PAC / 10, 0.01) * (1 - PHY / 200) * cycle * 0.5,
     stamina = max(0, 100 - running sum of loss), in micro-units. The running
     sum is chunked
-    by match time so one long group never sits in one task."""
+    by match time so one long group never sits in one task. Every player with
+    position events is audited; one who is missing from the roster counts with
+    50 for both attributes and has ``en_plantilla`` false."""
     r = _roster_side(roster, ["velocidad", "resistencia"])
     pos = events.filter(F.col("tipo") == "posicion")
-    j = pos.join(r, pos["player_id"] == r["_rid"], "inner")
+    j = pos.join(r, pos["player_id"] == r["_rid"], "left").withColumns({
+        "en_plantilla": F.col("_rid").isNotNull(),
+        **{c: F.coalesce(F.col(c).cast("double"), F.lit(float(SAFE_INT_DEFAULT)))
+           for c in ("velocidad", "resistencia")}})
     loss = ((F.col("speed_jugador") / F.greatest(F.col("velocidad") / F.lit(10.0), F.lit(0.01)))
             * (F.lit(1.0) - F.col("resistencia") / F.lit(200.0))
             * F.lit(float(cycle_seconds)) * F.lit(0.5))
-    keys = ["match_id", "player_id", "player_equipo"]
+    keys = ["match_id", "player_id", "player_equipo", "en_plantilla"]
     tb = TIEBREAK_FIELD if TIEBREAK_FIELD in events.columns else None
     order = ["timestamp"] + ([tb] if tb else [])
     # Loss in exact integer micro-units: integer sums are associative, so the

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from touchline.functions.columns import count_where, position_group, safe_int
 from touchline.schemas import FORMATION, OVR_MIN, ROSTER_COLUMNS, ROSTER_REQUIRED
 
-_TEXT_COLUMNS = {"nombre", "genero", "posicion", "equipo"}
+_NUMBER_COLUMNS = {"velocidad", "pase", "tiro", "resistencia", "defensa"}
 
 
 def union_rosters(men: DataFrame, women: DataFrame) -> DataFrame:
@@ -28,26 +28,46 @@ def union_rosters(men: DataFrame, women: DataFrame) -> DataFrame:
     return align(men).unionByName(align(women), allowMissingColumns=True)
 
 
-def _number(c: Column, kind: str) -> Column:
-    """Text or number -> int/bigint; unparsable -> null. Integral decimals
-    such as '85.0' are accepted, like a column inferred as double."""
-    as_double = c.cast("string").try_cast("double")
-    return F.coalesce(c.cast("string").try_cast(kind), as_double.try_cast(kind))
+def _cells(raw: DataFrame) -> DataFrame:
+    """The 11 used columns under their new names, every cell as text."""
+    return raw.select(*[(F.col(src) if src in raw.columns else F.lit(None)).cast("string").alias(dst)
+                        for src, dst in ROSTER_COLUMNS.items()])
+
+
+def _reasons() -> Column:
+    """Why a row of cells has no place in the clean roster; empty if it has."""
+    out = []
+    for c in ROSTER_REQUIRED:
+        out.append(F.when(F.col(c).isNull(), f"falta_{c}"))
+        if c in _NUMBER_COLUMNS:
+            number = F.col(c).try_cast("double")
+            out.append(F.when(F.col(c).isNotNull() & (number.isNull() | F.isnan(number)),
+                              f"no_numerico_{c}"))
+    return F.concat_ws(",", *out)
 
 
 def clean_roster(raw: DataFrame) -> DataFrame:
     """Select and rename the 11 used columns, add ``estamina`` = 100.0 and
-    drop players missing any key statistic. Output types are fixed (id
-    bigint, statistics int) whatever the CSV inference produced."""
-    cols = []
-    for src, dst in ROSTER_COLUMNS.items():
-        c = F.col(src) if src in raw.columns else F.lit(None)
-        if dst in _TEXT_COLUMNS:
-            cols.append(c.cast("string").alias(dst))
-        else:
-            cols.append(_number(c, "bigint" if dst == "id" else "int").alias(dst))
-    out = raw.select(*cols).withColumn("estamina", F.lit(100.0))
-    return out.na.drop(subset=ROSTER_REQUIRED)
+    leave out players without id, name or a key statistic (``roster_rejects``
+    has those, with the reason). Output types are fixed whatever the CSV
+    inference produced: statistics are double, every other cell is kept as
+    read, so ids such as 'P01' and '007' stay themselves and ``media`` keeps
+    the text that eligibility parses."""
+    kept = _cells(raw).filter(_reasons() == "")
+    return kept.select(*[F.col(c).cast("double").alias(c) if c in _NUMBER_COLUMNS else F.col(c)
+                         for c in kept.columns], F.lit(100.0).alias("estamina"))
+
+
+def roster_rejects(raw: DataFrame) -> DataFrame:
+    """The rows that ``clean_roster`` leaves out, cells as read, and why."""
+    return _cells(raw).withColumn("motivos", _reasons()).filter(F.col("motivos") != "")
+
+
+def play_attributes(raw: DataFrame) -> DataFrame:
+    """Pace and strength as the match uses them: of every row with an id, a
+    cell that is no integer counts as 50."""
+    return (raw.select(F.col("ID").cast("string").alias("id"), safe_int("PAC").alias("velocidad"),
+                       safe_int("PHY").alias("resistencia")).filter(F.col("id").isNotNull()))
 
 
 def with_position_group(roster: DataFrame) -> DataFrame:
@@ -56,8 +76,8 @@ def with_position_group(roster: DataFrame) -> DataFrame:
 
 def eligible_players(roster: DataFrame, min_ovr: int = OVR_MIN,
                      gender: str | None = None) -> DataFrame:
-    """Players good enough for a squad (OVR >= 65, unparsable OVR counts as
-    50) whose position belongs to a group."""
+    """Players good enough for a squad (OVR >= 65; the cell as read is parsed,
+    and one that is no integer, '85.0' too, counts as 50) whose position belongs to a group."""
     r = with_position_group(roster)
     if gender is not None:
         r = r.filter(F.col("genero") == gender)
@@ -142,7 +162,7 @@ def safe_int_stats(raw_text: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     out = []
     for src, name in (("PAC", "velocidad"), ("PHY", "resistencia"), ("OVR", "media")):
-        parsed = F.trim(F.col(src)).try_cast("int")
+        parsed = F.trim(F.col(src)).try_cast("bigint")
         out.append(count_where(parsed.isNull()).alias(f"{name}_por_defecto"))
         out.append((F.sum(safe_int(src)) / n).alias(f"{name}_media"))
     return raw_text.groupBy(g.alias("genero")).agg(n.alias("jugadores"), *out)

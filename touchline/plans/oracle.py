@@ -272,14 +272,15 @@ GROUP_SQL = """CASE WHEN trim(posicion) IN ('GK') THEN 'GK'
     WHEN trim(posicion) IN ('ST', 'CF', 'LW', 'RW', 'SS') THEN 'FWD' END"""
 
 CLEAN = f"""clean AS (
-  SELECT "ID"::BIGINT AS id, "Name" AS nombre, "GENDER" AS genero, "PAC" AS velocidad,
-    "PAS" AS pase, "SHO" AS tiro, "PHY" AS resistencia, "DEF" AS defensa,
-    "Position" AS posicion, "OVR" AS media, "Team" AS equipo, 100.0::DOUBLE AS estamina
+  SELECT "ID"::VARCHAR AS id, "Name" AS nombre, "GENDER" AS genero, "PAC"::DOUBLE AS velocidad,
+    "PAS"::DOUBLE AS pase, "SHO"::DOUBLE AS tiro, "PHY"::DOUBLE AS resistencia, "DEF"::DOUBLE AS defensa,
+    "Position" AS posicion, "OVR"::VARCHAR AS media, "Team" AS equipo, 100.0::DOUBLE AS estamina
   FROM raw
   WHERE "ID" IS NOT NULL AND "Name" IS NOT NULL AND "PAC" IS NOT NULL AND "PAS" IS NOT NULL
     AND "SHO" IS NOT NULL AND "PHY" IS NOT NULL AND "DEF" IS NOT NULL),
 grouped AS (SELECT *, {GROUP_SQL} AS grupo FROM clean),
-eligible AS (SELECT * FROM grouped WHERE coalesce(media, 50) >= 65 AND grupo IS NOT NULL)"""
+eligible AS (SELECT * FROM grouped WHERE grupo IS NOT NULL
+    AND CASE WHEN regexp_full_match(trim(media), '[+-]?[0-9]+') THEN trim(media)::BIGINT ELSE 50 END >= 65)"""
 
 NEED_SQL = "CASE grupo WHEN 'GK' THEN 1 WHEN 'DEF' THEN 4 WHEN 'MID' THEN 4 WHEN 'FWD' THEN 2 END"
 
@@ -305,6 +306,16 @@ CLEAN_COLS = ("id, nombre, genero, velocidad, pase, tiro, resistencia, defensa,
 
 SQL["roster_union"] = f"WITH {RAW}\nSELECT {RAW_COLS} FROM raw"
 SQL["roster_clean"] = with_roster(f"SELECT {CLEAN_COLS} FROM clean")
+SQL["roster_rejects"] = f"""WITH {RAW}, w AS (
+  SELECT "ID"::VARCHAR AS id, "Name" AS nombre, "GENDER" AS genero, "PAC"::VARCHAR AS velocidad,
+    "PAS"::VARCHAR AS pase, "SHO"::VARCHAR AS tiro, "PHY"::VARCHAR AS resistencia,
+    "DEF"::VARCHAR AS defensa, "Position" AS posicion, "OVR"::VARCHAR AS media, "Team" AS equipo,
+    concat_ws(',', CASE WHEN "ID" IS NULL THEN 'falta_id' END, CASE WHEN "Name" IS NULL THEN 'falta_nombre' END,
+      CASE WHEN "PAC" IS NULL THEN 'falta_velocidad' END, CASE WHEN "PAS" IS NULL THEN 'falta_pase' END,
+      CASE WHEN "SHO" IS NULL THEN 'falta_tiro' END, CASE WHEN "PHY" IS NULL THEN 'falta_resistencia' END,
+      CASE WHEN "DEF" IS NULL THEN 'falta_defensa' END) AS motivos
+  FROM raw)
+SELECT * FROM w WHERE motivos <> ''"""
 SQL["roster_roundtrip"] = SQL["roster_clean"]
 SQL["position_groups"] = with_roster(
     "SELECT genero, grupo, count(*) AS jugadores FROM grouped GROUP BY genero, grupo")
@@ -340,18 +351,22 @@ SELECT m.match_id, m.player_id, m.player_nombre, m.player_equipo, m.player_posic
   m.distancia_m, m.estamina_actual, m.goles, r.genero, r.velocidad, r.resistencia, r.media
 FROM m LEFT JOIN clean r ON m.player_id = CAST(r.id AS VARCHAR)"""
 
-SQL["stamina_audit"] = f"""WITH {EV},\n{RAW},\n{CLEAN},
+SQL["stamina_audit"] = f"""WITH {EV},\n{RAW},
+pr AS (SELECT "ID"::VARCHAR AS id, coalesce("PAC", 50)::DOUBLE AS velocidad, coalesce("PHY", 50)::DOUBLE AS resistencia
+  FROM raw WHERE "ID" IS NOT NULL),
+play AS (SELECT * FROM pr QUALIFY row_number() OVER (PARTITION BY id ORDER BY velocidad, resistencia) = 1),
 a AS (SELECT ev.match_id, ev.player_id, ev.player_equipo, ev.timestamp, ev.event_id, ev.estamina,
-    round((ev.speed_jugador / greatest(r.velocidad / 10.0::DOUBLE, 0.01::DOUBLE))
-      * (1.0::DOUBLE - r.resistencia / 200.0::DOUBLE) * 2.0::DOUBLE * 0.5::DOUBLE * 1e6::DOUBLE)::BIGINT AS perdida_u
-  FROM ev JOIN clean r ON ev.player_id = CAST(r.id AS VARCHAR) WHERE ev.tipo = 'posicion'),
+    r.id IS NOT NULL AS en_plantilla,
+    round((ev.speed_jugador / greatest(coalesce(r.velocidad, 50) / 10.0::DOUBLE, 0.01::DOUBLE))
+      * (1.0::DOUBLE - coalesce(r.resistencia, 50) / 200.0::DOUBLE) * 2.0::DOUBLE * 0.5::DOUBLE * 1e6::DOUBLE)::BIGINT AS perdida_u
+  FROM ev LEFT JOIN play r ON ev.player_id = r.id WHERE ev.tipo = 'posicion'),
 s AS (SELECT *, greatest(0, 100000000 - sum(perdida_u) OVER (
     PARTITION BY match_id, player_id, player_equipo ORDER BY timestamp, event_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT / 1e6::DOUBLE AS modelo FROM a)
-SELECT match_id, player_id, player_equipo, count(*) AS eventos,
+SELECT match_id, player_id, player_equipo, en_plantilla, count(*) AS eventos,
   arg_max(modelo, (timestamp, event_id)) AS estamina_modelo_final,
   max(abs(modelo - estamina)) AS max_desvio
-FROM s GROUP BY match_id, player_id, player_equipo"""
+FROM s GROUP BY match_id, player_id, player_equipo, en_plantilla"""
 
 # --- publication, sinks, stream ---------------------------------------------
 

@@ -76,12 +76,13 @@ def with_roster_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from touchline.plans.registry import match_events
-    return stamina_audit(match_events(spark, sf_dir), clean(spark, sf_dir))
+    return stamina_audit(match_events(spark, sf_dir), R.play_attributes(raw_union(spark, sf_dir, False)))
 
 
 ROSTER_QUERIES = {
     "roster_union": raw_union,
     "roster_clean": clean,
+    "roster_rejects": lambda spark, sf_dir: R.roster_rejects(raw_union(spark, sf_dir, False)),
     "roster_roundtrip": roundtrip,
     "position_groups": lambda spark, sf_dir: R.position_groups(clean(spark, sf_dir)),
     "eligible_players": eligible,
