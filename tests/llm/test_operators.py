@@ -190,6 +190,24 @@ def test_join_finds_every_class(spark):
     assert got == plain_components(texts)
 
 
+def test_round_two_tells_groups_of_copies_apart(spark):
+    """Two groups of one hub with other members; every document came from two
+    tasks under two ids."""
+    ids = [1, 2, 3, 5, 6]
+    rep = {i + 10: i for i in ids}
+
+    def named(df, col):
+        r = spark.createDataFrame(list(rep.items()), "_id long, _rep long")
+        return df.join(r, df[col] == r["_id"], "left").selectExpr(*[f"coalesce(_rep, {c}) AS {c}" if c == col else c for c in df.columns])
+
+    groups = spark.createDataFrame([(1, 1, [2, 3, 11, 12, 13]), (2, 1, [5, 6, 11, 15, 16])], "gid long, hub long, members array<long>")
+    bits = bytes(64)
+    reps = spark.createDataFrame([(i, 20, bits) for i in ids], "id long, n long, bits binary")
+    found = spark.createDataFrame([], "id long, component long")
+    got = {tuple(r) for r in similarity_join._second(groups, reps, found, named, False, 4).collect()}
+    assert {(2, 3), (5, 6)} <= got
+
+
 def test_signatures_of_linked_sets_meet():
     rng = np.random.default_rng(5)
     for n in [*range(1, 40), 100, 300, 1000]:
