@@ -136,6 +136,17 @@ def test_blocks():
     assert main_text.blocks("<p>a<nav>never closed</body>") == (["a"], False)
 
 
+def test_blocks_of_loosely_named_elements():
+    text = lambda page: main_text.blocks(page)[0]
+    assert text("<div id='page' class='has-sidebar no-sidebar'><article><p>A</p><p class='notice'>B <span class='hljs-comment'># c</span></p><section class='related-work'><p>R</p></section></article></div><p>after</p>") == ["A", "B # c", "R"]
+    assert text("<form class='widget'><main><p>A</p></main></form><p>after, and longer than the article</p>") == ["A"]
+    assert text("<div class='sidebar'><article><p>The article, long enough</p></article></div><p>after</p>") == ["The article, long enough"]
+    assert text("<article><p>A</p><div class='comments'><article><p>c1</p></article><article><p>c2</p></article></div><p>B</p></article>") == ["A", "B"]
+    assert text("<p>A</p><div id='comments'><article><p>a long comment</p></article><article><p>c2</p></article></div><p>B</p>") == ["A", "B"]
+    assert text("<article><p>A</p><div class='ad'>never closed</article><p>after</p>") == ["A"]
+    assert text("<section aria-label='Comments on the social budget'><p>A</p></section><section aria-label='Comments'><p>c</p></section>") == ["A"]
+
+
 def test_shared_lines():
     assert main_text.shared([1, 2, 3, 4, 5], [1, 9, 3, 5]) == {0, 2, 4}
     assert main_text.shared([], [1]) == set() and main_text.shared([7, 8], [8, 7]) in ({0}, {1})

@@ -36,65 +36,118 @@ RAW = re.compile(r"<(script|style|noscript|template|textarea|xmp|iframe)\b[^>]*>
 TAG = re.compile(r"<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
-ATTRS = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-# words in class, id or role names that mark what is not the article
-MARKS = frozenset("ad ads advert adverts advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer form menu modal nav navbar navigation newsletter notice notices alert popup promo promotion related share sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary search login signup".split())
+ATTRS = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# whole class tokens, ids, roles and labels that mark what is not the article;
+# doubtful ones (notice, alert, banner, form, menu, search) are left to differencing
+MARKS = frozenset("ad ads advert adverts advertisement breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer modal nav navbar navigation newsletter popup promo promotion related share sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary login signup".split())
+COMMENTS = frozenset("comment comments disqus".split())
+FREE, OWN, OTHER = 0, 1, 2  # where a block is: elsewhere, in article or main, in boilerplate
+
+
+def names(attrs: str) -> set[str]:
+    """The element's class and role tokens, its id and its label."""
+    found: set[str] = set()
+    for m in ATTRS.finditer(attrs):
+        value = (m[2] or m[3] or m[4] or "").lower()
+        found.update([value.strip()] if m[1].lower() == "aria-label" else value.split())
+    return found
 
 
 def boilerplate(name: str, attrs: str, inside: bool) -> bool:
     if name in SKIP or name == "header" and not inside:
         return True
     if "=" in attrs and name not in ("body", "html", "article", "main"):
-        if re.search(r"\bhidden\b(?!\s*=\s*[\"']?false)", ATTRS.sub("", attrs)):
-            return True
-        for m in ATTRS.finditer(attrs):
-            if not MARKS.isdisjoint(re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())):
-                return True
+        return bool(re.search(r"\bhidden\b(?!\s*=\s*[\"']?false)", ATTRS.sub("", attrs))) or not MARKS.isdisjoint(names(attrs))
     return False
 
 
-def blocks(page: str) -> tuple[list[str], bool]:
-    """The page's blocks outside boilerplate, and whether they come from an
-    article or main element (then only those inside one are given)."""
-    page = RAW.sub(" ", page)
-    free: list[str] = []
-    own: list[str] = []
+def _walk(page: str, kept: set[int]) -> tuple[list[tuple[str, int]], dict[int, int]]:
+    """(text, place) of the page's blocks, and the boilerplate elements, by
+    their position, that hold a main element or an article, with the length
+    of its text (without limit for main). Elements in ``kept`` are none."""
+    out: list[tuple[str, int]] = []
     buffer: list[str] = []
-    skip, depth, inside, at = "", 0, 0, 0
+    skip, start, depth, inside, at = "", 0, 0, 0, 0
+    within: list[str] = []  # open article and main elements of a skipped element
+    length, holds, closed = 0, {}, False
 
     def close():
         text = " ".join(html.unescape("".join(buffer)).split())
         buffer.clear()
         if text:
-            (own if inside else free).append(text)
+            out.append((text, OTHER if skip else OWN if inside else FREE))
 
     for m in TAG.finditer(page):
         end, name = m[1], m[2].lower()
-        if not skip and m.start() > at:
+        if m.start() > at:
             buffer.append(page[at : m.start()])
+            if skip and within:
+                length += len(page[at : m.start()].strip())
         at = m.end()
+        if name in BLOCK or name in SKIP:
+            close()
+        elif name == "br":
+            buffer.append(" ")
         if skip:
-            if name == skip:
+            if name in ("article", "main") and not end:
+                if not within:
+                    length = 0
+                within.append(name)
+            elif name in ("article", "main") and name in within:
+                while within.pop() != name:
+                    pass
+                if not within and not closed:
+                    holds[start] = max(holds.get(start, 0), length)
+            elif name == skip:
                 depth += -1 if end else 1
                 if not depth:
+                    close()
                     skip = ""
             elif end and name in ("body", "article", "main"):  # never closed: its parent's end closes it
-                skip, depth = "", 0
                 close()
+                skip, depth = "", 0
                 inside = max(0, inside - (name != "body"))
+            if name == "main" and not end and not closed:
+                holds[start] = 1 << 62
+            if within and not skip:
+                if not closed:
+                    holds[start] = max(holds.get(start, 0), length)
+                within.clear()
             continue
-        if name in BLOCK or name in SKIP:
+        if not end and name not in VOID and not m[0].endswith("/>") and m.start() not in kept and boilerplate(name, m[3], bool(inside)):
             close()
-        elif name == "br":
-            buffer.append(" ")
-        if not end and name not in VOID and not m[0].endswith("/>") and boilerplate(name, m[3], bool(inside)):
-            skip, depth = name, 1
+            skip, start, depth, length = name, m.start(), 1, 0
+            closed = not COMMENTS.isdisjoint(names(m[3])) or name in ("head", "template", "dialog")
         elif name in ("article", "main"):
             inside = max(0, inside + (-1 if end else 1))
-    if not skip:
-        buffer.append(page[at:])
+    buffer.append(page[at:])
     close()
-    return (own, True) if own else (free, False)
+    if skip and within and not closed:
+        holds[start] = max(holds.get(start, 0), length)
+    return out, holds
+
+
+def placed(page: str) -> list[tuple[str, int]]:
+    """The page's blocks and where they are. A boilerplate element, comments
+    apart, that holds the main element, or an article longer than all text
+    outside boilerplate, is a wrapper round the page's article and is none."""
+    page = RAW.sub(" ", page)
+    kept: set[int] = set()
+    while True:
+        found, holds = _walk(page, kept)
+        least = sum(len(x) for x, place in found if place != OTHER)
+        wrapper = {k for k, n in holds.items() if n > least}
+        if not wrapper:
+            return found
+        kept.add(max(wrapper, key=lambda k: (holds[k], -k)))
+
+
+def blocks(page: str) -> tuple[list[str], bool]:
+    """The page's blocks outside boilerplate, and whether they come from an
+    article or main element (then only those inside one are given)."""
+    found = placed(page)
+    own = [x for x, place in found if place == OWN]
+    return (own, True) if own else ([x for x, place in found if place == FREE], False)
 
 
 def mark(block: str) -> int:
