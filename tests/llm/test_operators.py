@@ -161,6 +161,16 @@ def test_main_text_by_neighbours(spark):
     assert got[0]["n_chars"] == 7 and rows(main_text.extract(pages.limit(0))) == []
 
 
+def test_main_text_copies_and_flat_sites(spark, monkeypatch):
+    page = lambda t: f"<div>Site name</div><div>{t}</div><div>Imprint</div>"
+    data = [(i, f"http://flat.example/{i:02}", page(f"Story {i}")) for i in range(10)]  # every page a section of its own
+    data += [(100 + i, f"http://run.example/s/1?again={i}", page("Copied")) for i in range(5)] + [(110, "http://run.example/s/2", page("Other"))]
+    want = {i: f"Story {i}" for i in range(10)} | {100 + i: "Copied" for i in range(5)} | {110: "Other"}
+    monkeypatch.setattr(main_text, "RUN", 3)  # cuts inside hosts
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(5)
+    assert {r["page_id"]: r["text"] for r in rows(main_text.extract(pages))} == want
+
+
 # --- Jaccard join --------------------------------------------------------
 
 

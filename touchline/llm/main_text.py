@@ -1,20 +1,24 @@
 """Main text of web pages by nearest-URL page differencing.
 
-A page is cut into blocks at its block-level tags. Blocks in menus, headers,
-footers, sidebars, notices, adverts, forms, comment sections, scripts and
-styles never count. Blocks inside ``article`` or ``main`` are the author's.
-For pages without such an element, differencing decides: the pages of a host
-are ordered by URL path, each page is paired with its neighbours on either
+A page is cut into blocks at its block-level tags. The pages of a host are
+ordered by URL path, each page is paired with its nearest neighbour on either
 side, the pair's blocks are aligned by longest common subsequence, and the
-shared ones, the site's template, are deleted. Pages with an article element
-keep blocks that neighbours share, since copies of an article share them all.
+shared ones, the site's template, are deleted. What elements and names tell
+is checked after it: blocks in menus, headers, footers, sidebars, adverts,
+forms, comment sections, scripts and styles never count, and on a page with
+text inside ``article`` or ``main`` only that text does.
 
-Only block fingerprints are compared, and only for pages that need it.
+Copies are no neighbours, since they share the article too. Pages of a host
+with equal text blocks are one page, at the first of their paths, and its
+result holds for all. A neighbour with more than half of the blocks of the
+page's article is a copy with changes; the next one on that side takes its
+place, up to ``REACH`` pages away.
+
+Only block fingerprints are compared.
 
 Defined results: a null page has an empty text; null or odd URLs form a host
-of their own; repeated pages (equal blocks) are no template and are skipped as
-neighbours; a page without neighbour keeps its blocks. Other columns are kept
-out of the result.
+of their own; a page without neighbour keeps its blocks. Other columns are
+kept out of the result.
 """
 
 from __future__ import annotations
@@ -41,6 +45,7 @@ ATTRS = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 # doubtful ones (notice, alert, banner, form, menu, search) are left to differencing
 MARKS = frozenset("ad ads advert adverts advertisement breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer modal nav navbar navigation newsletter popup promo promotion related share sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary login signup".split())
 COMMENTS = frozenset("comment comments disqus".split())
+RUN, REACH = 1024, 8  # pages worked on at once, and looked at on either side
 FREE, OWN, OTHER = 0, 1, 2  # where a block is: elsewhere, in article or main, in boilerplate
 
 
@@ -183,47 +188,89 @@ def shared(a: list[int], b: list[int]) -> set[int]:
     return found
 
 
+def normal(url):
+    """A URL without scheme, query and fragment."""
+    return F.regexp_replace(F.coalesce(url, F.lit("")), "^[a-zA-Z]+://|[?#].*$", "")
+
+
+def template(page: dict, others) -> set[int]:
+    """Places of the page's blocks that its neighbour on one side shares, the
+    nearest that is no copy: one that holds more than half of the blocks of
+    the page's article is a copy of it."""
+    own = set(page["places"]) if page["sure"] else set()
+    for other in others:
+        both = shared(page["marks"], other)
+        if 2 * len(own & both) <= len(own):
+            return both
+    return set()
+
+
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), normal(F.col(url_col)).alias("path"), F.col(html_col).alias("html"))
+    own = own.withColumn("host", F.lower(F.substring_index("path", "/", 1)))
     kind = dict(own.dtypes)["id"]
 
-    def cut(it):
+    def cut(page):
+        """(texts, their places among all blocks, all blocks' fingerprints,
+        whether from an article, digest of the texts)."""
+        found = placed(page or "")
+        sure = any(place == OWN for _, place in found)
+        places = [i for i, (_, place) in enumerate(found) if place == (OWN if sure else FREE)]
+        marks = [mark(x) for x, _ in found]
+        key = hashlib.blake2b(np.array([sure, *(marks[i] for i in places)], np.int64).tobytes(), digest_size=16).digest()
+        return [found[i][0] for i in places], places, marks, sure, key
+
+    def lists(it):
         for b in batches(it):
-            got = [blocks(h or "") for h in b.column("html").to_pylist()]
-            sure = pa.array([s for _, s in got])
-            parts = pa.array([p for p, _ in got], pa.list_(pa.string()))
-            marks = pa.array([[] if s else [mark(x) for x in p] for p, s in got], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), parts, marks, sure], names=["id", "url", "blocks", "marks", "sure"])
-
-    cut_pages = own.mapInArrow(cut, f"id {kind}, url string, blocks array<string>, marks array<bigint>, sure boolean")
-    cut_pages = stored(cut_pages, "blocks")
-    open_ = cut_pages.where("not sure and size(marks) > 0")
-    text = lambda parts: F.array_join(parts, "\n")
-    done = cut_pages.where("sure or size(marks) = 0").select("id", "url", text("blocks").alias("text"))
-    rest = _differenced(open_, kind)
-    out = done.unionByName(rest)
-    return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("bigint").alias("n_chars"))
+            _, places, marks, sure, key = zip(*(cut(h) for h in b.column("html").to_pylist()))
+            yield pa.RecordBatch.from_arrays([b.column("host"), b.column("path"), pa.array(key, pa.binary()), pa.array(marks, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32())), pa.array(sure)], names=["host", "path", "key", "marks", "places", "sure"])
 
+    def texts(it):
+        for b in batches(it):
+            parts, _, _, _, key = zip(*(cut(h) for h in b.column("html").to_pylist()))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), b.column("host"), pa.array(key, pa.binary()), pa.array(parts, pa.list_(pa.string()))], names=["id", "url", "host", "key", "blocks"])
+
+    listed = own.select("host", "path", "html").mapInArrow(lists, "host string, path string, key binary, marks array<bigint>, places array<int>, sure boolean")
+    gone = _differenced(listed)
+    # texts are cut again and not stored: they travel once, to this join
+    whole = own.select("id", "url", "host", "html").mapInArrow(texts, f"id {kind}, url string, host string, key binary, blocks array<string>")
+    out = whole.join(gone, ["host", "key"], "left")
+    kept = F.filter("blocks", lambda x, i: ~F.array_contains("gone", i))
+    text = F.array_join(F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(kept), "\n")
+    out = out.select("id", "url", text.alias("text"))
+    return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
-def _differenced(pages: DataFrame, kind: str) -> DataFrame:
-    """Neighbours come from a window over the paths of a host's section (its
-    first path segment), so a large host is spread over its sections. A
-    window row holds fingerprints only."""
-    url = F.regexp_replace(F.coalesce("url", F.lit("")), "^[a-zA-Z]+://|[?#].*$", "")
-    pages = pages.withColumns({"host": F.lower(F.substring_index(url, "/", 1)), "section": F.get(F.split(url, "/"), F.lit(1)), "path": url})
-    order = Window.partitionBy("host", "section").orderBy("path", "id", F.xxhash64("marks"))
-    near = pages.select("*", F.lag("marks").over(order).alias("left"), F.lead("marks").over(order).alias("right"))
 
-    def run(it):
-        for b in batches(it):
-            texts = []
-            for parts, own, left, right in zip(*(b.column(c).to_pylist() for c in ("blocks", "marks", "left", "right"))):
-                gone: set[int] = set()
-                for other in (left, right):
-                    if other is not None and other != own:
-                        gone |= shared(own, other)
-                texts.append("\n".join(p for i, p in enumerate(parts) if i not in gone))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(texts, pa.string())], names=["id", "url", "text"])
-
-    return near.select("id", "url", "blocks", "marks", "left", "right").mapInArrow(run, f"id {kind}, url string, text string")
+def _differenced(listed: DataFrame) -> DataFrame:
+    """(host, key, gone) of the pages that lose blocks; ``gone`` counts among
+    the page's own blocks. Equal pages of a host are one page at their first
+    path. Pages are numbered by host and path over all tasks, and the numbers
+    are dealt out in runs of ``RUN`` with the ``REACH`` pages on either side,
+    so neither a large host nor a large section meets in one task."""
+    one = listed.where("size(places) > 0 and not sure").groupBy("host", "key").agg(F.min(F.struct("path", "marks", "places", "sure")).alias("x")).select("host", "key", "x.*")
+    parts = stored(stored(one, "lists").repartitionByRange("host", "path", "key").withColumn("part", F.spark_partition_id()), "ranges")
+    sizes = sorted((r["part"], r["count"]) for r in parts.groupBy("part").count().collect())
+    before = np.cumsum([0, *(n for _, n in sizes)]).tolist()
+    base = parts.sparkSession.createDataFrame([(p, n) for (p, _), n in zip(sizes, before)], "part int, base long")
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("host", "path", "key"))
+    placed_ = parts.withColumn("r", rank).join(F.broadcast(base), "part").withColumn("n", F.col("base") + F.col("r") - 1)
+    run = lambda n: F.greatest(F.lit(0), F.floor(n / RUN)).cast("bigint")
+    dealt = placed_.select("host", "key", "marks", "places", "sure", "n", F.explode(F.sequence(run(F.col("n") - REACH), run(F.col("n") + REACH))).alias("run"))
+
+    def pairs(key, table):
+        rows = sorted(table.to_pylist(), key=lambda r: r["n"])
+        out = []
+        for at, page in enumerate(rows):
+            if page["n"] // RUN != key[0].as_py():
+                continue
+            left, right = rows[max(0, at - REACH) : at][::-1], rows[at + 1 : at + 1 + REACH]
+            both: set[int] = set()
+            for side in (left, right):
+                both |= template(page, [x["marks"] for x in side if x["host"] == page["host"]])
+            lost = [i for i, place in enumerate(page["places"]) if place in both]
+            if lost:
+                out.append({"host": page["host"], "key": page["key"], "gone": lost})
+        return pa.Table.from_pylist(out, pa.schema({"host": pa.string(), "key": pa.binary(), "gone": pa.list_(pa.int32())}))
+
+    return dealt.groupBy("run").applyInArrow(pairs, "host string, key binary, gone array<int>")
