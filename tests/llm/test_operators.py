@@ -161,11 +161,17 @@ def test_main_text_by_neighbours(spark):
     assert got[0]["n_chars"] == 7 and rows(main_text.extract(pages.limit(0))) == []
 
 
-def test_main_text_copies_and_flat_sites(spark, monkeypatch):
+def test_main_text_copies_and_articles(spark, monkeypatch):
     page = lambda t: f"<div>Site name</div><div>{t}</div><div>Imprint</div>"
+    body = lambda i: "".join(f"<p>Text {i} {k}</p>" for k in range(4))
+    art = lambda i, more="": f"<p>Top {i}</p><article>{body(i)}{more}<p>Share this page</p></article>"
     data = [(i, f"http://flat.example/{i:02}", page(f"Story {i}")) for i in range(10)]  # every page a section of its own
     data += [(100 + i, f"http://run.example/s/1?again={i}", page("Copied")) for i in range(5)] + [(110, "http://run.example/s/2", page("Other"))]
+    data += [(200 + i, f"http://art.example/{i}", art(i)) for i in range(3)]
+    data += [(210, "http://art.example/1b", art(1, "<p>Edited</p>")), (211, "http://art.example/1c", art(1).replace("Top 1", "Top one"))]
     want = {i: f"Story {i}" for i in range(10)} | {100 + i: "Copied" for i in range(5)} | {110: "Other"}
+    text = lambda i: "\n".join(f"Text {i} {k}" for k in range(4))
+    want |= {200 + i: text(i) for i in range(3)} | {210: text(1) + "\nEdited", 211: text(1)}
     monkeypatch.setattr(main_text, "RUN", 3)  # cuts inside hosts
     pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(5)
     assert {r["page_id"]: r["text"] for r in rows(main_text.extract(pages))} == want

@@ -248,7 +248,7 @@ def _differenced(listed: DataFrame) -> DataFrame:
     path. Pages are numbered by host and path over all tasks, and the numbers
     are dealt out in runs of ``RUN`` with the ``REACH`` pages on either side,
     so neither a large host nor a large section meets in one task."""
-    one = listed.where("size(places) > 0 and not sure").groupBy("host", "key").agg(F.min(F.struct("path", "marks", "places", "sure")).alias("x")).select("host", "key", "x.*")
+    one = listed.where("size(places) > 0").groupBy("host", "key").agg(F.min(F.struct("path", "marks", "places", "sure")).alias("x")).select("host", "key", "x.*")
     parts = stored(stored(one, "lists").repartitionByRange("host", "path", "key").withColumn("part", F.spark_partition_id()), "ranges")
     sizes = sorted((r["part"], r["count"]) for r in parts.groupBy("part").count().collect())
     before = np.cumsum([0, *(n for _, n in sizes)]).tolist()
