@@ -19,7 +19,6 @@ from touchline.llm import bpe, decontaminate, langid, line_templates, similarity
 from touchline.llm.common import ship, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_SCORE = 0.1  # a text scores less only if it is hardly like any known language
 
 
 def _as_documents(df: DataFrame) -> DataFrame:
@@ -30,10 +29,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters or of no known language go."""
     ship(spark)
     model = langid.fit(docs)
-    found = langid.predict(docs.select(COLUMNS), model)
+    found = langid.predict(docs.select(COLUMNS), model, known=True)
     if model is None:  # nothing to learn from: only texts without letters go
         return found.where(F.col("text").rlike(r"\p{L}")).select(COLUMNS)
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(COLUMNS)
+    return found.where("known").select(COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

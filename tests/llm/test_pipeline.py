@@ -1,5 +1,7 @@
 """The pipeline's stages on odd rows."""
 
+import random
+
 import corpus_pipeline
 
 
@@ -14,3 +16,18 @@ def test_stages_keep_the_columns(odd, none, spark):
     ids = [r["doc_id"] for r in docs.collect()]
     assert ids.count(1) == 1 and 2 not in ids and 6 not in ids and 7 in ids and None in ids
     assert all(r["decodes_back"] for r in docs.collect())
+
+
+def test_language_id_drops_unknown_languages(prose, spark):
+    rng = random.Random(1)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 8)))
+    text = lambda letters, n: " ".join(word(letters) for _ in range(n))
+    latin, greek = "abcdefghijklmnopqrstuvwxyz", "αβγδεζηθικλμνοπρστυφχψω"
+    strange = [(10**6 + k, text(latin if k % 2 else greek, 50 + 100 * k), None, "s", 0) for k in range(8)]
+    clean = prose.select(corpus_pipeline.COLUMNS)
+    one = clean.where("lang = 'en'").agg({"text": "max"}).first()[0]
+    long = [(2 * 10**6, " ".join(r["text"] for r in clean.where("lang = 'en'").collect()), None, "s", 0), (2 * 10**6 + 1, one * 50, None, "s", 0)]
+    docs = clean.union(spark.createDataFrame(strange + long, clean.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").select("doc_id").collect()}
+    want = {r["doc_id"] for r in clean.where(r"text rlike '\\p{L}'").collect()} | {i for i, *_ in long}
+    assert kept == want

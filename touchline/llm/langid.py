@@ -8,6 +8,14 @@ with a few landmark texts, one-versus-rest kernel ridge regression is solved
 on them, and scoring is two matrix products per batch of texts. n-grams are
 hashed to ``DIM`` columns.
 
+Scores tell languages apart, but add up to about 1 in any text, so they cannot
+tell that a text is in none of them. For that a text's typicality is used: the
+share of a language's fitted texts that hold one of its n-grams, averaged over
+its n-grams, at the likeliest language; texts longer than ``PIECE`` characters
+are averaged over their pieces. The least typicality of a known text is
+measured with the fit: each half of the fitted texts is described by the other
+half, once with all languages and once without its own.
+
 The classifier is fitted on a bounded sample of labelled rows
 (``sample_rows``, drawn evenly from the languages by the smallest hashes of
 the ids); predictions use only the whole text.
@@ -31,6 +39,8 @@ from touchline.llm.arrays import batches
 
 DIM = 8192
 UNKNOWN = "und"
+PIECE = 8192  # characters; longer texts hold ever more rare n-grams
+MEASURED = 16  # fitted texts that a language needs for the least typicality
 _ROWS = 128  # texts of one matrix product
 _CHARS = 1 << 20  # characters of a text looked at in one step
 _letters: np.ndarray | None = None
@@ -78,6 +88,53 @@ def kernel(x: np.ndarray, marks: np.ndarray) -> np.ndarray:
     return (x @ marks.T) / np.sqrt(np.maximum(both, 1))
 
 
+def typical(x: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Typicality of texts (rows of ``x``) in languages (rows of ``held``, the
+    share of fitted texts that hold each n-gram)."""
+    return x @ held.T / np.maximum(x.sum(axis=1, keepdims=True), 1)
+
+
+def shares(x: np.ndarray, y: np.ndarray, langs: list) -> np.ndarray:
+    return np.stack([x[y == g].mean(axis=0) if (y == g).any() else np.zeros(x.shape[1], x.dtype) for g in langs])
+
+
+def least_typical(x: np.ndarray, y: np.ndarray, langs: list) -> float:
+    """The typicality below which a text is in no known language: half way
+    from the languages left out (upper quartile) to known texts (all but a few),
+    or that of the least known text where these two meet."""
+    use = np.isin(y, langs)
+    x, y = x[use], y[use]
+    if not len(y):
+        return 0.0
+    known, unknown = [], []
+    turn = np.zeros(len(y), int)
+    for g in langs:
+        turn[y == g] = np.arange((y == g).sum()) % 2
+    for half in (0, 1):
+        t = typical(x[turn == half], shares(x[turn != half], y[turn != half], langs))
+        own = np.array(langs)[None, :] == y[turn == half][:, None]
+        known.append(t.max(axis=1))
+        unknown.append(np.where(own, 0, t).max(axis=1))
+    known, unknown = np.concatenate(known), np.concatenate(unknown)
+    low, high = np.quantile(known, 0.005), np.quantile(unknown, 0.75)
+    return float((low + high) / 2 if high < low else known.min())
+
+
+def pieces(text: str) -> list[str]:
+    n = -(-len(text) // PIECE)
+    return [text[len(text) * k // n : len(text) * (k + 1) // n] for k in range(n)]
+
+
+def likely(texts: list, x: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Typicality of texts at their likeliest language; ``x`` is their presence."""
+    out = typical(x, held).max(axis=1)
+    for i, text in enumerate(texts):
+        if len(text or "") > PIECE:
+            got = [typical(p[ok], held).max(axis=1) for p, ok in presence(pieces(text))]
+            out[i] = np.concatenate([*got, np.zeros(0)]).mean() if any(map(len, got)) else 0
+    return out
+
+
 def solve(x: np.ndarray, y: np.ndarray, per_lang: int, ridge: float = 1e-2) -> dict:
     """Landmarks (the first rows of every language) and the weights that take
     kernel values with them to one score per language, 1 for the language and
@@ -121,13 +178,18 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         return None
     got = got.sort_values(["r", "lang"])
     x = np.unpackbits(np.stack([np.frombuffer(b, np.uint8) for b in got.bits]), axis=1).astype(np.float32)
-    return solve(x, got.lang.to_numpy(), max(1, landmarks // n))
+    y = got.lang.to_numpy()
+    model = solve(x, y, max(1, landmarks // n))
+    measured = [g for g in model["langs"] if (y == g).sum() >= MEASURED]
+    return model | {"held": shares(x, y, model["langs"]).astype(np.float32), "least": least_typical(x, y, measured), "measured": measured}
 
 
-def predict(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (0 to 1)."""
+def predict(docs: DataFrame, model: dict | None, text_col: str = "text", *, known: bool = False) -> DataFrame:
+    """``docs`` with lang_pred and score (0 to 1), and on demand ``known``:
+    whether the text has letters and is typical of a known language, or is
+    found to be in one with too few fitted texts to tell."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = docs.withColumns({"lang_pred": F.lit(None).cast("string"), "score": F.lit(None).cast("double")})
+    out = docs.withColumns({"lang_pred": F.lit(None).cast("string"), "score": F.lit(None).cast("double")} | ({"known": F.lit(None).cast("boolean")} if known else {}))
 
     def run(it):
         model = shared.value
@@ -135,17 +197,23 @@ def predict(docs: DataFrame, model: dict | None, text_col: str = "text") -> Data
             marks = np.unpackbits(model["marks"], axis=1).astype(np.float32)
             langs = np.array([*model["langs"], UNKNOWN], object)
         for b in batches(it):
-            names, scores = [], []
-            for x, ok in presence(b.column(text_col).to_pylist()):
+            names, scores, sure = [], [], []
+            texts = b.column(text_col).to_pylist()
+            for x, ok in presence(texts):
                 if not model:
+                    sure += [False] * len(ok)
                     names += [UNKNOWN] * len(ok)
                     scores += [0.0] * len(ok)
                     continue
                 f = kernel(x, marks) @ model["weights"] + model["bias"]
                 best = f.argmax(axis=1)
+                if known:
+                    part = texts[len(sure) : len(sure) + len(ok)]
+                    few = ~np.isin(langs[best].astype(str), model["measured"])
+                    sure += (ok & (few | (likely(part, x, model["held"]) >= model["least"]))).tolist()
                 names += langs[np.where(ok, best, len(langs) - 1)].tolist()
                 scores += np.where(ok, np.clip(f[np.arange(len(f)), best], 0, 1), 0.0).tolist()
-            new = {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
+            new = {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())} | ({"known": pa.array(sure, pa.bool_())} if known else {})
             yield pa.RecordBatch.from_arrays([new.get(f.name, b.column(f.name)).cast(f.type) for f in b.schema], schema=b.schema)
 
     return out.mapInArrow(run, out.schema)
