@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from touchline.jobs import roster_job, stream_job
 from touchline.operators.metrics import METRIC_COLUMNS, player_metrics
 from touchline.schemas import METRIC_KEYS

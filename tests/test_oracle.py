@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from touchline.plans.registry import QUERIES
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 TABLES = ["customer", "supplier", "events"]
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",

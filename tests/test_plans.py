@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 from touchline.plans.registry import QUERIES
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from touchline.plans import dashboards as D
 from touchline.streaming.sinks import latest_from_history, read_history, write_history
 

@@ -3,7 +3,7 @@ clean, simulator-shaped cycles (which must report nothing)."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from helpers import events_df
 from touchline.functions.columns import iso_utc
 from touchline.operators import quality

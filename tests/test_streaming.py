@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from touchline.operators.metrics import METRIC_COLUMNS, player_metrics
 from touchline.schemas import METRIC_KEYS
 from touchline.sources.events import encode_events, events_from_table
