@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bloom_lm, bpe, decontaminate, langid, line_templates, main_text, phrases, repeated_substrings, similarity_join, warc
+from touchline.llm import bloom_lm, bpe, decontaminate, langid, line_templates, main_text, phrases, repeated_substrings, sharding, similarity_join, warc
 from touchline.llm.common import shared_path, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,6 +70,11 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), hex_digest("kept").alias("kept_sha256"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.by_bytes(table(spark, sf_dir, "documents"), shards=40)
+    return out.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_line_templates": op1_line_templates,
     "op2_warc": op2_warc,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
     "op9_bloom_lm": op9_bloom_lm,
     "op10_repeated_substrings": op10_repeated_substrings,
+    "op13_sharding": op13_sharding,
 }
 
 _WORDS = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
