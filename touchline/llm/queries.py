@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bloom_lm, bpe, decontaminate, langid, line_templates, main_text, phrases, repeated_substrings, sharding, similarity_join, warc
-from touchline.llm.common import shared_path, table
+from touchline.llm import bloom_lm, bpe, decontaminate, langid, lexical_search, line_templates, main_text, phrases, repeated_substrings, sharding, similarity_join, warc
+from touchline.llm.common import shared_path, stored, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -70,6 +70,11 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), hex_digest("kept").alias("kept_sha256"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = stored(lexical_search.build(table(spark, sf_dir, "documents")), "lexical-index")
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.by_bytes(table(spark, sf_dir, "documents"), shards=40)
     return out.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -86,9 +91,11 @@ QUERIES = {
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
     "op9_bloom_lm": op9_bloom_lm,
     "op10_repeated_substrings": op10_repeated_substrings,
+    "op11_lexical_search": op11_lexical_search,
     "op13_sharding": op13_sharding,
 }
 
+_TERMS = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
 _WORDS = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 SQL = {
@@ -116,5 +123,19 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hw.n_hit, 0)
        CAST(coalesce(it.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(it.ids, '')) AS items_sha256,
        coalesce(hw.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hw ON d.r = hw.r LEFT JOIN it ON d.r = it.r
+""",
+    "op11_lexical_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format('text')} AS w FROM documents WHERE text IS NOT NULL),
+b AS (SELECT row_number() OVER () AS q, item_id, {_TERMS.format('text')} AS w FROM benchmark WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS big_n, sum(len(w))::BIGINT AS big_l FROM d WHERE len(w) > 0),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+t AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS weight FROM t, s),
+m AS (SELECT r, doc_id, 25 + ((75 * len(w) * big_n) // big_l) AS m FROM d, s WHERE len(w) > 0),
+q AS (SELECT q, item_id, term, count(*) AS n FROM (SELECT q, item_id, unnest(w) AS term FROM b) GROUP BY ALL),
+x AS (SELECT q, item_id, r, doc_id, CAST(sum(n * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN wt USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM x WHERE score > 0) WHERE rank <= 10
 """,
 }
