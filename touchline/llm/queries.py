@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bloom_lm, bpe, decontaminate, langid, lexical_search, line_templates, main_text, phrases, repeated_substrings, sharding, similarity_join, warc
+from touchline.llm import bloom_lm, bpe, decontaminate, langid, lexical_search, line_templates, main_text, phrases, repeated_substrings, sharding, similarity_join, turn_trie, warc
 from touchline.llm.common import shared_path, stored, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +75,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(index, table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = stored(turn_trie.turns(table(spark, sf_dir, "conversations")), "conversations")
+    return turn_trie.trie(turn_trie.rebuilt(convs))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.by_bytes(table(spark, sf_dir, "documents"), shards=40)
     return out.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -92,6 +97,7 @@ QUERIES = {
     "op9_bloom_lm": op9_bloom_lm,
     "op10_repeated_substrings": op10_repeated_substrings,
     "op11_lexical_search": op11_lexical_search,
+    "op12_turn_trie": op12_turn_trie,
     "op13_sharding": op13_sharding,
 }
 
@@ -137,5 +143,25 @@ x AS (SELECT q, item_id, r, doc_id, CAST(sum(n * weight * ((1000000000 * tf) //
       FROM q JOIN wt USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY ALL)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM x WHERE score > 0) WHERE rank <= 10
+""",
+    "op12_turn_trie": """
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST, sha256(k)) AS place, {'k': k, 'n': n} AS x
+           FROM (SELECT conv_id, turn, length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '') AS k, length(coalesce(text, '')) AS n
+                 FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, list(x ORDER BY place) AS own FROM t GROUP BY conv_id),
+bits AS (SELECT conv_id, list((ascii(substr(conv_id::VARCHAR, i::INT, 1)) >> j::INT) & 1 ORDER BY i, j) AS b
+         FROM c, unnest(range(1, length(conv_id::VARCHAR) + 1)) AS u(i), unnest(range(0, 8)) AS v(j) GROUP BY conv_id),
+h AS (SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT, b::BIGINT[]), lambda a, z: xor(a >> 1, 3988292384 * (xor(a, z) & 1))), 4294967295) % 6 AS h FROM bits),
+s AS (SELECT c.conv_id, list_concat(coalesce(base.own[1:h], []), c.own[h + 1:]) AS s
+      FROM c JOIN h USING (conv_id) LEFT JOIN c AS base ON base.conv_id = c.conv_id - c.conv_id % 100),
+n AS (SELECT s[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+             coalesce(string_agg(CASE WHEN len(s) = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ends
+      FROM s, unnest(range(0, len(s) + 1)) AS u(d) GROUP BY ALL),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+own AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(p[d].n, 0) AS saved FROM n LEFT JOIN kids USING (p)),
+sub AS (SELECT p[1:k] AS p, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM own, unnest(range(0, d + 1)) AS u(k) GROUP BY ALL)
+SELECT own.conv_id, CAST(d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(own.n_convs AS BIGINT) AS n_convs, CAST(n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM own JOIN sub USING (p) LEFT JOIN (SELECT p, conv_id FROM n) AS up ON d > 0 AND up.p = own.p[1:d - 1]
 """,
 }
