@@ -30,9 +30,12 @@ def test_top_scorers_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(E.queries()["top_scorers"](spark, SF_SMALL))
 
 
-def test_chunked_lag_has_no_join(spark):
-    p = _plan(E.queries()["stamina_monotone"](spark, SF_SMALL))
-    assert "Join" not in p and "Union" in p
+def test_prefix_scan_shuffles_its_narrow_table_once(spark):
+    for name, exchanges in (("stamina_monotone", 1), ("stamina_audit", 2)):  # the audit groups by player after it
+        df = E.queries()[name](spark, SF_SMALL)
+        p = df._jdf.queryExecution().sparkPlan().toString()
+        assert "Join" not in p and p.count("FileScan") == 1 and "touchline/scan-" in p, name
+        assert _plan(df).count("Exchange hashpartitioning") <= exchanges, name
 
 
 def test_history_reads_prune_and_push_down(spark, tmp_out):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import time_order_key
-from touchline.operators.windows import running_sum_in_chunks
+from touchline.operators.windows import RANGE_ROWS, ranged_running_sum
 from touchline.schemas import CYCLE_SECONDS, METRIC_KEYS, SAFE_INT_DEFAULT, TIEBREAK_FIELD
 
 ROSTER_ATTRS = ["genero", "velocidad", "resistencia", "media"]
@@ -42,13 +42,13 @@ def metrics_with_roster(metrics: DataFrame, roster: DataFrame,
 
 
 def stamina_audit(events: DataFrame, roster: DataFrame, cycle_seconds: float = CYCLE_SECONDS,
-                  chunk_seconds: float = 3600.0) -> DataFrame:
+                  range_rows: int = RANGE_ROWS) -> DataFrame:
     """Rebuild each player's stamina from published speeds with the
     simulator's fatigue rule and compare it with the published stamina:
     loss = speed / max(PAC / 10, 0.01) * (1 - PHY / 200) * cycle * 0.5,
     stamina = max(0, 100 - running sum of loss), in micro-units. The running
-    sum is chunked
-    by match time so one long group never sits in one task. Every player with
+    sum is a prefix scan over ranges of rows, so one long group never sits in
+    one task. Every player with
     position events is audited; one who is missing from the roster counts with
     50 for both attributes and has ``en_plantilla`` false."""
     r = _roster_side(roster, ["velocidad", "resistencia"])
@@ -64,10 +64,10 @@ def stamina_audit(events: DataFrame, roster: DataFrame, cycle_seconds: float = C
     tb = TIEBREAK_FIELD if TIEBREAK_FIELD in events.columns else None
     order = ["timestamp"] + ([tb] if tb else [])
     # Loss in exact integer micro-units: integer sums are associative, so the
-    # chunked running sum is exact and equal to any other summation order.
+    # divided running sum is exact and equal to any other summation order.
     loss_u = F.round(loss * F.lit(1e6)).cast("bigint")
     d = j.select(*keys, *order, "estamina", loss_u.alias("perdida_u"))
-    run = running_sum_in_chunks(d, keys, "timestamp", tb, "perdida_u", "_gasto_u", chunk_seconds)
+    run = ranged_running_sum(d, keys, "timestamp", tb, "perdida_u", "_gasto_u", range_rows)
     modelo = F.greatest(F.lit(0), F.lit(100_000_000) - F.col("_gasto_u")) / F.lit(1e6)
     run = run.withColumn("modelo", modelo)
     return run.groupBy(*keys).agg(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import clamp, count_where, dist2
 from touchline.operators.metrics import with_zone
-from touchline.operators.windows import lag_in_chunks
+from touchline.operators.windows import RANGE_ROWS, ranged_lag
 from touchline.schemas import PITCH_X_BOUNDS, PITCH_Y_BOUNDS, TIEBREAK_FIELD, ZONE_CUTS
 
 
@@ -83,12 +83,12 @@ def event_pairing(events: DataFrame, cycle_seconds: float | None = None) -> Data
                             | (F.col("perdidas") != F.col("recuperaciones")))
 
 
-def stamina_monotone(events: DataFrame, chunk_seconds: float = 3600.0) -> DataFrame:
+def stamina_monotone(events: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Rows where a player's published stamina rises against the previous
     non-null value of the same match and team."""
     keys = ["match_id", "player_id", "player_equipo"]
     tb = TIEBREAK_FIELD if TIEBREAK_FIELD in events.columns else None
     d = events.filter(F.col("estamina").isNotNull()).select(
         *keys, "timestamp", *([tb] if tb else []), "estamina")
-    lagged = lag_in_chunks(d, keys, "timestamp", tb, "estamina", "estamina_previa", chunk_seconds)
+    lagged = ranged_lag(d, keys, "timestamp", tb, "estamina", "estamina_previa", range_rows)
     return lagged.filter(F.col("estamina") > F.col("estamina_previa"))
