@@ -1,11 +1,13 @@
 """Property tests with generated inputs (batched: one Spark job per example)."""
 
+import math
 import string
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from touchline.functions.columns import safe_int, zone_of
+from touchline.functions.columns import order_code, safe_int, time_order_key, zone_of
 
 ALPHABET = string.ascii_letters + string.digits + " \t.+-eE"  # no '_', ASCII only
 
@@ -66,3 +68,34 @@ def test_safe_int_same_with_and_without_ansi(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     assert got["true"] == got["false"] == [python_safe_int(v) for v in vals]
+
+
+# zero, powers of two and their neighbours, extremes, and anything else
+doubles = st.one_of(
+    st.floats(allow_nan=False), st.floats(0, 1e6), st.just(0.0), st.just(-0.0),
+    st.integers(-170, 1023).flatmap(lambda e: st.sampled_from([2.0 ** e, -(2.0 ** e), math.nextafter(2.0 ** e, 0), math.nextafter(2.0 ** e, math.inf)])))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(doubles, min_size=2, max_size=200))
+def test_order_code_orders_doubles_exactly(spark, xs):
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    code = {r.x: r.c for r in df.select("x", order_code("x").alias("c")).collect()}
+    least = 2.0 ** -170
+    known = sorted({0.0 if abs(x) < least else x for x in xs})
+    codes = [code[x] if x in code else 0 for x in known]
+    assert codes == sorted(set(codes)) and all(-2 ** 63 <= c < 2 ** 63 for c in codes)
+    assert all(code[x] == 0 for x in xs if abs(x) < least)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), doubles), st.one_of(st.none(), st.integers(-2 ** 63, 2 ** 63 - 1))), min_size=1, max_size=100))
+def test_time_order_key_orders_time_then_tiebreak(spark, rows):
+    df = spark.createDataFrame(rows, "ts double, tb long")
+    got = [(r.ts, r.tb) for r in df.orderBy(time_order_key("ts", "tb"), F.isnull("tb").desc()).collect()]
+
+    def place(row):
+        t, b = row
+        t = None if t is None else 0.0 if abs(t) < 2.0 ** -170 else t
+        return t is not None, t or 0.0, -2 ** 63 if b is None else b, b is not None
+    assert [place(r) for r in got] == sorted(map(place, rows))

@@ -1,5 +1,6 @@
 """Hand-written rows (FIXTURES.md §4) for zones, parsing and the metrics."""
 
+import itertools
 import json
 
 from pyspark.sql import functions as F
@@ -54,6 +55,18 @@ def test_tiebreak_at_same_timestamp(spark):
     assert player_metrics(events_df(spark, rows)).collect()[0].ultima_x == 10.0
 
 
+def test_latest_within_one_millisecond_and_at_one_time(spark):
+    # 10.0001 s and 10.0009 s fall into one millisecond; without event ids the
+    # later one counts, and at exactly one time the largest value does
+    near = [{"timestamp": 10.0001, "estamina": 1.0}, {"timestamp": 10.0009, "estamina": 2.0}]
+    same = [{"timestamp": 10.0, "estamina": 3.0}, {"timestamp": 10.0, "estamina": 1.0}, {"timestamp": 10.0, "estamina": 2.0}]
+    for rows, want in ((near, 2.0), (same, 3.0)):
+        for perm in itertools.permutations(rows):
+            ev = events_df(spark, list(perm)).coalesce(1)
+            assert player_metrics(ev).collect()[0].estamina_actual == want
+            assert player_metrics(ev.drop("event_id")).collect()[0].estamina_actual == want
+
+
 def test_pass_counts(spark):
     rows = [{"tipo": "accion", "action": "pase", "is_successful": v} for v in (True, False, None)]
     r = player_metrics(events_df(spark, rows)).collect()[0]
@@ -121,7 +134,6 @@ def test_real_pass_efficiency_counts_losses(spark):
 
 
 def test_time_order_key_orders_like_the_pair(spark):
-    import math
     import random
 
     from touchline.functions.columns import time_order_key
@@ -133,7 +145,7 @@ def test_time_order_key_orders_like_the_pair(spark):
     got = [(r.ts, r.tb) for r in df.orderBy(time_order_key("ts", "tb"), "ts", "tb").collect()]
 
     def pair(r):
-        return (math.floor(r[0] * 1000), -1 if r[1] is None else 0, r[1] or 0)
+        return (r[0], -2 ** 63 if r[1] is None else r[1], r[1] is not None)
     assert [pair(r) for r in got] == sorted(pair(r) for r in got)
 
 

@@ -41,33 +41,51 @@ def pct(num, den, scale: int = 1) -> Column:
     return F.round(F.when(den > 0, num / den * 100).otherwise(F.lit(0.0)), scale)
 
 
-def time_order_key(ts="timestamp", tiebreak=None) -> Column:
-    """(event time, tiebreak) packed into one ``decimal(38,0)``:
-    floor(ts * 1000) * 10^20 + (tiebreak + 2^63). Ordering by it equals
-    ordering by (ts at millisecond resolution, tiebreak); a null time or
-    tiebreak counts as the earliest, so an event of unknown time never
-    overrides a known later one. A single decimal (unlike a struct) is a valid buffer type
-    for hash aggregation, so ``max_by`` over it stays a HashAggregate
-    instead of sorting every map partition."""
-    dec = "decimal(38,0)"
-    # clamp to +-10^17 ms (about 3 million years) so no input can overflow
-    # the decimal under ANSI mode and fail the job
-    bound = 10 ** 17
-    ms = F.least(F.greatest(F.floor(_c(ts) * F.lit(1000.0)), F.lit(-bound)), F.lit(bound)).cast(dec)
-    if tiebreak is None:
-        off = F.lit(0).cast(dec)
-    else:
-        off = F.coalesce(_c(tiebreak).cast(dec) + F.lit(str(2 ** 63)).cast(dec), F.lit(0).cast(dec))
-    return (ms * F.lit(str(10 ** 20)).cast(dec) + off).cast(dec)
+#: Doubles closer to zero than 2^-170 have the code of zero, so that a code and
+#: a 64-bit tiebreak together fit a decimal(38,0).
+_LEAST_EXPONENT = -170
+_DEC = "decimal(38,0)"
+
+
+def order_code(x) -> Column:
+    """An integer that orders doubles as they are ordered: sign, binary
+    exponent and all 52 bits of the fraction, so unlike doubles (beyond
+    2^-170) have unlike codes. Null and NaN give null."""
+    x = _c(x).cast("double")
+    a = F.abs(x)
+    # log2 may be off by one next to a power of two; the comparison mends it
+    guess = F.floor(F.log2(a))
+    e = guess - (a < F.pow(F.lit(2.0), guess)).cast("int") + (a >= F.pow(F.lit(2.0), guess + 1)).cast("int")
+    fraction = (a / F.pow(F.lit(2.0), e) - 1) * F.lit(float(1 << 52))
+    code = (e - _LEAST_EXPONENT + 1) * F.lit(1 << 52) + fraction.cast("bigint")
+    top = F.lit((1024 - _LEAST_EXPONENT + 1) * (1 << 52))
+    size = (F.when(a < 2.0 ** _LEAST_EXPONENT, F.lit(0)).when(a > 1.7976931348623157e308, top).otherwise(code))
+    return F.when(F.isnan(x), F.lit(None)).otherwise(F.when(x < 0, -size).otherwise(size)).cast("bigint")
+
+
+def time_order_key(ts="timestamp", tiebreak=None, value=None) -> Column:
+    """(event time, tiebreak) packed into one ``decimal(38,0)``: the order code
+    of the time times 2^64, plus the tiebreak as an unsigned number. Where the
+    tiebreak is null or not given, the order code of ``value`` takes its place,
+    so of several rows at one time the largest value counts, in whatever order
+    they come. A null time counts as the earliest, so an event of unknown time
+    never overrides a known one. A single decimal (unlike a struct) is a valid
+    buffer type for hash aggregation, so ``max_by`` over it stays a
+    HashAggregate instead of sorting every map partition."""
+    least = F.lit(-(1024 - _LEAST_EXPONENT + 2) * (1 << 52))
+    time = F.coalesce(order_code(ts), least).cast(_DEC)
+    ties = [t for t in (None if tiebreak is None else _c(tiebreak).cast("bigint"), None if value is None else order_code(value)) if t is not None]
+    tie = F.coalesce(*ties, F.lit(-(1 << 63))).cast(_DEC) + F.lit(str(1 << 63)).cast(_DEC)
+    return (time * F.lit(str(1 << 64)).cast(_DEC) + tie).cast(_DEC)
 
 
 def latest(value, ts="timestamp", tiebreak=None) -> Column:
-    """Value of the latest row (by event time, then tiebreak) among rows
-    where the value is not null. Order-independent (unlike ``last``), so the
-    answer does not depend on partitioning or arrival order; a partial
-    hash aggregate that also works in streaming state."""
+    """Value of the latest row (by event time, then tiebreak, then value)
+    among rows where the value is not null. Order-independent (unlike
+    ``last``), so the answer does not depend on partitioning or arrival order;
+    a partial hash aggregate that also works in streaming state."""
     value = _c(value)
-    return F.max_by(value, F.when(value.isNotNull(), time_order_key(ts, tiebreak)))
+    return F.max_by(value, F.when(value.isNotNull(), time_order_key(ts, tiebreak, value)))
 
 
 def count_where(cond: Column) -> Column:

@@ -72,6 +72,7 @@ def stamina_audit(events: DataFrame, roster: DataFrame, cycle_seconds: float = C
     run = run.withColumn("modelo", modelo)
     return run.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("eventos"),
-        F.max_by("modelo", time_order_key("timestamp", tb)).alias("estamina_modelo_final"),
+        # the model only falls, so of rows at one time the lowest is the last
+        F.max_by("modelo", time_order_key("timestamp", tb, -F.col("modelo"))).alias("estamina_modelo_final"),
         F.max(F.abs(F.col("modelo") - F.col("estamina"))).alias("max_desvio"),
     )
