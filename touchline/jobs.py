@@ -29,19 +29,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchline.operators.roster import clean_roster, union_rosters
 from touchline.sources.roster import read_roster_csv, write_roster_parquet
-from touchline.streaming.job import (file_source, kafka_source, new_run_id, start_metrics_query,
-                                     start_rejects_query)
-from touchline.streaming.sinks import Sink, bulk_sink, history_sink
+from touchline.streaming.documents import documents_sink
+from touchline.streaming.job import (ROCKSDB, checkpoint_path, file_source, kafka_source, new_run_id,
+                                     start_metrics_query, start_rejects_query)
+from touchline.streaming.roster_versions import RosterVersions, join_roster
+from touchline.streaming.sinks import (Prepare, Sink, bulk_sink, compact_history, expire_epochs,
+                                       history_sink)
 
 
 def roster_job(spark: SparkSession, men: str, women: str, out: str,
-               infer_schema: bool = False) -> int:
-    """Two player CSVs -> one clean Parquet roster; returns rows written."""
+               infer_schema: bool = False, publish: bool = False) -> int:
+    """Two player CSVs -> one clean Parquet roster; returns rows written. With
+    ``publish`` it becomes the next version of the rosters in ``out``, which a
+    running stream takes up, and the version's number is returned."""
     raw = union_rosters(read_roster_csv(spark, men, infer_schema),
                         read_roster_csv(spark, women, infer_schema))
+    if publish:
+        return RosterVersions(spark, out).publish(clean_roster(raw))
     return write_roster_parquet(clean_roster(raw), out)
 
 
+def compact_job(spark: SparkSession, out: str, run_id: str, expire: bool = False) -> int | None:
+    """Merge the finished epochs of a run's history into few files; with
+    ``expire`` remove the epoch folders they replace."""
+    upto = compact_history(spark, f"{out}/history", run_id)
+    if expire:
+        expire_epochs(spark, f"{out}/history", run_id)
+    return upto
+
+
 def metrics_job(spark: SparkSession, events: str, out: str, faithful: bool = False,
                 rejects: str | None = None) -> None:
     """Batch recomputation of the player metrics from archived JSON-lines
@@ -65,9 +81,8 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep streaming aggregation state off the JVM heap, and commit only a
     changelog per epoch instead of uploading a full snapshot (set before the
     query first starts; the provider is fixed by the checkpoint)."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    for k, v in ROCKSDB.items():
+        spark.conf.set(k, v)
 
 
 def roster_enrichment_sink(base: str, run_id: str, roster: DataFrame) -> Sink:
@@ -103,14 +118,18 @@ def stream_job(spark: SparkSession, out: str, kafka: str | None = None, topic: s
         raw = file_source(spark, files)
     else:
         raise ValueError("give --kafka or --files")
-    sinks: list[Sink] = [history_sink(f"{out}/history", run_id),
-                         bulk_sink(f"{out}/bulk", run_id)]
-    if roster:
-        sinks.append(roster_enrichment_sink(f"{out}/history_roster", run_id,
-                                            spark.read.parquet(roster)))
-    q = start_metrics_query(raw, f"{out}/checkpoints/{run_id}", sinks, output_mode=mode,
+    sinks: list[Sink] = [history_sink(f"{out}/history", run_id), bulk_sink(f"{out}/bulk", run_id),
+                         documents_sink(f"{out}/documents", run_id)]
+    prepare: Prepare | None = None
+    if roster and RosterVersions(spark, roster).current() is None:  # one roster, as the batch job writes it
+        sinks.append(roster_enrichment_sink(f"{out}/history_roster", run_id, spark.read.parquet(roster)))
+    elif roster:
+        # the versions are read as epochs come: one published while the query
+        # runs (``roster --publish``) counts from the next epoch on
+        prepare = join_roster(roster, f"{out}/roster_epochs/run_id={run_id}")
+    q = start_metrics_query(raw, checkpoint_path(out, run_id), sinks, output_mode=mode,
                             processing_time=trigger, available_now=available_now,
-                            faithful=faithful, match_id=match_id)
+                            faithful=faithful, match_id=match_id, last_event=True, prepare=prepare)
     queries = [q]
     if not faithful:
         queries.append(start_rejects_query(raw, f"{out}/rejects/run_id={run_id}",
@@ -153,6 +172,11 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--women", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--infer-schema", action="store_true")
+    r.add_argument("--publish", action="store_true", help="as the next version of the rosters in --out")
+    c = sub.add_parser("compact", help="merge a run's finished epochs into few files")
+    c.add_argument("--out", required=True)
+    c.add_argument("--run-id", required=True)
+    c.add_argument("--expire", action="store_true", help="remove the epoch folders they replace")
     b = sub.add_parser("metrics", help="batch metrics from archived JSON-lines events")
     b.add_argument("--events", required=True)
     b.add_argument("--out", required=True)
@@ -168,7 +192,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--trigger", default="10 seconds")
     s.add_argument("--starting-offsets", default="latest")
-    s.add_argument("--roster")
+    s.add_argument("--roster", help="a roster to join in a second history, or a folder of published versions to join before the sinks")
     s.add_argument("--faithful", action="store_true")
     s.add_argument("--no-rocksdb", action="store_true")
     s.add_argument("--match-id", help="replay the messages as this match")
@@ -180,8 +204,10 @@ def main(argv: list[str] | None = None) -> int:
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"touchline-{a.cmd}").getOrCreate()
     if a.cmd == "roster":
-        n = roster_job(spark, a.men, a.women, a.out, a.infer_schema)
-        print(f"wrote {n} players to {a.out}")
+        n = roster_job(spark, a.men, a.women, a.out, a.infer_schema, a.publish)
+        print(f"published version {n} in {a.out}" if a.publish else f"wrote {n} players to {a.out}")
+    elif a.cmd == "compact":
+        print(f"merged up to epoch {compact_job(spark, a.out, a.run_id, a.expire)}")
     elif a.cmd == "metrics":
         metrics_job(spark, a.events, a.out, a.faithful, a.rejects)
     else:

@@ -33,11 +33,17 @@ def repeated_ids(roster: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("filas")).filter(F.col("filas") > 1))
 
 
+def roster_attributes(metrics: DataFrame, roster: DataFrame, attrs: list[str] = ROSTER_ATTRS,
+                      how: str = "left") -> DataFrame:
+    """Every metrics column and the player's roster attributes."""
+    r = _roster_side(roster, attrs)
+    return metrics.join(r, metrics["player_id"] == r["_rid"], how).drop("_rid")
+
+
 def metrics_with_roster(metrics: DataFrame, roster: DataFrame,
                         attrs: list[str] = ROSTER_ATTRS, how: str = "left") -> DataFrame:
     """Player metrics with the player's roster attributes."""
-    r = _roster_side(roster, attrs)
-    j = metrics.join(r, metrics["player_id"] == r["_rid"], how)
+    j = roster_attributes(metrics, roster, attrs, how)
     return j.select(*METRIC_KEYS, "distancia_m", "estamina_actual", "goles", *attrs)
 
 

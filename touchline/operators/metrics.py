@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from touchline.functions.columns import count_where, latest, pct, zone_of, zone_relative
 from touchline.schemas import CYCLE_SECONDS, METRIC_KEYS, TIEBREAK_FIELD, ZONE_CUTS
 
+#: Time of a row's latest event, kept where rows are merged into documents.
+LAST_EVENT = "ultimo_evento"
+
 METRIC_COLUMNS = [
     "distancia_m", "estamina_actual", "ultima_x", "ultima_y",
     "pases_intentados", "pases_acertados", "tiros", "goles", "paradas",
@@ -65,9 +68,11 @@ def with_efficiency(metrics: DataFrame, real_pass: bool = False) -> DataFrame:
 
 def player_metrics(events: DataFrame, cycle_seconds: float = CYCLE_SECONDS,
                    cuts=ZONE_CUTS, relative_zones: bool = False,
-                   real_pass: bool = False) -> DataFrame:
-    """Events -> one row per (match, player, name, team, position)."""
+                   real_pass: bool = False, last_event: bool = False) -> DataFrame:
+    """Events -> one row per (match, player, name, team, position), with the
+    time of its latest event if asked."""
     tiebreak = TIEBREAK_FIELD if TIEBREAK_FIELD in events.columns else None
     zoned = with_zone(events, cuts, relative_zones)
-    agg = zoned.groupBy(*METRIC_KEYS).agg(*metric_aggregates(cycle_seconds, tiebreak))
+    more = [F.max("timestamp").alias(LAST_EVENT)] if last_event else []
+    agg = zoned.groupBy(*METRIC_KEYS).agg(*metric_aggregates(cycle_seconds, tiebreak), *more)
     return with_efficiency(agg, real_pass)

@@ -1,9 +1,12 @@
 """Replay-safe sinks for the metrics stream.
 
 * History: each epoch is written with ``mode("overwrite")`` to
-  ``<base>/run_id=<R>/batch_id=<N>``. Re-running an epoch after a failure
-  rewrites the same folder, so the effect is exactly-once. The layout is
-  ``key=value``, so readers prune by run and batch.
+  ``<base>/run_id=<R>/batch_id=<N>``, in as many files as its rows call for.
+  Re-running an epoch after a failure rewrites the same folder, so the effect
+  is exactly-once. The layout is ``key=value``, so readers prune by run and
+  batch. ``compact_history`` merges finished epochs into few files beside them
+  and commits a log entry; ``read_history`` then reads those files and the
+  epochs after them.
 * Latest state: merge-on-read over the history, i.e. per metrics key the
   values of the highest batch (``max_by``, a partial hash aggregate).
   Nothing is rewritten per epoch; ``compact_latest`` writes a snapshot and
@@ -19,6 +22,7 @@ lost sink).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark import InheritableThread, StorageLevel
@@ -26,12 +30,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import doc_id, iso_utc
+from touchline.operators.metrics import LAST_EVENT
 from touchline.schemas import METRIC_KEYS
+from touchline.streaming.documents import DOC_KEY
+from touchline.streaming.files import Log, file_names, remove, subfolders
 
 # Fixed value: the search index the documents are addressed to.
 INDEX_NAME = "football_metrics"
-DOC_KEY = ["match_id", "player_id", "player_equipo"]
-DOC_KEY_FAITHFUL = ["match_id", "player_id"]
+#: Rows of one file of the history.
+ROWS_PER_FILE = 1_000_000
 
 
 def bulk_ndjson(metrics: DataFrame, index: str = INDEX_NAME, now: str | Column | None = None,
@@ -52,54 +59,128 @@ def bulk_ndjson(metrics: DataFrame, index: str = INDEX_NAME, now: str | Column |
     else:
         did = F.concat_ws("_", *[F.coalesce(F.col(c), F.lit("None")) for c in DOC_KEY])
     meta = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), did.alias("_id")).alias("index")))
-    body = F.to_json(F.struct(*[F.col(c) for c in metrics.columns], ts.alias("timestamp")),
+    body = F.to_json(F.struct(*[F.col(c) for c in metrics.columns if c != LAST_EVENT], ts.alias("timestamp")),
                      {"ignoreNullFields": "false"})
     return metrics.select(did.alias("doc_id"), F.concat_ws("\n", meta, body).alias("bulk"))
 
 
 def write_bulk_files(metrics: DataFrame, path: str, **kw) -> None:
     """Write the bulk body as NDJSON text files (one folder per epoch)."""
-    bulk_ndjson(metrics, **kw).select("bulk").write.mode("overwrite").text(path)
+    bulk_ndjson(_files(metrics, ROWS_PER_FILE), **kw).select("bulk").write.mode("overwrite").text(path)
 
 
 def history_path(base: str, run_id: str, batch_id: int) -> str:
     return f"{base}/run_id={run_id}/batch_id={batch_id}"
 
 
-def write_history(df: DataFrame, base: str, run_id: str, batch_id: int) -> None:
+def _files(df: DataFrame, rows_per_file: int) -> DataFrame:
+    """As many partitions, so files, as the rows call for (at least one, at
+    most as many as there are), whatever the shuffle that made them. The rows
+    are counted first, on an epoch that the writer has persisted."""
+    return df.coalesce(max(1, math.ceil(df.count() / rows_per_file)))
+
+
+def write_history(df: DataFrame, base: str, run_id: str, batch_id: int,
+                  rows_per_file: int = ROWS_PER_FILE) -> None:
     """Idempotent per-epoch history write."""
-    df.write.mode("overwrite").parquet(history_path(base, run_id, batch_id))
+    _files(df, rows_per_file).write.mode("overwrite").parquet(history_path(base, run_id, batch_id))
+
+
+def _compactions(spark: SparkSession, base: str, run_id: str) -> Log:
+    # the name's underscore hides the folder from readers of the base folder
+    return Log(spark, f"{base}/_compacted/run_id={run_id}/_log")
+
+
+def _runs(spark: SparkSession, base: str) -> list[str]:
+    return [x[len("run_id="):] for x in subfolders(spark, base, "run_id=")]
 
 
 def read_history(spark: SparkSession, base: str, run_id: str | None = None) -> DataFrame:
     """All epochs (``run_id``/``batch_id`` become columns); of one run if given,
-    whose folder alone is listed then."""
+    whose folder alone is listed then. Compacted epochs are read from their
+    merged files."""
+    if run_id is None:
+        if not subfolders(spark, f"{base}/_compacted"):
+            return spark.read.option("basePath", base).parquet(base)
+        parts = [read_history(spark, base, r) for r in sorted({*_runs(spark, base), *_runs(spark, f"{base}/_compacted")})]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
     own = f"{base}/run_id={run_id}"
-    listed = own if run_id is not None and _names(spark, own) else base
-    h = spark.read.option("basePath", base).parquet(listed)
-    return h if run_id is None else h.filter(F.col("run_id") == run_id)
-
-
-def _names(spark: SparkSession, folder: str, prefix: str = "", finished: bool = False) -> list[str]:
-    """Names of a folder's subfolders, those with a ``_SUCCESS`` marker if asked."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    merged = _compactions(spark, base, run_id).entry()
+    reader = spark.read.option("basePath", base)
+    if merged is None:
+        return reader.parquet(own if subfolders(spark, own) else base).filter(F.col("run_id") == run_id)
+    old = (spark.read.parquet(f"{base}/_compacted/run_id={run_id}/upto={merged['upto']}")
+           .withColumn("run_id", F.lit(run_id)))
+    later = [f"{own}/{x}" for x in subfolders(spark, own, "batch_id=") if int(x[len("batch_id="):]) > merged["upto"]]
+    return old.unionByName(reader.parquet(*later), allowMissingColumns=True) if later else old
+
+
+def compact_history(spark: SparkSession, base: str, run_id: str, rows_per_file: int = ROWS_PER_FILE) -> int | None:
+    """Merge a run's finished epochs into few files, sorted by epoch and match
+    so that filters on either skip row groups, and switch ``read_history`` to
+    them. The epoch folders stay for readers that list them, until
+    ``expire_epochs``. Returns the last epoch merged."""
+    upto = _finished_epoch(spark, base, run_id)
+    log = _compactions(spark, base, run_id)
+    done = log.entry()
+    if upto is None or (done and done["upto"] >= upto):
+        return done["upto"] if done else None
+    rows = read_history(spark, base, run_id).filter(F.col("batch_id") <= upto).drop("run_id")
+    files = max(1, math.ceil(rows.count() / rows_per_file))
+    (rows.repartitionByRange(files, "batch_id", "match_id").sortWithinPartitions("batch_id", "match_id")
+     .write.mode("overwrite").parquet(f"{base}/_compacted/run_id={run_id}/upto={upto}"))
+    log.commit(upto, {"upto": upto, "files": files})
+    return upto
+
+
+def expire_epochs(spark: SparkSession, base: str, run_id: str) -> list[int]:
+    """Remove epoch folders that a committed compaction holds, and older
+    compactions. Only for histories whose readers all use ``read_history``."""
+    log = _compactions(spark, base, run_id)
+    merged = log.entry()
+    if merged is None:
         return []
-    return [st.getPath().getName() for st in fs.listStatus(path)
-            if st.isDirectory() and st.getPath().getName().startswith(prefix)
-            and (not finished or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")))]
+    own, folder = f"{base}/run_id={run_id}", f"{base}/_compacted/run_id={run_id}"
+    epochs = sorted(int(x[len("batch_id="):]) for x in subfolders(spark, own, "batch_id="))
+    gone = [n for n in epochs if n <= merged["upto"]]
+    for n in gone:
+        remove(spark, history_path(base, run_id, n))
+    for n in log.numbers()[:-1]:
+        log.drop(n)
+        remove(spark, f"{folder}/upto={n}")
+    return gone
+
+
+def committed_epoch(spark: SparkSession, checkpoint: str) -> int | None:
+    """The last epoch that the query's own commit log has: all its sinks ran."""
+    return max((int(n) for n in file_names(spark, f"{checkpoint}/commits") if n.isdigit()), default=None)
+
+
+def read_last_epoch(spark: SparkSession, base: str, run_id: str, checkpoint: str) -> DataFrame:
+    """The newest committed epoch of a run's history alone: in complete mode
+    each epoch has every row, so this is the latest state. Epochs without rows
+    wrote no folder; one that is written but not committed is not read."""
+    last = committed_epoch(spark, checkpoint)
+    own = f"{base}/run_id={run_id}"
+    epochs = [int(x[len("batch_id="):]) for x in subfolders(spark, own, "batch_id=", finished=True)]
+    epochs = [n for n in epochs if last is not None and n <= last]
+    if not epochs:
+        raise ValueError(f"run {run_id} has no committed epoch in {base}")
+    return spark.read.option("basePath", base).parquet(history_path(base, run_id, max(epochs)))
 
 
 def _finished_epoch(spark: SparkSession, history_base: str, run_id: str) -> int | None:
     """The last epoch before any unfinished one: an epoch folder without its
     marker is still being written, and what comes after it is not final."""
     folder, prefix = f"{history_base}/run_id={run_id}", "batch_id="
-    every = {int(x[len(prefix):]) for x in _names(spark, folder, prefix)}
-    done = {int(x[len(prefix):]) for x in _names(spark, folder, prefix, finished=True)}
+    every = {int(x[len(prefix):]) for x in subfolders(spark, folder, prefix)}
+    done = {int(x[len(prefix):]) for x in subfolders(spark, folder, prefix, finished=True)}
     below = [n for n in done if n < min(every - done, default=n + 1)]
-    return max(below, default=None)
+    merged = _compactions(spark, history_base, run_id).entry()
+    return max([*below, *([merged["upto"]] if merged else [])], default=None)
 
 
 def read_foreign_history(spark: SparkSession, base: str) -> DataFrame:
@@ -123,7 +204,7 @@ def latest_from_history(history: DataFrame, key: Sequence[str] = METRIC_KEYS) ->
 def _snapshot_batches(spark: SparkSession, snapshot_base: str, run_id: str) -> list[int]:
     """Batch ids of the complete snapshots of a run (folders ``upto=N`` with
     a ``_SUCCESS`` marker), from a file listing on the driver."""
-    names = _names(spark, f"{snapshot_base}/run_id={run_id}", "upto=", finished=True)
+    names = subfolders(spark, f"{snapshot_base}/run_id={run_id}", "upto=", finished=True)
     return sorted(int(x[len("upto="):]) for x in names)
 
 
@@ -179,10 +260,12 @@ def compact_latest(spark: SparkSession, history_base: str, snapshot_base: str, r
 
 
 Sink = Callable[[DataFrame, int], None]
+Prepare = Callable[[DataFrame, int], DataFrame]
 
 
 class MetricsBatchWriter:
-    """``foreachBatch`` target running several sinks per epoch.
+    """``foreachBatch`` target running several sinks per epoch, on the rows as
+    ``prepare`` returns them (a join with a table that may change, say).
 
     The epoch is persisted once and every sink writes from it. The sinks
     are independent Spark jobs, so they are submitted concurrently (Spark
@@ -190,8 +273,9 @@ class MetricsBatchWriter:
     the epoch fails afterwards if any of them failed."""
 
     def __init__(self, sinks: Sequence[Sink], storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-                 concurrent: bool = True):
+                 concurrent: bool = True, prepare: Prepare | None = None):
         self.sinks = list(sinks)
+        self.prepare = prepare
         self.storage_level = storage_level
         self.concurrent = concurrent
 
@@ -203,9 +287,11 @@ class MetricsBatchWriter:
             return ex
 
     def __call__(self, df: DataFrame, epoch_id: int) -> None:
+        if self.prepare is not None:
+            df = self.prepare(df, epoch_id)
         df = df.persist(self.storage_level)
         try:
-            if df.isEmpty():
+            if not df.count():  # fills the cache by all partitions at once
                 return
             if self.concurrent and len(self.sinks) > 1:
                 # InheritableThread carries the query's Spark job properties
