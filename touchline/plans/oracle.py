@@ -396,13 +396,28 @@ FROM m""")
 SQL["stream_metrics"] = SQL["player_metrics"]
 SQL["latest_snapshot"] = SQL["player_metrics"]
 SQL["stream_metrics_complete"] = SQL["player_metrics"]
-SQL["latest_count"] = with_metrics("SELECT count(*) AS documentos FROM m")
+SQL["stream_state"] = SQL["player_metrics"]
+SQL["latest_count"] = with_metrics(
+    "SELECT count(*) AS documentos FROM (SELECT DISTINCT match_id, player_id, player_equipo FROM m)")
+SQL["live_match_kpis"] = SQL["match_kpis"]
+SQL["live_top_scorers"] = SQL["top_scorers"]
+SQL["live_team_stamina"] = SQL["team_stamina"]
+
+# Players of team A are forwards from the middle of the match on: two metrics
+# rows each, of which the document is the one with the latest event.
+_MOVED = ("zev AS (SELECT * REPLACE (CASE WHEN timestamp >= 302400 AND player_equipo = 'A' THEN 'ST' ELSE player_posicion END AS player_posicion),\n"
+          "  CASE WHEN x <= 35 THEN 'defensa' WHEN x <= 70 THEN 'medio' ELSE 'ataque' END AS zona FROM ev)")
+SQL["position_changes"] = f"""WITH {EV},\n{_MOVED},\n{M},
+seen AS (SELECT match_id, player_id, player_nombre, player_equipo, player_posicion, max(timestamp) AS t
+  FROM zev GROUP BY ALL)
+SELECT {METRIC_COLS} FROM m JOIN seen USING (match_id, player_id, player_nombre, player_equipo, player_posicion)
+QUALIFY row_number() OVER (PARTITION BY match_id, player_id, player_equipo ORDER BY t DESC, player_nombre DESC, player_posicion DESC) = 1"""
 
 # Deterministic-epoch replay: slice i = event_id % 8 is epoch i; a key
 # appears in epoch i when slice i has one of its events, with the metrics
 # of all slices <= i.
 _AGGS = M[M.index("    round(sum(speed_jugador)"):M.index("  FROM zev")]
-SQL["metric_evolution"] = with_events(f""", b AS (SELECT *, event_id % 8 AS bucket FROM zev),
+_EPOCHS = f""", b AS (SELECT *, event_id % 8 AS bucket FROM zev),
 ep AS (SELECT range AS batch_id FROM range(8)),
 cum AS (SELECT ep.batch_id, b.* FROM ep JOIN b ON b.bucket <= ep.batch_id),
 touched AS (SELECT DISTINCT bucket AS batch_id, match_id, player_id, player_nombre,
@@ -411,7 +426,8 @@ hist AS (SELECT batch_id, match_id, player_id, player_nombre, player_equipo, pla
 {_AGGS}  FROM cum
   GROUP BY batch_id, match_id, player_id, player_nombre, player_equipo, player_posicion),
 h AS (SELECT hist.* FROM hist JOIN touched USING (batch_id, match_id, player_id, player_nombre,
-    player_equipo, player_posicion))
+    player_equipo, player_posicion))"""
+SQL["metric_evolution"] = with_events(_EPOCHS + """
 SELECT match_id, player_id, player_nombre, player_equipo, player_posicion, batch_id, goles,
   distancia_m, estamina_actual,
   goles - coalesce(lag(goles) OVER w, 0) AS delta_goles,
@@ -421,3 +437,24 @@ FROM h
 WINDOW w AS (PARTITION BY match_id, player_id, player_nombre, player_equipo, player_posicion
              ORDER BY batch_id)""")
 
+SQL["history_compacted"] = with_events(_EPOCHS + """
+SELECT batch_id, count(*) AS filas, sum(goles)::BIGINT AS goles FROM h GROUP BY batch_id""")
+
+SQL["roster_in_stream"] = f"""WITH {EV},\n{ZEV}{_EPOCHS},\n{RAW},\n{CLEAN}
+SELECT match_id, player_id, player_nombre, player_equipo, player_posicion, batch_id, goles, distancia_m, r.genero,
+  r.velocidad + CASE WHEN batch_id >= 4 THEN 1 ELSE 0 END AS velocidad, r.resistencia,
+  CASE WHEN batch_id >= 4 THEN 1 ELSE 0 END::BIGINT AS version_plantilla
+FROM h LEFT JOIN clean r ON h.player_id = r.id"""
+
+SQL["event_rejects"] = f"""WITH {EV}, c AS (
+  SELECT * REPLACE (CASE WHEN event_id % 110 = 0 THEN NULL ELSE match_id END AS match_id,
+                    CASE WHEN event_id % 70 = 0 THEN NULL ELSE player_id END AS player_id) FROM ev),
+w AS (SELECT CASE WHEN event_id % 50 = 0 THEN substr(CAST({EVENT_JSON} AS VARCHAR), 1, 40) ELSE CAST({EVENT_JSON} AS VARCHAR) END AS mensaje,
+  CASE WHEN event_id % 50 = 0 OR match_id IS NULL AND player_id IS NULL THEN 'sin_datos'
+       WHEN match_id IS NULL THEN 'sin_match_id' WHEN player_id IS NULL THEN 'sin_player_id' END AS motivo FROM c)
+SELECT motivo, count(*) AS mensajes, sum(length(mensaje))::BIGINT AS caracteres FROM w WHERE motivo IS NOT NULL GROUP BY motivo"""
+
+_CENT = ", ".join(f"sum(round({e} * 100)::BIGINT)::BIGINT AS {c}_centesimas" for c, e in (
+    ("x", "x / 3"), ("y", "y / 3"), ("estamina", "estamina / 3"), ("ball_x", "ball_x"), ("speed_jugador", "speed_jugador")))
+SQL["encoded_rounded"] = f"""WITH {EV}
+SELECT match_id, tipo, count(*) AS eventos, {_CENT} FROM ev GROUP BY match_id, tipo"""

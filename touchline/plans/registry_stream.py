@@ -6,26 +6,39 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from touchline.operators.metrics import METRIC_COLUMNS
+from touchline.plans import dashboards as D
 from touchline.schemas import METRIC_KEYS
 from touchline.session import input_version, shared_dir
-from touchline.sources.events import encode_events, events_from_table, read_event_files
-from touchline.streaming.job import run_replay
-from touchline.streaming.sinks import (bulk_ndjson, compact_latest, latest_from_history,
-                                       read_history, read_latest)
+from touchline.sources.events import (encode_events, event_columns, events_from_table, parse_events,
+                                      read_event_files, rejected_messages)
+from touchline.streaming.documents import read_documents
+from touchline.streaming.files import order_slices
+from touchline.streaming.job import checkpoint_path, run_replay
+from touchline.streaming.roster_versions import RosterVersions, join_roster
+from touchline.streaming.sinks import (bulk_ndjson, compact_history, compact_latest, latest_from_history,
+                                       read_history, read_last_epoch, read_latest)
+from touchline.streaming.state import metrics_from_state
 
 # Injected clock for the registered bulk query, so its output is
 # reproducible; the sink itself stamps processing time.
 BULK_CLOCK = "2024-02-01T00:00:00Z"
 EVENT_FILES = 8
 
-_EVENTS_CACHE: dict[tuple[str, str], str] = {}
-_STREAM_CACHE: dict[tuple[str, str, str], tuple[str, str]] = {}
+_DONE: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, what: str, make):
+    """What an application derives from ``sf_dir`` a single time: files it
+    writes, replays it runs. Other input files make it anew."""
+    key = (spark.sparkContext.applicationId, input_version(spark, sf_dir), what)
+    if key not in _DONE:
+        _DONE[key] = make()
+    return _DONE[key]
 
 
 def event_files(spark: SparkSession, sf_dir: str) -> str:
     """Publish the adapter events as JSON-lines files (the replay input)."""
-    key = (spark.sparkContext.applicationId, input_version(spark, sf_dir))
-    if key not in _EVENTS_CACHE:
+    def write() -> str:
         path = shared_dir(spark, "events-json")
         msgs = encode_events(events_from_table(spark, sf_dir)).select("value")
         # At least EVENT_FILES files so the replay spans several epochs (more
@@ -33,8 +46,8 @@ def event_files(spark: SparkSession, sf_dir: str) -> str:
         # player's events over all files, so they arrive out of order.
         n = max(EVENT_FILES, msgs.rdd.getNumPartitions())
         msgs.repartition(n).write.mode("overwrite").text(path)
-        _EVENTS_CACHE[key] = path
-    return _EVENTS_CACHE[key]
+        return path
+    return once(spark, sf_dir, "events-json", write)
 
 
 def state_partitions(spark: SparkSession) -> int:
@@ -45,12 +58,16 @@ def state_partitions(spark: SparkSession) -> int:
 
 
 def stream_run(spark: SparkSession, sf_dir: str, output_mode: str = "update") -> tuple[str, str]:
-    key = (spark.sparkContext.applicationId, input_version(spark, sf_dir), output_mode)
-    if key not in _STREAM_CACHE:
-        _STREAM_CACHE[key] = run_replay(spark, event_files(spark, sf_dir), output_mode=output_mode,
-                                        with_bulk=output_mode == "update",
-                                        state_partitions=state_partitions(spark))
-    return _STREAM_CACHE[key]
+    """(history, run id) of a replay: in update mode with the document table,
+    the bulk files and RocksDB state, as the job runs it."""
+    update = output_mode == "update"
+    return once(spark, sf_dir, f"stream {output_mode}", lambda: run_replay(
+        spark, event_files(spark, sf_dir), output_mode=output_mode, with_bulk=update,
+        with_documents=update, rocksdb=update, state_partitions=state_partitions(spark)))
+
+
+def _out(history: str) -> str:
+    return history.rsplit("/", 1)[0]
 
 
 def encoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,9 +90,10 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_latest_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The original output mode: every group re-emitted each epoch."""
+    """The original output mode: every group re-emitted each epoch, so the
+    last committed epoch alone is the latest state."""
     history, run_id = stream_run(spark, sf_dir, "complete")
-    latest = latest_from_history(read_history(spark, history, run_id))
+    latest = read_last_epoch(spark, history, run_id, checkpoint_path(_out(history), run_id))
     return latest.select(*METRIC_KEYS, *METRIC_COLUMNS)
 
 
@@ -83,54 +101,83 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compacted latest state: a snapshot of the replayed run, read back
     merged with any later epochs (the upsert table of the original sink)."""
     history, run_id = stream_run(spark, sf_dir)
-    snapshots = history.rsplit("/", 1)[0] + "/latest_snapshots"
+    snapshots = _out(history) + "/latest_snapshots"
     compact_latest(spark, history, snapshots, run_id)
     latest = read_latest(spark, history, snapshots, run_id)
     return latest.select(*METRIC_KEYS, *METRIC_COLUMNS)
 
 
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics as the replay's state store holds them after its last
+    committed epoch, read from the checkpoint."""
+    history, run_id = stream_run(spark, sf_dir)
+    return metrics_from_state(spark, checkpoint_path(_out(history), run_id)).select(*METRIC_KEYS, *METRIC_COLUMNS)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest-state table of the replay, one row per document id."""
+    history, run_id = stream_run(spark, sf_dir)
+    return read_documents(spark, _out(history) + "/documents", run_id)
+
+
 def latest_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_latest(spark, sf_dir).agg(F.count(F.lit(1)).alias("documentos"))
+    return documents(spark, sf_dir).agg(F.count(F.lit(1)).alias("documentos"))
 
 
-EVOLUTION_SLICES = 8
-_EVOLUTION_CACHE: dict[tuple[str, str], tuple[str, str]] = {}
+def _on_documents(fn, **kw):
+    """A dashboard panel over the stream's output, as the panels are used."""
+    return lambda spark, sf_dir: fn(documents(spark, sf_dir).select(*METRIC_KEYS, *METRIC_COLUMNS), **kw)
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> bool:
-    """Atomic directory rename on the shared file system (driver metadata
-    operation); False when ``src`` does not exist."""
-    jvm = spark.sparkContext._jvm
-    a, b = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(a):
-        return False
-    fs.mkdirs(b.getParent())
-    return bool(fs.rename(a, b))
+# Match time from which the replay of changing positions has every second
+# player as a forward.
+POSITION_CHANGE = 302400.0
 
 
-def evolution_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """A replay with deterministic epochs. All events are published once,
-    split into EVOLUTION_SLICES folders by event_id (one write, every row
-    kept); then slice i is moved into the watched folder and taken up by one
-    ``availableNow`` run of the same query and checkpoint, so epoch i holds
-    exactly slice i."""
-    key = (spark.sparkContext.applicationId, input_version(spark, sf_dir))
-    if key not in _EVOLUTION_CACHE:
-        stage = shared_dir(spark, "evolution-stage")
-        src, out = shared_dir(spark, "evolution-in"), shared_dir(spark, "evolution")
+def position_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a replay in which players change position during a match:
+    two metrics rows each, one document, that of the later position."""
+    def run() -> tuple[str, str]:
+        path = shared_dir(spark, "events-moved")
+        moved = (F.col("timestamp") >= POSITION_CHANGE) & (F.col("player_equipo") == "A")
         ev = events_from_table(spark, sf_dir).withColumn(
-            "slice", F.pmod(F.col("event_id"), F.lit(EVOLUTION_SLICES)))
-        (encode_events(ev, keep=("slice",)).select("value", "slice")
-         .write.partitionBy("slice").mode("overwrite").text(stage))
-        history, run_id = None, "evolution"
-        for i in range(EVOLUTION_SLICES):
-            _rename(spark, f"{stage}/slice={i}", f"{src}/slice{i}")
-            history, run_id = run_replay(spark, f"{src}/*", out_base=out, run_id=run_id,
-                                         max_files_per_trigger=None, with_bulk=False,
-                                         state_partitions=state_partitions(spark))
-        _EVOLUTION_CACHE[key] = (history, run_id)
-    return _EVOLUTION_CACHE[key]
+            "player_posicion", F.when(moved, F.lit("ST")).otherwise(F.col("player_posicion")))
+        encode_events(ev).select("value").repartition(EVENT_FILES).write.mode("overwrite").text(path)
+        return run_replay(spark, path, with_bulk=False, with_documents=True, state_partitions=state_partitions(spark))
+    history, run_id = once(spark, sf_dir, "position changes", run)
+    return read_documents(spark, _out(history) + "/documents", run_id).select(*METRIC_KEYS, *METRIC_COLUMNS)
+
+
+EVOLUTION_SLICES = 8
+#: Rows of one file of a slice.
+SLICE_FILE_ROWS = 250_000
+
+
+def slice_files(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """(path, files of each slice): the events in EVOLUTION_SLICES slices by
+    event id, every slice in as many files, in one write; the files' times put
+    the slices in order."""
+    def write() -> tuple[str, int]:
+        ev = events_from_table(spark, sf_dir)
+        files = max(1, ev.count() // (EVOLUTION_SLICES * SLICE_FILE_ROWS))
+        while True:
+            path = shared_dir(spark, "evolution-in")
+            cut = ev.withColumn("slice", F.pmod(F.col("event_id"), F.lit(EVOLUTION_SLICES))).withColumn(
+                "part", F.pmod(F.floor(F.col("event_id") / EVOLUTION_SLICES), F.lit(files)))
+            (encode_events(cut, keep=("slice", "part")).select("value", "slice", "part")
+             .repartition("slice", "part").write.partitionBy("slice", "part").text(path))
+            if order_slices(spark, path, "slice=") == {files} or files == 1:
+                return path, files
+            files = 1  # ids with gaps: some part of a slice has no rows
+    return once(spark, sf_dir, "slices", write)
+
+
+def evolution_run(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """One replay with deterministic epochs: epoch i holds exactly slice i."""
+    path, files = slice_files(spark, sf_dir)
+    return once(spark, sf_dir, "evolution", lambda: run_replay(
+        spark, f"{path}/*/*", run_id="evolution", max_files_per_trigger=files, with_bulk=False,
+        state_partitions=state_partitions(spark)))
 
 
 def metric_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +196,70 @@ def metric_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("estamina_actual") - F.lag("estamina_actual").over(w)).alias("delta_estamina"))
 
 
+# The epoch before which the roster of the registered replay is replaced.
+ROSTER_CHANGE = 4
+
+
+def roster_in_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Epochs of the stream joined with the roster of their time: before epoch
+    ROSTER_CHANGE a new version is published, with one more point of pace."""
+    from touchline.plans.registry_roster import clean
+
+    def run() -> tuple[str, str]:
+        out = shared_dir(spark, "stream-roster")
+        versions = RosterVersions(spark, f"{out}/rosters")
+        roster = clean(spark, sf_dir)
+        versions.publish(roster)
+        join = join_roster(f"{out}/rosters", f"{out}/roster_epochs")
+
+        def prepare(df: DataFrame, epoch: int) -> DataFrame:
+            if epoch == ROSTER_CHANGE and versions.current() == 0:
+                versions.publish(roster.withColumn("velocidad", F.col("velocidad") + 1))
+            return join(df, epoch)
+        path, files = slice_files(spark, sf_dir)
+        return run_replay(spark, f"{path}/*/*", out_base=out, run_id="roster", max_files_per_trigger=files,
+                          with_bulk=False, state_partitions=state_partitions(spark), prepare=prepare)
+    history, run_id = once(spark, sf_dir, "roster in stream", run)
+    h = read_history(spark, history, run_id)
+    return h.select(*METRIC_KEYS, F.col("batch_id").cast("bigint").alias("batch_id"), "goles", "distancia_m",
+                    "genero", "velocidad", "resistencia", "version_plantilla")
+
+
+def history_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evolution's history after compaction: rows and players by epoch."""
+    history, run_id = evolution_run(spark, sf_dir)
+    compact_history(spark, history, run_id)
+    h = read_history(spark, history, run_id)
+    return h.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("goles").alias("goles"))
+
+
+def event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that no player's metrics can hold, and why: of the published
+    events every 50th is cut off, every 70th has no player and every 110th no
+    match."""
+    n = F.col("event_id")
+    ev = events_from_table(spark, sf_dir)
+    ev = (ev.withColumn("player_id", F.when(n % 70 == 0, F.lit(None)).otherwise(F.col("player_id")))
+          .withColumn("match_id", F.when(n % 110 == 0, F.lit(None)).otherwise(F.col("match_id")).cast("string")))
+    raw = encode_events(ev, keep=("event_id",)).select(
+        F.when(n % 50 == 0, F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"))
+    return rejected_messages(raw).groupBy("motivo").agg(
+        F.count(F.lit(1)).alias("mensajes"), F.sum(F.length("mensaje")).alias("caracteres"))
+
+
+def encoded_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publication with two decimals and without the event id, as the original
+    producer sends it, read back."""
+    ev = events_from_table(spark, sf_dir)
+    third = ev.withColumns({c: F.col(c) / 3 for c in ("x", "y", "estamina")})
+    raw = encode_events(third, include_tiebreak=False, round_digits=2, keep=("event_id",))
+    back = parse_events(raw.select("value")).select(event_columns(with_tiebreak=False))
+    return back.groupBy("match_id", "tipo").agg(
+        F.count(F.lit(1)).alias("eventos"),
+        *[F.sum(F.round(F.col(c) * 100).cast("bigint")).alias(f"{c}_centesimas") for c in ("x", "y", "estamina", "ball_x", "speed_jugador")])
+
+
 STREAM_QUERIES = {
     "encode_events": encoded_events,
     "events_roundtrip": events_roundtrip,
@@ -157,5 +268,14 @@ STREAM_QUERIES = {
     "stream_metrics_complete": stream_latest_complete,
     "latest_snapshot": latest_snapshot,
     "latest_count": latest_count,
+    "stream_state": stream_state,
+    "position_changes": position_changes,
+    "live_match_kpis": _on_documents(D.match_kpis),
+    "live_top_scorers": _on_documents(D.top_scorers),
+    "live_team_stamina": _on_documents(D.team_stamina),
     "metric_evolution": metric_evolution,
+    "history_compacted": history_compacted,
+    "roster_in_stream": roster_in_stream,
+    "event_rejects": event_rejects,
+    "encoded_rounded": encoded_rounded,
 }

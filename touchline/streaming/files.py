@@ -57,6 +57,24 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def order_slices(spark: SparkSession, folder: str, prefix: str) -> set[int]:
+    """Give the data files below ``<folder>/<prefix><n>/`` times in the order of
+    n, by which a file stream takes them up, whatever task wrote them first.
+    Returns the numbers of files that slices have. The file system must keep
+    the times it is given (local, HDFS)."""
+    found, sizes = subfolders(spark, folder, prefix), set()
+    for n, name in enumerate(sorted(found, key=lambda x: int(x[len(prefix):]))):
+        fs, path = _at(spark, f"{folder}/{name}")
+        files, each = fs.listFiles(path, True), 0
+        while files.hasNext():
+            st = files.next()
+            if not st.getPath().getName().startswith(("_", ".")):
+                fs.setTimes(st.getPath(), 1_000_000_000_000 + n * 60_000, -1)
+                each += 1
+        sizes.add(each)
+    return sizes
+
+
 class Log:
     """Numbered JSON entries in a folder. The highest number is the current
     state: writing an entry is what switches readers to a new version. One
