@@ -1,7 +1,9 @@
 """Roster cleaning, union, eligibility and the squad draft."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from helpers import TEXT
 from touchline.operators import roster as R
 from touchline.sources.roster import read_roster_csv
 
@@ -118,3 +120,27 @@ def test_repeated_ids_do_not_multiply_and_missing_players_are_audited(spark):
     audit = {r.player_id: r for r in stamina_audit(ev, roster).collect()}
     assert audit["1"].en_plantilla and audit["1"].eventos == 1
     assert not audit["2"].en_plantilla and audit["2"].estamina_modelo_final == 99.25
+
+
+def test_damaged_lines_are_told_apart(spark, tmp_out):
+    from touchline.sources.roster import read_roster_checked, read_roster_csv
+    cols = ["ID", "Name", "PAC"]
+    lines = ["1,Ana,70", "2,Eva", '3,"Li, Na",71', "4,Bo,72,9", '5,"Jo,73', '6,Ole "x,74,75', "7,,", "", '8,"a \\"b\\" c",76']
+    spark.createDataFrame([(x,) for x in lines], TEXT).coalesce(1).write.text(f"{tmp_out}/c")
+    good, bad = read_roster_checked(spark, f"{tmp_out}/c", cols, header=False)
+    assert {tuple(r) for r in good.collect()} == {("1", "Ana", "70"), ("3", "Li, Na", "71"), ("7", None, None), ("8", 'a "b" c', "76")}
+    assert {(r.id, r.linea, r.motivo) for r in bad.collect()} == {
+        ("2", "2,Eva", "faltan_celdas"), ("4", "4,Bo,72,9", "sobran_celdas"), ("5", '5,"Jo,73', "comillas_abiertas"),
+        ("6", '6,Ole "x,74,75', "comillas_abiertas")}
+    assert good.select("PAC").count() == 4 and bad.count() == 4
+    spark.createDataFrame([(x,) for x in ["ID,Name,PAC", *lines]], TEXT).coalesce(1).write.text(f"{tmp_out}/h")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_roster_csv(spark, f"{tmp_out}/h", mode="FAILFAST").collect()
+    assert read_roster_csv(spark, f"{tmp_out}/h", mode="DROPMALFORMED").count() >= 3
+
+
+def test_missing_roster_raises(spark, tmp_out):
+    from pyspark.errors import AnalysisException
+    from touchline.sources.roster import read_roster_csv
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_roster_csv(spark, f"{tmp_out}/nowhere.csv")

@@ -220,6 +220,19 @@ FROM (SELECT *, row_number() OVER (PARTITION BY match_id, ciclo, player_equipo
         ORDER BY distancia2, player_id, player_nombre) AS rn
       FROM p WHERE distancia2 IS NOT NULL) WHERE rn = 1""")
 
+SQL["nearest_outfield"] = SQL["nearest_to_ball"].replace(
+    "WHERE tipo = 'posicion')", "WHERE tipo = 'posicion' AND player_posicion <> 'GK' AND player_id <> '7')")
+
+# zones as seen from a team's own goal: team B's x is mirrored
+_OWN_ZONE = ("CASE WHEN CASE WHEN player_equipo = 'B' THEN 105.0::DOUBLE - x ELSE x END <= 35 THEN 'defensa' "
+             "WHEN CASE WHEN player_equipo = 'B' THEN 105.0::DOUBLE - x ELSE x END <= 70 THEN 'medio' ELSE 'ataque' END")
+_OWN = f"zev AS (SELECT *, {_OWN_ZONE} AS zona FROM ev)"
+SQL["losses_by_own_zone"] = f"""WITH {EV},\n{_OWN}
+SELECT match_id, player_equipo, zona, count(*) AS perdidas
+FROM zev WHERE action = 'perdida' GROUP BY match_id, player_equipo, zona"""
+SQL["real_pass_metrics"] = f"""WITH {EV},\n{_OWN},\n{M}
+SELECT {METRIC_COLS}, {pct_sql('pases_acertados', 'pases_intentados + perdidas')} AS eficiencia_pase_real FROM m"""
+
 SQL["event_bounds"] = with_events("""SELECT match_id, count(*) AS eventos,
   count(*) FILTER (WHERE tipo = 'posicion' AND x IS NOT NULL AND NOT (x BETWEEN 0.5 AND 104.5)) AS fuera_x,
   count(*) FILTER (WHERE tipo = 'posicion' AND y IS NOT NULL AND NOT (y BETWEEN 0.5 AND 67.5)) AS fuera_y,
@@ -316,6 +329,17 @@ SQL["roster_rejects"] = f"""WITH {RAW}, w AS (
       CASE WHEN "DEF" IS NULL THEN 'falta_defensa' END) AS motivos
   FROM raw)
 SELECT * FROM w WHERE motivos <> ''"""
+_MEN_CELLS = ["c_custkey", "CASE WHEN c_custkey % 40 = 3 THEN chr(34) ELSE '' END || c_name", "'M'", "CASE WHEN c_custkey % 50 = 3 THEN NULL ELSE 40 + c_custkey * 7 % 60 END",
+              "40 + c_custkey * 11 % 60", "40 + c_custkey * 13 % 60", "CASE WHEN c_custkey % 70 = 5 THEN NULL ELSE 40 + c_custkey * 17 % 60 END",
+              "40 + c_custkey * 19 % 60", f"{POS_LIST}[c_custkey % 17 + 1]", "50 + c_custkey * 3 % 45", "c_mktsegment"]
+_LINE = " || ',' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _MEN_CELLS)
+SQL["roster_bad_lines"] = f"""SELECT CAST(c_custkey AS VARCHAR) AS id,
+  {_LINE} || CASE c_custkey % 40 WHEN 1 THEN '' WHEN 2 THEN ',u/' || c_custkey || ',x' ELSE ',u/' || c_custkey END AS linea,
+  CASE c_custkey % 40 WHEN 1 THEN 'faltan_celdas' WHEN 2 THEN 'sobran_celdas' ELSE 'comillas_abiertas' END AS motivo
+FROM customer WHERE c_custkey % 40 IN (1, 2, 3)"""
+SQL["roster_whole_lines"] = with_roster(f"SELECT {CLEAN_COLS} FROM clean WHERE genero = 'M' AND id::BIGINT % 40 NOT IN (1, 2, 3)")
+SQL["roster_report"] = with_roster("SELECT count(*) AS filas, count(*) AS informadas FROM clean")
+SQL["eligible_men"] = with_roster(f"SELECT {CLEAN_COLS}, grupo FROM eligible WHERE genero = 'M'")
 SQL["roster_roundtrip"] = SQL["roster_clean"]
 SQL["position_groups"] = with_roster(
     "SELECT genero, grupo, count(*) AS jugadores FROM grouped GROUP BY genero, grupo")

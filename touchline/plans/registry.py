@@ -104,6 +104,11 @@ QUERIES: dict[str, Query] = {
     "event_zones": _on_events(quality.event_zones),
     "losses_by_zone": _on_events(quality.losses_by_zone),
     "nearest_to_ball": _on_events(quality.nearest_to_ball, cycle_seconds=ADAPTER_CYCLE_SECONDS),
+    "nearest_outfield": _on_events(quality.nearest_to_ball, cycle_seconds=ADAPTER_CYCLE_SECONDS,
+                                   exclude_goalkeepers=True, exclude_player="7"),
+    "losses_by_own_zone": _on_events(quality.losses_by_zone, relative=True),
+    "real_pass_metrics": lambda spark, sf_dir: player_metrics(
+        match_events(spark, sf_dir), relative_zones=True, real_pass=True),
     "event_bounds": _on_events(quality.event_bounds),
     "event_pairing": _on_events(quality.event_pairing),
     "stamina_monotone": _on_events(quality.stamina_monotone),

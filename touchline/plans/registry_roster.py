@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from touchline.operators import roster as R
 from touchline.operators.joins import metrics_with_roster, stamina_audit
 from touchline.session import input_version, shared_dir
-from touchline.sources.roster import read_roster_csv, write_roster_csvs, write_roster_parquet
+from touchline.sources.roster import (read_roster_checked, read_roster_csv, write_damaged_csv,
+                                      write_roster_csvs, write_roster_parquet)
 
 _CSV_CACHE: dict[tuple[str, str], tuple[str, str]] = {}
 
@@ -79,6 +81,25 @@ def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamina_audit(match_events(spark, sf_dir), R.play_attributes(raw_union(spark, sf_dir, False)))
 
 
+def bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a damaged roster file that are no rows, and why."""
+    path = shared_dir(spark, "roster-damaged")
+    return read_roster_checked(spark, path, write_damaged_csv(spark, sf_dir, path), header=False)[1]
+
+
+def whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean roster of the same file: damaged lines leave no trace in it."""
+    path = shared_dir(spark, "roster-damaged")
+    return R.clean_roster(read_roster_checked(spark, path, write_damaged_csv(spark, sf_dir, path), header=False)[0])
+
+
+def write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row count that the batch job reports, beside the rows it wrote."""
+    path = shared_dir(spark, "players_parquet")
+    reported = write_roster_parquet(clean(spark, sf_dir), path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("filas")).withColumn("informadas", F.lit(reported).cast("bigint"))
+
+
 ROSTER_QUERIES = {
     "roster_union": raw_union,
     "roster_clean": clean,
@@ -87,6 +108,10 @@ ROSTER_QUERIES = {
     "position_groups": lambda spark, sf_dir: R.position_groups(clean(spark, sf_dir)),
     "eligible_players": eligible,
     "safe_int_stats": lambda spark, sf_dir: R.safe_int_stats(raw_union(spark, sf_dir, False)),
+    "roster_bad_lines": bad_lines,
+    "roster_whole_lines": whole_lines,
+    "roster_report": write_report,
+    "eligible_men": lambda spark, sf_dir: R.eligible_players(clean(spark, sf_dir), gender="M"),
     "squad_draft": draft,
     "squad_draft_disjoint": draft_disjoint,
     "formation_check": lambda spark, sf_dir: R.formation_check(spark, eligible(spark, sf_dir)),

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.session import shared_dir
 
@@ -32,6 +33,31 @@ def read_roster_csv(spark: SparkSession, path: str, infer_schema: bool = False,
             .option("mode", mode).csv(path))
 
 
+CORRUPT = "_linea_mala"
+
+
+def read_roster_checked(spark: SparkSession, path: str, columns: list[str], header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad lines) of roster CSV files whose columns are known. A line
+    that has not as many cells as there are columns is no row: it is kept as
+    written, with the id it starts with and the reason, instead of being filled
+    up with nulls or cut. Cells stay text; ``clean_roster`` judges them."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
+    read = (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("columnPruning", False)  # else cells that a query leaves out are not counted
+            .csv(path))
+    line = F.col(CORRUPT)
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
+    cells = F.size(F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    reason = (F.when(quotes % 2 == 1, "comillas_abiertas").when(cells < len(columns), "faltan_celdas")
+              .when(cells > len(columns), "sobran_celdas").otherwise("ilegible"))
+    # true of every row; Spark refuses to read the line column alone, as counting would
+    other = F.coalesce(F.col(columns[0]), F.lit("")) >= ""
+    good = read.filter(line.isNull() & other).drop(CORRUPT)
+    bad = read.filter(line.isNotNull() & other).select(F.col(columns[0]).alias("id"), line.alias("linea"), reason.alias("motivo"))
+    return good, bad
+
+
 def _stats(k):
     def pick(m):
         return F.lit(40) + k * m % 60
@@ -80,6 +106,19 @@ def write_roster_csvs(spark: SparkSession, sf_dir: str, out_dir: str | None = No
     return men_path, women_path
 
 
+def write_damaged_csv(spark: SparkSession, sf_dir: str, out_dir: str) -> list[str]:
+    """The adapter's men as CSV lines, of which some are damaged: by id modulo
+    40, the last cell missing (1), a cell too many (2), a quote that is not
+    closed (3). Returns the columns."""
+    men, _ = adapter_frames(spark, sf_dir)
+    name = F.when(F.col("ID") % 40 == 3, F.concat(F.lit('"'), "Name")).otherwise(F.col("Name"))
+    cells = [F.coalesce(c.cast("string"), F.lit("")) for c in (name if c == "Name" else F.col(c) for c in men.columns)]
+    whole, cut = F.concat_ws(",", *cells), F.concat_ws(",", *cells[:-1])
+    line = F.when(F.col("ID") % 40 == 1, cut).when(F.col("ID") % 40 == 2, F.concat(whole, F.lit(",x"))).otherwise(whole)
+    men.select(line.alias("value")).write.text(out_dir)
+    return men.columns
+
+
 def write_roster_parquet(roster: DataFrame, path: str) -> int:
     """Overwrite the clean roster as Parquet and return the row count,
     measured during the write itself (no second pass over the data)."""
