@@ -53,17 +53,26 @@ def order_code(x) -> Column:
     2^-170) have unlike codes. Null and NaN give null."""
     x = _c(x).cast("double")
     a = F.abs(x)
-    # log2 may be off by one next to a power of two; the comparison mends it
-    guess = F.floor(F.log2(a))
-    e = guess - (a < F.pow(F.lit(2.0), guess)).cast("int") + (a >= F.pow(F.lit(2.0), guess + 1)).cast("int")
-    fraction = (a / F.pow(F.lit(2.0), e) - 1) * F.lit(float(1 << 52))
-    code = (e - _LEAST_EXPONENT + 1) * F.lit(1 << 52) + fraction.cast("bigint")
+    # the logarithm may be off in its last places: with the surplus, the
+    # exponent is right or one too high, which the fraction tells
+    guess = F.floor(F.log2(a) + 1e-9)
+    part = a / F.pow(F.lit(2.0), guess)
+    high = (part < 1).cast("bigint")
+    code = (guess - high - _LEAST_EXPONENT + 1) * F.lit(1 << 52) + ((part * (high + 1) - 1) * F.lit(float(1 << 52))).cast("bigint")
     top = F.lit((1024 - _LEAST_EXPONENT + 1) * (1 << 52))
-    size = (F.when(a < 2.0 ** _LEAST_EXPONENT, F.lit(0)).when(a > 1.7976931348623157e308, top).otherwise(code))
-    return F.when(F.isnan(x), F.lit(None)).otherwise(F.when(x < 0, -size).otherwise(size)).cast("bigint")
+    size = F.when(a < 2.0 ** _LEAST_EXPONENT, F.lit(0)).when(a > 1.7976931348623157e308, top).otherwise(code)
+    return F.when(~F.isnan(x), F.signum(x).cast("bigint") * size)
 
 
-def time_order_key(ts="timestamp", tiebreak=None, value=None) -> Column:
+def time_part(ts="timestamp") -> Column:
+    """The time's share of ``time_order_key``: its order code times 2^64. A
+    null time counts as the earliest. Project it once where several keys need
+    it: Spark would evaluate it for each."""
+    least = F.lit(-(1024 - _LEAST_EXPONENT + 2) * (1 << 52))
+    return (F.coalesce(order_code(ts), least).cast(_DEC) * F.lit(str(1 << 64)).cast(_DEC)).cast(_DEC)
+
+
+def time_order_key(ts="timestamp", tiebreak=None, value=None, time: Column | None = None) -> Column:
     """(event time, tiebreak) packed into one ``decimal(38,0)``: the order code
     of the time times 2^64, plus the tiebreak as an unsigned number. Where the
     tiebreak is null or not given, the order code of ``value`` takes its place,
@@ -71,21 +80,20 @@ def time_order_key(ts="timestamp", tiebreak=None, value=None) -> Column:
     they come. A null time counts as the earliest, so an event of unknown time
     never overrides a known one. A single decimal (unlike a struct) is a valid
     buffer type for hash aggregation, so ``max_by`` over it stays a
-    HashAggregate instead of sorting every map partition."""
-    least = F.lit(-(1024 - _LEAST_EXPONENT + 2) * (1 << 52))
-    time = F.coalesce(order_code(ts), least).cast(_DEC)
+    HashAggregate instead of sorting every map partition. ``time`` is the
+    projected ``time_part`` of ``ts``, where there is one."""
     ties = [t for t in (None if tiebreak is None else _c(tiebreak).cast("bigint"), None if value is None else order_code(value)) if t is not None]
     tie = F.coalesce(*ties, F.lit(-(1 << 63))).cast(_DEC) + F.lit(str(1 << 63)).cast(_DEC)
-    return (time * F.lit(str(1 << 64)).cast(_DEC) + tie).cast(_DEC)
+    return ((time_part(ts) if time is None else time) + tie).cast(_DEC)
 
 
-def latest(value, ts="timestamp", tiebreak=None) -> Column:
+def latest(value, ts="timestamp", tiebreak=None, time: Column | None = None) -> Column:
     """Value of the latest row (by event time, then tiebreak, then value)
     among rows where the value is not null. Order-independent (unlike
     ``last``), so the answer does not depend on partitioning or arrival order;
     a partial hash aggregate that also works in streaming state."""
     value = _c(value)
-    return F.max_by(value, F.when(value.isNotNull(), time_order_key(ts, tiebreak, value)))
+    return F.max_by(value, F.when(value.isNotNull(), time_order_key(ts, tiebreak, value, time)))
 
 
 def count_where(cond: Column) -> Column:

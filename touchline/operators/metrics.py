@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.columns import count_where, latest, pct, zone_of, zone_relative
+from touchline.functions.columns import count_where, latest, pct, time_part, zone_of, zone_relative
 from touchline.schemas import CYCLE_SECONDS, METRIC_KEYS, TIEBREAK_FIELD, ZONE_CUTS
 
 #: Time of a row's latest event, kept where rows are merged into documents.
 LAST_EVENT = "ultimo_evento"
+_TIME = "_orden"  # the time's share of the latest values' order, once a row
 
 METRIC_COLUMNS = [
     "distancia_m", "estamina_actual", "ultima_x", "ultima_y",
@@ -38,9 +39,9 @@ def metric_aggregates(cycle_seconds: float = CYCLE_SECONDS,
     action = F.col("action")
     return [
         F.round(F.sum("speed_jugador") * F.lit(float(cycle_seconds)), 1).alias("distancia_m"),
-        F.round(latest("estamina", "timestamp", tiebreak), 1).alias("estamina_actual"),
-        F.round(latest("x", "timestamp", tiebreak), 2).alias("ultima_x"),
-        F.round(latest("y", "timestamp", tiebreak), 2).alias("ultima_y"),
+        F.round(latest("estamina", "timestamp", tiebreak, F.col(_TIME)), 1).alias("estamina_actual"),
+        F.round(latest("x", "timestamp", tiebreak, F.col(_TIME)), 2).alias("ultima_x"),
+        F.round(latest("y", "timestamp", tiebreak, F.col(_TIME)), 2).alias("ultima_y"),
         count_where(action == "pase").alias("pases_intentados"),
         count_where((action == "pase") & (F.col("is_successful") == F.lit(True))).alias("pases_acertados"),
         count_where(action == "tiro").alias("tiros"),
@@ -72,7 +73,7 @@ def player_metrics(events: DataFrame, cycle_seconds: float = CYCLE_SECONDS,
     """Events -> one row per (match, player, name, team, position), with the
     time of its latest event if asked."""
     tiebreak = TIEBREAK_FIELD if TIEBREAK_FIELD in events.columns else None
-    zoned = with_zone(events, cuts, relative_zones)
+    zoned = with_zone(events, cuts, relative_zones).withColumn(_TIME, time_part("timestamp"))
     more = [F.max("timestamp").alias(LAST_EVENT)] if last_event else []
     agg = zoned.groupBy(*METRIC_KEYS).agg(*metric_aggregates(cycle_seconds, tiebreak), *more)
     return with_efficiency(agg, real_pass)

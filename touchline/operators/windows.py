@@ -118,18 +118,20 @@ def _scanned(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None, valu
     that carries ``combine`` of the ``carried`` aggregates of the ranges before."""
     narrow, rows = _numbered(df, keys, ts, tiebreak, value)
     splits = _splitters(narrow, rows, range_rows)
-    base = narrow.withColumn("_range", _range_of(splits))
+    # a group is divided only where a splitter has its hash
     divided = sorted({r["h"] for r in splits})
+    cut = F.col("_h").isin(divided) if divided else F.lit(False)
+    base = narrow.withColumn("_range", F.when(cut, _range_of(splits)).otherwise(0))
     if divided:
-        # a group is divided only where a splitter has its hash
-        parts = (base.filter(F.col("_h").isin(divided)).groupBy(*keys, "_range").agg(carried.alias("_c"))
+        parts = (base.filter(cut).groupBy(*keys, "_range").agg(carried.alias("_c"))
                  .withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("_range"))))
         before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
         sentinels = parts.withColumn(value, combine("_c", before)).filter(F.col("_n") > 1).drop("_n", "_c")
         base = base.withColumn("_real", F.lit(1)).unionByName(sentinels.withColumn("_real", F.lit(0)), allowMissingColumns=True)
     else:
         base = base.withColumn("_real", F.lit(1))
-    w = Window.partitionBy(*keys, "_range").orderBy("_real", "_o")
+    # a sentinel has nulls for its place, which sort before every row's
+    w = Window.partitionBy(*keys, "_range").orderBy("_o.t", "_o.b", "_o.v", "_o.n")
     done = base.withColumn(out, window_value(w)).filter(F.col("_real") == 1)
     return done.drop("_h", "_o", "_range", "_real")
 
