@@ -217,22 +217,54 @@ def test_join_finds_every_class(spark):
     assert got == plain_components(texts)
 
 
-def test_round_two_tells_groups_of_copies_apart(spark):
-    """Two groups of one hub with other members; every document came from two
-    tasks under two ids."""
-    ids = [1, 2, 3, 5, 6]
-    rep = {i + 10: i for i in ids}
-
-    def named(df, col):
-        r = spark.createDataFrame(list(rep.items()), "_id long, _rep long")
-        return df.join(r, df[col] == r["_id"], "left").selectExpr(*[f"coalesce(_rep, {c}) AS {c}" if c == col else c for c in df.columns])
-
-    groups = spark.createDataFrame([(1, 1, [2, 3, 11, 12, 13]), (2, 1, [5, 6, 11, 15, 16])], "gid long, hub long, members array<long>")
+def test_round_two_has_the_pairs_of_every_group(spark):
+    """Groups of one hub with other members, and groups that share pairs."""
+    ids = [1, 2, 3, 5, 6, 7]
+    groups = spark.createDataFrame([(10, 1, [2, 3]), (20, 1, [5, 6]), (30, 1, [2, 3, 7]), (40, 2, [3, 7, 5]), (50, 1, [5, 6])], "gid long, hub long, members array<long>")
     bits = bytes(64)
     reps = spark.createDataFrame([(i, 20, bits) for i in ids], "id long, n long, bits binary")
     found = spark.createDataFrame([], "id long, component long")
-    got = {tuple(r) for r in similarity_join._second(groups, reps, found, named, False, 4).collect()}
-    assert {(2, 3), (5, 6)} <= got
+    made = sorted(tuple(r) for r in similarity_join._second(groups, reps, found, False, 8).collect())
+    held = [[2, 3], [5, 6], [2, 3, 7], [3, 7, 5]]  # the hubs' pairs are checked before
+    assert made == sorted({(x, y) for g in held for x in g for y in g if x < y})
+
+
+def cluster(n, seed):
+    """Near copies of one text, each with a few words of its own."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{x}" for x in rng.integers(0, 400, 300)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for k in rng.integers(0, 300, 9):
+            own[int(k)] = f"n{rng.integers(0, 10**6)}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_pairs_of_a_cluster_grow_with_its_members(spark, monkeypatch):
+    made, second = [], similarity_join._second
+
+    def counted(*args):
+        out = second(*args).persist()
+        made[-1] += out.count()
+        return out
+    monkeypatch.setattr(similarity_join, "_second", counted)
+    for n in (60, 120):
+        made.append(0)
+        texts = dict(enumerate(cluster(n, 8)))
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows(similarity_join.near_duplicates(docs))}
+        assert got == plain_components(texts)
+    assert made[1] <= 2.5 * made[0] + 20, made
+
+
+def test_unlike_texts_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    docs = spark.createDataFrame([(5, a), (5, b), (2, a + " end"), (3, b + " end"), (4, c), (7, c), (7, None)], "doc_id long, text string")
+    for _ in range(2):
+        got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows(similarity_join.near_duplicates(docs.repartition(4))))
+        assert got == Counter({(5, 76, 2): 2, (2, 77, 2): 1, (3, 77, 2): 1, (4, 76, 4): 1, (7, 76, 4): 1, (7, 0, 7): 1}), got  # no words: linked with nothing
 
 
 def test_signatures_of_linked_sets_meet():

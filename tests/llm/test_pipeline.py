@@ -31,3 +31,11 @@ def test_language_id_drops_unknown_languages(prose, spark):
     kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, "").select("doc_id").collect()}
     want = {r["doc_id"] for r in clean.where(r"text rlike '\\p{L}'").collect()} | {i for i, *_ in long}
     assert kept == want
+
+
+def test_near_duplicates_keeps_unlike_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(1, a, "en", "s", 1), (1, a, "de", "s", 1), (1, b, "en", "s", 1), (2, b + " end", "en", "s", 1), (3, c, "en", "s", 1), (3, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted((r["doc_id"], r["text"] or "") for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert kept == sorted([(1, a), (1, b), (3, c), (3, "")])
