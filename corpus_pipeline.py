@@ -43,12 +43,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates the document with the smallest id
+    stays: all its unlike texts, of rows that repeat one text the first."""
     ship(spark)
     groups = similarity_join.near_duplicates(docs)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     rows = docs.select(COLUMNS).join(kept, "doc_id", "left_semi")
-    once = rows.withColumn("r", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "source", "lang")))
+    once = rows.withColumn("r", F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang", "n_chars")))
     return once.where("r = 1").select(COLUMNS).union(docs.where("doc_id is null").select(COLUMNS))
 
 
