@@ -341,7 +341,7 @@ def test_phrases_next_and_edited(odd, none, prose):
 
 
 def test_lm_base_is_exact_and_model_helps(prose):
-    got = {r["doc_id"]: r for r in rows(bloom_lm.score(prose, filter_bits=1 << 22))}
+    got = {r["doc_id"]: r for r in rows(bloom_lm.score(prose))}
     texts = {r["doc_id"]: [*words(r["text"]), None] for r in prose.collect()}
     count = Counter(w for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10 for w in t)
     n, v = sum(count.values()), len(count)
@@ -353,11 +353,69 @@ def test_lm_base_is_exact_and_model_helps(prose):
 
 
 def test_lm_odd_rows(odd, none):
-    got = rows(bloom_lm.score(odd, filter_bits=1 << 16))
+    got = rows(bloom_lm.score(odd))
     assert len(got) == 12 and all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in got)
     twins = [r for r in got if r["doc_id"] == 1]
     assert twins[0] == twins[1] and not any(r["held_out"] for r in got if r["doc_id"] is None)
-    assert rows(bloom_lm.score(none, filter_bits=1 << 16)) == []
+    assert rows(bloom_lm.score(none)) == []
+
+
+def test_lm_broadcast_and_travelling_probes_agree(spark, prose, odd):
+    for docs in (prose.select("doc_id", "text"), odd.select("doc_id", "text")):
+        a, b = (sorted(map(tuple, bloom_lm.score(docs, broadcast_bytes=n).collect()), key=str) for n in (1 << 30, -1))
+        assert len(a) == len(b) == docs.count()
+        for x, y in zip(a, b):
+            assert x[:5] == y[:5] and math.isclose(x[5], y[5], rel_tol=1e-9) and math.isclose(x[6], y[6], rel_tol=1e-9)
+
+
+def quantised(c):
+    return 0.0 if c == 0 else 1.0 if c == 1 else 1.5 * 2 ** (int(math.log2(c)))
+
+
+@pytest.mark.parametrize("size", [130, 200])
+def test_lm_score_by_a_dictionary_of_quantised_counts(prose, size):
+    """With a filter of few false positives the scores are those of exact
+    dictionaries; with the usual one, a few n-grams in a hundred differ."""
+    docs = prose.select("doc_id", "text").where(f"doc_id < {size}").coalesce(1)
+    texts = {r["doc_id"]: [*words(r["text"]), None] for r in docs.collect()}
+    train = {i: t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10}
+    single, pair = Counter(), Counter()
+    for t in train.values():
+        single.update(t)
+        pair.update(zip(["", *t], t))
+    holders = Counter(w for t in texts.values() for w in set(t))
+    n, v = sum(map(len, train.values())), len(single)
+    single[""] = len(train)
+    # frequent words are counted exactly, the others by levels
+    count = {w: c if w in ("", None) or holders[w] * 64 >= len(texts) else quantised(c) for w, c in single.items()}
+
+    def log_sum(t, x, less=0):
+        total = 0.0
+        for a, b in zip(["", *t], t):
+            k, p, q = (max(0, c - less) for c in (quantised(pair[a, b]), count.get(a, 0), count.get(b, 0)))
+            k = min(k, p, q) if count.get(a) and count.get(b) else 0
+            total += math.log10(x * k / max(p, 1) + (1 - x) * (q + 0.1) / (n + 0.1 * (v + 1)))
+        return total
+    best = max(bloom_lm.WEIGHTS, key=lambda x: sum(log_sum(t, x, 1) for t in train.values()))
+    fine, usual = ({r["doc_id"]: r["score"] for r in rows(bloom_lm.score(docs, entry_bits=e))} for e in (96, bloom_lm.ENTRY_BITS))
+    exact = sum(math.isclose(fine[i], log_sum(t, best), rel_tol=1e-9) for i, t in texts.items())
+    assert exact >= 0.98 * len(texts), (exact, best)
+    tokens, off = sum(map(len, texts.values())), sum(abs(usual[i] - fine[i]) for i in texts)
+    assert off < 0.15 * tokens
+
+
+def test_filter_has_every_ngram_and_few_others():
+    rng = np.random.default_rng(3)
+    for size in (50, 20_000):
+        h = np.unique(rng.integers(1, 2**63, size).astype(np.uint64) * np.uint64(2))
+        n = rng.integers(1, 100, len(h))
+        made = bloom_lm.segment(h, n, 0, 0)
+        assert len(made.data) * 8 <= max(64, bloom_lm.levels(n).sum() * bloom_lm.ENTRY_BITS + 8)
+        want = np.array([quantised(c) for c in n])
+        got = made.counts(h)
+        assert (got >= want).all() and (got > want).mean() < 0.06
+        strange = rng.integers(1, 2**63, 5000).astype(np.uint64) * np.uint64(2) + np.uint64(1) << np.uint64(17)
+        assert (made.counts(strange) > 0).mean() < 0.05
 
 
 # --- repeated substrings -------------------------------------------------

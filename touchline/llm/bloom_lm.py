@@ -5,16 +5,24 @@ end mark per text. Unigrams and bigrams of the training texts are counted by
 their fingerprints in buckets. A bucket writes them into its own segment of
 one Bloom filter: an n-gram of count c is entered with each level 1 ..
 1 + floor(log2 c), so its quantised count is the last level found by probing
-level after level. The filter has ``filter_bits`` bits whatever the corpus's
-size, which bounds what is broadcast; where a segment would pass its share,
-it leaves out bigrams below the smallest power of two at which it fits, and
-those are scored by their words.
+level after level. A segment has ``entry_bits`` bits for every entry of its
+bucket, so the filter grows with the distinct n-grams, none is left out, and an
+n-gram that was never seen passes for one with a chance of about 2.4 percent
+(at ``ENTRY_BITS``).
+
+A filter of up to ``broadcast_bytes`` is broadcast to the workers, which probe
+it as they read the texts. A larger one stays in its segments: the distinct
+bigrams of every document travel to the segment of their second word, then of
+their first, then of both, and collect the three counts on their way. Frequent
+words are not probed and take any way, so no segment gets the bigrams of
+``the``. Both ways probe the same filter and give the same scores.
 
 Scoring: P(w | v) = x * c(v, w) / c(v) + (1 - x) * P(w) with
 P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)); counts come from the filter (those
 of the frequent words below are exact), N tokens and V distinct ones are
-exact. The weight x is the one of ``WEIGHTS`` under which a sample of training
-texts is likeliest when each text's own occurrence is taken off the counts.
+exact. The weight x is the one of ``WEIGHTS`` under which all training texts
+are likeliest when each token's own occurrence is taken off the counts; each
+text is scored under every weight in one pass.
 
 ``base_score`` uses exact counts instead: a bucket has every document that
 holds a word, so it adds up the documents' shares; only words that many
@@ -41,8 +49,13 @@ from touchline.llm.common import stored
 WEIGHTS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.2, 0.3, 0.5, 0.7)
 HOT = 4096
 PROBES = 4
+ENTRY_BITS = 8
+BROADCAST_BYTES = 192 << 20
 CHUNK = 1 << 20
 FLUSH = 1 << 19  # words that a task gathers before it sends them
+BUCKET = 25  # a bucket has the words of some 2**25 bytes of text
+FINER = 3  # bigrams have 2**3 buckets for one of words
+SALTS = 8  # groups that the travelling bigrams of one segment are split into
 END = U64(0x5851F42D4C957F2D)
 BEGIN = U64(0x14057B7EF767814F)
 _LEVEL = mix(np.arange(1, 65, dtype=U64) * U64(0xA0761D6478BD642F))
@@ -74,31 +87,36 @@ def bigrams(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return before, own, mix(before * _PAIR + own)
 
 
-def places(h: np.ndarray, level: int, bits: int, segment: int) -> np.ndarray:
-    """Bit numbers of fingerprints on a level: a row per probe. The top
-    ``bits`` bits choose the segment of ``segment`` bits (a power of two)."""
-    base = (h >> U64(64 - bits)).astype(np.int64) * segment
-    spare = U64(16 - min(bits, 16))  # the lowest bits that buckets do not get to see
-    a = mix((h >> spare << spare) ^ _LEVEL[level])
-    b = (a >> U64(32)) | U64(1)
-    return np.stack([base + (((a & U64(0xFFFFFFFF)) + b * U64(i)) & U64(segment - 1)).astype(np.int64) for i in range(PROBES)])
+class Segments:
+    """Parts of the filter, chosen by the top ``bits`` bits of a fingerprint:
+    the first bit and the number of bits of each within ``data``."""
 
+    def __init__(self, data: np.ndarray, bits: int, first: np.ndarray, size: np.ndarray):
+        self.data, self.bits, self.first, self.size = data, bits, first.astype(U64), size.astype(U64)
 
-class Filter:
-    """The whole filter on a worker."""
+    def places(self, h: np.ndarray, level: int) -> np.ndarray:
+        """Bit numbers of fingerprints on a level: a row per probe."""
+        part = (h >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(h), np.int64)
+        spare = U64(16 - min(self.bits, 16))  # the lowest bits that buckets do not get to see
+        a = mix((h >> spare << spare) ^ _LEVEL[level])
+        b = (a >> U64(32)) | U64(1)
+        first, size = self.first[part], self.size[part]
+        return np.stack([first + ((((a + b * U64(i)) & U64(0xFFFFFFFF)) * size) >> U64(32)) for i in range(PROBES)])
 
-    def __init__(self, data: np.ndarray, bits: int):
-        self.data, self.bits, self.segment = data, bits, len(data) * 8 >> bits
+    def enter(self, h: np.ndarray, n: np.ndarray) -> None:
+        level = levels(n)
+        for j in range(int(level.max()) if len(level) else 0):
+            p = self.places(h[level > j], j).ravel()
+            np.bitwise_or.at(self.data, (p >> U64(3)).astype(np.int64), (U64(1) << (p & U64(7))).astype(np.uint8))
 
     def counts(self, h: np.ndarray) -> np.ndarray:
         """Quantised counts: 0, or the middle of the last level that is found."""
         level = np.zeros(len(h), np.int64)
         live = np.arange(len(h))
         for k in range(40):
-            p = places(h[live], k, self.bits, self.segment)
             there = np.ones(len(live), bool)
-            for row in p:
-                there &= (self.data[row >> 3] >> (row & 7).astype(np.uint8)) & 1 == 1
+            for row in self.places(h[live], k):
+                there &= (self.data[(row >> U64(3)).astype(np.int64)] >> (row & U64(7)).astype(np.uint8)) & 1 == 1
             live = live[there]
             if not len(live):
                 break
@@ -106,6 +124,22 @@ class Filter:
         return np.where(level == 0, 0.0, np.where(level == 1, 1.0, 1.5 * 2.0 ** (level - 1)))
 
 
+def levels(n: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(n)).astype(np.int64) + 1 if len(n) else n.astype(np.int64)
+
+
+def segment(h: np.ndarray, n: np.ndarray, bits: int, bucket: int, entry_bits: int = ENTRY_BITS) -> Segments:
+    """A new segment that holds the n-grams of one bucket."""
+    size = max(64, -(-int(levels(n).sum()) * entry_bits // 8) * 8)
+    if size >= 1 << 32:
+        raise ValueError("a bucket has too many n-grams for one segment")
+    parts = (bucket + 1 if bits else 1)
+    first, sizes = np.zeros(parts, np.int64), np.full(parts, size)
+    out = Segments(np.zeros(size // 8, np.uint8), bits, first, sizes)
+    out.enter(h, n)
+    return out
+
+
 def _prepared(docs: DataFrame, id_col: str, text_col: str, folds: int) -> DataFrame:
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
     text = F.coalesce(text_col, F.lit(""))
@@ -141,10 +175,28 @@ def _is_hot(hot: np.ndarray, h: np.ndarray) -> np.ndarray:
     return hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h
 
 
-def _packed(docs: DataFrame, hot, bits: int) -> DataFrame:
-    """Per bucket: the documents' rarer words (word, document, times), counted
-    hot words and counted bigrams of training texts."""
-    names = ["bucket", "ids", "train", "word", "doc", "times", "hot", "hot_n", "pair", "pair_n"]
+def _cut(h: np.ndarray, bits: int) -> np.ndarray:
+    """Edges of the buckets in sorted fingerprints."""
+    part = (h >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+    return np.searchsorted(part, np.arange((1 << bits) + 1))
+
+
+def _six(h: np.ndarray, bits: int) -> bytes:
+    """The 48 bits below the bucket's: what a bucket needs to know."""
+    return (h >> U64(16 - min(bits, 16)) & U64((1 << 48) - 1)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _whole(six: np.ndarray, bits: int, bucket: int) -> np.ndarray:
+    return (U64(bucket) << U64(64 - bits) if bits else U64(0)) | six << U64(16 - min(bits, 16))
+
+
+_PARTS = ["kind", "bucket", "ids", "train", "word", "doc", "times", "hot", "hot_n"]
+
+
+def _packed(docs: DataFrame, hot, bits: int, pair_bits: int) -> DataFrame:
+    """Per bucket of words: the documents' rarer words (word, document, times)
+    and counted hot words of training texts. Per bucket of bigrams: those of
+    training texts (word) with their counts (times)."""
 
     def send(ids, train, word, doc, times, hot_h, pair):
         hot_h, hot_n = np.unique(np.concatenate(hot_h), return_counts=True)
@@ -153,22 +205,24 @@ def _packed(docs: DataFrame, hot, bits: int) -> DataFrame:
         order = np.argsort(word, kind="stable")
         word, doc, times = word[order], doc[order], times[order]
         ids, train = np.array(ids, np.int64).reshape(-1, 2), np.array(train, bool)
-        cut = lambda h: np.searchsorted(h >> U64(64 - bits), np.arange((1 << bits) + 1))
-        w, t, p = cut(word), cut(hot_h), cut(pair)
-        low = U64((1 << 48) - 1)
+        w, t, p = _cut(word, bits), _cut(hot_h, bits), _cut(pair, pair_bits)
         rows = []
         for k in range(1 << bits):
             a, z = w[k], w[k + 1]
+            if a == z and t[k] == t[k + 1]:
+                continue
             used, place = np.unique(doc[a:z], return_inverse=True)
-            rest = (word[a:z] >> U64(16 - min(bits, 16)) & low).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-            pairs = (pair[p[k] : p[k + 1]] >> U64(16 - min(bits, 16)) & low).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-            rows.append((k, ids[used].tobytes(), train[used].tobytes(), rest, place.astype(np.uint32).tobytes(), times[a:z].astype(np.uint32).tobytes(), hot_h[t[k] : t[k + 1]].tobytes(), hot_n[t[k] : t[k + 1]].tobytes(), pairs, pair_n[p[k] : p[k + 1]].astype(np.uint32).tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 9))], names=names)
+            rows.append((0, k, ids[used].tobytes(), train[used].tobytes(), _six(word[a:z], bits), place.astype(np.uint32).tobytes(), times[a:z].astype(np.uint32).tobytes(), hot_h[t[k] : t[k + 1]].tobytes(), hot_n[t[k] : t[k + 1]].tobytes()))
+        for k in np.flatnonzero(np.diff(p)).tolist():
+            a, z = p[k], p[k + 1]
+            rows.append((1, k, b"", b"", _six(pair[a:z], pair_bits), b"", pair_n[a:z].astype(np.uint32).tobytes(), b"", b""))
+        for at in range(0, len(rows), 64):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 64]), (pa.int32(), pa.int32(), *[pa.binary()] * 7))], names=_PARTS)
 
     def run(it):
         top = hot.value
         state: tuple = ([], [], [], [], [], [], [])
-        total = 0
+        total, flush = 0, min(max(FLUSH, 4 << pair_bits), 4 * FLUSH)
         for b in batches(it):
             keys = list(zip(b.column("id").to_pylist(), b.column("version").to_pylist()))
             learn = b.column("train").to_pylist()
@@ -194,14 +248,13 @@ def _packed(docs: DataFrame, hot, bits: int) -> DataFrame:
                 _, _, both = bigrams(h, edge)
                 pair.append(both[np.repeat(mine, np.diff(edge) + 1)])
                 total += len(h) + last - first
-                if total >= FLUSH:
+                if total >= flush:
                     yield from send(*state)
                     state, total = ([], [], [], [], [], [], []), 0
         if state[0]:
             yield from send(*state)
 
-    schema = "bucket int, ids binary, train binary, word binary, doc binary, times binary, hot binary, hot_n binary, pair binary, pair_n binary"
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, "kind int, bucket int, ids binary, train binary, word binary, doc binary, times binary, hot binary, hot_n binary")
 
 
 def _joined(parts, width: int, dtype) -> np.ndarray:
@@ -220,16 +273,17 @@ def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[at], np.add.reduceat(n, at) if len(at) else n
 
 
-def _counted(packed: DataFrame, bits: int, filter_bits: int) -> DataFrame:
-    """One row per bucket: its filter segment, number of distinct words, hot
-    words with counts, and the documents' sums of log10(c + 0.1) and known words."""
-    segment = filter_bits >> bits
-    capacity = int(segment * 0.69 / PROBES)
+def _counted(packed: DataFrame, bits: int, pair_bits: int, entry_bits: int) -> DataFrame:
+    """One row per bucket: its filter segment and, of words, the number of
+    distinct ones, hot ones with counts, and the documents' sums of
+    log10(c + 0.1) and known words."""
 
-    def run(key, pdf):
-        k = int(key[0])
-        top = U64(k) << U64(64 - bits)
-        whole = lambda h: top | h << U64(16 - min(bits, 16))
+    def pairs(k, pdf):
+        pair, n = _summed(_joined(pdf.word, 6, None), _joined(pdf.times, 4, np.uint32).astype(np.int64))
+        none = np.zeros(0, np.int64)
+        return segment(_whole(pair, pair_bits, k), n, pair_bits, k, entry_bits), 0, none.reshape(0, 2), none.astype(float), none, none.view(U64), none
+
+    def words_of(k, pdf):
         ids = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in pdf.ids]
         base = np.cumsum([0, *map(len, ids)])
         doc = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + b for x, b in zip(pdf.doc, base)])
@@ -243,62 +297,71 @@ def _counted(packed: DataFrame, bits: int, filter_bits: int) -> DataFrame:
         share = np.bincount(doc, times * np.log10(c + 0.1), minlength=len(ids))
         known = np.bincount(doc, times * (c > 0), minlength=len(ids)).astype(np.int64)
         hot, hot_n = _summed(_joined(pdf.hot, 8, "<u8"), _joined(pdf.hot_n, 8, np.int64))
-        pair, pair_n = _summed(_joined(pdf.pair, 6, None), _joined(pdf.pair_n, 4, np.uint32).astype(np.int64))
         seen = count > 0
-        single = (np.concatenate([whole(word[at][seen]), hot]), np.concatenate([count[seen], hot_n]))
-        levels = lambda n: np.floor(np.log2(n)).astype(np.int64) + 1 if len(n) else n
-        least = 1
-        while levels(single[1]).sum() + levels(pair_n[pair_n >= least]).sum() > capacity and (pair_n >= least).any():
-            least *= 2
-        field = np.zeros(segment, bool)
-        for h, n in (single, (whole(pair[pair_n >= least]), pair_n[pair_n >= least])):
-            level = levels(n)
-            for j in range(int(level.max()) if len(level) else 0):
-                field[(places(h[level > j], j, bits, segment) - k * segment).ravel()] = True
+        return segment(_whole(word[at][seen], bits, k), count[seen], bits, k, entry_bits), int(seen.sum()), ids, share, known, hot, hot_n
+
+    def run(key, pdf):
+        made, vocab, ids, share, known, hot, hot_n = (pairs if key[0] else words_of)(int(key[1]), pdf)
         return pd.DataFrame([{
-            "bucket": k, "field": np.packbits(field, bitorder="little").tobytes(), "vocab": int(seen.sum()), "ids": ids[:, 0], "versions": ids[:, 1],
-            "share": share, "known": known, "hot": hot.view(np.int64), "hot_n": hot_n, "least": least,
+            "kind": key[0], "bucket": key[1], "field": made.data.tobytes(), "size": len(made.data), "vocab": vocab, "ids": ids[:, 0], "versions": ids[:, 1],
+            "share": share, "known": known, "hot": hot.view(np.int64), "hot_n": hot_n,
         }])
 
-    schema = "bucket int, field binary, vocab long, ids array<long>, versions array<long>, share array<double>, known array<long>, hot array<long>, hot_n array<long>, least long"
-    return packed.groupBy("bucket").applyInPandas(run, schema)
+    schema = "kind int, bucket int, field binary, size long, vocab long, ids array<long>, versions array<long>, share array<double>, known array<long>, hot array<long>, hot_n array<long>"
+    return packed.groupBy("kind", "bucket").applyInPandas(run, schema)
 
 
-def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, filter_bits: int = 1 << 28, sample_docs: int = 8192) -> DataFrame:
+def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, sample_docs: int = 8192, entry_bits: int = ENTRY_BITS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     spark = docs.sparkSession
     own = _prepared(docs, id_col, text_col, folds)
     total, learned = own.agg(F.sum(F.octet_length("text")), F.sum(F.col("train").cast("long"))).first()
     learned = learned or 0
-    bits = min(12, max(3, int((total or 0) >> 25).bit_length()))
+    bits = max(3, int((total or 0) >> BUCKET).bit_length())
+    pair_bits = bits + FINER
     hot = _hot_words(own, sample_docs)
-    counted = stored(_counted(_packed(own, spark.sparkContext.broadcast(hot), bits), bits, filter_bits), "ngrams")
-    # the filter: 2**bits segments of one fixed total size
-    field = np.zeros(filter_bits >> 3, np.uint8)
-    part = filter_bits >> 3 + bits
-    for row in counted.select("bucket", "field").toLocalIterator():
-        field[row["bucket"] * part : (row["bucket"] + 1) * part] = np.frombuffer(row["field"], np.uint8)
-    hot_rows = counted.select(F.explode(F.arrays_zip("hot", "hot_n")).alias("x")).select("x.*").toPandas()
+    counted = stored(_counted(_packed(own, spark.sparkContext.broadcast(hot), bits, pair_bits), bits, pair_bits, entry_bits), "ngrams")
+    hot_rows = counted.where(F.size("hot") > 0).select(F.explode(F.arrays_zip("hot", "hot_n")).alias("x")).select("x.*").toPandas()
     hot_n = np.zeros(len(hot), np.int64)
     if len(hot_rows):
         hot_n[np.searchsorted(hot, hot_rows["hot"].to_numpy(np.int64).view(U64))] = hot_rows["hot_n"].to_numpy()
-    vocab = (counted.agg(F.sum("vocab")).first()[0] or 0) + int((hot_n > 0).sum()) + (learned > 0)
-    model = {"field": field, "bits": bits, "hot": hot, "hot_n": hot_n, "vocab": vocab, "ends": learned}
+    vocab, held = counted.agg(F.sum("vocab"), F.sum("size")).first()
+    vocab = (vocab or 0) + int((hot_n > 0).sum()) + (learned > 0)
     n_train = own.where("train").mapInArrow(_token_counts, "n long").agg(F.sum("n")).first()[0] or 0
-    model["tokens"] = n_train
-    shared = spark.sparkContext.broadcast(model)
-    weight = _best_weight(_sampled(own.where("train"), learned, sample_docs), shared)
-    scored = _scored(own, shared, weight)
-    shares = counted.select(F.explode(F.arrays_zip("ids", "versions", "share", "known")).alias("x")).select("x.*")
+    model = {"hot": hot, "hot_n": hot_n, "ends": learned, "scale": n_train + 0.1 * (vocab + 1)}
+    if (held or 0) <= broadcast_bytes:
+        for kind, name, n in ((0, "words", bits), (1, "pairs", pair_bits)):
+            model[name] = _gathered(counted.where(F.col("kind") == kind), n)
+        sums = _scored(own, spark.sparkContext.broadcast(model))
+    else:
+        sums = _travelled(own, spark.sparkContext.broadcast(model), counted, bits, pair_bits)
+    sums = stored(sums, "scores")
+    # the likeliest weight for the training texts without themselves
+    fit = [sums.agg(*[F.sum(F.element_at("fit", k + 1)).alias(f"f{k}") for k in range(len(WEIGHTS))]).first()][0]
+    fit = [x if x is not None else 0.0 for x in fit]
+    best = fit.index(max(fit))
+    shares = counted.where("kind = 0").select(F.explode(F.arrays_zip("ids", "versions", "share", "known")).alias("x")).select("x.*")
     shares = shares.groupBy(F.col("ids").alias("_id"), F.col("versions").alias("_version")).agg(F.sum("share").alias("_share"), F.sum("known").alias("_known"))
     again = own.groupBy(F.coalesce("id", F.lit(0)).alias("_i"), F.col("version").alias("_v")).agg(F.count("*").alias("_rows")).where("_rows > 1")
     shares = shares.join(again, (shares["_id"] == again["_i"]) & (shares["_version"] == again["_v"]), "left")
-    out = scored.join(shares, (F.coalesce(scored["id"], F.lit(0)) == shares["_id"]) & (scored["version"] == shares["_version"]), "left")
+    out = sums.join(shares, (F.coalesce(sums["id"], F.lit(0)) == shares["_id"]) & (sums["version"] == shares["_version"]), "left")
     rows = F.coalesce("_rows", F.lit(1))
-    scale = float(np.log10(n_train + 0.1 * (vocab + 1)))
+    scale = float(np.log10(model["scale"]))
     base = F.col("hot_share") + F.coalesce("_share", F.lit(0.0)) / rows - F.col("n_tokens") * scale
     known = F.col("hot_known") + F.coalesce((F.col("_known") / rows).cast("bigint"), F.lit(0))
-    return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", known.alias("n_known"), F.lit(n_train).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score")
+    return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", known.alias("n_known"), F.lit(n_train).cast("bigint").alias("train_tokens"), base.alias("base_score"), F.element_at("scores", best + 1).alias("score"))
+
+
+def _gathered(rows: DataFrame, bits: int) -> Segments:
+    """The segments one after another; the caller has checked their size."""
+    first, size = np.zeros(1 << bits, np.int64), np.full(1 << bits, 64)
+    parts, at = [np.zeros(8, np.uint8)], 8  # buckets without n-grams share an empty one
+    for row in rows.select("bucket", "field").toLocalIterator():
+        part = np.frombuffer(row["field"], np.uint8)
+        first[row["bucket"]], size[row["bucket"]] = at * 8, len(part) * 8
+        parts.append(part)
+        at += len(part)
+    return Segments(np.concatenate(parts), bits, first, size)
 
 
 def _token_counts(it):
@@ -307,65 +370,183 @@ def _token_counts(it):
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
 
-class Scorer:
-    """The model on a worker."""
+def _exact(m: dict, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts that need no probe (hot words, marks), and which those are."""
+    c, exact = np.zeros(len(h)), _is_hot(m["hot"], h)
+    if exact.any():
+        c[exact] = m["hot_n"][np.searchsorted(m["hot"], h[exact])]
+    marks = (h == END) | (h == BEGIN)
+    c[marks] = m["ends"]
+    return c, exact | marks
 
-    def __init__(self, m: dict):
-        self.lm, self.scale = Filter(m["field"], m["bits"]), m["tokens"] + 0.1 * (m["vocab"] + 1)
-        self.hot, self.hot_n, self.ends = m["hot"], m["hot_n"], m["ends"]
 
-    def counts(self, h: np.ndarray, edge: np.ndarray) -> tuple:
-        """Of every token of a chunk: c(v), c(w), c(v, w), and whether c(w) is exact."""
-        before, own, both = bigrams(h, edge)
-        start = edge[:-1] + np.arange(len(edge) - 1)
-        kinds, back = np.unique(own, return_inverse=True)
-        c, exact = self.lm.counts(kinds), _is_hot(self.hot, kinds)
-        if exact.any():
-            c[exact] = self.hot_n[np.searchsorted(self.hot, kinds[exact])]
-        c[kinds == END] = self.ends
-        exact |= kinds == END
-        single = c[back]
-        prior = np.empty(len(own))
-        prior[1:] = single[:-1]
-        prior[start] = self.ends
-        pair = np.where((single > 0) & (prior > 0), self.lm.counts(both), 0.0)
-        return start, prior, single, np.minimum(pair, np.minimum(prior, single)), exact[back]
+def _sums(prior, single, pair, scale: float) -> np.ndarray:
+    """log10 P of tokens: a row for every weight."""
+    pair = np.minimum(pair, np.minimum(prior, single))
+    bound, free = pair / np.maximum(prior, 1.0), (single + 0.1) / scale
+    return np.stack([np.log10(x * bound + (1 - x) * free) for x in WEIGHTS])
 
-    def chances(self, prior, single, pair, weight: float) -> np.ndarray:
-        return weight * pair / np.maximum(prior, 1.0) + (1 - weight) * (single + 0.1) / self.scale
 
+_SCORED = "id long, version long, held_out boolean, n_tokens long, hot_known long, hot_share double, scores array<double>, fit array<double>"
+
+
+def _doc_sums(prior, single, pair, times, start, train, scale) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the tokens of each document, and those of a training document
+    with its token's own occurrence taken off the counts."""
+    scores = np.add.reduceat(_sums(prior, single, pair, scale) * times, start, axis=1)
+    less = [np.maximum(x - 1, 0) for x in (prior, single, pair)]
+    fit = np.add.reduceat(_sums(*less, scale) * times, start, axis=1) * train
+    return scores.T, fit.T
 
-def _best_weight(sample: DataFrame, shared) -> float:
-    def run(it):
-        scorer = Scorer(shared.value)
-        for b in batches(it):
-            sums = np.zeros(len(WEIGHTS))
-            for _, _, h, edge in tokens(b.column("text").to_pylist()):
-                _, prior, single, pair, _ = scorer.counts(h, edge)
-                prior, single, pair = (np.maximum(x - 1, 0) for x in (prior, single, pair))
-                sums += [np.log10(scorer.chances(prior, single, pair, x)).sum() for x in WEIGHTS]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(WEIGHTS)), pa.int32()), pa.array(sums)], names=["k", "s"])
 
-    rows = sample.mapInArrow(run, "k int, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
-    return WEIGHTS[max(rows, key=lambda r: r["s"])["k"]] if rows else WEIGHTS[0]
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(np.ascontiguousarray(x).ravel()))
 
 
-def _scored(docs: DataFrame, shared, weight: float) -> DataFrame:
-    """Scores from the filter, and the shares of hot words and end marks in
-    the base score."""
+def _scored(docs: DataFrame, shared) -> DataFrame:
+    """Sums from the broadcast filter, and the shares of hot words and end
+    marks in the base score."""
 
     def run(it):
-        scorer = Scorer(shared.value)
+        m = shared.value
         for b in batches(it):
-            cols: list = [[], [], [], []]
-            for _, _, h, edge in tokens(b.column("text").to_pylist()):
-                start, prior, single, pair, exact = scorer.counts(h, edge)
-                logp = np.log10(scorer.chances(prior, single, pair, weight))
+            train = np.array(b.column("train").to_pylist(), bool)
+            cols: list = [[], [], [], [], []]
+            for first, last, h, edge in tokens(b.column("text").to_pylist()):
+                before, own, both = bigrams(h, edge)
+                start = edge[:-1] + np.arange(len(edge) - 1)
+                kinds, back = np.unique(own, return_inverse=True)
+                c, exact = _exact(m, kinds)
+                c[~exact] = m["words"].counts(kinds[~exact])
+                single, exact = c[back], exact[back]
+                prior = np.empty(len(own))
+                prior[1:] = single[:-1]
+                prior[start] = m["ends"]
+                pair = np.zeros(len(own))
+                may = (single > 0) & (prior > 0)
+                pair[may] = m["pairs"].counts(both[may])
+                scores, fit = _doc_sums(prior, single, pair, 1.0, start, train[first:last], m["scale"])
                 share = np.where(exact, np.log10(single + 0.1), 0.0)
-                cols[0].append(np.diff(edge) + 1)
-                for col, x in zip(cols[1:], ((exact & (single > 0)).astype(np.int64), share, logp)):
-                    col.append(np.add.reduceat(x, start))
-            size, known, share, logp = (np.concatenate(c) for c in cols)
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("version"), b.column("held_out"), pa.array(size), pa.array(known), pa.array(share), pa.array(logp)], names=["id", "version", "held_out", "n_tokens", "hot_known", "hot_share", "score"])
+                for col, x in zip(cols, (np.diff(edge) + 1, np.add.reduceat((exact & (single > 0)).astype(np.int64), start), np.add.reduceat(share, start), scores, fit)):
+                    col.append(x)
+            size, known, share, scores, fit = (np.concatenate(c) for c in cols)
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("version"), b.column("held_out"), pa.array(size), pa.array(known), pa.array(share), _lists(scores), _lists(fit)], names=[x.split()[0] for x in _SCORED.split(", ")])
+
+    return docs.select("id", "version", "held_out", "train", "text").mapInArrow(run, _SCORED)
+
+
+_TRAVEL = "bucket int, salt int, ids binary, train binary, doc binary, before binary, own binary, both binary, times binary, single binary, prior binary"
+_TRAVEL_NAMES = [x.split()[0] for x in _TRAVEL.split(", ")]
+
+
+def _sent(bucket: np.ndarray, salt: int, ids, train, doc, cols: dict) -> list[tuple]:
+    """Rows of ``_TRAVEL``, one for each bucket."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+    rows = []
+    for a, z in zip(at, [*at[1:], len(bucket)]):
+        take = order[a:z]
+        used, place = np.unique(doc[take], return_inverse=True)
+        rows.append((int(bucket[a]), salt, ids[used].tobytes(), train[used].tobytes(), place.astype(np.uint32).tobytes(), *[cols[c][take].tobytes() if c in cols else b"" for c in _TRAVEL_NAMES[5:]]))
+    return rows
 
-    return docs.select("id", "version", "held_out", "text").mapInArrow(run, "id long, version long, held_out boolean, n_tokens long, hot_known long, hot_share double, score double")
+
+def _opened(pdf, names) -> tuple:
+    """ids, train and doc of the rows together, and the columns ``names``."""
+    ids = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in pdf.ids]
+    base = np.cumsum([0, *map(len, ids)])
+    doc = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + b for x, b in zip(pdf.doc, base)])
+    kinds = {"times": np.uint32, "single": np.float64, "prior": np.float64}
+    cols = {c: np.frombuffer(b"".join(pdf[c]), kinds.get(c, U64)) for c in names}
+    return np.concatenate(ids), np.frombuffer(b"".join(pdf.train), bool), doc, cols
+
+
+def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+
+
+def _travelled(docs: DataFrame, shared, counted: DataFrame, bits: int, pair_bits: int) -> DataFrame:
+    """As ``_scored``, with the filter left in its segments."""
+
+    def depart(it):
+        m, salt = shared.value, 0
+        for b in batches(it):
+            keys = [(0 if i is None else i, v) for i, v in zip(b.column("id").to_pylist(), b.column("version").to_pylist())]
+            learn = np.array(b.column("train").to_pylist(), bool)
+            for first, last, h, edge in tokens(b.column("text").to_pylist()):
+                before, own, both = bigrams(h, edge)
+                doc = np.repeat(np.arange(last - first), np.diff(edge) + 1)
+                order = np.lexsort((both, doc))
+                new = np.ones(len(order), bool)
+                new[1:] = (both[order][1:] != both[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+                at = np.flatnonzero(new)
+                one = order[at]
+                cols = {"before": before[one], "own": own[one], "both": both[one], "times": np.diff(np.append(at, len(order))).astype(np.uint32)}
+                _, exact = _exact(m, cols["own"])
+                to = _bucket(np.where(exact, cols["both"], cols["own"]), bits)
+                rows = _sent(to, salt % SALTS, np.array(keys[first:last], np.int64).reshape(-1, 2), learn[first:last], doc[one], cols)
+                salt += 1
+                for k in range(0, len(rows), 64):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 64]), (pa.int32(), pa.int32(), *[pa.binary()] * 9))], names=_TRAVEL_NAMES)
+
+    def held(right, n: int, bucket: int) -> Segments:
+        if not len(right):
+            return Segments(np.zeros(8, np.uint8), n, np.zeros(bucket + 1, np.int64), np.full(bucket + 1, 64))
+        data = np.frombuffer(right.field.iloc[0], np.uint8)
+        return Segments(data, n, np.zeros(bucket + 1, np.int64), np.full(bucket + 1, len(data) * 8))
+
+    def at_second(key, left, right):
+        if not len(left):
+            return pd.DataFrame([], columns=_TRAVEL_NAMES)
+        ids, train, doc, cols = _opened(left, ["before", "own", "both", "times"])
+        c, exact = _exact(shared.value, cols["own"])
+        c[~exact] = held(right, bits, int(key[0])).counts(cols["own"][~exact])
+        _, known = _exact(shared.value, cols["before"])
+        to = _bucket(np.where(known, cols["both"], cols["before"]), bits)
+        return pd.DataFrame(_sent(to, int(key[1]), ids, train, doc, {**cols, "single": c}), columns=_TRAVEL_NAMES)
+
+    def at_first(key, left, right):
+        if not len(left):
+            return pd.DataFrame([], columns=_TRAVEL_NAMES)
+        ids, train, doc, cols = _opened(left, ["before", "own", "both", "times", "single"])
+        c, exact = _exact(shared.value, cols["before"])
+        c[~exact] = held(right, bits, int(key[0])).counts(cols["before"][~exact])
+        return pd.DataFrame(_sent(_bucket(cols["both"], pair_bits), int(key[1]), ids, train, doc, {**cols, "prior": c}), columns=_TRAVEL_NAMES)
+
+    def at_both(key, left, right):
+        names = ["id", "version", "n_tokens", "hot_known", "hot_share", "scores", "fit"]
+        if not len(left):
+            return pd.DataFrame([], columns=names)
+        m = shared.value
+        ids, train, doc, cols = _opened(left, ["own", "both", "times", "single", "prior"])
+        order = np.argsort(doc, kind="stable")
+        doc, cols = doc[order], {k: v[order] for k, v in cols.items()}
+        pair, may = np.zeros(len(doc)), (cols["single"] > 0) & (cols["prior"] > 0)
+        pair[may] = held(right, pair_bits, int(key[0])).counts(cols["both"][may])
+        start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+        times, who = cols["times"].astype(np.int64), doc[start]
+        scores, fit = _doc_sums(cols["prior"], cols["single"], pair, times, start, train[who], m["scale"])
+        _, exact = _exact(m, cols["own"])
+        share = np.where(exact, np.log10(cols["single"] + 0.1), 0.0) * times
+        known = np.where(exact & (cols["single"] > 0), times, 0)
+        return pd.DataFrame({"id": ids[who, 0], "version": ids[who, 1], "n_tokens": np.add.reduceat(times, start), "hot_known": np.add.reduceat(known, start),
+                             "hot_share": np.add.reduceat(share, start), "scores": list(scores), "fit": list(fit)})
+
+    def met(rows: DataFrame, kind: int, fn, schema: str) -> DataFrame:
+        parts = counted.where(F.col("kind") == kind).select("bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "field")
+        return rows.groupBy("bucket", "salt").cogroup(parts.groupBy("bucket", "salt")).applyInPandas(fn, schema)
+
+    rows = docs.select("id", "version", "train", "text").mapInArrow(depart, _TRAVEL)
+    rows = stored(met(rows, 0, at_second, _TRAVEL), "second-words")
+    rows = stored(met(rows, 0, at_first, _TRAVEL), "first-words")
+    parts = met(rows, 1, at_both, "id long, version long, n_tokens long, hot_known long, hot_share double, scores array<double>, fit array<double>")
+    added = [F.sum(F.element_at(c, k + 1)).alias(f"{c}{k}") for c in ("scores", "fit") for k in range(len(WEIGHTS))]
+    one = parts.groupBy(F.col("id").alias("_i"), F.col("version").alias("_v")).agg(*[F.sum(c).alias(c) for c in ("n_tokens", "hot_known", "hot_share")], *added)
+    keys = docs.select("id", "version", "held_out", F.coalesce("id", F.lit(0)).alias("_i"))
+    times = keys.groupBy("_i", "version").agg(F.count("*").alias("k")).select(F.col("_i").alias("_k"), F.col("version").alias("_v2"), "k")
+    one = one.join(times, (F.col("_i") == F.col("_k")) & (F.col("_v") == F.col("_v2"))).drop("_k", "_v2").withColumnRenamed("_i", "_j")
+    out = keys.join(one, (keys["_i"] == one["_j"]) & (keys["version"] == one["_v"]))
+    each = [(F.col(c) / F.col("k")).cast(t).alias(c) for c, t in (("n_tokens", "bigint"), ("hot_known", "bigint"), ("hot_share", "double"))]
+    arrays = [F.array(*[F.col(f"{c}{k}") / F.col("k") for k in range(len(WEIGHTS))]).alias(c) for c in ("scores", "fit")]
+    return out.select("id", "version", "held_out", *each, *arrays)
