@@ -37,6 +37,26 @@ def test_templates_drop_all_but_the_first(spark):
     assert got[1]["text"].count("\n") == 2 and got[5]["text"] == "short"
 
 
+@pytest.mark.parametrize("strangers", [0, 500])
+def test_several_templates_of_one_length_and_beginning(spark, strangers):
+    rng = np.random.default_rng(2)
+    name = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 9)).title()
+    lines = [f"Read more about {name()} on our great site" for _ in range(300)]
+    lines += [f"Read more about the {name()} museum opening hours" for _ in range(300)]
+    lines += ["Read more about " + " ".join(name() for _ in range(5)) for _ in range(strangers)]
+    docs = spark.createDataFrame([(i, f"{name()} {name()}\n{x}") for i, x in enumerate(lines)], "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["n_dropped"] for r in rows(line_templates.drop_recurring_lines(docs))}
+    assert [i for i in range(600) if not got[i]] == [0, 300]
+    assert not any(got[i] for i in range(600, len(lines)))
+
+
+def test_many_lines_of_one_document(spark):
+    text = "\n".join(f"line number {i} of the long list here" if i % 2 else f"own {i}" for i in range(40_000))
+    docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows(line_templates.drop_recurring_lines(docs))}
+    assert [got[i]["n_dropped"] for i in range(3)] == [0, 20_000, 20_000] and got[2]["text"].count("\n") == 19_999
+
+
 def test_templates_odd_rows(odd, none):
     got = rows(line_templates.drop_recurring_lines(odd))
     assert len(got) == odd.count() and all(r["text"] is None for r in got if r["doc_id"] == 3)

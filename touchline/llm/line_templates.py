@@ -2,15 +2,20 @@
 
 A line's tokens are its runs without blank, tab or carriage return; a token
 with a digit is variable and reads ``<*>``. The tree has a fixed depth: the
-number of tokens, then the first ``lead`` tokens. In a leaf, a place whose
-most frequent token fills more than half of the lines is constant, every other
-place is variable; that is the leaf's template. A line belongs to it when at
-least ``similar`` of the line's tokens are such constants; any other line is a
-template of its own. A template found in ``min_docs`` documents or more recurs:
-its lines go from all documents but the first (smallest id), which keeps one
-copy in the corpus. Leaves with fewer documents cannot recur and are not looked
-at further. Lines of fewer than ``lead`` tokens are never dropped: two words
-meet by chance.
+number of tokens, then the first ``lead`` tokens, then the line's *common*
+tokens: those that at least one in ``variants`` of the lines with the same
+number and first tokens have at the same place. So templates that only share
+their length and beginning part here, and so do unrelated lines among them. In
+a leaf, a place whose most frequent token fills more than half of the lines is
+constant, every other place is variable; that is the leaf's template. A line
+belongs to it when at least ``similar`` of the line's tokens are such
+constants; any other line is a template of its own. A template found in
+``min_docs`` documents or more recurs: its lines go from all documents but the
+first (smallest id), which keeps one copy in the corpus. Beginnings that fewer
+documents have cannot recur and are not looked at further. Lines of fewer than
+``lead`` tokens are never dropped: two words meet by chance. A template with
+less than one in ``variants`` of the lines of its length and beginning is found
+by lines that are equal but for digits.
 
 Defined results: a null text stays null and has no lines; rows without id keep
 all lines and do not count; rows that repeat an id count as one document. Other
@@ -53,17 +58,33 @@ def masked(line: str) -> F.Column:
     return F.when(F.col(line).rlike("[0-9]"), F.regexp_replace(line, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", "<*>")).otherwise(F.col(line))
 
 
-def recurring_lines(docs: DataFrame, *, lead: int = 3, similar: float = 0.8, min_docs: int = 3) -> DataFrame:
+def counted_places(lines: DataFrame, key: str) -> DataFrame:
+    """How many lines of a ``key`` have a token at a place, and all its lines."""
+    places = lines.select(key, F.posexplode("tokens").alias("place", "token")).groupBy(key, "place", "token").agg(F.count("*").alias("k"))
+    return places.join(lines.groupBy(key).agg(F.count("*").alias("total")), key)
+
+
+def listed(places: DataFrame, key: str) -> DataFrame:
+    return places.groupBy(key).agg(F.collect_list(F.struct("place", "token")).alias("listed"))
+
+
+def own_listed() -> F.Column:
+    """The listed places and tokens that a line has."""
+    return F.filter("listed", lambda c: F.get("tokens", c["place"]) == c["token"])
+
+
+def recurring_lines(docs: DataFrame, *, lead: int = 3, similar: float = 0.8, min_docs: int = 3, variants: int = 32) -> DataFrame:
     """(id, version, drop): the places of the lines that go."""
     lines = lines_of(docs, lead)
     often = lines.groupBy("leaf", "id").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     lines = lines.join(often, "leaf", "left_semi").withColumn("line", masked("line"))
     lines = stored(lines, "lines").withColumn("tokens", tokens("line"))
-    total = lines.groupBy("leaf").agg(F.count("*").alias("total"))
-    places = lines.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.count("*").alias("k"))
-    constant = places.join(total, "leaf").where("2 * k > total").groupBy("leaf").agg(F.collect_list(F.struct("place", "token")).alias("constants"))
-    equal = F.size(F.filter("constants", lambda c: F.get("tokens", c["place"]) == c["token"]))
-    member = F.coalesce(equal >= similar * F.size("tokens"), F.lit(False))
+    common = listed(counted_places(lines, "leaf").where(F.col("k") * variants >= F.col("total")), "leaf")
+    # at most ``variants`` tokens of a place are common, so the lists are short
+    leaf = F.xxhash64("leaf", F.array_sort(own_listed()))
+    lines = stored(lines.join(common, "leaf").select("id", "version", "pos", "line", leaf.alias("leaf")), "leaves").withColumn("tokens", tokens("line"))
+    constant = listed(counted_places(lines, "leaf").where("2 * k > total"), "leaf")
+    member = F.coalesce(F.size(own_listed()) >= similar * F.size("tokens"), F.lit(False))
     named = lines.join(constant, "leaf", "left").select("id", "version", "pos", F.when(member, F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.xxhash64("leaf", "tokens")).alias("template"))
     named = stored(named, "templates")
     per_doc = named.groupBy("template", "id").agg(F.lit(1).alias("one"))
@@ -78,7 +99,7 @@ def drop_recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     gone = recurring_lines(narrow, **options).select(F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("drop").alias("_drop"))
     own = docs.join(gone, (docs[id_col] == gone["_id"]) & (F.xxhash64(docs[text_col]) == gone["_version"]), "left")
     parts = F.split(text_col, "\n", -1)
-    kept = F.filter(parts, lambda x, i: ~F.array_contains("_drop", i))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "_drop"), lambda i: F.get(parts, i))
     return own.withColumns({
         "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("bigint"),
         "n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint"),
@@ -86,21 +107,23 @@ def drop_recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     }).drop("_id", "_version", "_drop")
 
 
-def sql(lead: int = 3, similar: float = 0.8, min_docs: int = 3, source: str = "documents") -> str:
+def sql(lead: int = 3, similar: float = 0.8, min_docs: int = 3, variants: int = 32, source: str = "documents") -> str:
     """The same rows in DuckDB, as CTEs that end in ``kept(doc_id, text, r, n_lines, n_dropped, new_text)``."""
     head = ", ".join(f"t[{k}]" for k in range(1, lead + 1))
     return f"""
 src AS (SELECT *, row_number() OVER () AS r FROM {source}),
 ln AS (SELECT r, doc_id, text, unnest(range(0, len(a))) AS pos, unnest(a) AS line FROM (SELECT *, string_split(text, chr(10)) AS a FROM src WHERE text IS NOT NULL)),
 tk AS (SELECT r, doc_id, text, pos, [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END for x in string_split_regex(line, '[ \\t\\r]+') if x <> ''] AS t FROM ln WHERE doc_id IS NOT NULL),
-lf AS (SELECT *, len(t) AS n, array_to_string([len(t)::VARCHAR, {head}], chr(1)) AS leaf FROM tk WHERE len(t) >= {lead}),
-ft AS (SELECT leaf FROM lf GROUP BY leaf HAVING count(DISTINCT doc_id) >= {min_docs}),
-ls AS (SELECT * FROM lf WHERE leaf IN (SELECT leaf FROM ft)),
-tot AS (SELECT leaf, count(*) AS total FROM (SELECT DISTINCT leaf, doc_id, text, pos, r FROM ls) GROUP BY leaf),
-pl AS (SELECT leaf, place, token, count(*) AS k FROM (SELECT leaf, unnest(range(1, n + 1)) AS place, unnest(t) AS token FROM ls) GROUP BY ALL),
-co AS (SELECT pl.leaf, place, token FROM pl JOIN tot USING (leaf) WHERE 2 * k > total),
-eq AS (SELECT ls.r, ls.pos, count(*) AS c FROM (SELECT r, pos, leaf, unnest(range(1, n + 1)) AS place, unnest(t) AS token FROM ls) ls JOIN co USING (leaf, place, token) GROUP BY ALL),
-nm AS (SELECT ls.r, ls.doc_id, ls.text, ls.pos, CASE WHEN coalesce(eq.c, 0) >= {similar} * ls.n THEN 'L' || leaf ELSE 'T' || array_to_string(t, chr(2)) END AS template FROM ls LEFT JOIN eq ON ls.r = eq.r AND ls.pos = eq.pos),
+lf AS (SELECT *, len(t) AS n, array_to_string([len(t)::VARCHAR, {head}], chr(1)) AS beginning FROM tk WHERE len(t) >= {lead}),
+ls AS (SELECT *, row_number() OVER () AS line_no FROM lf WHERE beginning IN (SELECT beginning FROM lf GROUP BY beginning HAVING count(DISTINCT doc_id) >= {min_docs})),
+w AS (SELECT line_no, beginning, place, t[place] AS token FROM ls, unnest(range(1, n + 1)) AS u(place)),
+wc AS (SELECT *, count(*) OVER (PARTITION BY beginning, place, token) AS k, count(*) OVER (PARTITION BY beginning, place) AS total FROM w),
+sig AS (SELECT line_no, string_agg(place || chr(2) || token, chr(1) ORDER BY place) AS common FROM wc WHERE k * {variants} >= total GROUP BY line_no),
+lv AS (SELECT ls.*, beginning || chr(3) || common AS leaf FROM ls JOIN sig USING (line_no)),
+lw AS (SELECT line_no, leaf, place, t[place] AS token FROM lv, unnest(range(1, n + 1)) AS u(place)),
+lc AS (SELECT line_no, count(*) OVER (PARTITION BY leaf, place, token) * 2 > count(*) OVER (PARTITION BY leaf, place) AS constant FROM lw),
+fit AS (SELECT line_no, count(*) FILTER (constant) AS c FROM lc GROUP BY line_no),
+nm AS (SELECT r, doc_id, text, pos, CASE WHEN c >= {similar} * n THEN 'L' || leaf ELSE 'T' || array_to_string(t, chr(2)) END AS template FROM lv JOIN fit USING (line_no)),
 rc AS (SELECT template, min(doc_id) AS first FROM nm GROUP BY template HAVING count(DISTINCT doc_id) >= {min_docs}),
 gn AS (SELECT DISTINCT nm.doc_id, nm.text, nm.pos FROM nm JOIN rc USING (template) WHERE nm.doc_id <> rc.first),
 gd AS (SELECT doc_id, text, list(pos) AS gone FROM gn GROUP BY ALL),
