@@ -197,6 +197,39 @@ def test_main_text_copies_and_articles(spark, monkeypatch):
     assert {r["page_id"]: r["text"] for r in rows(main_text.extract(pages))} == want
 
 
+def test_blocks_of_an_article_need_more_than_one_neighbour(spark):
+    """A short paragraph or licence line that a few articles share stays, a
+    line that most pages of the host have goes."""
+    art = lambda i: "<nav>Menu</nav><article>" + f"<p>Yes.</p><p>Licence</p>" * (i % 4 == 0) + "".join(f"<p>Text {i} {k}</p>" for k in range(5)) + "<p>Read our paper</p></article>"
+    pages = spark.createDataFrame([(i, f"http://host.example/{i:03}", art(i)) for i in range(40)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"].split("\n") for r in rows(main_text.extract(pages))}
+    for i in range(40):
+        assert got[i] == ["Yes.", "Licence"] * (i % 4 == 0) + [f"Text {i} {k}" for k in range(5)]
+    two = spark.createDataFrame([(i, f"http://host.example/{i}", art(4 * i)) for i in range(2)], "page_id long, url string, html string")
+    assert all(r["text"].startswith("Yes.\nLicence\n") for r in rows(main_text.extract(two)))
+
+
+def test_long_alignments():
+    rng = np.random.default_rng(4)
+    small = [(rng.integers(0, 30, 200).tolist(), rng.integers(0, 30, 180).tolist()) for _ in range(5)]
+    plain = [main_text.shared(a, b) for a, b in small]
+    table = main_text.TABLE
+    try:
+        main_text.TABLE = 64
+        for (a, b), want in zip(small, plain):
+            got = main_text.shared(a, b)
+            assert len(got) == len(want)
+            picked, at = [a[i] for i in sorted(got)], 0
+            for x in picked:  # a subsequence of b
+                at = b.index(x, at) + 1
+    finally:
+        main_text.TABLE = table
+    n = 50_000
+    a, b = rng.permutation(n).tolist(), rng.permutation(n)[:2000].tolist()
+    assert 60 < len(main_text.shared(a, b)) < 2000
+    assert len(main_text.shared(a, a[:20_000] + a[30_000:])) == 40_000
+
+
 # --- Jaccard join --------------------------------------------------------
 
 

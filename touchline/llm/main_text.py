@@ -14,6 +14,11 @@ result holds for all. A neighbour with more than half of the blocks of the
 page's article is a copy with changes; the next one on that side takes its
 place, up to ``REACH`` pages away.
 
+What stands inside ``article`` or ``main`` is the article's own until proven a
+template: two articles may well share a short paragraph or a licence line. A
+block there goes only if it is on the common subsequence with ``VOTES`` or more
+of the unlike pages within ``REACH``, and with more than half of them.
+
 Only block fingerprints are compared.
 
 Defined results: a null page has an empty text; null or odd URLs form a host
@@ -46,6 +51,8 @@ ATTRS = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 MARKS = frozenset("ad ads advert adverts advertisement breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer modal nav navbar navigation newsletter popup promo promotion related share sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary login signup".split())
 COMMENTS = frozenset("comment comments disqus".split())
 RUN, REACH = 1024, 8  # pages worked on at once, and looked at on either side
+VOTES = 2  # unlike pages that share a block of an article, at least, for it to go
+TABLE = 1 << 22  # cells of an alignment that are kept at once
 FREE, OWN, OTHER = 0, 1, 2  # where a block is: elsewhere, in article or main, in boilerplate
 
 
@@ -171,15 +178,35 @@ def shared(a: list[int], b: list[int]) -> set[int]:
     common = set(a[start : len(a) - stop]) & set(b[start : len(b) - stop])
     p = [i for i in range(start, len(a) - stop) if a[i] in common]
     q = [x for x in b[start : len(b) - stop] if x in common]
+    found.update(p[i] for i in _aligned(np.array([a[i] for i in p], np.int64), np.array(q, np.int64)))
+    return found
+
+
+def _lengths(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of p and each start of q."""
+    row = np.zeros(len(q) + 1, np.int32)
+    for x in p:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], np.where(q == x, row[:-1] + 1, 0)))
+    return row
+
+
+def _aligned(p: np.ndarray, q: np.ndarray) -> list[int]:
+    """Places of ``p`` on a longest common subsequence with ``q``. Long lists
+    are halved where the best split is, so memory grows with their lengths."""
+    if not len(p) or not len(q):
+        return []
+    if len(p) > 1 and len(p) * len(q) > TABLE:
+        half = len(p) // 2
+        cut = int(np.argmax(_lengths(p[:half], q) + _lengths(p[half:][::-1], q[::-1])[::-1]))
+        return _aligned(p[:half], q[:cut]) + [half + i for i in _aligned(p[half:], q[cut:])]
     length = np.zeros((len(p) + 1, len(q) + 1), np.int32)
-    y = np.array(q, np.int64)
     for i in range(len(p) - 1, -1, -1):
-        row = np.maximum(length[i + 1, :-1], np.where(y == a[p[i]], length[i + 1, 1:] + 1, 0)) if len(q) else length[i, :-1]
+        row = np.maximum(length[i + 1, :-1], np.where(q == p[i], length[i + 1, 1:] + 1, 0))
         length[i, :-1] = np.maximum.accumulate(row[::-1])[::-1]
-    i = j = 0
+    found, i, j = [], 0, 0
     while i < len(p) and j < len(q):
-        if a[p[i]] == q[j]:
-            found.add(p[i])
+        if p[i] == q[j]:
+            found.append(i)
             i, j = i + 1, j + 1
         elif length[i + 1, j] >= length[i, j + 1]:
             i += 1
@@ -193,16 +220,35 @@ def normal(url):
     return F.regexp_replace(F.coalesce(url, F.lit("")), "^[a-zA-Z]+://|[?#].*$", "")
 
 
-def template(page: dict, others) -> set[int]:
-    """Places of the page's blocks that its neighbour on one side shares, the
-    nearest that is no copy: one that holds more than half of the blocks of
+def template(page: dict, sides) -> set[int]:
+    """Places of the page's blocks that are the site's. ``sides`` are the marks
+    of the pages before and after it, the nearest first. Elsewhere, what the
+    nearest page on either side shares that is no copy; in an article, what
+    most unlike pages share. A page that holds more than half of the blocks of
     the page's article is a copy of it."""
     own = set(page["places"]) if page["sure"] else set()
-    for other in others:
-        both = shared(page["marks"], other)
-        if 2 * len(own & both) <= len(own):
-            return both
-    return set()
+    mine = {page["marks"][i] for i in own}
+    gone: set[int] = set()
+    votes: dict[int, int] = {}
+    unlike = 0
+    for side in sides:
+        nearest = True
+        for other in side:
+            if not nearest and mine.isdisjoint(other):
+                unlike += 1  # no block of the article there, and none but the nearest matters elsewhere
+                continue
+            both = shared(page["marks"], other)
+            if 2 * len(own & both) > len(own):
+                continue
+            unlike += 1
+            for i in own & both:
+                votes[i] = votes.get(i, 0) + 1
+            if nearest:
+                gone |= both - own
+                nearest = False
+            if not own:
+                break
+    return gone | {i for i, n in votes.items() if n >= VOTES and 2 * n > unlike}
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -236,7 +282,8 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     # texts are cut again and not stored: they travel once, to this join
     whole = own.select("id", "url", "host", "html").mapInArrow(texts, f"id {kind}, url string, host string, key binary, blocks array<string>")
     out = whole.join(gone, ["host", "key"], "left")
-    kept = F.filter("blocks", lambda x, i: ~F.array_contains("gone", i))
+    left = F.array_except(F.sequence(F.lit(0), F.size("blocks") - 1), "gone")
+    kept = F.transform(left, lambda i: F.get("blocks", i))
     text = F.array_join(F.when(F.col("gone").isNull(), F.col("blocks")).otherwise(kept), "\n")
     out = out.select("id", "url", text.alias("text"))
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("bigint").alias("n_chars"))
@@ -265,9 +312,7 @@ def _differenced(listed: DataFrame) -> DataFrame:
             if page["n"] // RUN != key[0].as_py():
                 continue
             left, right = rows[max(0, at - REACH) : at][::-1], rows[at + 1 : at + 1 + REACH]
-            both: set[int] = set()
-            for side in (left, right):
-                both |= template(page, [x["marks"] for x in side if x["host"] == page["host"]])
+            both = template(page, [[x["marks"] for x in side if x["host"] == page["host"]] for side in (left, right)])
             lost = [i for i, place in enumerate(page["places"]) if place in both]
             if lost:
                 out.append({"host": page["host"], "key": page["key"], "gone": lost})
