@@ -274,9 +274,9 @@ def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(packed: DataFrame, bits: int, pair_bits: int, entry_bits: int) -> DataFrame:
-    """One row per bucket: its filter segment and, of words, the number of
-    distinct ones, hot ones with counts, and the documents' sums of
-    log10(c + 0.1) and known words."""
+    """Of every bucket a row with its filter segment and, of words, the number
+    of distinct ones and the hot ones with counts; then a row for each range of
+    documents (by hash) with their sums of log10(c + 0.1) and known words."""
 
     def pairs(k, pdf):
         pair, n = _summed(_joined(pdf.word, 6, None), _joined(pdf.times, 4, np.uint32).astype(np.int64))
@@ -298,19 +298,43 @@ def _counted(packed: DataFrame, bits: int, pair_bits: int, entry_bits: int) -> D
         known = np.bincount(doc, times * (c > 0), minlength=len(ids)).astype(np.int64)
         hot, hot_n = _summed(_joined(pdf.hot, 8, "<u8"), _joined(pdf.hot_n, 8, np.int64))
         seen = count > 0
+        # rows that repeat an id and text are one here
+        order = np.lexsort((ids[:, 1], ids[:, 0]))
+        ids = ids[order]
+        first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1))) if len(ids) else np.zeros(0, np.int64)
+        if len(first):
+            ids, share, known = ids[first], np.add.reduceat(share[order], first), np.add.reduceat(known[order], first)
         return segment(_whole(word[at][seen], bits, k), count[seen], bits, k, entry_bits), int(seen.sum()), ids, share, known, hot, hot_n
 
     def run(key, pdf):
         made, vocab, ids, share, known, hot, hot_n = (pairs if key[0] else words_of)(int(key[1]), pdf)
-        return pd.DataFrame([{
-            "kind": key[0], "bucket": key[1], "field": made.data.tobytes(), "size": len(made.data), "vocab": vocab, "ids": ids[:, 0], "versions": ids[:, 1],
-            "share": share, "known": known, "hot": hot.view(np.int64), "hot_n": hot_n,
-        }])
-
-    schema = "kind int, bucket int, field binary, size long, vocab long, ids array<long>, versions array<long>, share array<double>, known array<long>, hot array<long>, hot_n array<long>"
+        rows = [(key[0], key[1], -1, made.data.tobytes(), len(made.data), vocab, hot.view(np.int64), hot_n, b"", b"", b"")]
+        part = _bucket(mix(mix(ids[:, 0].astype(U64)) ^ ids[:, 1].astype(U64)), bits)
+        order = np.argsort(part, kind="stable")
+        edge = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)) if len(part) else np.zeros(0, np.int64)
+        for a, z in zip(edge, [*edge[1:], len(part)]):
+            at = order[a:z]
+            rows.append((key[0], key[1], part[at[0]], None, 0, 0, None, None, ids[at].tobytes(), share[at].tobytes(), known[at].tobytes()))
+        return pd.DataFrame(rows, columns=["kind", "bucket", "range", "field", "size", "vocab", "hot", "hot_n", "ids", "share", "known"])
+
+    schema = "kind int, bucket int, range long, field binary, size long, vocab long, hot array<long>, hot_n array<long>, ids binary, share binary, known binary"
     return packed.groupBy("kind", "bucket").applyInPandas(run, schema)
 
 
+def _shares(counted: DataFrame) -> DataFrame:
+    """The documents' sums over all buckets."""
+
+    def run(pdf):
+        ids = np.frombuffer(b"".join(pdf.ids), np.int64).reshape(-1, 2)
+        share, known = np.frombuffer(b"".join(pdf.share)), np.frombuffer(b"".join(pdf.known), np.int64)
+        order = np.lexsort((ids[:, 1], ids[:, 0]))
+        ids = ids[order]
+        at = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1)))
+        return pd.DataFrame({"_id": ids[at, 0], "_version": ids[at, 1], "_share": np.add.reduceat(share[order], at), "_known": np.add.reduceat(known[order], at)})
+
+    return counted.where("range >= 0").select("range", "ids", "share", "known").groupBy("range").applyInPandas(run, "_id long, _version long, _share double, _known long")
+
+
 def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, sample_docs: int = 8192, entry_bits: int = ENTRY_BITS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     spark = docs.sparkSession
@@ -331,7 +355,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
     model = {"hot": hot, "hot_n": hot_n, "ends": learned, "scale": n_train + 0.1 * (vocab + 1)}
     if (held or 0) <= broadcast_bytes:
         for kind, name, n in ((0, "words", bits), (1, "pairs", pair_bits)):
-            model[name] = _gathered(counted.where(F.col("kind") == kind), n)
+            model[name] = _gathered(counted.where((F.col("kind") == kind) & (F.col("range") < 0)), n)
         sums = _scored(own, spark.sparkContext.broadcast(model))
     else:
         sums = _travelled(own, spark.sparkContext.broadcast(model), counted, bits, pair_bits)
@@ -340,8 +364,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
     fit = [sums.agg(*[F.sum(F.element_at("fit", k + 1)).alias(f"f{k}") for k in range(len(WEIGHTS))]).first()][0]
     fit = [x if x is not None else 0.0 for x in fit]
     best = fit.index(max(fit))
-    shares = counted.where("kind = 0").select(F.explode(F.arrays_zip("ids", "versions", "share", "known")).alias("x")).select("x.*")
-    shares = shares.groupBy(F.col("ids").alias("_id"), F.col("versions").alias("_version")).agg(F.sum("share").alias("_share"), F.sum("known").alias("_known"))
+    shares = _shares(counted)
     again = own.groupBy(F.coalesce("id", F.lit(0)).alias("_i"), F.col("version").alias("_v")).agg(F.count("*").alias("_rows")).where("_rows > 1")
     shares = shares.join(again, (shares["_id"] == again["_i"]) & (shares["_version"] == again["_v"]), "left")
     out = sums.join(shares, (F.coalesce(sums["id"], F.lit(0)) == shares["_id"]) & (sums["version"] == shares["_version"]), "left")
@@ -534,7 +557,7 @@ def _travelled(docs: DataFrame, shared, counted: DataFrame, bits: int, pair_bits
                              "hot_share": np.add.reduceat(share, start), "scores": list(scores), "fit": list(fit)})
 
     def met(rows: DataFrame, kind: int, fn, schema: str) -> DataFrame:
-        parts = counted.where(F.col("kind") == kind).select("bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "field")
+        parts = counted.where((F.col("kind") == kind) & (F.col("range") < 0)).select("bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "field")
         return rows.groupBy("bucket", "salt").cogroup(parts.groupBy("bucket", "salt")).applyInPandas(fn, schema)
 
     rows = docs.select("id", "version", "train", "text").mapInArrow(depart, _TRAVEL)
