@@ -115,6 +115,20 @@ def test_fm_index_locates():
     assert sorted(zip(who.tolist(), at.tolist())) == want
 
 
+def test_repeated_and_many_benchmark_rows(spark):
+    base = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, "x " + base + " y"), (2, "nothing here"), (3, "short item")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, base)] * 20 + [(8, base), (None, base), (9, "short item")] + [(100 + i, " ".join(f"n{i}_{k}" for k in range(40))) for i in range(60)], "item_id long, text string")
+    plans = []
+    for block in (1 << 24, 2000):
+        out = decontaminate.find(docs, bench, block_bytes=block)
+        plans.append(out._jdf.queryExecution().executedPlan().toString().count("MapInArrow"))
+        got = {r["doc_id"]: (r["n_words"], r["items"], [tuple(x) for x in r["spans"]]) for r in out.collect()}
+        assert got[1][:2] == (32, [7, 8]) and [x[2:] for x in got[1][2]] == [(1, 31)]
+        assert got[2] == (2, [], []) and got[3][1] == [9]
+    assert plans[0] == plans[1]  # passes are stored, not chained
+
+
 @pytest.mark.parametrize("block", [16 << 20, 60])
 def test_decontaminate(spark, odd, none, block):
     item = " ".join(f"q{i}" for i in range(14))

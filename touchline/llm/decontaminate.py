@@ -12,9 +12,11 @@ overlapping or touching ones are merged into spans. There is no shuffle.
 
 Words are compared by 64-bit fingerprints.
 
-The benchmark is read in blocks of at most ``block_bytes`` of text; one pass
-over the documents follows for each block, so what is sent to the workers has
-that bound whatever the benchmark's size.
+The distinct phrases, with the items of each, are a table that Spark makes. It
+is dealt by hash to blocks of about ``block_bytes`` of phrases; one pass over
+the documents follows for each block and is stored before the next, so what
+the driver and a worker hold has that bound whatever the benchmark's size, and
+however often its rows repeat.
 
 Defined results: a null or empty text has no words and no hits; so has a null
 benchmark text; phrases of an item without id count as hits and are listed
@@ -31,32 +33,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.arrays import WORD_ALNUM, batches, chunks, fingerprints, lowered, words
+from touchline.llm.common import stored
 from touchline.llm.fmindex import FMIndex
 
 
-def phrases(rows: list, window: int) -> dict:
-    """Phrases of a block of (item_id, text): the sorted fingerprints of their
-    words (symbol 1, 2, ...), one row of symbols per distinct phrase, and the
-    items of each."""
-    texts = [r[1] for r in rows]
-    found: dict[tuple, set] = {}
-    for first, last, data, offsets in chunks(texts, 1 << 22):
-        low = lowered(data)
-        s, e = words(low, WORD_ALNUM)
-        h = fingerprints(low, s, e).tolist()
-        edge = np.searchsorted(s, offsets)
-        for i in range(first, last):
-            w = h[edge[i - first] : edge[i - first + 1]]
-            for k in range(max(1, len(w) - window + 1) if w else 0):
-                found.setdefault(tuple(w[k : k + window]), set()).add(rows[i][0])
-    if not found:
+def phrase_table(benchmark: DataFrame, window: int) -> DataFrame:
+    """``phrase`` (the fingerprints of its words, eight bytes each) and the
+    sorted ``items`` that have it, of (item, text)."""
+    item = benchmark.schema["item"].dataType.simpleString()
+
+    def run(it):
+        for b in batches(it):
+            for first, last, data, offsets in chunks(b.column("text").to_pylist(), 1 << 22):
+                low = lowered(data)
+                s, e = words(low, WORD_ALNUM)
+                h = fingerprints(low, s, e)
+                edge = np.searchsorted(s, offsets)
+                for i in range(last - first):
+                    own = h[edge[i] : edge[i + 1]]
+                    if not len(own):
+                        continue
+                    rows = np.lib.stride_tricks.sliding_window_view(own, min(window, len(own)))
+                    for at in range(0, len(rows), 8192):
+                        part = [x.tobytes() for x in rows[at : at + 8192]]
+                        who = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(part), np.int32)), b.column("item").slice(first + i, 1)).dictionary_decode()
+                        yield pa.RecordBatch.from_arrays([who, pa.array(part, pa.binary())], names=["item", "phrase"])
+
+    found = benchmark.select("item", "text").mapInArrow(run, f"item {item}, phrase binary")
+    return found.groupBy("phrase").agg(F.array_sort(F.collect_set("item")).alias("items"))
+
+
+def block_of(rows: list) -> dict:
+    """Phrases of a block for the search: the sorted fingerprints of their
+    words (symbol 1, 2, ...), a row of symbols for each, and their items."""
+    if not rows:
         return {"vocab": np.zeros(0, np.uint64), "table": np.zeros((0, 1), np.int64), "lengths": np.zeros(0, np.int64), "items": []}
-    vocab = np.unique(np.array([x for p in found for x in p], np.uint64))
-    lengths = np.array([len(p) for p in found], np.int64)
-    table = np.zeros((len(found), int(lengths.max())), np.int64)
-    flat = np.array([x for p in found for x in p], np.uint64)
+    flat = np.frombuffer(b"".join(bytes(r["phrase"]) for r in rows), np.uint64)
+    lengths = np.array([len(r["phrase"]) // 8 for r in rows], np.int64)
+    vocab = np.unique(flat)
+    table = np.zeros((len(rows), int(lengths.max())), np.int64)
     table[np.arange(table.shape[1]) < lengths[:, None]] = np.searchsorted(vocab, flat) + 1
-    return {"vocab": vocab, "table": table, "lengths": lengths, "items": [sorted(x for x in v if x is not None) for v in found.values()]}
+    return {"vocab": vocab, "table": table, "lengths": lengths, "items": [list(r["items"]) for r in rows]}
 
 
 class Searcher:
@@ -121,7 +138,8 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, shard_bytes
     end byte, first word, end word of each merged hit)."""
     spark = docs.sparkSession
     bench = benchmark.select(F.col(item_col).alias("item"), F.col("text").alias("text"))
-    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    found = stored(phrase_table(bench, window), "phrases")
+    size = found.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
     blocks = int(size // block_bytes) + 1
     item_type = dict(bench.dtypes)["item"]
     out = docs.withColumns({
@@ -130,12 +148,10 @@ def find(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, shard_bytes
         "spans": F.array().cast("array<struct<start:bigint,end:bigint,first_word:bigint,end_word:bigint>>"),
     })
     for k in range(blocks):
-        # one block's rows: bounded by block_bytes but for chance, checked below
-        part = bench.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k) if blocks > 1 else bench
-        rows = [tuple(r) for r in part.toLocalIterator()]
-        if sum(len(r[1] or "") for r in rows) > 4 * block_bytes:
-            raise ValueError("a benchmark block is too large: use a larger block_bytes or split the longest items")
-        out = _pass(out, spark.sparkContext.broadcast(phrases(rows, window)), shard_bytes, text_col)
+        block = block_of(list(found.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == k).toLocalIterator()))
+        out = _pass(out, spark.sparkContext.broadcast(block), shard_bytes, text_col)
+        if k + 1 < blocks:
+            out = stored(out, "searched")
     return out
 
 
