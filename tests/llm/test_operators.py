@@ -390,6 +390,21 @@ def test_phrases_are_local():
     assert phrases.likeness(a, b) > 0.9 and phrases.likeness(a, c) < 0.05 and phrases.likeness(a, a) == 1.0
 
 
+def test_phrases_of_equal_ids_and_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    text = lambda: "".join(rng.choice(list("abcdefgh "), 300))
+    data = [(1, "first " + text())] + [(5, "same " * 50)] * 40 + [(5, text()) for _ in range(20)] + [(None, text()) for _ in range(20)] + [(9, "")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    out = rows(phrases.pairs_with_next(docs, range_bytes=2000))
+    assert Counter(r["doc_id"] for r in out) == Counter(i for i, _ in data)
+    twins = [r for r in out if r["n_chars"] == 250 and r["doc_id"] == 5]
+    assert len(twins) == 40 and sum(r["near_next"] == 1.0 for r in twins) == 39 and len({r["fingerprint"] for r in twins}) == 1
+    for r in out:  # a row's edited text has the first characters of one other row, the last row's of the first
+        half = r["n_chars"] // 2
+        mine = [t for i, t in data if i == r["doc_id"] and len(t) == r["n_chars"]]
+        assert any(hashlib.sha256((t[: len(t) - half] + n[:half]).encode()).hexdigest() == r["edited_sha256"] for t in mine for _, n in data)
+
+
 def test_phrases_next_and_edited(odd, none, prose):
     docs = prose.select("doc_id", "text")
     got = {r["doc_id"]: r for r in rows(phrases.pairs_with_next(docs, range_bytes=50_000))}
@@ -399,6 +414,9 @@ def test_phrases_next_and_edited(odd, none, prose):
         edited = t[: len(t) - half] + nxt[:half]
         assert got[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and got[i]["n_chars"] == len(t)
     assert np.mean([r["near_edited"] for r in got.values()]) > 0.25 > 0.05 > np.mean([r["near_next"] for r in got.values()])
+    for small in (1, 7_000):  # more ranges than rows, and few rows held at once
+        again = {r["doc_id"]: r for r in rows(phrases.pairs_with_next(docs.repartition(3), range_bytes=small))}
+        assert again == got
     odd_rows = rows(phrases.pairs_with_next(odd))
     assert len(odd_rows) == 12 and len({r["fingerprint"] for r in odd_rows if r["doc_id"] in (9, 10)}) == 1
     assert rows(phrases.pairs_with_next(none)) == []

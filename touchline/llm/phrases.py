@@ -14,21 +14,26 @@ twelve and forty bytes long) and of any shorter top; the fingerprint is the
 usual estimate of the sets' Jaccard similarity from such sketches.
 
 ``pairs_with_next`` compares each document with its edited text and with the
-next document. Documents are dealt to ranges of ids; the first row of every
-range also goes to the range before, as the last row's successor.
+next document. Documents are dealt to ranges of (id, hash of the text) by
+sampled splitters; the first document of every range also goes to the range
+before, as the last one's successor. A task reads its ranges in order and holds
+some ``BATCH`` bytes of them, however long a range is; wholly equal rows travel
+as one with their number.
 
 Defined results: a null text counts as empty; the fingerprint of an empty text
 is empty and like an empty one only; rows without id come first; rows that
-repeat an id follow each other in the order of their texts; a single row is its
-own successor. Other columns are not read.
+repeat an id follow each other in the order of a hash of their texts; a single
+row is its own successor. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +43,9 @@ LEVELS = (2, 3)
 TOP = 3
 KEEP = 64
 SLICE = 1 << 19  # bytes parsed at once
+BATCH = 4 << 20  # bytes of texts that a task holds before it compares them
+RANGES = 1 << 14  # most ranges, so most splitters on the driver; larger tables have longer ranges
+SAMPLED = 16  # sampled keys for a splitter
 _WEIGHT = mix(np.arange(1, 4097, dtype=U64)) | U64(1)
 
 
@@ -156,34 +164,68 @@ def compared(texts: list[str], after: list[str]) -> pd.DataFrame:
     })
 
 
+def _stream(it):
+    """Rows in the order of their ranges -> results. A row's successor is the
+    next row of its range, the last one of a range being the next range's."""
+    names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+    def results(ids, texts, times, after):
+        out = compared(texts, texts[1:] + [after])
+        whose = list(range(len(ids)))
+        for i, n in enumerate(times):
+            if n > 1:  # all but the last of equal rows follow themselves
+                out = pd.concat([out, *[compared(texts[i : i + 1], texts[i : i + 1])] * (n - 1)])
+                whose += [i] * (n - 1)
+        keys = pa.array([ids[i] for i in whose], pa.int64())
+        return pa.RecordBatch.from_arrays([keys, *[pa.array(out[c].tolist()) for c in names[1:]]], names=names)
+
+    now, ids, texts, times, size = None, [], [], [], 0
+    for batch in it:
+        for part, tail, key, text, n in zip(*(batch.column(c).to_pylist() for c in ("range", "tail", "id", "text", "n"))):
+            if part == now and ids and (tail or size >= BATCH):
+                yield results(ids, texts, times, text)
+                ids, texts, times, size = [], [], [], 0
+            now = part
+            if not tail:
+                ids.append(key)
+                texts.append(text)
+                times.append(n)
+                size += len(text)
+
+
+def _range_number(splits: list) -> F.Column:
+    """How many splitters are at or below (k, version), by binary search."""
+    if not splits:
+        return F.lit(0)
+    every = F.from_json(F.lit(json.dumps([{"k": k, "version": v} for k, v in splits])), "array<struct<k:bigint,version:bigint>>")
+    steps = F.array(*[F.lit(1 << i) for i in range(len(splits).bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= len(splits)) & (F.get(every, at + step - 1) <= F.struct("k", "version")), at + step).otherwise(at))
+
+
 def pairs_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = 8 << 20) -> DataFrame:
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next) of every row."""
-    own = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    least = F.lit(-(1 << 63))
-    key = F.coalesce("id", least)
+    text = F.coalesce(text_col, F.lit(""))
+    own = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("k"), F.xxhash64(text).alias("version"), text.alias("text"))
     n_bytes, rows = own.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    ranges = int(max(1, min((n_bytes or 0) // range_bytes, rows)))
-    cuts = own.approxQuantile("id", [k / ranges for k in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
-    cuts = sorted({int(c) for c in cuts})
-    number = F.size(F.filter(F.array(*[F.lit(c).cast("bigint") for c in cuts]), lambda c: c <= key)) if cuts else F.lit(0)
-    own = own.withColumns({"k": key, "range": number})
-    # the first key of every range: one row a range
-    heads = sorted(tuple(r) for r in own.groupBy("range").agg(F.min("k")).collect())
-    back = {k: heads[i - 1][0] for i, (_, k) in enumerate(heads)}
-    twice = own.sparkSession.createDataFrame(list(back.items()) or [(0, 0)], "k long, before int")
-    dealt = own.join(F.broadcast(twice), "k", "left")
-    dealt = dealt.select("id", "k", "text", F.explode(F.array_compact(F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("tail")), F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("range"), F.lit(1).alias("tail")))))).alias("to"))
-
-    def run(pdf):
-        pdf = pdf.sort_values(["tail", "k", "text"], kind="stable")
-        mine = pdf[pdf["tail"] == 0]
-        texts = mine["text"].tolist()
-        tail = pdf[pdf["tail"] == 1]["text"].tolist()
-        out = compared(texts, texts[1:] + tail[:1])
-        out.insert(0, "id", mine["id"].astype("Int64").to_numpy() if mine["id"].isna().any() else mine["id"].to_numpy())
-        return out
-
+    ranges = int(max(1, min((n_bytes or 0) // range_bytes, rows, RANGES)))
+    keys = own.select("k", "version")
+    splits: list = []
+    if ranges > 1:
+        found = sorted({tuple(r) for r in keys.sample(min(1.0, SAMPLED * ranges / rows), 11).collect()})
+        splits = sorted({found[len(found) * i // ranges] for i in range(1, ranges)}) if found else []
+    number = _range_number(splits).alias("range")
+    if keys.groupBy("k", "version").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        own = own.withColumn("n", F.lit(1).cast("bigint"))
+    else:  # equal rows are one with their number
+        own = own.groupBy("id", "k", "version").agg(F.min("text").alias("text"), F.count("*").alias("n"))
+    # the first key of every range, at most RANGES of them, goes to the range before as well
+    heads = sorted(tuple(r) for r in keys.select(number, F.struct("k", "version").alias("x")).groupBy("range").agg(F.min("x").alias("x")).select("range", "x.*").collect())
+    back = [(heads[i - 1][0], k, v) for i, (_, k, v) in enumerate(heads)]
+    first = own.sparkSession.createDataFrame(back or [(0, 0, 0)], "range int, k long, version long")
+    tails = own.select("k", "version", "text").join(F.broadcast(first), ["k", "version"]).groupBy("range", "k", "version").agg(F.min("text").alias("text"))
+    mine = own.select(number, F.lit(0).alias("tail"), "id", "k", "version", "text", "n")
+    dealt = mine.unionByName(tails.select("range", F.lit(1).alias("tail"), "k", "version", "text"), allowMissingColumns=True)
     schema = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    out = dealt.select("id", "k", "text", "to.range", "to.tail").groupBy("range").applyInPandas(run, schema)
+    out = dealt.repartition("range").sortWithinPartitions("range", "tail", "k", "version").select("range", "tail", "id", "text", "n").mapInArrow(_stream, schema)
     return out.withColumnRenamed("id", id_col)
