@@ -154,15 +154,19 @@ def solve(x: np.ndarray, y: np.ndarray, per_lang: int, ridge: float = 1e-2) -> d
 def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = 1536, landmarks: int = 192) -> dict | None:
     """The classifier from at most ``sample_rows`` rows of ``labelled``."""
     known = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("id is not null and lang is not null")
-    keys = known.select("id", "lang").distinct().withColumn("h", F.xxhash64("id"))
-    n = keys.agg(F.count_distinct("lang")).first()[0]
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("id").alias("ids"))
+    n = counts.count()
     if n == 0:
         return None
     per = max(1, sample_rows // n)
     if n * per > 4 * sample_rows:
         raise ValueError(f"{n} languages: raise sample_rows")
+    # the ``per`` ids of smallest hash of each language lie, as good as surely,
+    # in the share of all hashes that holds some four times as many of its ids
+    h = F.xxhash64("id")
+    low = h / F.lit(2.0**64) + 0.5 <= F.lit(4.0 * per + 64) / F.col("ids")
+    keys = known.join(F.broadcast(counts), "lang").where(low).select("id", "lang", h.alias("h")).distinct()
     order = Window.partitionBy("lang").orderBy("h", "id")
-    # row_number() <= per is cut to `per` rows in each task before the shuffle
     chosen = keys.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per)
     rows = known.join(F.broadcast(chosen.select("id", "lang", "r")), ["id", "lang"]).groupBy("lang", "r").agg(F.min("text").alias("text"))
 
