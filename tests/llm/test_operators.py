@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from touchline.llm import bloom_lm, bpe, components, decontaminate, fmindex, langid, line_templates, main_text, phrases, repeated_substrings, similarity_join, warc
+from touchline.llm import arrays, bloom_lm, bpe, components, decontaminate, fmindex, langid, line_templates, main_text, phrases, repeated_substrings, similarity_join, warc
 from touchline.llm.common import shared_path
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -519,6 +519,42 @@ def plain_repeats(texts):
     return out
 
 
+def test_multikey_quicksort():
+    rng = np.random.default_rng(9)
+    for n, kinds in ((0, 2), (1, 2), (40, 2), (3000, 2), (3000, 5), (2000, 2**60)):
+        words_ = rng.integers(0, kinds, (n, 6)).astype(">u8")
+        got = words_[repeated_substrings.multikey_order(words_)]
+        assert got.tolist() == sorted(words_.tolist())
+
+
+def test_fingerprints_piece_by_piece(monkeypatch):
+    data = (" ".join("w%d" % (i % 977) for i in range(5000)) + " " + "z" * 3000 + " end").encode() + b"\n"
+    low = arrays.lowered(data)
+    s, e = arrays.words(low, arrays.WORD_NOT_SPACE)
+    whole = arrays.fingerprints(low, s, e)
+    monkeypatch.setattr(arrays, "PIECE", 256)
+    assert (arrays.fingerprints(low, s, e) == whole).all()
+
+
+def test_repeats_in_long_texts(spark, monkeypatch):
+    """One text in windows: its runs are cut, the bytes removed are the same."""
+    rng = np.random.default_rng(12)
+    block = "".join(rng.choice(list("abcdefgh "), 5000))
+    long = "".join(rng.choice(list("abcdefgh "), 3000)) + block + "".join(rng.choice(list("abcdefgh "), 2500)) + block[1000:4000] + "tail"
+    data = long.encode() + b"\n"
+    monkeypatch.setattr(repeated_substrings, "WINDOW", 700)
+    cut = repeated_substrings.long_runs(data)
+    whole = repeated_substrings.runs(data, np.array([0, len(data)]))
+    places_of = lambda r: sorted((int(x["start"]) + k, int(x["start"]) + int(x["left"])) for x in r for k in range(x["count"]))
+    assert places_of(cut) == places_of(whole)
+    texts = {1: long, 2: "x" * 4_500_000 + block, 3: block[:600]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows(repeated_substrings.dedup(docs))}
+    want = plain_repeats({k: v for k, v in texts.items() if k != 2} | {2: "x" * 300 + block})
+    assert bytes(got[1]["kept"]) == want[1][0] and bytes(got[3]["kept"]) == want[3][0] == b""
+    assert bytes(got[2]["kept"]) == want[2][0]
+
+
 @pytest.mark.parametrize("parts", [None, 7])
 def test_repeats(spark, monkeypatch, parts):
     if parts:  # many boundaries between sorted partitions

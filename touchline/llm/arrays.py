@@ -86,14 +86,41 @@ def words(low: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
+#: Bytes over which prefix sums are taken at once; tables are as long.
+PIECE = 1 << 22
+
+
 def fingerprints(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit fingerprint of each byte range, by prefix sums of a polynomial."""
+    """64-bit fingerprint of each of the byte ranges, which follow each other,
+    by prefix sums of a polynomial. It depends on a range's bytes alone, so
+    long arrays are worked on piece by piece, in bounded memory."""
+    if len(low) > PIECE:
+        out, at = np.empty(len(starts), U64), 0
+        while at < len(starts):
+            to = int(np.searchsorted(ends, starts[at] + PIECE, "right"))
+            if to > at:
+                a, z = starts[at], ends[to - 1]
+                out[at:to] = fingerprints(low[a:z], starts[at:to] - a, ends[at:to] - a)
+            else:  # one range longer than a piece
+                to = at + 1
+                out[at] = _long_fingerprint(low[starts[at] : ends[at]])
+            at = to
+        return out
     up, down = _power_tables(len(low) + 1)
     acc = np.zeros(len(low) + 1, U64)
     np.cumsum(_BYTE[low] * up[: len(low)], out=acc[1:])
     return mix((acc[ends] - acc[starts]) * down[starts])
 
 
+def _long_fingerprint(low: np.ndarray) -> np.uint64:
+    up, _ = _power_tables(PIECE)
+    total = 0
+    for at in range(0, len(low), PIECE):
+        part = low[at : at + PIECE]
+        total += int((_BYTE[part] * up[: len(part)]).sum(dtype=U64)) * pow(_P, at, 1 << 64)
+    return mix(np.array([total & (1 << 64) - 1], U64))[0]
+
+
 def rolling(values: np.ndarray, k: int) -> np.ndarray:
     """Fingerprint of every k consecutive 64-bit values (len - k + 1 of them)."""
     n = len(values) - k + 1

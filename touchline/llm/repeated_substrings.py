@@ -41,12 +41,16 @@ LENGTH = 100
 GRAM = 32
 WIDTH = LENGTH - GRAM + 1  # places of a string's anchor
 CHUNK = 1 << 19  # bytes of text worked on at once
-FLUSH = 1 << 18  # runs that a task gathers before it sends them
+FLUSH = 1 << 18  # runs that a task gathers at least before it sends them
+WINDOW = 1 << 20  # bytes of a long text worked on at once
+LONG = 4 << 20  # bytes from which a text is long
 _PLACE = U64((1 << 28) - 1)
 NONE = (1 << 63) - 1  # the id that stands for null
 
 RUN = np.dtype([("gram", "<u8"), ("span", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("count", "u1"), ("left", "u1")])
 
+GONE = np.dtype([("doc", "<u4"), ("start", "<u4"), ("count", "<u4"), ("left", "u1")])
+
 
 def runs(data: bytes, offsets: np.ndarray) -> np.ndarray:
     """The runs of a chunk of texts; ``start`` counts from its text's start,
@@ -90,6 +94,20 @@ def runs(data: bytes, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def long_runs(data: bytes) -> np.ndarray:
+    """The runs of one long text (which a newline follows), window by window. A
+    run that a window cuts becomes two; then it may not equal another's, and
+    the sort settles its strings."""
+    size = len(data) - 1
+    parts = []
+    for at in range(0, max(1, size - LENGTH + 1), WINDOW):
+        piece = data[at : min(size, at + WINDOW + LENGTH - 1)] + b"\n"
+        r = runs(piece, np.array([0, len(piece)]))
+        r["start"] += at
+        parts.append(r)
+    return np.concatenate(parts)
+
+
 def _earliest(r: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Which runs are the first of their class; ``rank`` orders the runs."""
     order = np.lexsort((rank, r["span"], r["gram"]))
@@ -110,6 +128,19 @@ def _ranked(ids: np.ndarray, r: np.ndarray) -> np.ndarray:
     return rank[r["doc"]] << 32 | r["start"].astype(np.int64)
 
 
+def _joined(r: np.ndarray) -> np.ndarray:
+    """Settled runs of a document that overlap or touch as one."""
+    r = r[np.lexsort((r["start"], r["doc"]))]
+    doc = r["doc"].astype(np.int64) << 34
+    start = doc + r["start"]
+    end = np.maximum.accumulate(start + r["count"] - 1 + LENGTH)
+    first = np.flatnonzero(np.append(True, start[1:] > end[:-1]))
+    out = np.zeros(len(first), GONE)
+    out["doc"], out["start"] = r["doc"][first], r["start"][first]
+    out["count"] = end[np.append(first[1:], len(r)) - 1] - start[first] - LENGTH + 1
+    return out
+
+
 def _packed(docs: DataFrame, bits: int) -> DataFrame:
     """Runs dealt to 2**bits buckets by their gram; runs that an earlier equal
     one in the same task settles travel as removals (bucket below 0)."""
@@ -122,18 +153,23 @@ def _packed(docs: DataFrame, bits: int) -> DataFrame:
         bucket = (r["gram"] >> U64(64 - bits)).astype(np.int64)
         edge = np.searchsorted(bucket, np.arange((1 << bits) + 1))
         rows = [(k, r[edge[k] : edge[k + 1]]) for k in np.flatnonzero(np.diff(edge)).tolist()]
-        rows += [(-1 - len(gone) % (1 << bits), gone)] if len(gone) else []
+        # settled runs may go anywhere: to a bucket by their first document
+        rows += [(-1 - int(mix(ids[gone["doc"][:1]].sum(axis=1).astype(U64))[0] >> U64(64 - bits)), _joined(gone))] if len(gone) else []
         for k, part in rows:
             used, place = np.unique(part["doc"], return_inverse=True)
             part = part.copy()
             part["doc"] = place
             fields = [np.ascontiguousarray(part[f]).tobytes() for f in ("doc", "start", "count", "left")]
-            gram = (part["gram"] >> U64(24 - min(bits, 24))).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() if k >= 0 else b""
-            span = np.ascontiguousarray(part["span"]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() if k >= 0 else b""
+            if k < 0:
+                yield k, ids[used].tobytes(), b"", b"", *fields
+                continue
+            gram = (part["gram"] >> U64(24 - min(bits, 24))).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+            span = np.ascontiguousarray(part["span"]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
             yield k, ids[used].tobytes(), gram, span, *fields
 
     def run(it):
         parts, ids, total = [], [], 0
+        flush = min(max(FLUSH, 4 << bits), 4 * FLUSH)  # the more buckets, the more to each
 
         def batch(rows):
             for at in range(0, len(rows), 64):
@@ -143,12 +179,12 @@ def _packed(docs: DataFrame, bits: int) -> DataFrame:
         for b in batches(it):
             keys = list(zip(b.column("id").to_pylist(), b.column("version").to_pylist()))
             for first, last, data, offsets in chunks(b.column("text").to_pylist(), CHUNK):
-                r = runs(data, offsets)
+                r = runs(data, offsets) if len(data) <= LONG else long_runs(data)
                 r["doc"] += len(ids)
                 ids += keys[first:last]
                 parts.append(r)
                 total += len(r)
-                if total >= FLUSH:
+                if total >= flush:
                     yield from batch(list(send(parts, ids)))
                     parts, ids, total = [], [], 0
         if total:
@@ -167,9 +203,9 @@ def _settled(packed: DataFrame) -> DataFrame:
         parts, ids, base = [], [], 0
         for row in pdf.itertuples(index=False):
             own = np.frombuffer(row.ids, np.int64).reshape(-1, 2)
-            r = np.zeros(len(row.doc) // 4, RUN)
+            r = np.zeros(len(row.doc) // 4, RUN if key[0] >= 0 else GONE)
             for f in ("doc", "start", "count", "left"):
-                r[f] = np.frombuffer(getattr(row, f), RUN[f])
+                r[f] = np.frombuffer(getattr(row, f), r.dtype[f])
             r["doc"] += base
             for f, width in (("gram", 5), ("span", 6)):
                 if len(getattr(row, f)):
@@ -226,24 +262,30 @@ def _batch(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["suffix", "before", "id", "version", "start", "count"])
 
 
+SMALL = 48  # rows that are sorted at once
+
+
 def multikey_order(words: np.ndarray) -> np.ndarray:
-    """Order of rows of big-endian words, one word at a time: rows that are
-    alone leave, tied ones are split by their next word."""
+    """Order of rows of big-endian words by multikey quicksort: a range of rows
+    that agree so far is parted by one word into smaller, equal and larger
+    ones, and the equal ones go on with the next word."""
     order = np.arange(len(words))
-    tied = np.zeros(len(words), np.int64)  # group of each place in the order
-    live = np.arange(len(words))
-    for w in range(words.shape[1]):
-        if not len(live):
-            break
-        rows = order[live]
-        by = np.lexsort((words[rows, w], tied[live]))
-        order[live] = rows[by]
-        value, group = words[order[live], w], tied[live]
-        new = np.ones(len(live), bool)
-        new[1:] = (group[1:] != group[:-1]) | (value[1:] != value[:-1])
-        tied[live] = np.cumsum(new)
-        alone = new & np.append(new[1:], True)
-        live = live[~alone]
+    todo = [(0, len(words), 0)]
+    while todo:
+        first, last, w = todo.pop()
+        if last - first < 2 or w == words.shape[1]:
+            continue
+        rows = order[first:last]
+        if last - first <= SMALL:
+            order[first:last] = rows[np.lexsort(words[rows, w:].T[::-1])]
+            continue
+        value = words[rows, w]
+        pivot = np.sort(value[[0, len(value) // 4, len(value) // 2, 3 * len(value) // 4, -1]])[2]
+        less, more = value < pivot, value > pivot
+        parts = rows[less], rows[~(less | more)], rows[more]
+        order[first:last] = np.concatenate(parts)
+        a, b = first + len(parts[0]), last - len(parts[2])
+        todo += [(first, a, w), (a, b, w + 1), (b, last, w)]
     return order
 
 
@@ -323,7 +365,7 @@ def _compared(suffixes: DataFrame, parts: int) -> DataFrame:
 def removals(docs: DataFrame) -> DataFrame:
     """(id, version, start, end) of byte ranges to remove; ranges overlap."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(16, max(3, int(total >> 23).bit_length()))
+    bits = min(24, max(3, int(total >> 23).bit_length()))
     found = stored(_settled(_packed(docs, bits)), "runs")
     suffixes = stored(_suffixes(docs, found.where("not settled").select("id", "version", "start", "count", "left")), "suffixes")
     size = suffixes.agg(F.sum(F.octet_length("suffix") + F.octet_length("before"))).first()[0] or 0
