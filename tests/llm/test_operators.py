@@ -209,6 +209,8 @@ def test_main_text_copies_and_articles(spark, monkeypatch):
     monkeypatch.setattr(main_text, "RUN", 3)  # cuts inside hosts
     pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(5)
     assert {r["page_id"]: r["text"] for r in rows(main_text.extract(pages))} == want
+    monkeypatch.setattr(main_text, "SENT", 0)  # the texts travel to the places
+    assert {r["page_id"]: r["text"] for r in rows(main_text.extract(pages))} == want
 
 
 def test_blocks_of_an_article_need_more_than_one_neighbour(spark):

@@ -53,6 +53,7 @@ COMMENTS = frozenset("comment comments disqus".split())
 RUN, REACH = 1024, 8  # pages worked on at once, and looked at on either side
 VOTES = 2  # unlike pages that share a block of an article, at least, for it to go
 TABLE = 1 << 22  # cells of an alignment that are kept at once
+SENT = 1 << 20  # numbers, some eight bytes each, that are broadcast at most
 FREE, OWN, OTHER = 0, 1, 2  # where a block is: elsewhere, in article or main, in boilerplate
 
 
@@ -278,8 +279,12 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), b.column("host"), pa.array(key, pa.binary()), pa.array(parts, pa.list_(pa.string()))], names=["id", "url", "host", "key", "blocks"])
 
     listed = own.select("host", "path", "html").mapInArrow(lists, "host string, path string, key binary, marks array<bigint>, places array<int>, sure boolean")
-    gone = _differenced(listed)
-    # texts are cut again and not stored: they travel once, to this join
+    gone = stored(_differenced(listed), "gone")
+    size = gone.agg(F.sum(F.size("gone") + 16)).first()[0] or 0
+    # texts are cut again and not stored; they travel only if the places to
+    # delete are too many to be sent to them
+    if size <= SENT:
+        gone = F.broadcast(gone)
     whole = own.select("id", "url", "host", "html").mapInArrow(texts, f"id {kind}, url string, host string, key binary, blocks array<string>")
     out = whole.join(gone, ["host", "key"], "left")
     left = F.array_except(F.sequence(F.lit(0), F.size("blocks") - 1), "gone")
