@@ -423,6 +423,13 @@ SQL["stream_metrics_complete"] = SQL["player_metrics"]
 SQL["stream_state"] = SQL["player_metrics"]
 SQL["latest_count"] = with_metrics(
     "SELECT count(*) AS documentos FROM (SELECT DISTINCT match_id, player_id, player_equipo FROM m)")
+SQL["bulk_readback"] = SQL["player_metrics"]
+_SOME = "zev AS (SELECT {cols}, CASE WHEN x <= 35 THEN 'defensa' WHEN x <= 70 THEN 'medio' ELSE 'ataque' END AS zona FROM ev{where})"
+SQL["second_run"] = f"WITH {EV},\n{_SOME.format(cols='*', where=' WHERE event_id % 2 = 1')},\n{M}\nSELECT {METRIC_COLS} FROM m"
+_ONE = "* REPLACE ('M-nuevo' AS match_id)"
+SQL["replayed_match"] = f"WITH {EV},\n{_SOME.format(cols=_ONE, where='')},\n{M}\nSELECT {METRIC_COLS} FROM m"
+SQL["event_clock"] = f"""WITH {EV}
+SELECT match_id, event_id, strftime(TIMESTAMP '2024-02-01 00:00:00' + to_seconds(timestamp::BIGINT), '%Y-%m-%dT%H:%M:%SZ') AS reloj FROM ev"""
 SQL["live_match_kpis"] = SQL["match_kpis"]
 SQL["live_top_scorers"] = SQL["top_scorers"]
 SQL["live_team_stamina"] = SQL["team_stamina"]

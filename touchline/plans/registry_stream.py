@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from touchline.functions.columns import iso_utc
 from touchline.operators.metrics import METRIC_COLUMNS
 from touchline.plans import dashboards as D
 from touchline.schemas import METRIC_KEYS
@@ -13,10 +14,10 @@ from touchline.sources.events import (encode_events, event_columns, events_from_
                                       read_event_files, rejected_messages)
 from touchline.streaming.documents import read_documents
 from touchline.streaming.files import order_slices
-from touchline.streaming.job import checkpoint_path, run_replay
+from touchline.streaming.job import checkpoint_path, metrics_from_messages, run_replay
 from touchline.streaming.roster_versions import RosterVersions, join_roster
 from touchline.streaming.sinks import (bulk_ndjson, compact_history, compact_latest, latest_from_history,
-                                       read_history, read_last_epoch, read_latest)
+                                       read_bulk_files, read_history, read_last_epoch, read_latest)
 from touchline.streaming.state import metrics_from_state
 
 # Injected clock for the registered bulk query, so its output is
@@ -129,6 +130,43 @@ def _on_documents(fn, **kw):
     return lambda spark, sf_dir: fn(documents(spark, sf_dir).select(*METRIC_KEYS, *METRIC_COLUMNS), **kw)
 
 
+def bulk_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that a search engine holds after taking in every bulk
+    file of the replay, epoch by epoch."""
+    history, run_id = stream_run(spark, sf_dir)
+    docs = read_bulk_files(spark, _out(history) + "/bulk", run_id, documents(spark, sf_dir).schema)
+    return latest_from_history(docs).select(*METRIC_KEYS, *METRIC_COLUMNS)
+
+
+def second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the job into one folder, the second with every second event:
+    its state and history are its own."""
+    def run() -> tuple[str, str]:
+        base = shared_dir(spark, "two-runs")
+        for k in (0, 1):
+            ev = events_from_table(spark, sf_dir).filter(F.pmod(F.col("event_id"), F.lit(2)) == k)
+            encode_events(ev).select("value").repartition(2).write.text(f"{base}/events{k}")
+            out = run_replay(spark, f"{base}/events{k}", out_base=f"{base}/out", run_id=f"run{k}", with_bulk=False,
+                             state_partitions=state_partitions(spark))
+        return out
+    history, run_id = once(spark, sf_dir, "two runs", run)
+    return latest_from_history(read_history(spark, history, run_id)).select(*METRIC_KEYS, *METRIC_COLUMNS)
+
+
+def replayed_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded messages of all matches replayed as one new match."""
+    raw = encode_events(events_from_table(spark, sf_dir)).select("value")
+    return metrics_from_messages(raw, match_id="M-nuevo").select(*METRIC_KEYS, *METRIC_COLUMNS)
+
+
+def event_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' times as the documents write theirs, from a kick-off at the
+    injected clock."""
+    start = F.to_timestamp(F.lit(BULK_CLOCK))
+    at = F.timestamp_seconds(F.unix_timestamp(start) + F.col("timestamp"))
+    return events_from_table(spark, sf_dir).select("match_id", "event_id", iso_utc(at).alias("reloj"))
+
+
 # Match time from which the replay of changing positions has every second
 # player as a forward.
 POSITION_CHANGE = 302400.0
@@ -268,6 +306,10 @@ STREAM_QUERIES = {
     "stream_metrics_complete": stream_latest_complete,
     "latest_snapshot": latest_snapshot,
     "latest_count": latest_count,
+    "bulk_readback": bulk_readback,
+    "second_run": second_run,
+    "replayed_match": replayed_match,
+    "event_clock": event_clock,
     "stream_state": stream_state,
     "position_changes": position_changes,
     "live_match_kpis": _on_documents(D.match_kpis),

@@ -28,6 +28,7 @@ from collections.abc import Callable, Sequence
 from pyspark import InheritableThread, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.functions.columns import doc_id, iso_utc
 from touchline.operators.metrics import LAST_EVENT
@@ -69,6 +70,15 @@ def write_bulk_files(metrics: DataFrame, path: str, **kw) -> None:
     bulk_ndjson(_files(metrics, ROWS_PER_FILE), **kw).select("bulk").write.mode("overwrite").text(path)
 
 
+def read_bulk_files(spark: SparkSession, base: str, run_id: str, schema: StructType) -> DataFrame:
+    """The documents of a run's bulk files, with the epoch that wrote them. A
+    document line holds its own key, so action lines need not be matched."""
+    lines = spark.read.option("basePath", base).text(f"{base}/run_id={run_id}")
+    docs = lines.filter(~F.startswith("value", F.lit('{"index":')))
+    wanted = StructType([f for f in schema.fields if f.name not in ("batch_id", LAST_EVENT)])
+    return docs.select(F.from_json("value", wanted).alias("d"), "run_id", "batch_id").select("d.*", "run_id", "batch_id")
+
+
 def history_path(base: str, run_id: str, batch_id: int) -> str:
     return f"{base}/run_id={run_id}/batch_id={batch_id}"
 
