@@ -98,13 +98,14 @@ def drop_recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     gone = recurring_lines(narrow, **options).select(F.col("id").alias("_id"), F.col("version").alias("_version"), F.col("drop").alias("_drop"))
     own = docs.join(gone, (docs[id_col] == gone["_id"]) & (F.xxhash64(docs[text_col]) == gone["_version"]), "left")
-    parts = F.split(text_col, "\n", -1)
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "_drop"), lambda i: F.get(parts, i))
+    # a generated column: the text is cut once, not for every line that is read
+    own = own.select("*", F.explode(F.array(F.split(text_col, "\n", -1))).alias("_parts"))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "_drop"), lambda i: F.get("_parts", i))
     return own.withColumns({
-        "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("bigint"),
+        "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_parts")).cast("bigint"),
         "n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint"),
         text_col: F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")),
-    }).drop("_id", "_version", "_drop")
+    }).drop("_id", "_version", "_drop", "_parts")
 
 
 def sql(lead: int = 3, similar: float = 0.8, min_docs: int = 3, variants: int = 32, source: str = "documents") -> str:
