@@ -3,6 +3,7 @@ fingerprints on them, without a Python step per word."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -132,9 +133,22 @@ def rolling(values: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+#: Rows that become Python objects at a time.
+ROWS = 1024
+
+
 def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches with rows; after the last the worker gives free memory back."""
+    """The batches with rows, cut to at most ``ROWS``; after the last the
+    worker gives free memory back, since it may idle beside others."""
     for b in it:
-        if b.num_rows:
-            yield b
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
     pa.default_memory_pool().release_unused()
+    _trim()
+
+
+def _trim() -> None:
+    """Return what the C library holds free to the system, where it can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
