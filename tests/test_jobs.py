@@ -128,3 +128,41 @@ def test_batch_metrics_job_equals_stream_transformation(spark, tmp_out):
     got = spark.read.parquet(f"{tmp_out}/m").select(*cols)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, player_metrics(ev).select(*cols).collect()))
     assert spark.read.json(f"{tmp_out}/rej").count() == 1
+
+
+def test_published_rosters_documents_and_compaction(spark, tmp_out):
+    from touchline.jobs import compact_job
+    from touchline.streaming.documents import read_documents
+    from touchline.streaming.files import subfolders
+    ev = events_from_table(spark, SF_SMALL)
+    encode_events(ev).select("value").repartition(3).write.text(f"{tmp_out}/in")
+    men, women = write_roster_csvs(spark, SF_SMALL, f"{tmp_out}/csv")
+    assert [roster_job(spark, men, women, f"{tmp_out}/rosters", publish=True) for _ in range(2)] == [0, 1]
+    out = f"{tmp_out}/out"
+    stream_job(spark, out, files=f"{tmp_out}/in", run_id="v", available_now=True, rocksdb=False, roster=f"{tmp_out}/rosters")
+    h = read_history(spark, f"{out}/history", "v")
+    assert [r.version_plantilla for r in h.select("version_plantilla").distinct().collect()] == [1]
+    assert h.filter(F.col("velocidad").isNotNull()).count() > 0
+    cols = METRIC_KEYS + METRIC_COLUMNS
+    want = sorted(map(tuple, player_metrics(ev).select(*cols).collect()))
+    docs = read_documents(spark, f"{out}/documents", "v")
+    assert sorted(map(tuple, docs.select(*cols).collect())) == want and "media" in docs.columns
+    before = sorted(map(tuple, h.select(*cols, "batch_id").collect()))
+    upto = compact_job(spark, out, "v", expire=True)
+    assert upto == max(r[-1] for r in before) and subfolders(spark, f"{out}/history/run_id=v") == []
+    assert sorted(map(tuple, read_history(spark, f"{out}/history", "v").select(*cols, "batch_id").collect())) == before
+    # the run goes on after its epochs were merged away
+    encode_events(ev.limit(30)).select("value").write.mode("append").text(f"{tmp_out}/in")
+    stream_job(spark, out, files=f"{tmp_out}/in", run_id="v", available_now=True, rocksdb=False, roster=f"{tmp_out}/rosters")
+    again = read_history(spark, f"{out}/history", "v")
+    assert again.count() > len(before) and again.agg(F.max("batch_id")).first()[0] > upto
+
+
+def test_foreign_roster_folder_is_joined_apart(spark, tmp_out):
+    """A plain roster, without versions, still makes the second history."""
+    encode_events(events_from_table(spark, SF_SMALL)).select("value").coalesce(1).write.text(f"{tmp_out}/in")
+    men, women = write_roster_csvs(spark, SF_SMALL, f"{tmp_out}/csv")
+    roster_job(spark, men, women, f"{tmp_out}/plain")
+    stream_job(spark, f"{tmp_out}/out", files=f"{tmp_out}/in", run_id="p", available_now=True, rocksdb=False, roster=f"{tmp_out}/plain")
+    assert "velocidad" not in read_history(spark, f"{tmp_out}/out/history", "p").columns
+    assert "velocidad" in read_history(spark, f"{tmp_out}/out/history_roster", "p").columns
