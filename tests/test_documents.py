@@ -82,6 +82,14 @@ def test_null_ids_are_documents_too(spark, tmp_out):
         DocumentTable(spark, f"{tmp_out}/none").read()
 
 
+def test_later_epochs_may_bring_columns(spark, tmp_out):
+    table = DocumentTable(spark, f"{tmp_out}/d", buckets=8)
+    table.upsert(_metrics(spark, [{"player_id": str(i)} for i in range(20)]), 0)
+    table.upsert(_metrics(spark, [{"player_id": "3", "timestamp": 9.0}]).withColumn("media", F.lit("80")), 1)
+    got = {r.player_id: r.media for r in table.read().collect()}
+    assert len(got) == 20 and got["3"] == "80" and got["4"] is None
+
+
 def test_stream_documents_equal_batch(spark, tmp_out):
     ev = events_from_table(spark, SF_SMALL)
     encode_events(ev).select("value").repartition(4).write.text(f"{tmp_out}/in")

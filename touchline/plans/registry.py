@@ -63,7 +63,9 @@ def stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         (metrics(spark, sf_dir).sortWithinPartitions("match_id", "player_equipo")
          .write.mode("overwrite").parquet(path))
         _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+    # the schema is known, so no job reads it from the files
+    return _plan(spark, sf_dir, "stored metrics",
+                 lambda: spark.read.schema(metrics(spark, sf_dir).schema).parquet(_STORED[key]))
 
 
 def _on_metrics(fn, **kw) -> Query:

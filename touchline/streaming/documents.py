@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.operators.metrics import LAST_EVENT
 from touchline.schemas import METRIC_KEYS
@@ -51,7 +52,8 @@ class DocumentTable:
         paths = [f"{self.base}/epoch={v}/bucket={b}" for b, v in sorted(live.items()) if buckets is None or b in buckets]
         if not paths:
             return None
-        return self.spark.read.option("basePath", self.base).parquet(*paths).drop("epoch", "bucket")
+        rows = self.spark.read.option("basePath", self.base).schema(StructType.fromJson(entry["schema"]))
+        return rows.parquet(*paths).drop("epoch", "bucket")
 
     def upsert(self, rows: DataFrame, epoch: int) -> None:
         now = self.log.entry() or {"epoch": -1, "live": {}}
@@ -61,12 +63,14 @@ class DocumentTable:
         new = rows.withColumn("batch_id", F.lit(epoch).cast("bigint"))
         touched = sorted(r["bucket"] for r in new.select(bucket).distinct().collect())
         old = self._rows(now, touched)
-        merged = self._latest(new if old is None else new.unionByName(old))
+        # a later epoch may bring columns that earlier ones had not
+        merged = self._latest(new if old is None else new.unionByName(old, allowMissingColumns=True))
         # one task a bucket, so an epoch writes at most one file for each
         (merged.select("*", bucket).repartition(len(touched) or 1, "bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.base}/epoch={epoch}"))
         live = {**now["live"], **{str(b): epoch for b in touched}}
-        self.log.commit(epoch, {"epoch": epoch, "key": self.key, "buckets": self.buckets, "live": live})
+        self.log.commit(epoch, {"epoch": epoch, "key": self.key, "buckets": self.buckets, "live": live,
+                                "schema": merged.schema.jsonValue()})
 
     def read(self, epoch: int | None = None) -> DataFrame:
         """The documents as of an epoch, by default the newest."""
