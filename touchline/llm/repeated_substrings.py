@@ -149,6 +149,7 @@ def _packed(docs: DataFrame, bits: int) -> DataFrame:
         r, ids = np.concatenate(parts), np.array(ids, np.int64).reshape(-1, 2)
         first = _earliest(r, _ranked(ids, r))
         gone, r = r[~first], r[first]
+        r["gram"] = mix(r["gram"])  # an anchor's gram is a minimum: mixed, the buckets are even
         r = r[np.argsort(r["gram"], kind="stable")]
         bucket = (r["gram"] >> U64(64 - bits)).astype(np.int64)
         edge = np.searchsorted(bucket, np.arange((1 << bits) + 1))
