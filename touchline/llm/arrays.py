@@ -143,12 +143,12 @@ def batches(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in it:
         for at in range(0, b.num_rows, ROWS):
             yield b.slice(at, ROWS)
-    pa.default_memory_pool().release_unused()
-    _trim()
+    give_back()
 
 
-def _trim() -> None:
-    """Return what the C library holds free to the system, where it can."""
+def give_back() -> None:
+    """Return what Arrow and the C library hold free to the system, where they can."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
