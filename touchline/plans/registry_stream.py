@@ -10,8 +10,8 @@ from touchline.operators.metrics import METRIC_COLUMNS
 from touchline.plans import dashboards as D
 from touchline.schemas import METRIC_KEYS
 from touchline.session import input_version, shared_dir
-from touchline.sources.events import (encode_events, event_columns, events_from_table, parse_events,
-                                      read_event_files, rejected_messages)
+from touchline.sources.events import (adapted, encode_events, event_columns, events_from_table, parse_events,
+                                      read_event_files, rejected_messages, table_rows)
 from touchline.streaming.documents import read_documents
 from touchline.streaming.files import order_slices
 from touchline.streaming.job import checkpoint_path, metrics_from_messages, run_replay
@@ -24,6 +24,10 @@ from touchline.streaming.state import metrics_from_state
 # reproducible; the sink itself stamps processing time.
 BULK_CLOCK = "2024-02-01T00:00:00Z"
 EVENT_FILES = 8
+#: Rows of one event file: compressed files are read by one task each.
+FILE_ROWS = 50_000
+#: Parts of the published events that an epoch of a replay takes in.
+PARTS = 2
 
 _DONE: dict[tuple, object] = {}
 
@@ -37,20 +41,28 @@ def once(spark: SparkSession, sf_dir: str, what: str, make):
     return _DONE[key]
 
 
-def event_files(spark: SparkSession, sf_dir: str) -> str:
-    """Publish the adapter events as JSON-lines files (the replay input)."""
-    def write() -> str:
+def published(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """(path, files of a part): the adapter events as JSON-lines files. What is
+    dealt out are the table's rows, which are far shorter than their messages."""
+    def write() -> tuple[str, int]:
         path = shared_dir(spark, "events-json")
-        msgs = encode_events(events_from_table(spark, sf_dir)).select("value")
-        # At least EVENT_FILES files so the replay spans several epochs (more
+        rows = table_rows(spark, sf_dir)
+        # At least EVENT_FILES parts so the replay spans several epochs (more
         # when the input has more partitions). Round-robin spreads one
         # player's events over all files, so they arrive out of order.
-        n = max(EVENT_FILES, msgs.rdd.getNumPartitions())
-        msgs.repartition(n).write.mode("overwrite").text(path)
-        return path
+        n = max(EVENT_FILES, rows.rdd.getNumPartitions())
+        files = max(1, rows.count() // (n * FILE_ROWS))
+        (encode_events(adapted(rows.repartition(n * files))).select("value")
+         .write.mode("overwrite").text(path, compression="gzip"))
+        return path, files
     return once(spark, sf_dir, "events-json", write)
 
 
+def event_files(spark: SparkSession, sf_dir: str) -> str:
+    """Publish the adapter events as JSON-lines files (the replay input)."""
+    return published(spark, sf_dir)[0]
+
+
 def state_partitions(spark: SparkSession) -> int:
     """State partitions for the registered replays: the cluster's cores, so
     the state is spread over every executor without thousands of near-empty
@@ -62,8 +74,9 @@ def stream_run(spark: SparkSession, sf_dir: str, output_mode: str = "update") ->
     """(history, run id) of a replay: in update mode with the document table,
     the bulk files and RocksDB state, as the job runs it."""
     update = output_mode == "update"
+    path, files = published(spark, sf_dir)
     return once(spark, sf_dir, f"stream {output_mode}", lambda: run_replay(
-        spark, event_files(spark, sf_dir), output_mode=output_mode, with_bulk=update,
+        spark, path, output_mode=output_mode, max_files_per_trigger=PARTS * files, with_bulk=update,
         with_documents=update, rocksdb=update, state_partitions=state_partitions(spark)))
 
 

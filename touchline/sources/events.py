@@ -138,7 +138,19 @@ ADAPTER_SQL = [
 ]
 
 
+def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the driver's ``events`` table that match events are made
+    of; they are far shorter than the events' messages, so it is
+    they that a shuffle should move."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+
+
+def adapted(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of the ``events`` table -> match events, ``keep`` beside them."""
+    return rows.selectExpr(*ADAPTER_SQL, *keep)
+
+
 def events_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver ``events`` table -> match events. A pure projection: it stays
     in the scan's codegen stage and reads only four columns."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*ADAPTER_SQL)
+    return adapted(spark.read.parquet(f"{sf_dir}/events.parquet"))

@@ -168,7 +168,7 @@ def run_replay(spark: SparkSession, events_path: str, out_base: str | None = Non
     history = f"{out_base}/history"
     sinks: list[Sink] = [history_sink(history, run_id)]
     if with_bulk:
-        sinks.append(bulk_sink(f"{out_base}/bulk", run_id, now=None))
+        sinks.append(bulk_sink(f"{out_base}/bulk", run_id, now=None, compression="gzip"))
     if with_documents:
         sinks.append(documents_sink(f"{out_base}/documents", run_id))
     raw = file_source(spark, events_path, max_files_per_trigger)

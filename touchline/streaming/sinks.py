@@ -65,9 +65,10 @@ def bulk_ndjson(metrics: DataFrame, index: str = INDEX_NAME, now: str | Column |
     return metrics.select(did.alias("doc_id"), F.concat_ws("\n", meta, body).alias("bulk"))
 
 
-def write_bulk_files(metrics: DataFrame, path: str, **kw) -> None:
+def write_bulk_files(metrics: DataFrame, path: str, compression: str = "none", **kw) -> None:
     """Write the bulk body as NDJSON text files (one folder per epoch)."""
-    bulk_ndjson(_files(metrics, ROWS_PER_FILE), **kw).select("bulk").write.mode("overwrite").text(path)
+    (bulk_ndjson(_files(metrics, ROWS_PER_FILE), **kw).select("bulk")
+     .write.mode("overwrite").text(path, compression=compression))
 
 
 def read_bulk_files(spark: SparkSession, base: str, run_id: str, schema: StructType) -> DataFrame:
