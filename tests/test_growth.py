@@ -49,3 +49,16 @@ def test_published_events_are_packed_and_whole(spark, monkeypatch):
     assert _bytes(path) < text / 2
     parts, files = R.published(spark, SF_SMALL)
     assert parts == path and files > 1 and len(list(Path(path.removeprefix("file:")).glob("part-*"))) >= R.EVENT_FILES * files
+
+
+def test_slices_are_packed_and_whole(spark, monkeypatch):
+    monkeypatch.setattr(R, "_DONE", {})
+    monkeypatch.setattr(R, "FILE_ROWS", 50, raising=False)
+    ev = events_from_table(spark, SF_SMALL)
+    text = sum(len(r.value) for r in encode_events(ev).select("value").collect())
+    path, files = R.slice_files(spark, SF_SMALL)
+    assert _bytes(path) < text / 2 and files > 1
+    cols = event_columns()
+    for k in (0, 7):
+        own = ev.where(f"event_id % {R.EVOLUTION_SLICES} = {k}")
+        assert _rows(read_event_files(spark, f"{path}/slice={k}/*"), cols) == _rows(own, cols)

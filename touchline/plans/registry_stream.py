@@ -200,8 +200,6 @@ def position_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EVOLUTION_SLICES = 8
-#: Rows of one file of a slice.
-SLICE_FILE_ROWS = 250_000
 
 
 def slice_files(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
@@ -209,14 +207,16 @@ def slice_files(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     event id, every slice in as many files, in one write; the files' times put
     the slices in order."""
     def write() -> tuple[str, int]:
-        ev = events_from_table(spark, sf_dir)
-        files = max(1, ev.count() // (EVOLUTION_SLICES * SLICE_FILE_ROWS))
+        rows = table_rows(spark, sf_dir)
+        files = max(1, rows.count() // (EVOLUTION_SLICES * FILE_ROWS))
         while True:
             path = shared_dir(spark, "evolution-in")
-            cut = ev.withColumn("slice", F.pmod(F.col("event_id"), F.lit(EVOLUTION_SLICES))).withColumn(
+            cut = rows.withColumn("slice", F.pmod(F.col("event_id"), F.lit(EVOLUTION_SLICES))).withColumn(
                 "part", F.pmod(F.floor(F.col("event_id") / EVOLUTION_SLICES), F.lit(files)))
-            (encode_events(cut, keep=("slice", "part")).select("value", "slice", "part")
-             .repartition("slice", "part").write.partitionBy("slice", "part").text(path))
+            # the table's rows are dealt out and put in order, not their messages
+            dealt = cut.repartition(4 * EVOLUTION_SLICES * files, "slice", "part").sortWithinPartitions("slice", "part")
+            (encode_events(adapted(dealt, keep=("slice", "part")), keep=("slice", "part")).select("value", "slice", "part")
+             .write.partitionBy("slice", "part").text(path, compression="gzip"))
             if order_slices(spark, path, "slice=") == {files} or files == 1:
                 return path, files
             files = 1  # ids with gaps: some part of a slice has no rows
