@@ -41,20 +41,25 @@ def once(spark: SparkSession, sf_dir: str, what: str, make):
     return _DONE[key]
 
 
+def publish(rows: DataFrame, path: str, parts: int, change=lambda events: events) -> int:
+    """Write the events of the table's ``rows`` as JSON-lines files in so many
+    parts and return the files of a part. What is dealt out are the rows, which
+    are far shorter than their messages."""
+    files = max(1, rows.count() // (parts * FILE_ROWS))
+    (encode_events(change(adapted(rows.repartition(parts * files)))).select("value")
+     .write.mode("overwrite").text(path, compression="gzip"))
+    return files
+
+
 def published(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """(path, files of a part): the adapter events as JSON-lines files. What is
-    dealt out are the table's rows, which are far shorter than their messages."""
+    """(path, files of a part): the adapter events as JSON-lines files."""
     def write() -> tuple[str, int]:
         path = shared_dir(spark, "events-json")
         rows = table_rows(spark, sf_dir)
         # At least EVENT_FILES parts so the replay spans several epochs (more
         # when the input has more partitions). Round-robin spreads one
         # player's events over all files, so they arrive out of order.
-        n = max(EVENT_FILES, rows.rdd.getNumPartitions())
-        files = max(1, rows.count() // (n * FILE_ROWS))
-        (encode_events(adapted(rows.repartition(n * files))).select("value")
-         .write.mode("overwrite").text(path, compression="gzip"))
-        return path, files
+        return path, publish(rows, path, max(EVENT_FILES, rows.rdd.getNumPartitions()))
     return once(spark, sf_dir, "events-json", write)
 
 
@@ -157,10 +162,10 @@ def second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run() -> tuple[str, str]:
         base = shared_dir(spark, "two-runs")
         for k in (0, 1):
-            ev = events_from_table(spark, sf_dir).filter(F.pmod(F.col("event_id"), F.lit(2)) == k)
-            encode_events(ev).select("value").repartition(2).write.text(f"{base}/events{k}")
+            rows = table_rows(spark, sf_dir).filter(F.pmod(F.col("event_id"), F.lit(2)) == k)
+            files = publish(rows, f"{base}/events{k}", 2)
             out = run_replay(spark, f"{base}/events{k}", out_base=f"{base}/out", run_id=f"run{k}", with_bulk=False,
-                             state_partitions=state_partitions(spark))
+                             max_files_per_trigger=PARTS * files, state_partitions=state_partitions(spark))
         return out
     history, run_id = once(spark, sf_dir, "two runs", run)
     return latest_from_history(read_history(spark, history, run_id)).select(*METRIC_KEYS, *METRIC_COLUMNS)
@@ -191,10 +196,10 @@ def position_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run() -> tuple[str, str]:
         path = shared_dir(spark, "events-moved")
         moved = (F.col("timestamp") >= POSITION_CHANGE) & (F.col("player_equipo") == "A")
-        ev = events_from_table(spark, sf_dir).withColumn(
-            "player_posicion", F.when(moved, F.lit("ST")).otherwise(F.col("player_posicion")))
-        encode_events(ev).select("value").repartition(EVENT_FILES).write.mode("overwrite").text(path)
-        return run_replay(spark, path, with_bulk=False, with_documents=True, state_partitions=state_partitions(spark))
+        posicion = F.when(moved, F.lit("ST")).otherwise(F.col("player_posicion"))
+        files = publish(table_rows(spark, sf_dir), path, EVENT_FILES, lambda ev: ev.withColumn("player_posicion", posicion))
+        return run_replay(spark, path, max_files_per_trigger=PARTS * files, with_bulk=False, with_documents=True,
+                          state_partitions=state_partitions(spark))
     history, run_id = once(spark, sf_dir, "position changes", run)
     return read_documents(spark, _out(history) + "/documents", run_id).select(*METRIC_KEYS, *METRIC_COLUMNS)
 
