@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -455,6 +456,45 @@ def test_lm_broadcast_and_travelling_probes_agree(spark, prose, odd):
             assert x[:5] == y[:5] and math.isclose(x[5], y[5], rel_tol=1e-9) and math.isclose(x[6], y[6], rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("broadcast_bytes", [1 << 30, -1])
+def test_lm_disk_does_not_grow_with_the_buckets(spark, tmp_path, monkeypatch, broadcast_bytes):
+    """As many buckets as words of a document, as on some 6 GB: what is
+    shuffled and stored stays near the size of the text."""
+    rng = np.random.default_rng(9)
+    vocabulary = np.array(["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 9))) for _ in range(20_000)])
+    texts = [" ".join(vocabulary[(20_000 * rng.random(300) ** 3).astype(int)]) for _ in range(600)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "docs"))
+    docs, folders = spark.read.parquet(str(tmp_path / "docs")), []
+    few = {r["doc_id"]: r for r in rows(bloom_lm.score(docs, broadcast_bytes=broadcast_bytes))}
+
+    def stored(df, name):
+        folders.append(tmp_path / name)
+        df.write.parquet(str(folders[-1]))
+        return spark.read.schema(df.schema).parquet(str(folders[-1]))
+
+    def shuffled():
+        local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f: f.stat().st_size for d in local for f in Path(d.getPath()).rglob("shuffle_*.data")}
+
+    monkeypatch.setattr(bloom_lm, "stored", stored)
+    monkeypatch.setattr(bloom_lm, "BUCKET", 13)
+    before = shuffled()
+    many = {r["doc_id"]: r for r in rows(bloom_lm.score(docs, broadcast_bytes=broadcast_bytes))}
+    disk = sum(size for f, size in shuffled().items() if f not in before) + sum(f.stat().st_size for x in folders for f in x.rglob("*.parquet"))
+    assert disk < 1.4 * sum(map(len, texts))
+    for i, r in many.items():  # exact counts do not depend on the buckets, false positives do
+        assert r["n_known"] == few[i]["n_known"] and math.isclose(r["base_score"], few[i]["base_score"], rel_tol=1e-9)
+        assert math.isclose(r["score"], few[i]["score"], rel_tol=0.05)
+    assert len(many) == 600
+
+
+def test_whole_numbers_in_as_many_bytes_as_they_need():
+    parts = [np.array(x, np.int64) for x in ([], [0], [1, 255], [256, 0, 3], [1 << 40, 7])]
+    packed = [bloom_lm._narrow(x) for x in parts]
+    assert [len(x) for x in packed] == [0, 1, 2, 6, 12]
+    assert bloom_lm._wide(packed, np.array([len(x) for x in parts])).tolist() == np.concatenate(parts).tolist()
+
+
 def quantised(c):
     return 0.0 if c == 0 else 1.0 if c == 1 else 1.5 * 2 ** (int(math.log2(c)))
 

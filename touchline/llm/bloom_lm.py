@@ -1,21 +1,24 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
 Tokens are runs without white space of the text with A-Z lower-cased, and one
-end mark per text. Unigrams and bigrams of the training texts are counted by
-their fingerprints in buckets. A bucket writes them into its own segment of
-one Bloom filter: an n-gram of count c is entered with each level 1 ..
-1 + floor(log2 c), so its quantised count is the last level found by probing
-level after level. A segment has ``entry_bits`` bits for every entry of its
-bucket, so the filter grows with the distinct n-grams, none is left out, and an
-n-gram that was never seen passes for one with a chance of about 2.4 percent
-(at ``ENTRY_BITS``).
-
-A filter of up to ``broadcast_bytes`` is broadcast to the workers, which probe
-it as they read the texts. A larger one stays in its segments: the distinct
-bigrams of every document travel to the segment of their second word, then of
-their first, then of both, and collect the three counts on their way. Frequent
-words are not probed and take any way, so no segment gets the bigrams of
-``the``. Both ways probe the same filter and give the same scores.
+end mark per text. The texts are stored once in groups of some ``GROUP`` bytes.
+A group sends each of its distinct words and bigrams once, with its count in
+the group's training texts, to the bucket of its fingerprint, so what travels
+does not grow with the number of buckets that a document's words lie in. A
+bucket adds the counts up and writes those n-grams that were learned into its
+own segments of one Bloom filter: an n-gram of count c is entered with each
+level 1 .. 1 + floor(log2 c), so its quantised count is the last level found
+by probing level after level. A segment has ``entry_bits`` bits for every entry
+of its bucket, so the filter grows with the distinct n-grams, none is left out,
+and an n-gram that was never seen passes for one with a chance of about 2.4
+percent (at ``ENTRY_BITS``).
+
+The bucket answers every group with the exact counts of its words and with the
+levels that its segments have of its words and bigrams, held out ones too, in
+the order in which they came. A group meets its answers, and its texts are
+scored from them. A filter of up to ``broadcast_bytes`` is broadcast instead of
+having its levels travel, and is probed for the group's n-grams where they are
+scored. Both ways probe the same filter and give the same scores.
 
 Scoring: P(w | v) = x * c(v, w) / c(v) + (1 - x) * P(w) with
 P(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1)); counts come from the filter (those
@@ -24,10 +27,9 @@ exact. The weight x is the one of ``WEIGHTS`` under which all training texts
 are likeliest when each token's own occurrence is taken off the counts; each
 text is scored under every weight in one pass.
 
-``base_score`` uses exact counts instead: a bucket has every document that
-holds a word, so it adds up the documents' shares; only words that many
-documents of a sample share (at most ``HOT``) are counted apart and sent to
-all, so no bucket gets a row for each document that holds ``the``.
+``base_score`` uses exact counts instead. Words that many documents of a
+sample share (at most ``HOT``) are not entered into the filter: their exact
+counts are sent to all and stand in for levels too.
 
 Defined results: null and empty texts are one end mark; rows without id are
 neither held out nor learned from; rows that repeat an id and text each get
@@ -38,12 +40,11 @@ of equal chances. Other columns are not read.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.arrays import U64, WORD_NOT_SPACE, batches, chunks, fingerprints, lowered, mix, words
+from touchline.llm.arrays import U64, WORD_NOT_SPACE, batches, chunks, fingerprints, give_back, lowered, mix, words
 from touchline.llm.common import stored
 
 WEIGHTS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.2, 0.3, 0.5, 0.7)
@@ -52,10 +53,10 @@ PROBES = 4
 ENTRY_BITS = 8
 BROADCAST_BYTES = 192 << 20
 CHUNK = 1 << 20
-FLUSH = 1 << 19  # words that a task gathers before it sends them
+STEP = 1 << 17  # tokens that are scored at a time
+GROUP = 1 << 22  # bytes of text whose n-grams are sent together
 BUCKET = 25  # a bucket has the words of some 2**25 bytes of text
-FINER = 3  # bigrams have 2**3 buckets for one of words
-SALTS = 8  # groups that the travelling bigrams of one segment are split into
+FINER = 3  # and their bigrams in 2**3 segments
 END = U64(0x5851F42D4C957F2D)
 BEGIN = U64(0x14057B7EF767814F)
 _LEVEL = mix(np.arange(1, 65, dtype=U64) * U64(0xA0761D6478BD642F))
@@ -109,8 +110,8 @@ class Segments:
             p = self.places(h[level > j], j).ravel()
             np.bitwise_or.at(self.data, (p >> U64(3)).astype(np.int64), (U64(1) << (p & U64(7))).astype(np.uint8))
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        """Quantised counts: 0, or the middle of the last level that is found."""
+    def found(self, h: np.ndarray) -> np.ndarray:
+        """The last level that is found, 0 if none is."""
         level = np.zeros(len(h), np.int64)
         live = np.arange(len(h))
         for k in range(40):
@@ -121,7 +122,15 @@ class Segments:
             if not len(live):
                 break
             level[live] += 1
-        return np.where(level == 0, 0.0, np.where(level == 1, 1.0, 1.5 * 2.0 ** (level - 1)))
+        return level
+
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        return quantised(self.found(h))
+
+
+def quantised(level: np.ndarray) -> np.ndarray:
+    """Counts by level: 0, or the middle of the counts of that level."""
+    return np.where(level == 0, 0.0, np.where(level == 1, 1.0, 1.5 * 2.0 ** (level - 1.0)))
 
 
 def levels(n: np.ndarray) -> np.ndarray:
@@ -190,149 +199,176 @@ def _whole(six: np.ndarray, bits: int, bucket: int) -> np.ndarray:
     return (U64(bucket) << U64(64 - bits) if bits else U64(0)) | six << U64(16 - min(bits, 16))
 
 
-_PARTS = ["kind", "bucket", "ids", "train", "word", "doc", "times", "hot", "hot_n"]
-
-
-def _packed(docs: DataFrame, hot, bits: int, pair_bits: int) -> DataFrame:
-    """Per bucket of words: the documents' rarer words (word, document, times)
-    and counted hot words of training texts. Per bucket of bigrams: those of
-    training texts (word) with their counts (times)."""
-
-    def send(ids, train, word, doc, times, hot_h, pair):
-        hot_h, hot_n = np.unique(np.concatenate(hot_h), return_counts=True)
-        pair, pair_n = np.unique(np.concatenate(pair), return_counts=True)
-        word, doc, times = np.concatenate(word), np.concatenate(doc), np.concatenate(times)
-        order = np.argsort(word, kind="stable")
-        word, doc, times = word[order], doc[order], times[order]
-        ids, train = np.array(ids, np.int64).reshape(-1, 2), np.array(train, bool)
-        w, t, p = _cut(word, bits), _cut(hot_h, bits), _cut(pair, pair_bits)
-        rows = []
-        for k in range(1 << bits):
-            a, z = w[k], w[k + 1]
-            if a == z and t[k] == t[k + 1]:
-                continue
-            used, place = np.unique(doc[a:z], return_inverse=True)
-            rows.append((0, k, ids[used].tobytes(), train[used].tobytes(), _six(word[a:z], bits), place.astype(np.uint32).tobytes(), times[a:z].astype(np.uint32).tobytes(), hot_h[t[k] : t[k + 1]].tobytes(), hot_n[t[k] : t[k + 1]].tobytes()))
-        for k in np.flatnonzero(np.diff(p)).tolist():
-            a, z = p[k], p[k + 1]
-            rows.append((1, k, b"", b"", _six(pair[a:z], pair_bits), b"", pair_n[a:z].astype(np.uint32).tobytes(), b"", b""))
-        for at in range(0, len(rows), 64):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 64]), (pa.int32(), pa.int32(), *[pa.binary()] * 7))], names=_PARTS)
+def _narrow(n: np.ndarray) -> bytes:
+    """Whole numbers, the lowest byte of all, then the next, up to the last
+    that one of them needs."""
+    n = np.ascontiguousarray(n, "<u8")
+    width = max(1, -(-int(n.max()).bit_length() // 8)) if len(n) else 0
+    return n.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _wide(parts: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """The numbers of ``_narrow``, of parts of so many each."""
+    out, at = np.zeros((int(sizes.sum()), 8), np.uint8), 0
+    for part, size in zip(parts, sizes.tolist()):
+        if size:
+            planes = np.frombuffer(part, np.uint8).reshape(-1, size)
+            out[at : at + size, : len(planes)] = planes.T
+        at += size
+    return out.view("<i8").ravel()
+
+
+_GROUPED = "ids array<long>, held_out array<boolean>, train array<boolean>, offsets binary, body binary"
+
+
+def _grouped(docs: DataFrame, size: int) -> DataFrame:
+    """The documents in rows of some ``size`` bytes of text, lower-cased and
+    packed; a longer text is a row of its own."""
+
+    def row(docs):
+        data = b"\n".join(d[3] for d in docs) + b"\n"
+        offsets = np.cumsum([0, *(len(d[3]) + 1 for d in docs)])
+        body = pa.Codec("zstd", compression_level=3).compress(lowered(data).tobytes(), asbytes=True)
+        lists = [pa.array([[d[c] for d in docs]], pa.list_(t)) for c, t in enumerate((pa.int64(), pa.bool_(), pa.bool_()))]
+        return pa.RecordBatch.from_arrays([*lists, pa.array([offsets.tobytes()], pa.binary()), pa.array([body], pa.binary())], names=[x.split()[0] for x in _GROUPED.split(", ")])
 
     def run(it):
-        top = hot.value
-        state: tuple = ([], [], [], [], [], [], [])
-        total, flush = 0, min(max(FLUSH, 4 << pair_bits), 4 * FLUSH)
+        docs, total = [], 0
         for b in batches(it):
-            keys = list(zip(b.column("id").to_pylist(), b.column("version").to_pylist()))
-            learn = b.column("train").to_pylist()
-            for first, last, h, edge in tokens(b.column("text").to_pylist()):
-                ids, train, word, doc, times, hot_h, pair = state
-                base = len(ids)
-                ids += [(0 if i is None else i, v) for i, v in keys[first:last]]
-                train += learn[first:last]
-                own = np.repeat(np.arange(last - first), np.diff(edge))
-                is_hot = _is_hot(top, h)
-                mine = np.array(learn[first:last], bool)
-                hot_h.append(h[is_hot & mine[own]])
-                # distinct words of each document and how often they occur
-                rest, who = h[~is_hot], own[~is_hot]
-                order = np.lexsort((rest, who))
-                rest, who = rest[order], who[order]
-                new = np.ones(len(rest), bool)
-                new[1:] = (rest[1:] != rest[:-1]) | (who[1:] != who[:-1])
-                at = np.flatnonzero(new)
-                word.append(rest[at])
-                doc.append(who[at] + base)
-                times.append(np.diff(np.append(at, len(rest))))
-                _, _, both = bigrams(h, edge)
-                pair.append(both[np.repeat(mine, np.diff(edge) + 1)])
-                total += len(h) + last - first
-                if total >= flush:
-                    yield from send(*state)
-                    state, total = ([], [], [], [], [], [], []), 0
-        if state[0]:
-            yield from send(*state)
-
-    return docs.mapInArrow(run, "kind int, bucket int, ids binary, train binary, word binary, doc binary, times binary, hot binary, hot_n binary")
-
-
-def _joined(parts, width: int, dtype) -> np.ndarray:
-    flat = np.frombuffer(b"".join(parts), np.uint8)
-    if width == 6:
-        wide = np.zeros((len(flat) // 6, 8), np.uint8)
-        wide[:, :6] = flat.reshape(-1, 6)
-        return wide.view("<u8").ravel()
-    return flat.view(dtype)
-
-
-def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            for *keys, text in zip(*(b.column(c).to_pylist() for c in ("id", "held_out", "train", "text"))):
+                text = text.encode("utf-8", "surrogatepass")
+                if docs and total + len(text) >= size:
+                    yield row(docs)
+                    docs, total = [], 0
+                docs.append((*keys, text))
+                total += len(text) + 1
+        if docs:
+            yield row(docs)
+
+    return docs.select("id", "held_out", "train", "text").mapInArrow(run, _GROUPED).withColumn("gid", F.monotonically_increasing_id())
+
+
+def _opened(offsets: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Word fingerprints of a group and the edges of its documents."""
+    offsets = np.frombuffer(offsets, np.int64)
+    low = np.frombuffer(pa.decompress(body, int(offsets[-1]), codec="zstd"), np.uint8)
+    h, edge, first = [], [np.zeros(1, np.int64)], 0
+    while first < len(offsets) - 1:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK, "right")) - 1)
+        part = low[offsets[first] : offsets[last]]
+        s, e = words(part, WORD_NOT_SPACE)
+        edge.append(edge[-1][-1] + np.searchsorted(s, offsets[first + 1 : last + 1] - offsets[first]))
+        h.append(fingerprints(part, s, e))
+        first = last
+    return np.concatenate(h), np.concatenate(edge)
+
+
+def _tallied(h: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct fingerprints in order, and how often training has them."""
+    seen, n = np.unique(h[train], return_counts=True)
+    rest = np.unique(h[~train])
+    rest = rest[~_is_hot(seen, rest)]
+    at = np.searchsorted(seen, rest)
+    return np.insert(seen, at, rest), np.insert(n, at, 0)
+
+
+_PACKED = "bucket int, gid long, word binary, times binary, pair binary, pair_times binary, cuts binary, hot binary, hot_times binary"
+
+
+def _packed(groups: DataFrame, hot, bits: int, pair_bits: int) -> DataFrame:
+    """Of every group a row for each bucket: its distinct words but the hot
+    ones, its bigrams and where those of each segment begin, and the hot words
+    of training texts by number, all with their counts in training texts."""
+
+    def run(it):
+        top, fine = hot.value, 1 << (pair_bits - bits)
+        for b in it:
+            for k in range(b.num_rows):
+                gid, train, offsets, body = (b.column(c)[k].as_py() for c in ("gid", "train", "offsets", "body"))
+                h, edge = _opened(offsets, body)
+                train, size = np.array(train, bool), np.diff(edge)
+                mine, is_hot = np.repeat(train, size), _is_hot(top, h)
+                often, often_n = np.unique(np.searchsorted(top, h[is_hot & mine]), return_counts=True)
+                word, n = _tallied(h[~is_hot], mine[~is_hot])
+                pair, pair_n = _tallied(bigrams(h, edge)[2], np.repeat(train, size + 1))
+                w, t, p = _cut(word, bits), _cut(top[often], bits), _cut(pair, pair_bits)
+                rows = []
+                for j in range(1 << bits):
+                    cuts = p[j * fine : (j + 1) * fine + 1]
+                    (a, z), (c, d), (e, f) = w[j : j + 2], (cuts[0], cuts[-1]), t[j : j + 2]
+                    if a < z or c < d or e < f:
+                        rows.append((j, gid, _six(word[a:z], bits), _narrow(n[a:z]), _six(pair[c:d], pair_bits), _narrow(pair_n[c:d]), (cuts - c).astype(np.uint32).tobytes(), often[e:f].astype(np.uint16).tobytes(), _narrow(often_n[e:f])))
+                for at in range(0, len(rows), 512):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at : at + 512]), (pa.int32(), pa.int64(), *[pa.binary()] * 7))], names=[x.split()[0] for x in _PACKED.split(", ")])
+        give_back()
+
+    return groups.select("gid", "train", "offsets", "body").mapInArrow(run, _PACKED)
+
+
+def _six_of(parts: list[bytes]) -> np.ndarray:
+    """What ``_six`` made, a row of six bytes each."""
+    return np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 6)
+
+
+def _learned(six: np.ndarray, times: np.ndarray, bits: int, bucket: int, entry_bits: int) -> tuple[np.ndarray, np.ndarray, Segments, int]:
+    """Of the n-grams that groups sent to one segment: how often each was
+    learned, its level, the segment, and how many distinct ones were learned."""
+    wide = np.zeros((len(six), 8), np.uint8)
+    wide[:, :6] = six
+    key = wide.view("<u8").ravel()
     order = np.argsort(key, kind="stable")
-    key, n = key[order], n[order]
+    key = key[order]
     at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-    return key[at], np.add.reduceat(n, at) if len(at) else n
-
-
-def _counted(packed: DataFrame, bits: int, pair_bits: int, entry_bits: int) -> DataFrame:
-    """Of every bucket a row with its filter segment and, of words, the number
-    of distinct ones and the hot ones with counts; then a row for each range of
-    documents (by hash) with their sums of log10(c + 0.1) and known words."""
-
-    def pairs(k, pdf):
-        pair, n = _summed(_joined(pdf.word, 6, None), _joined(pdf.times, 4, np.uint32).astype(np.int64))
-        none = np.zeros(0, np.int64)
-        return segment(_whole(pair, pair_bits, k), n, pair_bits, k, entry_bits), 0, none.reshape(0, 2), none.astype(float), none, none.view(U64), none
-
-    def words_of(k, pdf):
-        ids = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in pdf.ids]
-        base = np.cumsum([0, *map(len, ids)])
-        doc = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + b for x, b in zip(pdf.doc, base)])
-        ids, train = np.concatenate(ids), np.frombuffer(b"".join(pdf.train), bool)
-        word, times = _joined(pdf.word, 6, None), _joined(pdf.times, 4, np.uint32).astype(np.int64)
-        order = np.argsort(word, kind="stable")
-        word, doc, times = word[order], doc[order], times[order]
-        at = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
-        count = np.add.reduceat(np.where(train[doc], times, 0), at) if len(at) else at
-        c = np.repeat(count, np.diff(np.append(at, len(word))))
-        share = np.bincount(doc, times * np.log10(c + 0.1), minlength=len(ids))
-        known = np.bincount(doc, times * (c > 0), minlength=len(ids)).astype(np.int64)
-        hot, hot_n = _summed(_joined(pdf.hot, 8, "<u8"), _joined(pdf.hot_n, 8, np.int64))
-        seen = count > 0
-        # rows that repeat an id and text are one here
-        order = np.lexsort((ids[:, 1], ids[:, 0]))
-        ids = ids[order]
-        first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1))) if len(ids) else np.zeros(0, np.int64)
-        if len(first):
-            ids, share, known = ids[first], np.add.reduceat(share[order], first), np.add.reduceat(known[order], first)
-        return segment(_whole(word[at][seen], bits, k), count[seen], bits, k, entry_bits), int(seen.sum()), ids, share, known, hot, hot_n
-
-    def run(key, pdf):
-        made, vocab, ids, share, known, hot, hot_n = (pairs if key[0] else words_of)(int(key[1]), pdf)
-        rows = [(key[0], key[1], -1, made.data.tobytes(), len(made.data), vocab, hot.view(np.int64), hot_n, b"", b"", b"")]
-        part = _bucket(mix(mix(ids[:, 0].astype(U64)) ^ ids[:, 1].astype(U64)), bits)
-        order = np.argsort(part, kind="stable")
-        edge = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)) if len(part) else np.zeros(0, np.int64)
-        for a, z in zip(edge, [*edge[1:], len(part)]):
-            at = order[a:z]
-            rows.append((key[0], key[1], part[at[0]], None, 0, 0, None, None, ids[at].tobytes(), share[at].tobytes(), known[at].tobytes()))
-        return pd.DataFrame(rows, columns=["kind", "bucket", "range", "field", "size", "vocab", "hot", "hot_n", "ids", "share", "known"])
-
-    schema = "kind int, bucket int, range long, field binary, size long, vocab long, hot array<long>, hot_n array<long>, ids binary, share binary, known binary"
-    return packed.groupBy("kind", "bucket").applyInPandas(run, schema)
-
-
-def _shares(counted: DataFrame) -> DataFrame:
-    """The documents' sums over all buckets."""
-
-    def run(pdf):
-        ids = np.frombuffer(b"".join(pdf.ids), np.int64).reshape(-1, 2)
-        share, known = np.frombuffer(b"".join(pdf.share)), np.frombuffer(b"".join(pdf.known), np.int64)
-        order = np.lexsort((ids[:, 1], ids[:, 0]))
-        ids = ids[order]
-        at = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1)))
-        return pd.DataFrame({"_id": ids[at, 0], "_version": ids[at, 1], "_share": np.add.reduceat(share[order], at), "_known": np.add.reduceat(known[order], at)})
-
-    return counted.where("range >= 0").select("range", "ids", "share", "known").groupBy("range").applyInPandas(run, "_id long, _version long, _share double, _known long")
+    n = np.add.reduceat(times[order], at) if len(at) else np.zeros(0, np.int64)
+    h = _whole(key[at], bits, bucket)
+    made = segment(h[n > 0], n[n > 0], bits, bucket, entry_bits)
+    count, level, each = np.empty(len(key), np.int64), np.empty(len(key), np.uint8), np.diff(np.append(at, len(key)))
+    count[order], level[order] = np.repeat(n, each), np.repeat(made.found(h).astype(np.uint8), each)
+    return count, level, made, int((n > 0).sum())
+
+
+_COUNTED = "kind int, bucket int, gid long, field binary, size long, vocab long, tokens long, hot array<long>, hot_n array<long>, count binary, level binary, pair_level binary"
+
+
+def _counted(packed: DataFrame, hot, bits: int, pair_bits: int, entry_bits: int) -> DataFrame:
+    """Of every bucket its filter segments: one of words (kind 0), with the
+    number of distinct ones and of their tokens and the hot ones with counts,
+    and those of bigrams (kind 1). Then its answer to each group (kind 2)."""
+
+    def run(key, table):
+        k, fine, top = key[0].as_py(), 1 << (pair_bits - bits), hot.value
+        cols = {c: table.column(c).to_pylist() for c in table.column_names}
+        del table
+        none = dict.fromkeys(("field", "hot", "hot_n", "count", "level", "pair_level")) | {"size": 0, "vocab": 0, "tokens": 0, "gid": -1, "bucket": k}
+        # words
+        sizes = np.array([len(x) // 6 for x in cols["word"]])
+        times = _wide(cols.pop("times"), sizes)
+        count, level, made, vocab = _learned(_six_of(cols.pop("word")), times, bits, k, entry_bits)
+        often = np.frombuffer(b"".join(cols["hot"]), np.uint16)
+        often_n = np.zeros(len(top), np.int64)
+        np.add.at(often_n, often, _wide(cols.pop("hot_times"), np.array([len(x) // 2 for x in cols.pop("hot")])))
+        used = np.flatnonzero(often_n)
+        rows = [none | {"kind": 0, "field": made.data.tobytes(), "size": len(made.data), "vocab": vocab, "tokens": int(times.sum()), "hot": top[used].view(np.int64).tolist(), "hot_n": often_n[used].tolist()}]
+        # bigrams, segment by segment
+        cuts = np.frombuffer(b"".join(cols.pop("cuts")), np.uint32).reshape(-1, fine + 1).astype(np.int64)
+        times, six = _wide(cols.pop("pair_times"), cuts[:, -1]), _six_of(cols.pop("pair"))
+        begin = np.cumsum(cuts[:, -1]) - cuts[:, -1]
+        pair_level = np.empty(len(six), np.uint8)
+        for j in range(fine):
+            each = cuts[:, j + 1] - cuts[:, j]
+            take = np.repeat(begin + cuts[:, j] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+            _, pair_level[take], made, _ = _learned(six[take], times[take], pair_bits, k * fine + j, entry_bits)
+            rows.append(none | {"kind": 1, "bucket": k * fine + j, "field": made.data.tobytes(), "size": len(made.data)})
+        at, pair_at = np.cumsum([0, *sizes]), np.append(begin, len(six))
+        for i, gid in enumerate(cols["gid"]):
+            a, z = at[i], at[i + 1]
+            rows.append(none | {"kind": 2, "gid": gid, "count": _narrow(count[a:z]), "level": level[a:z].tobytes(), "pair_level": pair_level[pair_at[i] : pair_at[i + 1]].tobytes()})
+        kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+        out = pa.table({c: pa.array([r[c] for r in rows], kinds[t]) for c, t in (x.split() for x in _COUNTED.split(", "))})
+        give_back()
+        return out
+
+    return packed.groupBy("bucket").applyInArrow(run, _COUNTED)
 
 
 def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, sample_docs: int = 8192, entry_bits: int = ENTRY_BITS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -344,35 +380,30 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
     bits = max(3, int((total or 0) >> BUCKET).bit_length())
     pair_bits = bits + FINER
     hot = _hot_words(own, sample_docs)
-    counted = stored(_counted(_packed(own, spark.sparkContext.broadcast(hot), bits, pair_bits), bits, pair_bits, entry_bits), "ngrams")
+    shared_hot = spark.sparkContext.broadcast(hot)
+    groups = stored(_grouped(own, min(max(GROUP, 512 << bits), 4 * GROUP)), "texts")
+    counted = stored(_counted(_packed(groups, shared_hot, bits, pair_bits), shared_hot, bits, pair_bits, entry_bits), "ngrams")
     hot_rows = counted.where(F.size("hot") > 0).select(F.explode(F.arrays_zip("hot", "hot_n")).alias("x")).select("x.*").toPandas()
     hot_n = np.zeros(len(hot), np.int64)
     if len(hot_rows):
         hot_n[np.searchsorted(hot, hot_rows["hot"].to_numpy(np.int64).view(U64))] = hot_rows["hot_n"].to_numpy()
-    vocab, held = counted.agg(F.sum("vocab"), F.sum("size")).first()
+    vocab, n_train, held = counted.agg(F.sum("vocab"), F.sum("tokens"), F.sum("size")).first()
     vocab = (vocab or 0) + int((hot_n > 0).sum()) + (learned > 0)
-    n_train = own.where("train").mapInArrow(_token_counts, "n long").agg(F.sum("n")).first()[0] or 0
+    n_train = (n_train or 0) + int(hot_n.sum()) + learned
     model = {"hot": hot, "hot_n": hot_n, "ends": learned, "scale": n_train + 0.1 * (vocab + 1)}
+    answers = ["gid", "bucket", "count"]
     if (held or 0) <= broadcast_bytes:
         for kind, name, n in ((0, "words", bits), (1, "pairs", pair_bits)):
-            model[name] = _gathered(counted.where((F.col("kind") == kind) & (F.col("range") < 0)), n)
-        sums = _scored(own, spark.sparkContext.broadcast(model))
+            model[name] = _gathered(counted.where(F.col("kind") == kind), n)
     else:
-        sums = _travelled(own, spark.sparkContext.broadcast(model), counted, bits, pair_bits)
-    sums = stored(sums, "scores")
+        answers += ["level", "pair_level"]
+    sums = stored(_scored(groups, counted.where("kind = 2").select(*answers), spark.sparkContext.broadcast(model), bits), "scores")
     # the likeliest weight for the training texts without themselves
     fit = [sums.agg(*[F.sum(F.element_at("fit", k + 1)).alias(f"f{k}") for k in range(len(WEIGHTS))]).first()][0]
     fit = [x if x is not None else 0.0 for x in fit]
     best = fit.index(max(fit))
-    shares = _shares(counted)
-    again = own.groupBy(F.coalesce("id", F.lit(0)).alias("_i"), F.col("version").alias("_v")).agg(F.count("*").alias("_rows")).where("_rows > 1")
-    shares = shares.join(again, (shares["_id"] == again["_i"]) & (shares["_version"] == again["_v"]), "left")
-    out = sums.join(shares, (F.coalesce(sums["id"], F.lit(0)) == shares["_id"]) & (sums["version"] == shares["_version"]), "left")
-    rows = F.coalesce("_rows", F.lit(1))
-    scale = float(np.log10(model["scale"]))
-    base = F.col("hot_share") + F.coalesce("_share", F.lit(0.0)) / rows - F.col("n_tokens") * scale
-    known = F.col("hot_known") + F.coalesce((F.col("_known") / rows).cast("bigint"), F.lit(0))
-    return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", known.alias("n_known"), F.lit(n_train).cast("bigint").alias("train_tokens"), base.alias("base_score"), F.element_at("scores", best + 1).alias("score"))
+    base = F.col("share") - F.col("n_tokens") * float(np.log10(model["scale"]))
+    return sums.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n_train).cast("bigint").alias("train_tokens"), base.alias("base_score"), F.element_at("scores", best + 1).alias("score"))
 
 
 def _gathered(rows: DataFrame, bits: int) -> Segments:
@@ -387,12 +418,6 @@ def _gathered(rows: DataFrame, bits: int) -> Segments:
     return Segments(np.concatenate(parts), bits, first, size)
 
 
-def _token_counts(it):
-    for b in batches(it):
-        n = sum(len(h) + last - first for first, last, h, _ in tokens(b.column("text").to_pylist()))
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
-
-
 def _exact(m: dict, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts that need no probe (hot words, marks), and which those are."""
     c, exact = np.zeros(len(h)), _is_hot(m["hot"], h)
@@ -410,15 +435,15 @@ def _sums(prior, single, pair, scale: float) -> np.ndarray:
     return np.stack([np.log10(x * bound + (1 - x) * free) for x in WEIGHTS])
 
 
-_SCORED = "id long, version long, held_out boolean, n_tokens long, hot_known long, hot_share double, scores array<double>, fit array<double>"
+_SCORED = "id long, held_out boolean, n_tokens long, n_known long, share double, scores array<double>, fit array<double>"
 
 
-def _doc_sums(prior, single, pair, times, start, train, scale) -> tuple[np.ndarray, np.ndarray]:
+def _doc_sums(prior, single, pair, start, train, scale) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the tokens of each document, and those of a training document
     with its token's own occurrence taken off the counts."""
-    scores = np.add.reduceat(_sums(prior, single, pair, scale) * times, start, axis=1)
+    scores = np.add.reduceat(_sums(prior, single, pair, scale), start, axis=1)
     less = [np.maximum(x - 1, 0) for x in (prior, single, pair)]
-    fit = np.add.reduceat(_sums(*less, scale) * times, start, axis=1) * train
+    fit = np.add.reduceat(_sums(*less, scale), start, axis=1) * train
     return scores.T, fit.T
 
 
@@ -426,150 +451,48 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(np.ascontiguousarray(x).ravel()))
 
 
-def _scored(docs: DataFrame, shared) -> DataFrame:
-    """Sums from the broadcast filter, and the shares of hot words and end
-    marks in the base score."""
+def _scored(groups: DataFrame, answers: DataFrame, shared, bits: int) -> DataFrame:
+    """Every document's sums, from its group's answers and, where the filter is
+    broadcast, from its probes."""
 
-    def run(it):
-        m = shared.value
-        for b in batches(it):
-            train = np.array(b.column("train").to_pylist(), bool)
-            cols: list = [[], [], [], [], []]
-            for first, last, h, edge in tokens(b.column("text").to_pylist()):
-                before, own, both = bigrams(h, edge)
-                start = edge[:-1] + np.arange(len(edge) - 1)
-                kinds, back = np.unique(own, return_inverse=True)
-                c, exact = _exact(m, kinds)
-                c[~exact] = m["words"].counts(kinds[~exact])
-                single, exact = c[back], exact[back]
-                prior = np.empty(len(own))
-                prior[1:] = single[:-1]
-                prior[start] = m["ends"]
-                pair = np.zeros(len(own))
-                may = (single > 0) & (prior > 0)
-                pair[may] = m["pairs"].counts(both[may])
-                scores, fit = _doc_sums(prior, single, pair, 1.0, start, train[first:last], m["scale"])
-                share = np.where(exact, np.log10(single + 0.1), 0.0)
-                for col, x in zip(cols, (np.diff(edge) + 1, np.add.reduceat((exact & (single > 0)).astype(np.int64), start), np.add.reduceat(share, start), scores, fit)):
-                    col.append(x)
-            size, known, share, scores, fit = (np.concatenate(c) for c in cols)
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("version"), b.column("held_out"), pa.array(size), pa.array(known), pa.array(share), _lists(scores), _lists(fit)], names=[x.split()[0] for x in _SCORED.split(", ")])
-
-    return docs.select("id", "version", "held_out", "train", "text").mapInArrow(run, _SCORED)
-
-
-_TRAVEL = "bucket int, salt int, ids binary, train binary, doc binary, before binary, own binary, both binary, times binary, single binary, prior binary"
-_TRAVEL_NAMES = [x.split()[0] for x in _TRAVEL.split(", ")]
-
-
-def _sent(bucket: np.ndarray, salt: int, ids, train, doc, cols: dict) -> list[tuple]:
-    """Rows of ``_TRAVEL``, one for each bucket."""
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
-    rows = []
-    for a, z in zip(at, [*at[1:], len(bucket)]):
-        take = order[a:z]
-        used, place = np.unique(doc[take], return_inverse=True)
-        rows.append((int(bucket[a]), salt, ids[used].tobytes(), train[used].tobytes(), place.astype(np.uint32).tobytes(), *[cols[c][take].tobytes() if c in cols else b"" for c in _TRAVEL_NAMES[5:]]))
-    return rows
-
-
-def _opened(pdf, names) -> tuple:
-    """ids, train and doc of the rows together, and the columns ``names``."""
-    ids = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in pdf.ids]
-    base = np.cumsum([0, *map(len, ids)])
-    doc = np.concatenate([np.frombuffer(x, np.uint32).astype(np.int64) + b for x, b in zip(pdf.doc, base)])
-    kinds = {"times": np.uint32, "single": np.float64, "prior": np.float64}
-    cols = {c: np.frombuffer(b"".join(pdf[c]), kinds.get(c, U64)) for c in names}
-    return np.concatenate(ids), np.frombuffer(b"".join(pdf.train), bool), doc, cols
-
-
-def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> U64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-
-
-def _travelled(docs: DataFrame, shared, counted: DataFrame, bits: int, pair_bits: int) -> DataFrame:
-    """As ``_scored``, with the filter left in its segments."""
-
-    def depart(it):
-        m, salt = shared.value, 0
-        for b in batches(it):
-            keys = [(0 if i is None else i, v) for i, v in zip(b.column("id").to_pylist(), b.column("version").to_pylist())]
-            learn = np.array(b.column("train").to_pylist(), bool)
-            for first, last, h, edge in tokens(b.column("text").to_pylist()):
-                before, own, both = bigrams(h, edge)
-                doc = np.repeat(np.arange(last - first), np.diff(edge) + 1)
-                order = np.lexsort((both, doc))
-                new = np.ones(len(order), bool)
-                new[1:] = (both[order][1:] != both[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-                at = np.flatnonzero(new)
-                one = order[at]
-                cols = {"before": before[one], "own": own[one], "both": both[one], "times": np.diff(np.append(at, len(order))).astype(np.uint32)}
-                _, exact = _exact(m, cols["own"])
-                to = _bucket(np.where(exact, cols["both"], cols["own"]), bits)
-                rows = _sent(to, salt % SALTS, np.array(keys[first:last], np.int64).reshape(-1, 2), learn[first:last], doc[one], cols)
-                salt += 1
-                for k in range(0, len(rows), 64):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 64]), (pa.int32(), pa.int32(), *[pa.binary()] * 9))], names=_TRAVEL_NAMES)
-
-    def held(right, n: int, bucket: int) -> Segments:
-        if not len(right):
-            return Segments(np.zeros(8, np.uint8), n, np.zeros(bucket + 1, np.int64), np.full(bucket + 1, 64))
-        data = np.frombuffer(right.field.iloc[0], np.uint8)
-        return Segments(data, n, np.zeros(bucket + 1, np.int64), np.full(bucket + 1, len(data) * 8))
-
-    def at_second(key, left, right):
-        if not len(left):
-            return pd.DataFrame([], columns=_TRAVEL_NAMES)
-        ids, train, doc, cols = _opened(left, ["before", "own", "both", "times"])
-        c, exact = _exact(shared.value, cols["own"])
-        c[~exact] = held(right, bits, int(key[0])).counts(cols["own"][~exact])
-        _, known = _exact(shared.value, cols["before"])
-        to = _bucket(np.where(known, cols["both"], cols["before"]), bits)
-        return pd.DataFrame(_sent(to, int(key[1]), ids, train, doc, {**cols, "single": c}), columns=_TRAVEL_NAMES)
-
-    def at_first(key, left, right):
-        if not len(left):
-            return pd.DataFrame([], columns=_TRAVEL_NAMES)
-        ids, train, doc, cols = _opened(left, ["before", "own", "both", "times", "single"])
-        c, exact = _exact(shared.value, cols["before"])
-        c[~exact] = held(right, bits, int(key[0])).counts(cols["before"][~exact])
-        return pd.DataFrame(_sent(_bucket(cols["both"], pair_bits), int(key[1]), ids, train, doc, {**cols, "prior": c}), columns=_TRAVEL_NAMES)
-
-    def at_both(key, left, right):
-        names = ["id", "version", "n_tokens", "hot_known", "hot_share", "scores", "fit"]
-        if not len(left):
-            return pd.DataFrame([], columns=names)
+    def run(key, left, right):
         m = shared.value
-        ids, train, doc, cols = _opened(left, ["own", "both", "times", "single", "prior"])
-        order = np.argsort(doc, kind="stable")
-        doc, cols = doc[order], {k: v[order] for k, v in cols.items()}
-        pair, may = np.zeros(len(doc)), (cols["single"] > 0) & (cols["prior"] > 0)
-        pair[may] = held(right, pair_bits, int(key[0])).counts(cols["both"][may])
-        start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-        times, who = cols["times"].astype(np.int64), doc[start]
-        scores, fit = _doc_sums(cols["prior"], cols["single"], pair, times, start, train[who], m["scale"])
-        _, exact = _exact(m, cols["own"])
-        share = np.where(exact, np.log10(cols["single"] + 0.1), 0.0) * times
-        known = np.where(exact & (cols["single"] > 0), times, 0)
-        return pd.DataFrame({"id": ids[who, 0], "version": ids[who, 1], "n_tokens": np.add.reduceat(times, start), "hot_known": np.add.reduceat(known, start),
-                             "hot_share": np.add.reduceat(share, start), "scores": list(scores), "fit": list(fit)})
-
-    def met(rows: DataFrame, kind: int, fn, schema: str) -> DataFrame:
-        parts = counted.where((F.col("kind") == kind) & (F.col("range") < 0)).select("bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "field")
-        return rows.groupBy("bucket", "salt").cogroup(parts.groupBy("bucket", "salt")).applyInPandas(fn, schema)
-
-    rows = docs.select("id", "version", "train", "text").mapInArrow(depart, _TRAVEL)
-    rows = stored(met(rows, 0, at_second, _TRAVEL), "second-words")
-    rows = stored(met(rows, 0, at_first, _TRAVEL), "first-words")
-    parts = met(rows, 1, at_both, "id long, version long, n_tokens long, hot_known long, hot_share double, scores array<double>, fit array<double>")
-    added = [F.sum(F.element_at(c, k + 1)).alias(f"{c}{k}") for c in ("scores", "fit") for k in range(len(WEIGHTS))]
-    one = parts.groupBy(F.col("id").alias("_i"), F.col("version").alias("_v")).agg(*[F.sum(c).alias(c) for c in ("n_tokens", "hot_known", "hot_share")], *added)
-    keys = docs.select("id", "version", "held_out", F.coalesce("id", F.lit(0)).alias("_i"))
-    times = keys.groupBy("_i", "version").agg(F.count("*").alias("k")).select(F.col("_i").alias("_k"), F.col("version").alias("_v2"), "k")
-    one = one.join(times, (F.col("_i") == F.col("_k")) & (F.col("_v") == F.col("_v2"))).drop("_k", "_v2").withColumnRenamed("_i", "_j")
-    out = keys.join(one, (keys["_i"] == one["_j"]) & (keys["version"] == one["_v"]))
-    each = [(F.col(c) / F.col("k")).cast(t).alias(c) for c, t in (("n_tokens", "bigint"), ("hot_known", "bigint"), ("hot_share", "double"))]
-    arrays = [F.array(*[F.col(f"{c}{k}") / F.col("k") for k in range(len(WEIGHTS))]).alias(c) for c in ("scores", "fit")]
-    return out.select("id", "version", "held_out", *each, *arrays)
+        ids, held, train, offsets, body = (left.column(c)[0].as_py() for c in ("ids", "held_out", "train", "offsets", "body"))
+        h, edge = _opened(offsets, body)
+        before, own, both = bigrams(h, edge)
+        ends = np.append(edge[:-1] + np.arange(len(ids)), len(own))
+        start, train = ends[:-1], np.array(train, bool)
+        single, exact = _exact(m, own)
+        word, back = np.unique(own[~exact], return_inverse=True)
+        pair, pair_back = np.unique(both, return_inverse=True)
+        # the answers, in the order of the buckets, are in that of the n-grams
+        right = right.sort_by("bucket")
+        got = {c: right.column(c).to_pylist() for c in right.column_names}
+        sizes = np.diff(_cut(word, bits))[got["bucket"]]
+        if sizes.sum() != len(word):
+            raise ValueError("a group has words without an answer")
+        count = single.copy()
+        count[~exact] = _wide(got["count"], sizes)[back]
+        if "words" in m:
+            level, pair_level = m["words"].found(word), m["pairs"].found(pair)
+        else:
+            level, pair_level = (np.frombuffer(b"".join(got[c]), np.uint8) for c in ("level", "pair_level"))
+        single[~exact] = quantised(level)[back]
+        prior = np.empty(len(own))
+        prior[1:] = single[:-1]
+        prior[start] = m["ends"]
+        times = np.where((single > 0) & (prior > 0), quantised(pair_level)[pair_back], 0.0)
+        scores, fit, first = [], [], 0
+        while first < len(ids):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + STEP, "right")) - 1)
+            part = slice(ends[first], ends[last])
+            sums = _doc_sums(prior[part], single[part], times[part], start[first:last] - ends[first], train[first:last], m["scale"])
+            scores.append(sums[0])
+            fit.append(sums[1])
+            first = last
+        known, share = (np.add.reduceat(x, start) for x in ((count > 0).astype(np.int64), np.log10(count + 0.1)))
+        out = pa.table([pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(np.diff(ends)), pa.array(known), pa.array(share), _lists(np.concatenate(scores)), _lists(np.concatenate(fit))], names=[x.split()[0] for x in _SCORED.split(", ")])
+        give_back()
+        return out
+
+    return groups.groupBy("gid").cogroup(answers.groupBy("gid")).applyInArrow(run, _SCORED)
