@@ -469,6 +469,7 @@ def test_lm_disk_does_not_grow_with_the_buckets(spark, tmp_path, monkeypatch, br
 
     def stored(df, name):
         folders.append(tmp_path / name)
+        spark.conf.set(bloom_lm.CLEANUP, "false")  # shuffle files stay, to be measured
         df.write.parquet(str(folders[-1]))
         return spark.read.schema(df.schema).parquet(str(folders[-1]))
 
@@ -488,6 +489,22 @@ def test_lm_disk_does_not_grow_with_the_buckets(spark, tmp_path, monkeypatch, br
     assert len(many) == 600
 
 
+def test_lm_leaves_no_shuffle_files_and_the_setting_as_it_was(spark, monkeypatch):
+    seen, plain = [], bloom_lm.stored
+
+    def stored(df, name):
+        seen.append((name, spark.conf.get(bloom_lm.CLEANUP)))
+        if name == "scores":
+            raise OSError("no room")
+        return plain(df, name)
+
+    before = spark.conf.get(bloom_lm.CLEANUP)
+    monkeypatch.setattr(bloom_lm, "stored", stored)
+    with pytest.raises(OSError):
+        bloom_lm.score(spark.createDataFrame([(1, "a b"), (2, "a c")], "doc_id long, text string"))
+    assert seen[1:] == [("ngrams", "true"), ("scores", "true")] and spark.conf.get(bloom_lm.CLEANUP) == before
+
+
 def test_whole_numbers_in_as_many_bytes_as_they_need():
     parts = [np.array(x, np.int64) for x in ([], [0], [1, 255], [256, 0, 3], [1 << 40, 7])]
     packed = [bloom_lm._narrow(x) for x in parts]

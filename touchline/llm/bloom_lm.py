@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from touchline.llm.arrays import U64, WORD_NOT_SPACE, batches, chunks, fingerprints, give_back, lowered, mix, words
 from touchline.llm.common import stored
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WEIGHTS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.2, 0.3, 0.5, 0.7)
 HOT = 4096
 PROBES = 4
@@ -149,6 +150,18 @@ def segment(h: np.ndarray, n: np.ndarray, bits: int, bucket: int, entry_bits: in
     return out
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``stored``; what was shuffled for it goes as soon as it is written, not
+    when the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def _prepared(docs: DataFrame, id_col: str, text_col: str, folds: int) -> DataFrame:
     fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
     text = F.coalesce(text_col, F.lit(""))
@@ -382,7 +395,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
     hot = _hot_words(own, sample_docs)
     shared_hot = spark.sparkContext.broadcast(hot)
     groups = stored(_grouped(own, min(max(GROUP, 512 << bits), 4 * GROUP)), "texts")
-    counted = stored(_counted(_packed(groups, shared_hot, bits, pair_bits), shared_hot, bits, pair_bits, entry_bits), "ngrams")
+    counted = _kept(_counted(_packed(groups, shared_hot, bits, pair_bits), shared_hot, bits, pair_bits, entry_bits), "ngrams")
     hot_rows = counted.where(F.size("hot") > 0).select(F.explode(F.arrays_zip("hot", "hot_n")).alias("x")).select("x.*").toPandas()
     hot_n = np.zeros(len(hot), np.int64)
     if len(hot_rows):
@@ -397,7 +410,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
             model[name] = _gathered(counted.where(F.col("kind") == kind), n)
     else:
         answers += ["level", "pair_level"]
-    sums = stored(_scored(groups, counted.where("kind = 2").select(*answers), spark.sparkContext.broadcast(model), bits), "scores")
+    sums = _kept(_scored(groups, counted.where("kind = 2").select(*answers), spark.sparkContext.broadcast(model), bits), "scores")
     # the likeliest weight for the training texts without themselves
     fit = [sums.agg(*[F.sum(F.element_at("fit", k + 1)).alias(f"f{k}") for k in range(len(WEIGHTS))]).first()][0]
     fit = [x if x is not None else 0.0 for x in fit]
